@@ -123,7 +123,10 @@ def fmt_hour(c):
     return F.date_format(c, "HH:mm")
 
 
-def number(c):
+def number(df, name):
     """Double or NULL: text that is no number and NaN both become NULL."""
-    d = c.try_cast("double")
+    kind = df.schema[name].dataType.typeName()
+    if kind in ("integer", "long", "short", "byte"):
+        return F.col(name).cast("double")
+    d = F.col(name) if kind == "double" else F.col(name).try_cast("double")
     return F.when(~F.isnan(d), d)

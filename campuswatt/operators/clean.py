@@ -77,7 +77,7 @@ def clean_meter(df, order, file=None, unused=("Valeur Acquisition",)):
         out = out.withColumn("Date", P.norm_date(F.col("Date")))
     else:
         out = norm_dates(out, "Date", file, order)
-    out = out.withColumns({"Time": P.norm_time(F.col("Time")), "Value": P.number(F.col("Value").cast("string"))})
+    out = out.withColumns({"Time": P.norm_time(F.col("Time")), "Value": P.number(out, "Value")})
     return dedup_first(drop_null_keys(out, ["Date", "Time"]), [*file_cols, "Date", "Time"], order)
 
 

@@ -4,7 +4,7 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
-from campuswatt.operators.ordering import dedup_last
+from campuswatt.operators.ordering import dedup_first, dedup_last
 from campuswatt.operators.series import daylight
 
 
@@ -50,7 +50,7 @@ def outer_merge(a, b, on):
 
 def lookup_first(a, b, key, value, into, order):
     """Value of the first matching row of ``b``."""
-    first = dedup_last(b, key, [F.col(o).desc() if isinstance(o, str) else o.desc() for o in order])
+    first = dedup_first(b, key, order)
     return a.join(first.select(*key, F.col(value).alias(into)), list(key), "left")
 
 

@@ -11,126 +11,131 @@ from pyspark.sql import functions as F
 
 from campuswatt.operators.joins import not_in
 from campuswatt.operators.ordering import dedup_first
+from campuswatt.session import cut_lineage
 
-TOLERANCE = 0.001    # fixed value: smaller differences are no change
-HOT_ROWS = 50_000    # keys with more rows in a batch are folded in ordered segments
-
-MERGE_COLS = ["_action", "_rows", "_inserted", "_updated"]
+TOLERANCE = 0.001           # fixed value: smaller differences are no change
+HOT_ROWS = 50_000           # keys with more rows in a batch are folded in ordered segments
+BROADCAST_KEYS = 200_000    # a counted key list up to this size is broadcast
 
 
 def _differs(old, new, measures, exact, tol):
-    """Any measure moved by more than ``tol`` or any exact column changed."""
-    tests = [F.coalesce(F.abs(old[m] - new[m]) > tol, F.lit(False)) for m in measures]
-    tests += [F.coalesce(old[m] != new[m], F.lit(False)) for m in exact]
-    return reduce(lambda a, b: a | b, tests)
-
-
-def _values(x, cols):
-    return F.struct(*[x[c].alias(c) for c in cols])
+    """SQL: any measure moved by more than ``tol`` or any exact column changed."""
+    tests = [f"coalesce(abs({old}.`{m}` - {new}.`{m}`) > {tol}D, false)" for m in measures]
+    tests += [f"coalesce({old}.`{m}` <> {new}.`{m}`, false)" for m in exact]
+    return "(" + " OR ".join(tests) + ")"
 
 
-def _typed(df, cols):
-    """SQL type of a struct of the columns."""
-    return "struct<" + ",".join(f"{c}:{df.schema[c].dataType.simpleString()}" for c in cols) + ">"
+def _struct(cols, of=""):
+    return "named_struct(" + ", ".join(f"'{c}', {of}`{c}`" for c in cols) + ")"
 
 
-def _fold_rows(rows, known, seed, measures, exact, tol, state):
-    """Apply ordered rows to a state, row by row: tiny drifts never move the state."""
+def _fold_rows(known, measures, exact, tol):
+    """Apply the ordered rows ``_list`` to the stored state: tiny drifts never move it."""
     cols = [*measures, *exact]
+    moved = _differs("a.v", "x", measures, exact, tol)
+    return F.expr(f"""aggregate(_list, named_struct('known', {known}, 'v', {_struct(cols)}, 'n', 0L), (a, x) -> CASE
+        WHEN NOT a.known THEN named_struct('known', true, 'v', {_struct(cols, "x.")}, 'n', a.n)
+        WHEN {moved} THEN named_struct('known', true, 'v', {_struct(cols, "x.")}, 'n', a.n + 1L)
+        ELSE a END)""")
 
-    def step(acc, row):
-        value = _values(row, cols)
-        moved = _differs(acc["v"], value, measures, exact, tol)
-        return (F.when(~acc["known"], F.struct(F.lit(True).alias("known"), value.alias("v"), acc["n"].alias("n")))
-                .when(moved, F.struct(F.lit(True).alias("known"), value.alias("v"), (acc["n"] + 1).alias("n")))
-                .otherwise(acc))
 
-    start = F.struct(known.alias("known"), seed.cast(state).alias("v"), F.lit(0).cast("bigint").alias("n"))
-    return F.aggregate(rows, start, step)
+def _segment_function(state, measures, exact, tol):
+    """Effect of an ordered run of rows ``_list`` on *any* state, as a short list of cases.
 
-
-def _segment_function(rows, measures, exact, tol, state):
-    """Effect of an ordered run of rows on *any* state, as a short list of cases.
-
-    A run moves a state at the first row that differs from it. Only rows that set
-    a new extreme can be that first row, and only until the run has spread so far
-    that every state has moved. Case i: (first row, state after the run, updates).
+    A run moves a state at the first row that differs from it. Only a row that sets
+    a new extreme can be that row, and only until the run has spread so far that
+    every state has moved. Case: first row, state after the run, updates.
     """
     cols = [*measures, *exact]
-    case = f"struct<first:{state},v:{state},n:bigint>"
-
-    def step(acc, row):
-        value = _values(row, cols)
-        advanced = F.transform(acc["cases"], lambda c: F.when(
-            _differs(c["v"], value, measures, exact, tol),
-            F.struct(c["first"].alias("first"), value.alias("v"), (c["n"] + 1).alias("n")),
-        ).otherwise(c))
-        extreme = [F.coalesce((row[m] < acc["lo"][m]) | (row[m] > acc["hi"][m]), row[m].isNotNull()) for m in measures]
-        # a value differs from a stored one unless both are equal: a second value closes the run
-        extreme += [~acc["lo"][m].eqNullSafe(row[m]) for m in exact]
-        starts = acc["open"] & (F.size(acc["cases"]).eqNullSafe(0) | reduce(lambda a, b: a | b, extreme))
-        fresh = F.struct(value.alias("first"), value.alias("v"), F.lit(1).cast("bigint").alias("n"))
-        lo = F.struct(*[F.least(acc["lo"][m], row[m]).alias(m) for m in measures],
-                      *[F.coalesce(acc["lo"][m], row[m]).alias(m) for m in exact])
-        hi = F.struct(*[F.greatest(acc["hi"][m], row[m]).alias(m) for m in measures],
-                      *[F.coalesce(acc["hi"][m], row[m]).alias(m) for m in exact])
-        # twice the tolerance would do; three times keeps rounding out of the argument
-        spread = [F.coalesce(hi[m] - lo[m] > 3 * tol, F.lit(False)) for m in measures]
-        spread += [F.coalesce(lo[m] != row[m], F.lit(False)) for m in exact]
-        return F.struct(
-            F.when(starts, F.concat(advanced, F.array(fresh))).otherwise(advanced).alias("cases"),
-            lo.alias("lo"), hi.alias("hi"),
-            (acc["open"] & ~reduce(lambda a, b: a | b, spread)).alias("open"))
-
-    start = F.struct(F.array().cast(f"array<{case}>").alias("cases"), F.lit(None).cast(state).alias("lo"),
-                     F.lit(None).cast(state).alias("hi"), F.lit(True).alias("open"))
-    return F.aggregate(rows, start, step, lambda acc: acc["cases"])
-
-
-def _fold_segments(segments, known, seed, measures, exact, tol, state):
-    """Apply the functions of ordered segments to a state."""
-    def step(acc, segment):
-        moving = F.get(F.filter(segment["cases"], lambda c: ~acc["known"] | _differs(
-            acc["v"], c["first"], measures, exact, tol)), F.lit(0))
-        counted = moving["n"] - F.when(acc["known"], 0).otherwise(1)
-        return F.when(moving.isNull(), acc).otherwise(F.struct(
-            F.lit(True).alias("known"), moving["v"].alias("v"), (acc["n"] + counted).alias("n")))
-
-    start = F.struct(known.alias("known"), seed.cast(state).alias("v"), F.lit(0).cast("bigint").alias("n"))
-    return F.aggregate(segments, start, step)
+    value = _struct(cols, "x.")
+    fresh = f"named_struct('first', {value}, 'v', {value}, 'n', 1L)"
+    lo = "named_struct(" + ", ".join([f"'{m}', least(a.lo.`{m}`, x.`{m}`)" for m in measures]
+                                     + [f"'{m}', coalesce(a.lo.`{m}`, x.`{m}`)" for m in exact]) + ")"
+    hi = "named_struct(" + ", ".join([f"'{m}', greatest(a.hi.`{m}`, x.`{m}`)" for m in measures]
+                                     + [f"'{m}', coalesce(a.hi.`{m}`, x.`{m}`)" for m in exact]) + ")"
+    extreme = " OR ".join([f"coalesce(x.`{m}` < a.lo.`{m}` OR x.`{m}` > a.hi.`{m}`, true)" for m in measures]
+                          + [f"NOT (a.lo.`{m}` <=> x.`{m}`)" for m in exact])
+    # twice the tolerance would do; three times keeps rounding out of the argument
+    spread = " OR ".join([f"coalesce(greatest(a.hi.`{m}`, x.`{m}`) - least(a.lo.`{m}`, x.`{m}`) > {3 * tol}D, false)"
+                          for m in measures] + [f"coalesce(a.lo.`{m}` <> x.`{m}`, false)" for m in exact])
+    advanced = f"""transform(a.cases, c -> CASE WHEN {_differs("c.v", "x", measures, exact, tol)}
+        THEN named_struct('first', c.first, 'v', {value}, 'n', c.n + 1L) ELSE c END)"""
+    start = (f"named_struct('cases', cast(array() AS array<struct<first:{state},v:{state},n:bigint>>), "
+             f"'lo', cast(NULL AS {state}), 'hi', cast(NULL AS {state}), 'open', true)")
+    return F.expr(f"""aggregate(_list, {start}, (a, x) -> named_struct(
+        'cases', CASE WHEN a.open AND ({extreme}) THEN concat({advanced}, array({fresh})) ELSE {advanced} END,
+        'lo', {lo}, 'hi', {hi}, 'open', a.open AND NOT ({spread})), a -> a.cases)""")
+
+
+def _fold_segments(known, measures, exact, tol):
+    """Apply the functions of the ordered segments ``_segs`` to the stored state."""
+    hit = f"get(filter(g.cases, c -> NOT a.known OR {_differs('a.v', 'c.first', measures, exact, tol)}), 0)"
+    return F.expr(f"""aggregate(_segs, named_struct('known', {known}, 'v', {_struct([*measures, *exact])}, 'n', 0L), (a, g) -> CASE
+        WHEN {hit} IS NULL THEN a
+        ELSE named_struct('known', true, 'v', {hit}.v, 'n', a.n + {hit}.n - CASE WHEN a.known THEN 0L ELSE 1L END) END)""")
 
 
 def _order_struct(order):
-    return F.struct(*[(F.col(o) if isinstance(o, str) else o).alias(f"o{i}") for i, o in enumerate(order)])
+    return F.struct(*[F.col(o).alias(f"o{i}") for i, o in enumerate(order)])
 
 
-def _grouped(batch, key, cols, order, hot_rows, segments, measures, exact, tol, state):
-    """Per key: its ordered rows, or for hot keys its ordered segment functions."""
-    row = F.struct(_order_struct(order).alias("o"), *cols)
-    row_type = "array<" + batch.select(row.alias("r")).schema["r"].dataType.simpleString() + ">"
-    cases = f"array<struct<seg:int,cases:array<struct<first:{state},v:{state},n:bigint>>>>"
+def _small(keys, n):
+    """Broadcast a key list whose size was counted; beyond the bound the planner shuffles."""
+    return F.broadcast(keys) if n <= BROADCAST_KEYS else keys
 
-    hot = batch.groupBy(*key).agg(F.count("*").alias("_n")).filter(F.col("_n") > hot_rows).select(*key)
-    cold = (not_in(batch, hot, key).groupBy(*key)
-            .agg(F.array_sort(F.collect_list(row)).alias("_list"), F.count("*").alias("_rows"))
-            .withColumn("_segs", F.lit(None).cast(cases)))
 
-    # Range partitions on (key, order) cut a hot key into ordered runs of about equal size.
-    runs = batch.join(hot, list(key), "left_semi")
-    runs = (runs.repartitionByRange(segments, *key, *[F.col(o) if isinstance(o, str) else o for o in order])
-            .withColumn("_seg", F.spark_partition_id()))
-    runs = (runs.groupBy(*key, "_seg")
-            .agg(F.array_sort(F.collect_list(row)).alias("_list"), F.count("*").alias("_rows"))
-            .withColumn("_cases", _segment_function(F.col("_list"), measures, exact, tol, state)))
-    warm = (runs.groupBy(*key)
-            .agg(F.array_sort(F.collect_list(F.struct(F.col("_seg").alias("seg"), F.col("_cases").alias("cases"))))
-                 .alias("_segs"), F.sum("_rows").alias("_rows"))
-            .withColumn("_list", F.lit(None).cast(row_type)))
-    return cold.unionByName(warm)
+def _folded(stored, batch, key, measures, exact, order, tol, hot_rows, segments):
+    """Join the stored rows with the batch, folded per key.
 
+    Adds ``_known`` (stored before), ``_rows`` (batch rows of the key) and ``_new``
+    (struct of the state ``v`` after the batch and the number ``n`` of moves).
 
-def _segments_of(df, segments):
-    return segments or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    Most keys have one row: a plain aggregate, kept for all that follows, has them
+    ready. Only the rows of the other keys are read again and collected per key, and
+    keys with more than ``hot_rows`` rows are first cut into ordered segments, so
+    that no group is unbounded.
+    """
+    cols = [*measures, *exact]
+    state = "struct<" + ",".join(f"`{c}`:{stored.schema[c].dataType.simpleString()}" for c in cols) + ">"
+    batch = batch.select(*key, *[F.col(c).cast(stored.schema[c].dataType).alias(c) for c in cols],
+                         *[c for c in order if c not in key and c not in cols])
+    sizes = cut_lineage(batch.groupBy(*key).agg(
+        F.count("*").alias("_rows"), *[F.min(c).alias(f"_one_{c}") for c in cols]))
+    out = stored.select(*key, *cols).withColumn("_known", F.lit(True)).join(sizes, list(key), "full_outer")
+    known = "(_known IS NOT NULL)"
+    one = "named_struct(" + ", ".join(f"'{c}', `_one_{c}`" for c in cols) + ")"
+    moved = _differs(_struct(cols), one, measures, exact, tol)
+    single = (f"CASE WHEN _rows = 1 AND (NOT {known} OR {moved}) THEN named_struct('known', true, 'v', {one}, "
+              f"'n', CASE WHEN {known} THEN 1L ELSE 0L END) "
+              f"WHEN _rows = 1 THEN named_struct('known', true, 'v', {_struct(cols)}, 'n', 0L) END")
+
+    repeats = sizes.filter("_rows > 1").select(*key, "_rows")
+    n, n_hot = repeats.agg(F.count("*"), F.count_if(F.col("_rows") > hot_rows)).first()
+    folds = [F.expr(single)]
+    if n > n_hot:
+        row = F.struct(_order_struct(order).alias("o"), *cols)
+        many = repeats.filter(F.col("_rows") <= hot_rows).select(*key)
+        lists = (batch.join(_small(many, n - n_hot), list(key), "left_semi")
+                 .groupBy(*key).agg(F.array_sort(F.collect_list(row)).alias("_list")))
+        out = out.join(lists, list(key), "left")
+        folds.append(_fold_rows(known, measures, exact, tol))
+    if n_hot:
+        hot = repeats.filter(F.col("_rows") > hot_rows).select(*key)
+        segs = _segments(batch.join(_small(hot, n_hot), list(key), "left_semi"), key, cols, order, segments,
+                         _segment_function(state, measures, exact, tol))
+        out = out.join(segs, list(key), "left")
+        folds.append(_fold_segments(known, measures, exact, tol))
+    return out.withColumn("_new", F.coalesce(*folds)).withColumn("_known", F.expr(known))
+
+
+def _segments(rows, key, cols, order, segments, function):
+    """Ordered segments of hot keys: range partitions on (key, order) cut them into even runs."""
+    segments = segments or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    row = F.struct(_order_struct(order).alias("o"), *cols)
+    runs = (rows.repartitionByRange(segments, *key, *order).withColumn("_seg", F.spark_partition_id())
+            .groupBy(*key, "_seg").agg(F.array_sort(F.collect_list(row)).alias("_list"))
+            .withColumn("cases", function))
+    return runs.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("_seg", "cases"))).alias("_segs"))
 
 
 def upsert_tol(target, batch, key, measures, order, exact=(), tol=TOLERANCE, hot_rows=HOT_ROWS, segments=None):
@@ -140,36 +145,17 @@ def upsert_tol(target, batch, key, measures, order, exact=(), tol=TOLERANCE, hot
     than ``tol`` or an ``exact`` column changed; otherwise it changes nothing, so
     drifts below the tolerance never move the stored value. Values are not null
     on either side: the feeds' standard forms see to that.
-
-    Rows of one key are folded in the group of the key. Keys with more than
-    ``hot_rows`` rows are cut into ordered segments first: each segment becomes a
-    function of the incoming state, and only these functions meet in one group.
     """
     cols = [*measures, *exact]
-    state = _typed(target, cols)
-    batch = batch.select(*key, *[F.col(c).cast(target.schema[c].dataType).alias(c) for c in cols],
-                         *[c for c in order if isinstance(c, str) and c not in key and c not in cols])
-    groups = _grouped(batch, key, cols, order, hot_rows, _segments_of(batch, segments), measures, exact, tol, state)
-    stored = target.select(*key, *cols).withColumn("_known", F.lit(True))
-    both = stored.join(groups, list(key), "full_outer")
-
-    known = F.coalesce(F.col("_known"), F.lit(False))
-    seed = F.struct(*cols)
-    folded = F.coalesce(
-        _fold_rows(F.col("_list"), known, seed, measures, exact, tol, state),
-        _fold_segments(F.col("_segs"), known, seed, measures, exact, tol, state))
-    merged = both.withColumn("_new", folded)
-    return merged.select(*key, *[
-        F.when(F.col("_rows").isNull(), F.col(c)).otherwise(F.col(f"_new.v.{c}")).alias(c) for c in cols],
-        _action(known).alias("_action"),
+    out = _folded(target, batch, key, measures, exact, order, tol, hot_rows, segments)
+    absent = F.col("_rows").isNull()
+    moves = F.coalesce("_new.n", F.lit(0))
+    return out.select(
+        *key, *[F.when(absent, F.col(c)).otherwise(F.col(f"_new.v.{c}")).alias(c) for c in cols],
+        F.when(absent, "keep").when(~F.col("_known"), "insert").when(moves > 0, "update")
+        .otherwise("unchanged").alias("_action"),
         F.coalesce("_rows", F.lit(0)).alias("_rows"),
-        F.when(~known, 1).otherwise(0).cast("bigint").alias("_inserted"),
-        F.coalesce("_new.n", F.lit(0)).alias("_updated"))
-
-
-def _action(known):
-    return (F.when(F.col("_rows").isNull(), "keep").when(~known, "insert")
-            .when(F.col("_new.n") > 0, "update").otherwise("unchanged"))
+        F.when(F.col("_known"), 0).otherwise(1).cast("bigint").alias("_inserted"), moves.alias("_updated"))
 
 
 def merge_nonnull(target, batch, key, measures, order, tol=TOLERANCE, hot_rows=HOT_ROWS, segments=None):
@@ -178,35 +164,28 @@ def merge_nonnull(target, batch, key, measures, order, tol=TOLERANCE, hot_rows=H
     NULL never overwrites. The measures move independently, so each is its own
     fold over its non-null rows, and ``_updated`` counts changed measures.
     """
-    batch = batch.select(*key, *[F.col(c).cast(target.schema[c].dataType).alias(c) for c in measures],
-                         *[c for c in order if isinstance(c, str) and c not in key and c not in measures])
     batch = batch.withColumn("_at", _order_struct(order))
-    rows = batch.groupBy(*key).agg(F.count("*").alias("_rows"), F.min("_at").alias("_first"))
-    out = target.select(*key, *measures).withColumn("_known", F.lit(True)).join(rows, list(key), "full_outer")
+    rows = batch.groupBy(*key).agg(F.count("*").alias("_n"), F.min("_at").alias("_first"))
+    out = (target.select(*key).withColumn("_stored", F.lit(True)).join(rows, list(key), "full_outer")
+           .withColumn("_stored", F.col("_stored").isNotNull()))
     for m in measures:
-        state = _typed(target, [m])
         given = batch.filter(F.col(m).isNotNull())
-        groups = _grouped(given, key, [m], order, hot_rows, _segments_of(batch, segments), [m], (), tol, state)
+        one = _folded(target.filter(F.col(m).isNotNull()), given, key, [m], (), order, tol, hot_rows, segments)
         since = given.groupBy(*key).agg(F.min("_at").alias("_since"))
-        out = out.join(groups.drop("_rows"), list(key), "left").join(since, list(key), "left")
-        known = F.col(m).isNotNull()
-        folded = F.coalesce(
-            _fold_rows(F.col("_list"), known, F.struct(m), [m], (), tol, state),
-            _fold_segments(F.col("_segs"), known, F.struct(m), [m], (), tol, state))
+        one = one.select(*key, F.coalesce(F.col(f"_new.v.{m}"), F.col(m)).alias(m), F.col("_known").alias("_had"),
+                         F.coalesce("_new.n", F.lit(0)).alias("_moves"))
+        out = out.join(one, list(key), "left").join(since, list(key), "left")
         # the first value of a gap is an update, unless it comes with the row that inserts the key
-        gap = ~known & F.col("_new.v").isNotNull() & (F.col("_known").isNotNull() | (F.col("_since") > F.col("_first")))
-        out = (out.withColumn("_new", folded)
-               .withColumn(f"_n_{m}", F.coalesce("_new.n", F.lit(0)) + F.when(gap, 1).otherwise(0))
-               .withColumn(f"_v_{m}", F.coalesce(F.col(f"_new.v.{m}"), F.col(m)))
-               .drop("_new", "_list", "_segs", "_since"))
-    known = F.coalesce(F.col("_known"), F.lit(False))
+        filled = ~F.col("_had") & (F.col("_stored") | (F.col("_since") > F.col("_first")))
+        out = (out.withColumn(f"_n_{m}", F.coalesce("_moves", F.lit(0)) + F.when(filled, 1).otherwise(0))
+               .drop("_had", "_moves", "_since"))
     changes = reduce(lambda a, b: a + b, [F.col(f"_n_{m}") for m in measures])
-    return out.select(*key, *[F.col(f"_v_{m}").alias(m) for m in measures],
-                      (F.when(F.col("_rows").isNull(), "keep").when(~known, "insert")
-                       .when(changes > 0, "update").otherwise("unchanged")).alias("_action"),
-                      F.coalesce("_rows", F.lit(0)).alias("_rows"),
-                      F.when(~known, 1).otherwise(0).cast("bigint").alias("_inserted"),
-                      changes.alias("_updated"))
+    return out.select(
+        *key, *measures,
+        F.when(F.col("_n").isNull(), "keep").when(~F.col("_stored"), "insert").when(changes > 0, "update")
+        .otherwise("unchanged").alias("_action"),
+        F.coalesce("_n", F.lit(0)).alias("_rows"),
+        F.when(F.col("_stored"), 0).otherwise(1).cast("bigint").alias("_inserted"), changes.alias("_updated"))
 
 
 def insert_only(target, batch, key, valid, order):
@@ -273,8 +252,7 @@ def booking_insert(target, batch, key, order, ext="external_id", scope=None):
 def load_stats(merged):
     """Counters of a merge in long form."""
     totals = merged.agg(F.sum("_rows").alias("p"), F.sum("_inserted").alias("i"), F.sum("_updated").alias("u"))
-    return totals.select(F.inline(F.array(
-        F.struct(F.lit("processed").alias("counter"), F.col("p").alias("n")),
-        F.struct(F.lit("inserted"), F.col("i")),
-        F.struct(F.lit("updated"), F.col("u")),
-        F.struct(F.lit("unchanged"), F.col("p") - F.col("i") - F.col("u")))))
+    counters = {"processed": F.col("p"), "inserted": F.col("i"), "updated": F.col("u"),
+                "unchanged": F.col("p") - F.col("i") - F.col("u")}
+    return totals.select(F.explode(F.create_map(
+        *[x for name, n in counters.items() for x in (F.lit(name), n)])).alias("counter", "n"))

@@ -13,10 +13,6 @@ def _as_cols(order):
     return [F.col(o) if isinstance(o, str) else o for o in order]
 
 
-def _reversed(order):
-    return [F.col(o).desc() if isinstance(o, str) else o.desc() for o in order]
-
-
 def dedup_first(df, keys, order):
     """First row per key.
 
@@ -28,8 +24,8 @@ def dedup_first(df, keys, order):
 
 
 def dedup_last(df, keys, order):
-    """Last row per key."""
-    return dedup_first(df, keys, _reversed(order))
+    """Last row per key; ``order`` are column names."""
+    return dedup_first(df, keys, [F.col(o).desc() for o in order])
 
 
 def top_n(df, col, n, tie=()):

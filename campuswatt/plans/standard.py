@@ -20,17 +20,19 @@ def energy_kwh(pac):
 
 def std_min(df, order):
     """Inverter rows as fact measures. (rows, rejects): a power that is no number rejects the row."""
-    pac_text = F.col("Pac").cast("string")
-    pac = P.number(pac_text)
-    readable, rejects = split_valid(df, pac_text.isNull() | F.lower(pac_text).eqNullSafe("nan") | pac.isNotNull(),
-                                    "power is no number")
+    pac = P.number(df, "Pac")
+    if df.schema["Pac"].dataType.typeName() == "string":
+        absent = F.col("Pac").isNull() | (F.lower("Pac") == "nan")
+        readable, rejects = split_valid(df, absent | pac.isNotNull(), "power is no number")
+    else:
+        readable, rejects = split_valid(df, F.lit(True), "power is no number")
     out = readable.select(
         F.to_date("Date").alias("date"), F.col("Time").alias("time"),
         F.coalesce(F.col("INV").cast("string"), F.lit(UNKNOWN_INVERTER)).alias("inverter_name"),
         F.coalesce(F.col("Status").cast("string"), F.lit(NO_STATUS)).alias("status_name"),
-        F.coalesce(P.number(F.col("DaySum").cast("string")), F.lit(0.0)).alias("total_energy_produced"),
+        F.coalesce(P.number(df, "DaySum"), F.lit(0.0)).alias("total_energy_produced"),
         F.coalesce(energy_kwh(pac), F.lit(0.0)).alias("energy_produced"),
-        F.coalesce(P.number(F.col("Error").cast("string")).try_cast("int"), F.lit(0)).alias("error_count"),
+        F.coalesce(P.number(df, "Error").try_cast("int"), F.lit(0)).alias("error_count"),
         *order)
     return out, rejects
 
@@ -41,7 +43,7 @@ def std_pv(df, order):
         F.to_date("Date").alias("date"), F.col("Time").alias("time"),
         F.lit(PLANT_INVERTER).alias("inverter_name"), F.lit(NO_STATUS).alias("status_name"),
         F.lit(0.0).alias("total_energy_produced"),
-        F.coalesce(P.number(F.col("Value").cast("string")), F.lit(0.0)).alias("energy_produced"),
+        F.coalesce(P.number(df, "Value"), F.lit(0.0)).alias("energy_produced"),
         F.lit(0).alias("error_count"), *order)
 
 

@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ("cleaning",)
+MODULES = ("cleaning", "dimensions", "merging")
 
 
 def registry():
