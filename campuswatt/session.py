@@ -2,7 +2,7 @@
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import SparkSession, functions as F
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -39,3 +39,8 @@ def cut_lineage(df):
     """Materialise ``df`` in the shared checkpoint folder, so that re-reads agree."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def empty_table(spark, schema):
+    """No rows of the schema."""
+    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from campuswatt.schemas import DIMENSIONS, TABLES
-from campuswatt.session import cut_lineage
+from campuswatt.session import cut_lineage, empty_table
 
 
 class Warehouse:
@@ -24,7 +24,7 @@ class Warehouse:
             writer.parquet(self.path(name))
 
     def _empty(self, name):
-        return self.spark.createDataFrame([], TABLES[name])
+        return empty_table(self.spark, TABLES[name])
 
     def read(self, table):
         """Rows of a table. A new fact has no partition yet, so the schema comes from the code."""

@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ("cleaning", "dimensions", "merging")
+MODULES = ("cleaning", "dimensions", "merging", "timeseries")
 
 
 def registry():

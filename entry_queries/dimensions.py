@@ -7,13 +7,13 @@ from campuswatt.operators import dims as D, quality as Q
 from campuswatt.operators.joins import star_join
 from campuswatt.plans import marts, standard as S
 from campuswatt.schemas import DIMENSIONS
-from campuswatt.session import cut_lineage
+from campuswatt.session import cut_lineage, empty_table
 from entry_queries.core import query
 from entry_queries.views import INV_ORDER, INV_ORDER_SQL
 
 
 def empty(v, table):
-    return v.spark.createDataFrame([], DIMENSIONS[table])
+    return empty_table(v.spark, DIMENSIONS[table])
 
 
 def solar(v):
