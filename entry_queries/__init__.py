@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ("cleaning", "dimensions", "merging", "timeseries")
+MODULES = ("cleaning", "dimensions", "merging", "timeseries", "featuring", "files")
 
 
 def registry():
