@@ -212,7 +212,13 @@ def clean_bookings(df, prefix=ROOM_PREFIX, year=None):
     out = drop_if_present(prefix_filter(booking_dates(out, year), prefix=prefix))
     if "class" in out.columns and "professor" in out.columns:
         out = explode_pairs(out)
-    return out
+    return blank_to_null(out)
+
+
+def blank_to_null(df):
+    """Empty text cells are missing values."""
+    return df.withColumns({f.name: F.nullif(F.col(f.name), F.lit("")) for f in df.schema.fields
+                           if f.dataType.typeName() == "string"})
 
 
 def rename_weather(df):

@@ -1,5 +1,7 @@
 """Dimensions: get-or-create keys, lookups, date and time members."""
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from campuswatt.functions import parsing as P
@@ -24,8 +26,8 @@ def new_members(dim, src, key, order=None, ci=False):
     return folded.join(dim.select(F.lower(name).alias("_k")), "_k", "left_anti").select(name)
 
 
-def upsert_dim(dim, src, key, order=None, ci=False):
-    """Known members keep their id, new ones get the next ids in key order.
+def added_members(dim, src, key, order=None, ci=False):
+    """New members with the next ids, in key order.
 
     Ids are dense: positions come from a distributed sort, not from one task.
     """
@@ -33,27 +35,27 @@ def upsert_dim(dim, src, key, order=None, ci=False):
     by = [F.lower(key[0])] if ci else list(key)
     fresh = global_position(new_members(dim, src, key, order, ci), by, into="_pos")
     last = dim.agg(F.coalesce(F.max(id_col), F.lit(0))).scalar()
-    id_type = dim.schema[id_col].dataType
-    fresh = fresh.select((last + F.col("_pos") + 1).cast(id_type).alias(id_col), *key)
-    return dim.select(id_col, *key).unionByName(fresh)
+    return fresh.select((last + F.col("_pos") + 1).cast(dim.schema[id_col].dataType).alias(id_col), *key)
+
+
+def upsert_dim(dim, src, key, order=None, ci=False):
+    """Known members keep their id, new ones get the next ids."""
+    fresh = added_members(dim, src, key, order, ci)
+    return dim.select(*fresh.columns).unionByName(fresh)
 
 
 def lookup(fact, dim, key, on=None, into=None, ci=False):
-    """Add the surrogate id of the dimension member. ``on``: fact columns matching ``key``.
+    """Add the surrogate id of the dimension member. ``on``: fact columns or expressions matching ``key``.
 
     A plain left join: the planner broadcasts the dimension while its size allows
     and shuffles, with skew handling, beyond.
     """
-    on = list(on or key)
+    on = [F.col(o) if isinstance(o, str) else o for o in (on or key)]
     id_col = next(c for c in dim.columns if c not in key)
-    into = into or id_col
-    side = dim.select(F.col(id_col).alias(into), *[
+    side = dim.select(F.col(id_col).alias(into or id_col), *[
         (F.lower(k) if ci else F.col(k)).alias(f"_d_{k}") for k in key])
-    matches = [(F.lower(f) if ci else F.col(f)) == F.col(f"_d_{k}") for f, k in zip(on, key)]
-    condition = matches[0]
-    for m in matches[1:]:
-        condition = condition & m
-    return fact.join(side, condition, "left").drop(*[f"_d_{k}" for k in key])
+    matches = [(F.lower(f) if ci else f) == F.col(f"_d_{k}") for f, k in zip(on, key)]
+    return fact.join(side, reduce(lambda a, b: a & b, matches), "left").drop(*[f"_d_{k}" for k in key])
 
 
 def role_union(df, cols, into, order=()):
@@ -83,25 +85,15 @@ def time_members(df, col):
     return df.select(hour.alias("hour"), minute.alias("minute"))
 
 
-def with_date_key(df, col):
-    """Columns year, month, day of a DATE column or ISO text, for the date lookup."""
-    d = F.col(col).try_cast("date")
-    return df.withColumns({"year": F.year(d), "month": F.month(d), "day": F.dayofmonth(d)})
-
-
-def with_time_key(df, col):
-    hour, minute = P.time_parts(F.col(col))
-    return df.withColumns({"hour": hour, "minute": minute})
-
-
 def lookup_date(fact, dim_date, col, into="id_date"):
-    keyed = with_date_key(fact, col)
-    return lookup(keyed, dim_date, ["year", "month", "day"], into=into).drop("year", "month", "day")
+    """Id of the day of a DATE column or ISO text."""
+    d = F.col(col).try_cast("date")
+    return lookup(fact, dim_date, ["year", "month", "day"], [F.year(d), F.month(d), F.dayofmonth(d)], into)
 
 
 def lookup_time(fact, dim_time, col, into="id_time"):
-    keyed = with_time_key(fact, col)
-    return lookup(keyed, dim_time, ["hour", "minute"], into=into).drop("hour", "minute")
+    """Id of the minute of a clock text."""
+    return lookup(fact, dim_time, ["hour", "minute"], P.time_parts(F.col(col)), into)
 
 
 def date_spine(bounds, start, end, into="date"):

@@ -11,11 +11,11 @@ from campuswatt.sources.warehouse import month_key, touched_months
 
 
 def _grow(wh, table, src, order=None, ci=False):
+    """Append the members the dimension lacks and return it."""
     key = [c for c in DIMENSIONS[table].names if not c.startswith("id_")]
-    dim = wh.read(table)
-    fresh = D.new_members(dim, src, key, order, ci)
+    fresh = D.added_members(wh.read(table), src, key, order, ci)
     if not fresh.isEmpty():
-        wh.write(table, D.upsert_dim(dim, src, key, order, ci))
+        wh.append(table, fresh)
     return wh.read(table)
 
 

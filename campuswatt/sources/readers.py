@@ -87,7 +87,8 @@ def clean_meter_files(spark, path):
 def clean_meteo_files(spark, path, names=tuple(METEO_MEASURES)):
     raw = read_feed(spark, path, "meteo").drop("source_dir")
     typed = raw.withColumns({"Value": P.number(raw, "Value"), "Prediction": F.col("Prediction").try_cast("int")})
-    return C.clean_meteo(typed, list(names), ["source_file", "block", "row"], file="source_file")
+    wide = C.clean_meteo(typed, list(names), ["source_file", "block", "row"], file="source_file")
+    return wide.withColumnRenamed("source_file", "file")
 
 
 def clean_booking_files(spark, paths, year=None):

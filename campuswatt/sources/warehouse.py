@@ -47,6 +47,10 @@ class Warehouse:
         else:
             writer.option("partitionOverwriteMode", "dynamic").partitionBy("ym").parquet(self.path(table))
 
+    def append(self, table, df):
+        """Add rows; stored files stay as they are."""
+        df.select(*TABLES[table].names).write.mode("append").parquet(self.path(table))
+
     def read_jdbc(self, url, table, key, lower, upper, partitions, **options):
         """The same table in a database, read in parallel key ranges."""
         return (self.spark.read.format("jdbc").options(

@@ -24,8 +24,7 @@ def read_drops(spark, folder, feed, columns, fmt=None, files_per_batch=1000):
             .option("pathGlobFilter", _glob(feed)).option("recursiveFileLookup", "true")
             .option("maxFilesPerTrigger", files_per_batch)
             .schema(", ".join(f"`{c}` string" for c in columns)).csv(folder)
-            .select("*", F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_block_start").alias("block"),
-                    F.monotonically_increasing_id().alias("row")))
+            .select("*", F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_block_start").alias("block")))
 
 
 def ingest_stream(stream, path, checkpoint, load_date=None):
@@ -39,6 +38,12 @@ def ingest_stream(stream, path, checkpoint, load_date=None):
 
 
 def merge_stream(stream, load, checkpoint):
-    """Hand every micro-batch to a load. The merges are idempotent, so a repeated batch changes nothing."""
+    """Hand every micro-batch, with the order of its rows, to a load.
+
+    The merges are idempotent, so a repeated batch changes nothing.
+    """
+    def apply(batch, batch_id):
+        load(batch.withColumn("row", F.monotonically_increasing_id()))
+
     return (stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
-            .foreachBatch(lambda batch, batch_id: load(batch)).start())
+            .foreachBatch(apply).start())
