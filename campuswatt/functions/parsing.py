@@ -85,9 +85,12 @@ def complete_time(c):
 
 
 def time_parts(c):
-    """(hour, minute) of a clock text; the time dimension has no seconds."""
-    t = F.try_to_timestamp(F.concat(F.lit("2000-01-01 "), complete_time(c)), F.lit("yyyy-MM-dd H:m:s"))
-    return F.hour(t), F.minute(t)
+    """(hour, minute) of ``H:M`` or ``H:M:S``, NULL if it is no clock time; the time dimension has no seconds."""
+    words = F.split(c, ":")
+    hour, minute, second = (F.get(words, F.lit(i)).try_cast("int") for i in range(3))
+    clock = (hour.between(0, 23) & minute.between(0, 59)
+             & ((F.size(words) == 2) | ((F.size(words) == 3) & second.between(0, 59))))
+    return F.when(clock, hour), F.when(clock, minute)
 
 
 def decimal_hour(c):

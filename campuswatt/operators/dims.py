@@ -77,12 +77,14 @@ def default_member(df, cols=("code", "booking_type"), member=None):
 
 
 def date_members(df, col):
-    return df.select(F.year(col).alias("year"), F.month(col).alias("month"), F.dayofmonth(col).alias("day"))
+    """Days of a date column; repeats go before the parsing."""
+    return df.select(col).distinct().select(F.year(col).alias("year"), F.month(col).alias("month"), F.dayofmonth(col).alias("day"))
 
 
 def time_members(df, col):
+    """Minutes of a clock text column; repeats go before the parsing."""
     hour, minute = P.time_parts(F.col(col))
-    return df.select(hour.alias("hour"), minute.alias("minute"))
+    return df.select(col).distinct().select(hour.alias("hour"), minute.alias("minute"))
 
 
 def lookup_date(fact, dim_date, col, into="id_date"):

@@ -32,31 +32,43 @@ def top_n(df, col, n, tie=()):
     return df.orderBy(F.col(col).desc(), *tie).limit(n)
 
 
-def running_total(df, order, weight=None, into="_total"):
-    """Sum of ``weight`` (1 if not given) over all rows up to and including each one.
+SLOT_BITS = 33    # monotonically_increasing_id keeps the row of a partition in the low 33 bits
 
-    A window without partitions would run in one task. Instead the rows are
-    range-sorted, the sorted rows are checkpointed so that both reads below see
-    the same partitions, and a table with one row per partition gives the offsets.
+
+def _ranged(df, order):
+    """Rows range-sorted and written out, so that all reads see the same partitions.
+
+    Adds ``_part`` (partition in sort order) and ``_slot`` (row in the partition).
     """
-    w = F.lit(1).cast("long") if weight is None else F.col(weight)
-    ranged = (df.withColumn("_w", w).orderBy(*_as_cols(order))
-              .withColumn("_slot", F.monotonically_increasing_id())
-              .withColumn("_part", F.shiftright("_slot", 33)))
-    ranged = cut_lineage(ranged)
+    ranged = df.orderBy(*_as_cols(order)).withColumn("_id", F.monotonically_increasing_id())
+    return cut_lineage(ranged.select(
+        *df.columns, F.shiftright("_id", SLOT_BITS).alias("_part"),
+        F.col("_id").bitwiseAND(F.lit((1 << SLOT_BITS) - 1)).alias("_slot")))
+
+
+def _with_offsets(ranged, total):
+    """Add ``_offset``: the total of all partitions before. One row per partition is broadcast."""
     before = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
-    offsets = (ranged.groupBy("_part").agg(F.sum("_w").alias("_sum"))
+    offsets = (ranged.groupBy("_part").agg(total.alias("_sum"))
                .select("_part", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_offset")))
+    return ranged.join(F.broadcast(offsets), "_part")
+
+
+def running_total(df, order, weight, into="_total"):
+    """Sum of ``weight`` over all rows up to and including each one.
+
+    A window without partitions would run in one task; here each range partition
+    sums up its rows on top of the total of the partitions before it.
+    """
+    rows = _with_offsets(_ranged(df, order), F.sum(weight))
     within = W.partitionBy("_part").orderBy("_slot").rowsBetween(W.unboundedPreceding, 0)
-    # one row per partition of the sort: the side has a proven size
-    return (ranged.join(F.broadcast(offsets), "_part")
-            .withColumn(into, F.col("_offset") + F.sum("_w").over(within))
-            .drop("_w", "_slot", "_part", "_offset"))
+    return rows.withColumn(into, F.col("_offset") + F.sum(weight).over(within)).drop("_part", "_slot", "_offset")
 
 
 def global_position(df, order, into="_pos"):
-    """Dense 0-based position of each row in the total order."""
-    return running_total(df, order, into=into).withColumn(into, F.col(into) - 1)
+    """Dense 0-based position of each row in the total order, without a window over the rows."""
+    rows = _with_offsets(_ranged(df, order), F.count("*"))
+    return rows.withColumn(into, F.col("_offset") + F.col("_slot")).drop("_part", "_slot", "_offset")
 
 
 # --- regular series -------------------------------------------------------------
@@ -72,7 +84,11 @@ def bucketed(df, ts, bucket="month"):
 
 
 def series_position(df, keys, ts, bucket="month", into="_pos"):
-    """Dense 0-based position of each row in its series, without a window over the series."""
+    """Dense 0-based position of each row in its series, without a window over the series.
+
+    The rows come out partitioned by series and bucket: the explicit shuffle keeps an
+    input partitioned by series from pinning a long series to one task.
+    """
     df = bucketed(df, ts, bucket)
     by_bucket = [*keys, "_bucket"]
     before = W.partitionBy(*keys).orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
@@ -80,7 +96,7 @@ def series_position(df, keys, ts, bucket="month", into="_pos"):
                .withColumn("_offset", F.coalesce(F.sum("_n").over(before), F.lit(0)))
                .drop("_n"))
     rank = F.row_number().over(W.partitionBy(*by_bucket).orderBy(ts)) - 1
-    return (df.withColumn("_rank", rank).join(offsets, by_bucket)
+    return (df.repartition(*by_bucket).withColumn("_rank", rank).join(offsets, by_bucket)
             .withColumn(into, F.col("_offset") + F.col("_rank")).drop("_rank", "_offset"))
 
 

@@ -58,7 +58,7 @@ def _neighbours(df, cols, keys, ts, bucket):
             F.first(f"_first_{c}", ignorenulls=True).over(right).alias(f"_out_{c}"))])
     inside = W.partitionBy(*by_bucket).orderBy(ts)
     past, future = inside.rowsBetween(W.unboundedPreceding, 0), inside.rowsBetween(0, W.unboundedFollowing)
-    out = df.join(carries, by_bucket)
+    out = df.repartition(*by_bucket).join(carries, by_bucket)
     out = out.withColumns({
         name: value for c in cols for name, value in (
             (f"_prev_{c}", F.coalesce(F.last(f"_known_{c}", ignorenulls=True).over(past), F.col(f"_in_{c}"))),

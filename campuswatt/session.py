@@ -1,6 +1,7 @@
 """Session settings the library relies on."""
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession, functions as F
 
@@ -21,24 +22,33 @@ def build_session(app="campuswatt", master=None, **extra):
     return builder.getOrCreate()
 
 
-def ensure_checkpoint_dir(spark):
-    """Use the cluster's shared checkpoint folder; make one only on a local master."""
+def checkpoint_dir(spark):
+    """The cluster's shared checkpoint folder; a folder of our own only on a local master."""
     sc = spark.sparkContext
-    if sc.getCheckpointDir():
-        return
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        sc.setCheckpointDir(configured)
-    elif sc.master.startswith("local"):
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="campuswatt-ckpt-"))
-    else:
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+    if not sc.getCheckpointDir():
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if configured is None and not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="campuswatt-"))
+    return sc.getCheckpointDir()
 
 
 def cut_lineage(df):
-    """Materialise ``df`` in the shared checkpoint folder, so that re-reads agree."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+    """Write ``df`` to the shared checkpoint folder and go on from there.
+
+    All later reads agree and survive lost executors. Parquet, so that they also
+    prune columns and know the size of what they read.
+    """
+    spark = df.sparkSession
+    folder = f"{checkpoint_dir(spark)}/{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)
+
+
+def spread(df):
+    """Use all cores on an input with fewer splits than cores; larger inputs pass unchanged."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def empty_table(spark, schema):

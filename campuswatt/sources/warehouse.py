@@ -37,14 +37,15 @@ class Warehouse:
     def write(self, table, df):
         """Replace a dimension, or the months of a fact that ``df`` contains.
 
-        The rows usually derive from the table itself, so they are checkpointed
-        before the old files go.
+        The rows usually derive from the table itself, so they are written aside
+        before the old files go. Rebalancing by month keeps the files few and even,
+        also when one month has most rows.
         """
         rows = cut_lineage(df.select(*TABLES[table].names))
-        writer = rows.write.mode("overwrite")
         if table in DIMENSIONS:
-            writer.parquet(self.path(table))
+            rows.write.mode("overwrite").parquet(self.path(table))
         else:
+            writer = rows.hint("rebalance", "ym").write.mode("overwrite")
             writer.option("partitionOverwriteMode", "dynamic").partitionBy("ym").parquet(self.path(table))
 
     def append(self, table, df):

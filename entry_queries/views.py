@@ -10,11 +10,14 @@ book        orders, customer          room bookings
 series      events                    hourly series per event type and user group, with gaps
 drops       events                    one drop file per user, day and type
 =========== ========================= =================================================
+
+Exact halves round up in Spark's ``round``; the SQL adds 1e-9 where a result is rounded to mills.
 """
 
 from pyspark.sql import functions as F
 
 from campuswatt.operators.series import hour_spine
+from campuswatt.session import spread
 
 INV_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
              "l_discount", "l_tax", "l_returnflag", "l_linestatus"]
@@ -34,7 +37,7 @@ SELECT CAST(l_shipdate AS DATE) AS "Date",
 FROM lineitem""",
     "v_solar": """
 SELECT "Date" AS date, "Time" AS time, ts, "INV" AS inverter_name, "Status" AS status_name,
-       "DaySum" AS total_energy_produced, round("Pac" * 5 / 60 / 1000, 3) AS energy_produced,
+       "DaySum" AS total_energy_produced, round("Pac" * 5 / 60 / 1000 + 1e-9, 3) AS energy_produced,
        "Error" AS error_count, """ + INV_ORDER_SQL + """
 FROM v_inv""",
     "v_meteo": """
@@ -105,7 +108,7 @@ class Views:
                                if f.dataType.typeName() == "timestamp_ntz"})
 
     def inv(self):
-        li = self.table("lineitem")
+        li = spread(self.table("lineitem"))
         hour, minute = F.col("l_orderkey") % 24, F.col("l_linenumber") * 5
         return li.select(
             F.to_date("l_shipdate").alias("Date"),
@@ -132,7 +135,7 @@ class Views:
         return self.table("events").withColumn("ts", F.date_trunc("hour", "ts")).drop("props")
 
     def book(self):
-        o, c = self.table("orders"), self.table("customer")
+        o, c = spread(self.table("orders")), self.table("customer")
         k, cust = F.col("o_orderkey"), F.col("o_custkey")
         first = F.lpad((7 + k % 12).cast("string"), 2, "0")
         last = F.lpad((8 + k % 12 + cust % 3).cast("string"), 2, "0")
