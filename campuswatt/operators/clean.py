@@ -163,10 +163,11 @@ def canonical_mixed(df, aliases=BOOKING_ALIASES):
     return df.select(*[v.alias(n) for n, v in out.items()], *rest)
 
 
-def booking_dates(df, year=None):
-    """DATE from French text, ISO text or its parts; ``year`` replaces the year if given.
+def booking_dates(df, year=None, file=None, order=()):
+    """DATE from French text, other date text or its parts; ``year`` replaces the year if given.
 
-    Rows whose date does not parse are dropped; the text stays in ``Date_original``.
+    The first row of each file decides whether the file is French. Rows whose date
+    does not parse are dropped; the text stays in ``Date_original``.
     """
     if "Date" not in df.columns:
         parts = P.date_from_parts(F.lit(str(year)) if year else F.col("Année"), F.col("Mois"), F.col("Jour"))
@@ -175,9 +176,10 @@ def booking_dates(df, year=None):
                       F.try_to_timestamp(F.col("Date"), F.lit("M/d/yyyy")).cast("date"))
     if year:
         auto = P.force_year(auto, year)
-    french = P.parse_fr_date(F.col("Date"), year)
-    three_words = F.size(F.split(F.trim("Date"), r"\s+")) == 3
-    out = df.withColumn("Date_original", F.col("Date")).withColumn("Date", F.when(three_words, french).otherwise(auto))
+    df = file_sample(df, "Date", file, order) if file else df.withColumn("_sample", F.col("Date"))
+    is_french = F.size(F.split(F.trim("_sample"), r"\s+")) == 3
+    date = F.when(is_french, P.parse_fr_date(F.col("Date"), year)).otherwise(auto)
+    out = df.withColumn("Date_original", F.col("Date")).withColumn("Date", date).drop("_sample")
     return drop_null_keys(out, ["Date"])
 
 
@@ -206,10 +208,11 @@ def explode_pairs(df, a="class", b="professor"):
     return out.withColumns({a: F.col("_pair.x"), b: F.col("_pair.y")}).drop("_a", "_b", "_pair")
 
 
-def clean_bookings(df, prefix=ROOM_PREFIX, year=None):
+def clean_bookings(df, prefix=ROOM_PREFIX, year=None, file=None, order=()):
     """Raw booking rows to normal form, one row per class and professor."""
     out = canonical(strip_quotes(df), required=[c for c in BOOKING_REQUIRED if c != "Date"])
-    out = drop_if_present(prefix_filter(booking_dates(out, year), prefix=prefix))
+    out = booking_dates(out, year, file, order)
+    out = drop_if_present(prefix_filter(out, prefix=prefix))
     if "class" in out.columns and "professor" in out.columns:
         out = explode_pairs(out)
     return blank_to_null(out)

@@ -1,5 +1,6 @@
 """Jobs: load the feeds of a drop folder, train and score the forecasts."""
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from campuswatt.functions import academic
@@ -33,6 +34,37 @@ def _paths(by_feed, feed, word=""):
     return [path for name, path in by_feed.get(feed, []) if word.lower() in name.lower()]
 
 
+def cleaned(spark, by_feed, year=None):
+    """Cleaned rows per feed; a feed without files is absent."""
+    readers = {
+        "meter": R.clean_meter_files, "plant": R.clean_meter_files, "inverter": R.clean_inverter_files,
+        "meteo": R.clean_meteo_files, "booking": lambda s, paths: R.clean_booking_files(s, paths, year),
+        "unknown": R.read_text_any,
+    }
+    return {feed: read(spark, _paths(by_feed, feed)) for feed, read in readers.items() if _paths(by_feed, feed)}
+
+
+def clean_all(spark, folder, out, load_date, year=None):
+    """Clean every new file into ``out/<feed>``, partitioned by load date. Returns the files taken.
+
+    Files of unknown kind go through line by line. A file enters the ledger only
+    after its rows are written.
+    """
+    known = spark.createDataFrame([], "name string")
+    try:
+        known = spark.read.parquet(f"{out}/ledger").select("name")
+    except AnalysisException:
+        pass    # first run: there is no ledger yet
+    by_feed = new_by_feed(spark, folder, known)
+    for feed, rows in cleaned(spark, by_feed, year).items():
+        R.write_feed(rows, f"{out}/{feed}", load_date)
+    names = [name for files in by_feed.values() for name, _ in files]
+    if names:
+        entries = spark.createDataFrame([(n,) for n in names], "name string").withColumn("load_date", F.lit(load_date).cast("date"))
+        entries.write.mode("append").parquet(f"{out}/ledger")
+    return names
+
+
 def load_meters(spark, wh, by_feed):
     sides = [_paths(by_feed, "meter", kind) for kind in ("Consumption", "Temperature", "Humidity")]
     if not all(sides):
@@ -55,8 +87,9 @@ def load_solar(spark, wh, by_feed):
                      .withColumn("pass", F.lit(0)))
     if _paths(by_feed, "inverter"):
         inverters = R.clean_inverter_files(spark, _paths(by_feed, "inverter"))
-        rows, _ = S.std_min(inverters, ["file", F.col("line_no").cast("bigint").alias("block"),
-                                        F.col("_block").cast("bigint").alias("row")])
+        rows, rejects = S.std_min(inverters, ["file", F.col("line_no").cast("bigint").alias("block"),
+                                              F.col("_block").cast("bigint").alias("row")])
+        wh.reject("FactSolarProduction", rejects)
         parts.append(rows.withColumn("pass", F.lit(1)))
     if not parts:
         return None

@@ -59,6 +59,7 @@ def load_solar(wh, batch, order):
 def load_meteo(wh, batch, order):
     """Tolerance upsert of valid weather forecasts."""
     valid, rejects = Q.valid_meteo(batch, list(METEO_MEASURES.values()), "numPrediction")
+    wh.reject("FactMeteoSwissData", rejects)
     valid = cut_lineage(valid.dropna(subset=["date", "time", "site_name"]))
     dates, times = _grow_dates(wh, valid), _grow_times(wh, valid, "time")
     sites = _grow(wh, "DimSite", valid.select("site_name"))
@@ -81,6 +82,7 @@ def load_energy(wh, consumption, temperature, humidity, order):
     target = wh.months(table, touched_months(batch))
     counts = {r.action: r.n for r in M.insert_only_stats(target, rows, key, S.energy_valid(), order).collect()}
     fresh = M.insert_only(target, rows, key, S.energy_valid(), order)
+    wh.reject(table, Q.valid_energy(rows)[1])
     wh.write(table, target.unionByName(fresh.select(*target.columns)))
     return {"processed": sum(counts.values()), "inserted": counts.get("inserted", 0),
             "duplicates": counts.get("duplicate", 0), "invalid": counts.get("invalid", 0)}
@@ -95,6 +97,7 @@ def load_bookings(wh, batch, order):
         if c not in batch.columns:
             batch = batch.withColumn(c, F.lit(None).cast("string"))
     valid, rejects = Q.valid_booking(S.external_id(batch))
+    wh.reject("FactBookings", rejects)
     rows = D.default_member(valid.withColumnsRenamed({"codes": "code", "reservation_type": "booking_type"}))
     rows = cut_lineage(rows.withColumns({"classroom_name": P.none_to_null(F.col("class")), "Date": F.to_date("Date")}))
 
@@ -140,6 +143,7 @@ def load_bookings(wh, batch, order):
 def load_forecast(wh, consumption, production, order=("hour",)):
     """Forecast rows replace everything stored for their dates."""
     rows, rejects = Q.valid_forecast(S.combine_forecasts(consumption, production))
+    wh.reject("FactPrediction", rejects)
     rows = cut_lineage(rows)
     dates, times = _grow_dates(wh, rows), _grow_times(wh, rows, "hour")
     rows = D.lookup_time(D.lookup_date(rows, dates, "date"), times, "hour").withColumn("ym", month_key(F.col("date")))

@@ -82,6 +82,16 @@ def production_features(inverters, forecasts, cutoff=None):
     return with_clock(merged)
 
 
+def production_daily_features(inverters, forecasts, order=("status",), cutoff=None):
+    """Daily energy with the daylight forecasts of the day (target: day counters instead of power)."""
+    energy = E.daily_energy(inverters, list(order)).withColumn("ts", F.col("date").cast("timestamp"))
+    fc = E.target_time(forecasts.toDF(*[c.lower() for c in forecasts.columns]), cutoff=cutoff)
+    cols = [c for c in fc.columns if c.startswith("pred_")]
+    daily = E.daylight_daily(fc, cols, ts="target_ts")
+    merged = E.interp_linear(energy.join(daily, "date", "left"), cols, [], "ts")
+    return merged.withColumn("day_of_year", F.dayofyear("ts") / F.lit(365.0))
+
+
 def with_clock(df):
     """Clock features of the production model."""
     waves = G.cyclic(df).withColumn("day_of_year", F.col("year_part"))

@@ -95,8 +95,8 @@ def clean_booking_files(spark, paths, year=None):
     """Booking files may differ in their headers: each path is read by its own."""
     parts = []
     for path in paths:
-        raw = C.strip_quotes(read_feed(spark, path, "booking"))
-        parts.append(C.clean_bookings(raw, year=year))
+        raw = read_feed(spark, path, "booking")
+        parts.append(C.clean_bookings(raw, year=year, file="source_file", order=["block", "row"]))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p, allowMissingColumns=True)
@@ -109,7 +109,7 @@ def write_feed(df, path, load_date=None, fmt="parquet"):
         df = df.withColumn("load_date", F.lit(load_date).cast("date"))
     writer = df.write.mode("overwrite")
     if "load_date" in df.columns:
-        writer = writer.partitionBy("load_date")
+        writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy("load_date")
     if fmt == "csv":
         writer.option("header", True).csv(path)
     else:

@@ -52,6 +52,15 @@ class Warehouse:
         """Add rows; stored files stay as they are."""
         df.select(*TABLES[table].names).write.mode("append").parquet(self.path(table))
 
+    def reject(self, table, rows):
+        """Keep rejected rows as JSON with their reason."""
+        rest = [c for c in rows.columns if c != "reason"]
+        kept = rows.select(F.lit(table).alias("table"), "reason", F.to_json(F.struct(*rest)).alias("row"))
+        kept.write.mode("append").parquet(self.path("rejects"))
+
+    def rejects(self):
+        return self.spark.read.schema("table string, reason string, row string").parquet(self.path("rejects"))
+
     def read_jdbc(self, url, table, key, lower, upper, partitions, **options):
         """The same table in a database, read in parallel key ranges."""
         return (self.spark.read.format("jdbc").options(

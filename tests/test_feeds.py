@@ -112,6 +112,12 @@ def test_booking_parts_and_missing_columns(spark, tmp_path):
         R.clean_booking_files(spark, [bad])
 
 
+def test_first_row_decides_the_date_format(spark):
+    df = spark.createDataFrame([("f", 1, "8 mai 2023"), ("f", 2, "2023-05-09"), ("g", 1, "2023-05-10")], "f string, o int, Date string")
+    got = sorted(str(r.Date) for r in C.booking_dates(df, file="f", order=["o"]).collect())
+    assert got == ["2023-05-08", "2023-05-10"]
+
+
 def test_explode_pairs_keeps_rows_if_none_expands(spark):
     df = spark.createDataFrame([(" , ", "p"), ("", "q")], "class string, professor string")
     assert C.explode_pairs(df).count() == 2

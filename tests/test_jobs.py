@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import feeds
 from campuswatt.operators import quality as Q
-from campuswatt.plans import jobs, loads as L, marts
+from campuswatt.plans import jobs, loads as L, marts, training as T
 from campuswatt.schemas import DIMENSIONS, FACTS, TABLES
 from campuswatt.sources.warehouse import Warehouse
 
@@ -39,6 +39,35 @@ def test_counters(loaded):
     assert booked == {"processed": 7, "inserted": 4, "invalid": 0, "duplicates": 3, "deactivated": 0}
 
 
+def test_rejects_keep_their_reason(loaded):
+    reasons = {(r.table, r.reason): r.row for r in loaded[0].rejects().collect()}
+    assert '"Pac":"bad"' in reasons["FactSolarProduction", "power is no number"]
+    assert ("FactMeteoSwissData", "incomplete forecast") in reasons
+    assert ("FactEnergyConsumption", "missing values") in reasons
+
+
+def test_clean_all_takes_each_file_once(spark, tmp_path):
+    drops, out = tmp_path / "d", str(tmp_path / "clean")
+    drops.mkdir()
+    feeds.meter_file(drops, feeds.DATES[0], "Consumption", {"1:00:00": "1", "2:00:00": "2"})
+    feeds.inverter_file(drops)
+    feeds.write(drops, "notes.csv", "any;thing\n1;2\n")
+    assert len(jobs.clean_all(spark, str(drops), out, "2023-02-21")) == 3
+    assert jobs.clean_all(spark, str(drops), out, "2023-02-22") == []
+    feeds.meter_file(drops, feeds.DATES[1], "Consumption", {"1:00:00": "3"})
+    assert len(jobs.clean_all(spark, str(drops), out, "2023-02-22")) == 1
+    meters = spark.read.parquet(f"{out}/meter")
+    assert {str(r.load_date): r.n for r in meters.groupBy("load_date").agg(F.count("*").alias("n")).collect()} == {
+        "2023-02-21": 2, "2023-02-22": 1}
+    assert [r.line for r in spark.read.parquet(f"{out}/unknown").orderBy("line_no").collect()] == ["any;thing", "1;2"]
+
+
+def test_daily_production_features(spark, loaded):
+    rows = T.production_daily_features(jobs.inverter_rows(loaded[0]), jobs.forecast_rows(loaded[0])).collect()
+    assert [str(r.date) for r in rows] == ["2023-02-21"]
+    assert rows[0].pv_output == 120.0 + 70.0 and rows[0].pred_glob_ctrl > 0
+
+
 def test_repeated_load_changes_nothing(spark, loaded):
     wh, _, drops = loaded
     before = {n: sorted(map(str, wh.read(n).drop("last_modified").collect())) for n in TABLES}
