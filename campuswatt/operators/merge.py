@@ -5,6 +5,7 @@ unchanged, keep) and the number of batch rows behind it, so that counters and
 the new table come from one plan.
 """
 
+import math
 from functools import reduce
 
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ from campuswatt.session import cut_lineage
 
 TOLERANCE = 0.001           # fixed value: smaller differences are no change
 HOT_ROWS = 50_000           # keys with more rows in a batch are folded in ordered segments
+SEGMENT_ROWS = 200_000      # rows of hot keys per segment, about
 BROADCAST_KEYS = 200_000    # a counted key list up to this size is broadcast
 
 
@@ -110,7 +112,8 @@ def _folded(stored, batch, key, measures, exact, order, tol, hot_rows, segments)
               f"WHEN _rows = 1 THEN named_struct('known', true, 'v', {_struct(cols)}, 'n', 0L) END")
 
     repeats = sizes.filter("_rows > 1").select(*key, "_rows")
-    n, n_hot = repeats.agg(F.count("*"), F.count_if(F.col("_rows") > hot_rows)).first()
+    is_hot = F.col("_rows") > hot_rows
+    n, n_hot, hot_total = repeats.agg(F.count("*"), F.count_if(is_hot), F.sum(F.when(is_hot, F.col("_rows")))).first()
     folds = [F.expr(single)]
     if n > n_hot:
         row = F.struct(_order_struct(order).alias("o"), *cols)
@@ -120,7 +123,9 @@ def _folded(stored, batch, key, measures, exact, order, tol, hot_rows, segments)
         out = out.join(lists, list(key), "left")
         folds.append(_fold_rows(known, measures, exact, tol))
     if n_hot:
-        hot = repeats.filter(F.col("_rows") > hot_rows).select(*key)
+        hot = repeats.filter(is_hot).select(*key)
+        parallel = int(batch.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        segments = segments or max(parallel, math.ceil(hot_total / SEGMENT_ROWS))
         segs = _segments(batch.join(_small(hot, n_hot), list(key), "left_semi"), key, cols, order, segments,
                          _segment_function(state, measures, exact, tol))
         out = out.join(segs, list(key), "left")
@@ -130,7 +135,6 @@ def _folded(stored, batch, key, measures, exact, order, tol, hot_rows, segments)
 
 def _segments(rows, key, cols, order, segments, function):
     """Ordered segments of hot keys: range partitions on (key, order) cut them into even runs."""
-    segments = segments or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     row = F.struct(_order_struct(order).alias("o"), *cols)
     runs = (rows.repartitionByRange(segments, *key, *order).withColumn("_seg", F.spark_partition_id())
             .groupBy(*key, "_seg").agg(F.array_sort(F.collect_list(row)).alias("_list"))
