@@ -78,7 +78,8 @@ def default_member(df, cols=("code", "booking_type"), member=None):
 
 def date_members(df, col):
     """Days of a date column; repeats go before the parsing."""
-    return df.select(col).distinct().select(F.year(col).alias("year"), F.month(col).alias("month"), F.dayofmonth(col).alias("day"))
+    days = df.select(col).distinct()
+    return days.select(F.year(col).alias("year"), F.month(col).alias("month"), F.dayofmonth(col).alias("day"))
 
 
 def time_members(df, col):

@@ -48,7 +48,7 @@ def clean_all(spark, folder, out, load_date, year=None):
     """Clean every new file into ``out/<feed>``, partitioned by load date. Returns the files taken.
 
     Files of unknown kind go through line by line. A file enters the ledger only
-    after its rows are written.
+    after its rows are written; a run that failed in between repeats without harm.
     """
     known = spark.createDataFrame([], "name string")
     try:
@@ -57,10 +57,10 @@ def clean_all(spark, folder, out, load_date, year=None):
         pass    # first run: there is no ledger yet
     by_feed = new_by_feed(spark, folder, known)
     for feed, rows in cleaned(spark, by_feed, year).items():
-        R.write_feed(rows, f"{out}/{feed}", load_date)
+        R.write_feed(rows, f"{out}/{feed}", load_date, by_file=True)
     names = [name for files in by_feed.values() for name, _ in files]
     if names:
-        entries = spark.createDataFrame([(n,) for n in names], "name string").withColumn("load_date", F.lit(load_date).cast("date"))
+        entries = spark.createDataFrame([(n, str(load_date)) for n in names], "name string, load_date string")
         entries.write.mode("append").parquet(f"{out}/ledger")
     return names
 
@@ -104,7 +104,7 @@ def load_rooms(spark, wh, by_feed, year=None):
     stats = []
     for path in _paths(by_feed, "booking"):
         rows = R.clean_booking_files(spark, [path], year)
-        stats.append(L.load_bookings(wh, rows.withColumnRenamed("source_file", "file"), ROW_ORDER))
+        stats.append(L.load_bookings(wh, rows, ROW_ORDER))
     return stats or None
 
 

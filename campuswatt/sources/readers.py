@@ -100,16 +100,21 @@ def clean_booking_files(spark, paths, year=None):
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p, allowMissingColumns=True)
-    return out
+    return out.withColumnRenamed("source_file", "file")
 
 
-def write_feed(df, path, load_date=None, fmt="parquet"):
-    """Cleaned rows; Parquet is partitioned by load date, CSV is for exchange."""
+def write_feed(df, path, load_date=None, fmt="parquet", by_file=False):
+    """Cleaned rows; Parquet is partitioned by load date, CSV is for exchange.
+
+    Only the partitions of the written rows are replaced. With ``by_file`` each
+    source file has its own: a repeated file replaces itself and nothing else.
+    """
     if load_date is not None:
         df = df.withColumn("load_date", F.lit(load_date).cast("date"))
+    parts = [c for c in ("load_date", "file") if c in df.columns and (c != "file" or by_file)]
     writer = df.write.mode("overwrite")
-    if "load_date" in df.columns:
-        writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy("load_date")
+    if parts:
+        writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*parts)
     if fmt == "csv":
         writer.option("header", True).csv(path)
     else:

@@ -4,12 +4,11 @@ from pyspark.sql import functions as F
 
 from campuswatt.functions import parsing as P
 from campuswatt.operators import dims as D, quality as Q
-from campuswatt.operators.joins import star_join
 from campuswatt.plans import marts, standard as S
 from campuswatt.schemas import DIMENSIONS
 from campuswatt.session import cut_lineage, empty_table
 from entry_queries.core import query
-from entry_queries.views import INV_ORDER, INV_ORDER_SQL
+from entry_queries.views import INV_ORDER
 
 
 def empty(v, table):

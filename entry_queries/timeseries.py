@@ -2,7 +2,6 @@
 
 from pyspark.sql import functions as F
 
-from campuswatt.functions import features as G
 from campuswatt.operators import joins as J, occupancy as O, ordering as R, series as E
 from entry_queries.cleaning import wide
 from entry_queries.core import query

@@ -56,9 +56,11 @@ def test_clean_all_takes_each_file_once(spark, tmp_path):
     assert jobs.clean_all(spark, str(drops), out, "2023-02-22") == []
     feeds.meter_file(drops, feeds.DATES[1], "Consumption", {"1:00:00": "3"})
     assert len(jobs.clean_all(spark, str(drops), out, "2023-02-22")) == 1
+    feeds.meter_file(drops, feeds.DATES[1], "Humidity", {"1:00:00": "3", "2:00:00": "4"})
+    assert len(jobs.clean_all(spark, str(drops), out, "2023-02-22")) == 1     # a second run on the same day
     meters = spark.read.parquet(f"{out}/meter")
     assert {str(r.load_date): r.n for r in meters.groupBy("load_date").agg(F.count("*").alias("n")).collect()} == {
-        "2023-02-21": 2, "2023-02-22": 1}
+        "2023-02-21": 2, "2023-02-22": 3}
     assert [r.line for r in spark.read.parquet(f"{out}/unknown").orderBy("line_no").collect()] == ["any;thing", "1;2"]
 
 

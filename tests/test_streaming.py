@@ -1,7 +1,5 @@
 """Streams give what the batch path gives, and take each file once."""
 
-from pyspark.sql import functions as F
-
 import feeds
 from campuswatt.plans import loads as L, standard as S
 from campuswatt.operators import clean as C
