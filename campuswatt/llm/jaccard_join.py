@@ -9,16 +9,17 @@ Counting sends every n-gram of every document once, packed by hash range. An n-g
 document holds can neither match nor count in an intersection, so only repeated ones come back to
 their documents; a document with too few of them is done.
 
-Groups of near copies are not expanded into all pairs. Each posting list first links its members to
-one leader; components follow; then members of the same component need no comparison, and all the
-other pairs are compared. What is lost is only links inside a component that is known already.
+Groups of near copies are not expanded into all pairs. In a few rounds every set is compared with a few
+neighbours from its posting lists in random order, and components follow. Members of one component need no
+comparison then, and all the other pairs are compared. What is not looked at is only links inside a
+component that is known already.
 """
 
 import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import functions as F
+from pyspark.sql import Window as W, functions as F
 
 from campuswatt.llm import text as X
 from campuswatt.llm.common import components, pack, partitions, runs, settle, unpack
@@ -26,8 +27,11 @@ from campuswatt.llm.common import components, pack, partitions, runs, settle, un
 N_GRAM, NUMERATOR, DENOMINATOR = 5, 80, 100
 BUCKET_NGRAMS = 2_000_000      # n-grams a counting task holds
 GROUP_DOCS = 8192              # documents whose repeated n-grams meet in one task
-HELD = 2_000_000               # n-grams a reading task holds before it sends them
+HELD = 1_000_000               # n-grams a reading task holds before it sends them
 RANGES = 8                     # hash ranges of the suffix filter
+TURNS = 3                      # rounds of random neighbours before all remaining pairs
+PART = 512                     # postings of one n-gram that are put in order together
+PARTNERS = 8                   # pairs tried for a set in a round
 HOT_SHARE = 64                 # occurrences in the sample from which an n-gram is not sent to its bucket
 
 
@@ -317,17 +321,13 @@ def links(docs, doc_id="doc_id", text="text", n=N_GRAM, numerator=NUMERATOR, den
     postings = settle(_postings(sets, numerator, denominator))
 
     found = None
-    for _ in range(2):
-        named = _named(postings, found)
-        lead = named.groupBy("gram").agg(F.min(F.struct("n", "comp", "key", "at", "ranges")).alias("l"),
-                                         F.max("comp").alias("hi"), F.min("comp").alias("lo")).filter("lo < hi")
-        lead = lead.select("gram", "l.*")
-        found = _more(found, named.groupBy("gram", "comp").agg(F.min(F.struct("n", "key", "at", "ranges")).alias("r"))
-                      .select("gram", "comp", "r.*"), lead, "x.comp <> y.comp", sets, numerator, denominator)
-    named = _named(postings, found)
-    mixed = named.groupBy("gram").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("gram")
-    named = named.join(mixed, "gram", "left_semi")
-    found = _more(found, named, named, "x.comp < y.comp", sets, numerator, denominator)
+    for turn in range(TURNS):
+        fresh = settle(_verified(_neighbours(_mixed(postings, found), turn, numerator, denominator), sets, numerator, denominator))
+        found = fresh if found is None else found.unionByName(fresh)
+    rest = _mixed(postings, found).drop("held")
+    pairs = (rest.alias("x").join(rest.alias("y"), "gram").filter(F.expr("x.comp < y.comp") & _filters("x", "y", numerator, denominator))
+             .select(F.least("x.key", "y.key").alias("a"), F.greatest("x.key", "y.key").alias("b")).distinct())
+    found = found.unionByName(settle(_verified(pairs, sets, numerator, denominator)))
 
     roots = signed.join(components(found).withColumnsRenamed({"node": "key"}), "key", "left")
     roots = roots.withColumn("root", F.coalesce("root", "key"))
@@ -336,17 +336,28 @@ def links(docs, doc_id="doc_id", text="text", n=N_GRAM, numerator=NUMERATOR, den
         "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
-def _named(postings, found):
+def _mixed(postings, found):
+    """The postings of n-grams held by several components, with the component and the number of holders."""
     if found is None:
-        return postings.withColumn("comp", F.col("key"))
-    known = components(found).withColumnsRenamed({"node": "key", "root": "comp"})
-    return postings.join(known, "key", "left").withColumn("comp", F.coalesce("comp", "key"))
+        named = postings.withColumn("comp", F.col("key"))
+    else:
+        known = components(found).withColumnsRenamed({"node": "key", "root": "comp"})
+        named = postings.join(known, "key", "left").withColumn("comp", F.coalesce("comp", "key"))
+    mixed = (named.groupBy("gram").agg(F.count("*").alias("held"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+             .filter("lo < hi").select("gram", "held"))
+    return named.join(mixed, "gram")
 
 
-def _more(found, x, y, apart, sets, numerator, denominator):
-    """The links known so far and those among the matches of two posting tables."""
-    pairs = (x.alias("x").join(y.alias("y"), "gram")
-             .filter(F.expr(apart) & _filters("x", "y", numerator, denominator))
-             .select(F.least("x.key", "y.key").alias("a"), F.greatest("x.key", "y.key").alias("b")).distinct())
-    fresh = settle(_verified(pairs, sets, numerator, denominator))
-    return fresh if found is None else found.unionByName(fresh)
+def _neighbours(named, turn, numerator, denominator):
+    """A few likely pairs for every set: its neighbours when each posting list is put in a random order.
+
+    Long lists are dealt into parts first. Of a set's neighbours in all its lists the most frequent ones stay.
+    """
+    part = F.pmod(F.xxhash64("key", F.lit(turn)), F.ceil(F.col("held") / PART))
+    near = W.partitionBy("gram", "part").orderBy(F.xxhash64("gram", "key", F.lit(-turn - 1)), "key")
+    cols = ["key", "comp", "n", "at", "ranges"]
+    both = (named.withColumn("part", part).select("gram", F.struct(*cols).alias("x"), F.lag(F.struct(*cols)).over(near).alias("y"))
+            .filter(F.expr("x.comp <> y.comp") & _filters("x", "y", numerator, denominator)))
+    pairs = both.groupBy(F.least("x.key", "y.key").alias("a"), F.greatest("x.key", "y.key").alias("b")).agg(F.count("*").alias("shared"))
+    best = W.partitionBy("a").orderBy(F.desc("shared"), "b")
+    return pairs.withColumn("_rn", F.row_number().over(best)).filter(F.col("_rn") <= PARTNERS).select("a", "b")
