@@ -1,7 +1,7 @@
 """What the operators share: reading tables, settled intermediate tables, packed numbers, components."""
 
 import numpy as np
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from campuswatt.session import cut_lineage
 
@@ -15,6 +15,17 @@ def settle(df):
     return cut_lineage(df)
 
 
+def row_key(*columns):
+    """Identity of a row: 16 bytes of the SHA-256 of its columns, nulls told apart."""
+    parts = [F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("-")) for c in columns]
+    return F.substring(F.unhex(F.sha2(F.concat_ws("\x1f", *parts).cast("binary"), 256)), 1, 16)
+
+
+def with_columns(schema, **kinds):
+    """The schema and further columns."""
+    return T.StructType(schema.fields + [T.StructField(n, T.DataType.fromDDL(k)) for n, k in kinds.items()])
+
+
 def partitions(spark, rows=0, per=1):
     """Partitions for ``rows`` rows at ``per`` a partition, the session's number at least."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-int(rows) // per))

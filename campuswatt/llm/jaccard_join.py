@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Window as W, functions as F
 
 from campuswatt.llm import text as X
-from campuswatt.llm.common import components, pack, partitions, runs, settle, unpack
+from campuswatt.llm.common import components, pack, partitions, row_key, runs, settle, unpack
 
 N_GRAM, NUMERATOR, DENOMINATOR = 5, 80, 100
 BUCKET_NGRAMS = 2_000_000      # n-grams a counting task holds
@@ -53,7 +53,7 @@ def set_key(grams):
 
 
 def signatures(docs, doc_id="doc_id", text="text", n=N_GRAM):
-    """doc_id, key (of the set; null if empty) and n_shingles of every row."""
+    """doc_id, key (of the set; null if empty), n_shingles and row (identity of id and text) of every row."""
     kind = docs.schema[doc_id].dataType.simpleString()
 
     def read(batches):
@@ -64,11 +64,11 @@ def signatures(docs, doc_id="doc_id", text="text", n=N_GRAM):
                     keys.append(set_key(grams) if len(grams) else None)
                     sizes.append(len(grams))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(keys, pa.binary()), pa.array(sizes, pa.int64())],
-                names=["doc_id", "key", "n_shingles"])
+                [batch.column(0), pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()), batch.column(2)],
+                names=["doc_id", "key", "n_shingles", "row"])
 
-    return (docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-            .mapInArrow(read, f"doc_id {kind}, key binary, n_shingles long"))
+    return (docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), row_key(doc_id, text).alias("row"))
+            .mapInArrow(read, f"doc_id {kind}, key binary, n_shingles long, row binary"))
 
 
 def _bucket(grams, buckets):
@@ -299,7 +299,7 @@ def _sample_hot(texts, n, total, buckets):
 
 
 def links(docs, doc_id="doc_id", text="text", n=N_GRAM, numerator=NUMERATOR, denominator=DENOMINATOR):
-    """doc_id, n_shingles and component_id of every row of ``docs``.
+    """doc_id, n_shingles, component_id and row (identity of id and text) of every row of ``docs``.
 
     Words are split at ASCII blanks with A-Z lowered. A null or blank text has no n-grams and is its own
     component; a text of fewer than ``n`` words is one n-gram. Rows with equal sets, repeated rows
@@ -333,7 +333,15 @@ def links(docs, doc_id="doc_id", text="text", n=N_GRAM, numerator=NUMERATOR, den
     roots = roots.withColumn("root", F.coalesce("root", "key"))
     smallest = roots.filter("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("component_id"))
     return roots.join(smallest, "root", "left").select(
-        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), "row")
+
+
+def one_each(docs, doc_id="doc_id", text="text", **how):
+    """The rows of ``docs`` whose doc_id is the smallest of their component; of rows equal in id and text one."""
+    kept = (links(docs, doc_id, text, **how).filter("doc_id <=> component_id").select(F.col("row").alias("_row")).distinct())
+    nth = F.row_number().over(W.partitionBy("_row").orderBy(F.lit(0)))
+    return (docs.withColumn("_row", row_key(doc_id, text)).join(kept, "_row").withColumn("_nth", nth)
+            .filter("_nth = 1").select(*docs.columns))
 
 
 def _mixed(postings, found):

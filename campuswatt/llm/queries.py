@@ -1,15 +1,82 @@
 """The registered query of every operator, and its SQL where SQL can say it."""
 
-from campuswatt.llm import jaccard_join
+import corpus_pipeline
+from campuswatt.llm import cube_mixing, jaccard_join, packing, quality_cascade, suffix_dedup
 from campuswatt.llm.common import table
 
 
+def op2_best_fit_packing(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 def op4_ngram_jaccard_join(spark, sf_dir):
-    return jaccard_join.links(table(spark, sf_dir, "documents"))
+    return jaccard_join.links(table(spark, sf_dir, "documents")).drop("row")
+
+
+def op7_cube_mixing(spark, sf_dir):
+    return cube_mixing.mix(table(spark, sf_dir, "documents"))
+
+
+def op8_suffix_array_dedup(spark, sf_dir):
+    return suffix_dedup.dedup(table(spark, sf_dir, "documents"))
 
 
+def op10_quality_cascade(spark, sf_dir):
+    return quality_cascade.assess(table(spark, sf_dir, "documents"))
+
+
+OP4_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents),
+grams AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 5
+      THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+      WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS g FROM words),
+sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+common AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared FROM grams x JOIN grams y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM common JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b WHERE 100 * shared >= 80 * (p.n + q.n - shared)),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b)
+SELECT d.doc_id, coalesce(s.n, 0)::BIGINT AS n_shingles, c.component_id
+FROM documents d LEFT JOIN sizes s USING (doc_id)
+JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) c USING (doc_id)
+"""
+
+OP10_SQL = r"""
+WITH words AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+runs AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 4], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1))) AS i FROM words WHERE len(w) >= 5)),
+twice AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS c FROM runs) WHERE c > 1),
+covered AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM twice CROSS JOIN range(5) AS r(k) GROUP BY doc_id),
+lines AS (
+  SELECT doc_id, len(l) AS n_lines, len(l) - len(list_distinct(l)) AS n_dup FROM (
+    SELECT doc_id, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM words)),
+base AS (
+  SELECT doc_id, len(w)::BIGINT AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g'))::BIGINT AS word_chars,
+    length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, n_dup::BIGINT AS n_dup_lines,
+    coalesce(c.n, 0)::BIGINT AS n_repeat_words, n_lines,
+    length(regexp_replace(t, '[^A-Z]', '', 'g')) AS upper, length(regexp_replace(t, '[^A-Za-z]', '', 'g')) AS letters
+  FROM words LEFT JOIN covered c USING (doc_id) JOIN lines USING (doc_id)),
+judged AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM base)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND word_chars >= 2 * n_words AND word_chars <= 20 * n_words AND 10 * n_symbols <= 3 * n_words
+  AND 10 * n_dup_lines <= 5 * n_lines AND 10 * upper <= 6 * letters AS kept
+FROM judged
+"""
+
 QUERIES = {
+    "op2_best_fit_packing": op2_best_fit_packing,
     "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
+    "op7_cube_mixing": op7_cube_mixing,
+    "op8_suffix_array_dedup": op8_suffix_array_dedup,
+    "op10_quality_cascade": op10_quality_cascade,
+    "pipeline": corpus_pipeline.run,
 }
 
-ORACLES = {}
+ORACLES = {
+    "op4_ngram_jaccard_join": OP4_SQL,
+    "op10_quality_cascade": OP10_SQL,
+}
