@@ -25,10 +25,10 @@ from campuswatt.llm.common import partitions, runs, settle
 
 LENGTH = 200
 GRAM = 32                      # bytes of an anchor
-SHARD_PIECES = 12_000          # some 4 MB of pieces
+SHARD_PIECES = 4_000           # some 1.2 MB of pieces, whose ranks stay near the processor
 ANCHOR_PIECES = 4_000          # occurrences from which an anchor is spread over shards
 MERGE_STRINGS = 1_000_000      # fingerprints a merging task holds
-LANE = 2048                    # bytes each lane of Kasai's scan walks
+LANES = 16_384                 # lanes of Kasai's scan
 
 
 # --- anchors ---------------------------------------------------------------------
@@ -82,10 +82,11 @@ def anchor_places(data, length=LENGTH, gram=GRAM):
 # --- suffix array ----------------------------------------------------------------
 
 def suffix_array(data, depth):
-    """Suffixes of ``data`` in the order of their first ``depth`` bytes or more, and their ranks, by prefix doubling.
+    """Suffixes of ``data`` in the order of their first ``depth`` bytes, and their ranks, by prefix doubling.
 
     Larsson and Sadakane's refinement: ranks by h bytes give ranks by 2h bytes, and suffixes whose rank
-    is theirs alone are not touched again.
+    is theirs alone are not touched again. The last step reaches just to ``depth``, so equal ranks mean equal
+    strings; ``depth`` is 8 or more.
     """
     n = len(data)
     padded = np.concatenate([data, np.zeros(8, dtype=np.uint8)])
@@ -94,7 +95,7 @@ def suffix_array(data, depth):
         head = (head << np.uint64(8)) | padded[k:k + n]
     order = np.argsort(head)
     edges = runs(head[order])
-    rank = np.empty(n, dtype=np.int64)
+    rank = np.empty(n, dtype=np.int32)
     rank[order] = np.repeat(edges[:-1], np.diff(edges))     # a group's rank is its first place
     sizes = np.diff(edges)
     shared = sizes > 1
@@ -102,7 +103,7 @@ def suffix_array(data, depth):
     h = 8
     while h < depth and len(at):
         who = order[at]
-        after = who + h
+        after = who + min(h, depth - h)
         key = (rank[who].astype(np.uint64) << np.uint64(32)) | np.where(
             after < n, rank[np.minimum(after, n - 1)] + 1, 0).astype(np.uint64)
         by = np.argsort(key)
@@ -131,24 +132,29 @@ def common_prefixes(data, order, rank, cap):
 
     Kasai's scan in text order, where a prefix is at most one byte shorter than the one before. The text is
     walked in lanes, all lanes a step at a time. Suffixes of one rank share ``cap`` bytes without a look; as
-    the order among them is open, the scan starts anew after a full prefix.
+    the order among them is open, the scan starts anew after them.
     """
     n = len(data)
     padded = np.concatenate([data, np.zeros(cap + 1, dtype=np.uint8)])
-    before = np.full(n, -1, dtype=np.int64)
+    before = np.full(n, -1, dtype=np.int32)
     before[order[1:]] = order[:-1]
-    tied = np.zeros(n + 1, dtype=bool)
-    tied[order[1:]] = rank[order[1:]] == rank[order[:-1]]
     out = np.zeros(n, dtype=np.int16)
-    at = np.arange(0, n, LANE)
-    stop, size = np.minimum(at + LANE, n), np.where(tied[at], cap, 0)
+    out[order[1:]] = np.where(rank[order[1:]] == rank[order[:-1]], cap, 0)
+    todo = np.flatnonzero(out == 0)
+    follows = np.zeros(len(todo) + 1, dtype=bool)
+    follows[1:-1] = todo[1:] == todo[:-1] + 1
+    todo = np.append(todo, 0)
+    lane = max(64, len(todo) // LANES)
+    at = np.arange(0, len(todo) - 1, lane)
+    stop, size = np.minimum(at + lane, len(todo) - 1), np.zeros(len(at), dtype=np.int64)
     while len(at):
-        other = before[at]
-        same = (other >= 0) & (size < cap) & (padded[at + size] == padded[other + size])
+        here = todo[at]
+        other = before[here]
+        same = (padded[here + size] == padded[other + size]) & (size < cap) & (other >= 0)
         done = ~same
-        out[at[done]] = size[done]
+        out[here[done]] = size[done]
         at = at + done
-        size = np.where(same, size + 1, np.where(tied[at], cap, np.where(size >= cap, 0, np.maximum(size - 1, 0))))
+        size = np.where(same, size + 1, np.where(follows[at], np.maximum(size - 1, 0), 0))
         if (at >= stop).any():
             live = at < stop
             at, stop, size = at[live], stop[live], size[live]
@@ -229,38 +235,43 @@ def _batch(rows, kinds, schema):
                                       names=[c.split()[0] for c in schema.split(", ")])
 
 
-_FOUND = "id binary, spread long, marks binary, high binary, low binary, range long"
+_FOUND = "id binary, shard long, spread long, piece binary, marks binary, high binary, low binary, range long"
+_FOUND_KINDS = (pa.binary(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.binary(), pa.int64())
 
 
 def _sort_shard(table, length, ranges):
-    """One shard: which strings of its pieces repeat in it, and the distinct strings of spread anchors."""
+    """One shard: marks on the strings of its pieces that repeat in it, and the distinct strings of spread anchors.
+
+    A piece that equals another one and has its anchor to itself repeats as a whole and with nothing else.
+    """
     ids, found, spread = table.column("id").to_pylist(), table.column("found").to_numpy(), table.column("spread").to_pylist()
-    blobs = table.column("piece").to_pylist()
-    sizes = np.array([len(b) for b in blobs], dtype=np.int64)
-    first = np.concatenate([[0], np.cumsum(sizes)])
-    data = np.frombuffer(b"".join(blobs), np.uint8)
-    valid = np.ones(len(data), dtype=bool)
-    valid[_spread(first[1:] - (length - 1), np.full(len(blobs), length - 1))] = False
-    many = repeated_strings(data, valid, length)
-    rows = [[] for _ in range(6)]
-    for i, blob in enumerate(blobs):
-        lo, n = int(first[i]), len(blob) - length + 1
-        marks = many[lo:lo + n] | (found[i] > 1)
-        if marks.any() or spread[i]:
-            _add(rows, ids[i], spread[i], np.packbits(marks).tobytes() if marks.any() else b"", None, None, -1)
+    blobs, shard = table.column("piece").to_pylist(), table.column("shard")[0].as_py()
+    anchors = table.column("anchor").to_numpy()
+    _, home, per = np.unique(anchors, return_inverse=True, return_counts=True)
+    alone = (per[home] == 1) & (found > 1) & (table.column("spread").to_numpy() == 0)
+    marks = [np.ones(len(b) - length + 1, dtype=bool) if n > 1 else None for b, n in zip(blobs, found.tolist())]
+    sort = np.flatnonzero(~alone).tolist()
+    if sort:
+        sizes = np.array([len(blobs[i]) for i in sort], dtype=np.int64)
+        first = np.concatenate([[0], np.cumsum(sizes)])
+        data = np.frombuffer(b"".join([blobs[i] for i in sort]), np.uint8)
+        valid = np.ones(len(data), dtype=bool)
+        valid[_spread(first[1:] - (length - 1), np.full(len(sort), length - 1))] = False
+        many = repeated_strings(data, valid, length)
+        for i, lo, n in zip(sort, first.tolist(), sizes.tolist()):
+            if marks[i] is None:
+                marks[i] = many[lo:lo + n - length + 1]
+    rows = [[] for _ in _FOUND_KINDS]
+    for name, s, blob, mark in zip(ids, spread, blobs, marks):
+        if s or mark.any():
+            _add(rows, name, shard, s, blob if s else None, np.packbits(mark).tobytes(), None, None, -1)
     for s in sorted({s for s in spread if s}):
-        mine = [i for i in range(len(blobs)) if spread[i] == s]
-        high, low = _fingerprints(blobs, mine, length)
-        order = np.lexsort((low, high))
-        high, low = high[order], low[order]
-        fresh = np.ones(len(high), bool)
-        fresh[1:] = (high[1:] != high[:-1]) | (low[1:] != low[:-1])
-        high, low = high[fresh], low[fresh]
+        high, low = _sorted_fingerprints([b for b, t in zip(blobs, spread) if t == s], length)
         home = _range(high, ranges)
         edges = runs(home)
         for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
-            _add(rows, None, s, None, high[a:b].tobytes(), low[a:b].tobytes(), int(home[a]))
-    return pa.Table.from_batches([_batch(rows, (pa.binary(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.int64()), _FOUND)])
+            _add(rows, None, shard, s, None, None, high[a:b].tobytes(), low[a:b].tobytes(), int(home[a]))
+    return pa.Table.from_batches([_batch(rows, _FOUND_KINDS, _FOUND)])
 
 
 def _add(rows, *values):
@@ -272,53 +283,67 @@ def _range(high, ranges):
     return (((high >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32)).astype(np.int64)
 
 
-def _fingerprints(blobs, mine, length):
-    """128-bit fingerprints of all strings of some pieces."""
-    high, low = [], []
-    for i in mine:
-        data = np.frombuffer(blobs[i], np.uint8)
-        starts = np.arange(len(data) - length + 1)
-        one = X.hashes(data, starts, starts + length)
-        two = X.hashes(np.bitwise_xor(data, 0xA5), starts, starts + length)
-        high.append(one)
-        low.append(two)
-    return np.concatenate(high), np.concatenate(low)
+def _fingerprints(blob, length):
+    """Two 64-bit fingerprints of every string of a piece."""
+    data = np.frombuffer(blob, np.uint8)
+    starts = np.arange(len(data) - length + 1)
+    return X.hashes(data, starts, starts + length), X.hashes(data ^ np.uint8(0xA5), starts, starts + length)
+
+
+def _sorted_fingerprints(blobs, length):
+    """Distinct fingerprints of all strings of some pieces, in order."""
+    high, low = (np.concatenate(x) for x in zip(*[_fingerprints(b, length) for b in blobs]))
+    order = np.lexsort((low, high))
+    high, low = high[order], low[order]
+    fresh = np.ones(len(high), dtype=bool)
+    fresh[1:] = (high[1:] != high[:-1]) | (low[1:] != low[:-1])
+    return high[fresh], low[fresh]
+
+
+def _held(high, low, h, l):
+    """How often each (h, l) is in the sorted list (high, low), by binary search."""
+    at, upto = np.searchsorted(high, h, "left"), np.searchsorted(high, h, "right")
+    count = np.zeros(len(h), dtype=np.int64)
+    for k in range(int((upto - at).max()) if len(h) else 0):
+        here = np.minimum(at + k, len(low) - 1)
+        count += (at + k < upto) & (low[here] == l)
+    return count
+
+
+_SHARED = "shard long, spread long, high binary, low binary"
 
 
 def _merge(table):
-    """Strings of one fingerprint range found in two shards or more: each shard's list searched in the rest."""
+    """One fingerprint range: of each shard's list what the other lists hold too."""
     lists = [(np.frombuffer(h, "<u8"), np.frombuffer(l, "<u8"))
              for h, l in zip(table.column("high").to_pylist(), table.column("low").to_pylist())]
-    high, low = (np.concatenate([x[k] for x in lists]) for k in (0, 1))
+    high, low = (np.concatenate(x) for x in zip(*lists))
     order = np.lexsort((low, high))
     high, low = high[order], low[order]
-    twice = []
-    for h, l in lists:
-        # the rest holds a string of this list if the merged order holds it twice: a list has it once
-        at = np.searchsorted(high, h, "left")
-        upto = np.searchsorted(high, h, "right")
-        seen = np.zeros(len(h), dtype=np.int64)
-        for k in range(int((upto - at).max()) if len(h) else 0):
-            here = np.minimum(at + k, len(low) - 1)
-            seen += (at + k < upto) & (low[here] == l)
-        twice.append((h[seen > 1], l[seen > 1]))
-    h, l = (np.concatenate([x[k] for x in twice]) for k in (0, 1))
-    return pa.Table.from_arrays([pa.array(h.view(np.int64)), pa.array(l.view(np.int64))], names=["high", "low"])
-
-
-def _spread_strings(length):
-    """Fingerprint, piece and place of every string of pieces of spread anchors."""
-    def read(batches):
-        for batch in batches:
-            ids, blobs = batch.column(0), batch.column(1).to_pylist()
-            for i, blob in enumerate(blobs):
-                high, low = _fingerprints([blob], [0], length)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(high.view(np.int64)), pa.array(low.view(np.int64)),
-                     ids.take(pa.array(np.full(len(high), i))), pa.array(np.arange(len(high), dtype=np.int64))],
-                    names=["high", "low", "id", "at"])
+    fresh = np.ones(len(high), dtype=bool)
+    fresh[1:] = (high[1:] != high[:-1]) | (low[1:] != low[:-1])
+    found = np.diff(np.append(np.flatnonzero(fresh), len(high)))
+    twice = found > 1
+    high, low = high[fresh][twice], low[fresh][twice]
+    shared = [_held(high, low, h, l) > 0 for h, l in lists]
+    return pa.Table.from_arrays(
+        [table.column("shard"), table.column("spread"), pa.array([h[m].tobytes() for (h, _), m in zip(lists, shared)], pa.binary()),
+         pa.array([l[m].tobytes() for (_, l), m in zip(lists, shared)], pa.binary())], names=["shard", "spread", "high", "low"])
+
+
+def _mark_shared(length):
+    """Pieces of one shard's list: their own marks and those of strings other shards hold too."""
+    def run(pieces_, lists):
+        high = np.concatenate([np.frombuffer(h, "<u8") for h in lists.column("high").to_pylist()] or [np.empty(0, "<u8")])
+        low = np.concatenate([np.frombuffer(l, "<u8") for l in lists.column("low").to_pylist()] or [np.empty(0, "<u8")])
+        order = np.lexsort((low, high))
+        high, low, marks = high[order], low[order], []
+        for blob, own in zip(pieces_.column("piece").to_pylist(), pieces_.column("marks").to_pylist()):
+            mark = np.unpackbits(np.frombuffer(own, np.uint8), count=len(blob) - length + 1).astype(bool)
+            marks.append(np.packbits(mark | (_held(high, low, *_fingerprints(blob, length)) > 0)).tobytes())
+        return pa.Table.from_arrays([pieces_.column("id"), pa.array(marks, pa.binary())], names=["id", "marks"])
 
-    return read
+    return run
 
 
 def _text_places(length, gram):
@@ -345,16 +370,14 @@ def _cut(length, whole):
     def read(batches):
         for batch in batches:
             rows = [[] for _ in range(3)]
-            for raw, copies, firsts, sizes, marks, also in zip(
-                    *(batch.column(c).to_pylist() for c in ("bytes", "copies", "first", "size", "marks", "also"))):
+            for raw, copies, firsts, sizes, marks in zip(
+                    *(batch.column(c).to_pylist() for c in ("bytes", "copies", "first", "size", "marks"))):
                 data = np.frombuffer(raw, np.uint8)
                 begins = np.zeros(len(data) + 1, dtype=bool)
                 if copies > 1:
                     begins[:len(data) - length + 1] = True
-                for lo, n, mark, places in zip(firsts or (), sizes or (), marks or (), also or ()):
-                    if mark:
-                        begins[lo:lo + n] |= np.unpackbits(np.frombuffer(mark, np.uint8), count=n).astype(bool)
-                    begins[lo + np.array(places, dtype=np.int64)] = True
+                for lo, n, mark in zip(firsts or (), sizes or (), marks or ()):
+                    begins[lo:lo + n] |= np.unpackbits(np.frombuffer(mark, np.uint8), count=n).astype(bool)
                 starts = np.flatnonzero(begins)
                 cover = np.zeros(len(data) + 1, dtype=np.int64)
                 cover[starts] += 1
@@ -382,7 +405,7 @@ def repeats(docs, text="text", length=LENGTH, gram=GRAM, whole=False, anchor_pie
     gram = min(gram, length)
     texts = docs.select(F.col(text).alias("text")).filter(F.octet_length("text") >= length)
     texts = texts.select(text_key("text").alias("key"), F.col("text").cast("binary").alias("bytes"))
-    anchors = texts.mapInArrow(_anchor_rows(length, gram), "anchor long, key binary, places long")
+    anchors = settle(texts.mapInArrow(_anchor_rows(length, gram), "anchor long, key binary, places long"))
     known = settle(anchors.groupBy("anchor").agg(F.sum("places").alias("places")).filter("places > 1"))
     mine = (anchors.select("anchor", "key").join(known, "anchor").groupBy("key", "anchor").agg(F.max("places").alias("places"))
             .groupBy("key").agg(F.collect_list(F.struct("anchor", "places")).alias("mine")))
@@ -397,19 +420,16 @@ def repeats(docs, text="text", length=LENGTH, gram=GRAM, whole=False, anchor_pie
     shard = settle(distinct.groupBy("shard").applyInArrow(lambda t: _sort_shard(t, length, ranges), _FOUND))
 
     # what shards of one anchor hold in common, as marks on their pieces
-    shared = shard.filter("range >= 0").groupBy("range").applyInArrow(_merge, "high long, low long").distinct()
-    spread = rows.filter("spread > 0").groupBy("id").agg(F.first("piece").alias("piece"))
-    merged = (spread.mapInArrow(_spread_strings(length), "high long, low long, id binary, at long")
-              .join(shared, ["high", "low"], "left_semi").groupBy("id").agg(F.collect_list("at").alias("also")))
-    marks = shard.filter("length(marks) > 0").select("id", "marks").join(merged, "id", "full")
+    shared = shard.filter("range >= 0").groupBy("range").applyInArrow(_merge, _SHARED)
+    spread = (shard.filter("piece IS NOT NULL").select("shard", "spread", "id", "piece", "marks").groupBy("shard", "spread")
+              .cogroup(shared.groupBy("shard", "spread")).applyInArrow(_mark_shared(length), "id binary, marks binary"))
+    marks = shard.filter("piece IS NULL AND id IS NOT NULL").select("id", "marks").unionByName(spread)
 
     places = cands.select("key", "bytes", "anchors").mapInArrow(
         _text_places(length, gram), "key binary, first long, size long, id binary")
-    hits = (places.join(marks, "id").groupBy("key")
-            .agg(F.collect_list(F.struct("first", "size", F.coalesce("marks", F.lit(b"")).alias("marks"),
-                                         F.coalesce("also", F.array().cast("array<bigint>")).alias("also"))).alias("hits")))
+    hits = places.join(marks, "id").groupBy("key").agg(F.collect_list(F.struct("first", "size", "marks")).alias("hits"))
     return (cands.select("key", "bytes", "copies").join(hits, "key", "left").filter("copies > 1 OR hits IS NOT NULL")
-            .select("key", "bytes", "copies", *[F.col(f"hits.{c}").alias(c) for c in ("first", "size", "marks", "also")])
+            .select("key", "bytes", "copies", *[F.col(f"hits.{c}").alias(c) for c in ("first", "size", "marks")])
             .mapInArrow(_cut(length, whole), "key binary, kept binary, n_removed long, n_spans long"))
 
 
