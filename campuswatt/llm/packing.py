@@ -13,36 +13,105 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import functions as F
 
+from campuswatt.llm import text as X
 from campuswatt.llm.common import settle, with_columns
 
 WINDOW, END = 2048, 1
 SHARD_PIECES = 50_000
-KNOWN_WORDS = 200_000          # words a task keeps the ids of
-_GAPS = str.maketrans("\t\n\r", "   ")
+KNOWN_WORDS = 1_000_000        # words a Python worker keeps the ids of
+_POINT = np.zeros(256, dtype=bool)
+_POINT[list(b".,;:!?")] = True
+_ASCII_LETTER = np.zeros(256, dtype=bool)
+_ASCII_LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
 
 
 class WordIds:
-    """Token ids of texts, a word at a time: the tokenizer drops white space and never joins across it."""
+    """Token ids of texts, a word at a time: the tokenizer lowers words and never joins across white space.
+
+    Words are known by hash, their ids lie in one pool; a text is a gather from the pool. Points and commas
+    behind a letter are a word of their own for the tokenizer, and here. Only words with ``<|`` keep their case,
+    as they may be special tokens.
+    """
 
     def __init__(self, path):
         from tokenizers import Tokenizer
-        self.tokenizer, self.known = Tokenizer.from_file(path), {}
-
-    def ids(self, texts):
-        """The ids of each text as an unsigned 32-bit array."""
-        split = [t.translate(_GAPS).split(" ") if t else [] for t in texts]
-        fresh = {w for words in split for w in words if w and w not in self.known}
-        if len(self.known) + len(fresh) > KNOWN_WORDS:
-            self.known = {}
-            fresh = {w for words in split for w in words if w}
-        fresh = list(fresh)
-        for lo in range(0, len(fresh), 10_000):
-            part = fresh[lo:lo + 10_000]
-            for w, e in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False)):
-                self.known[w] = np.array(e.ids, dtype="<u4")
-        none = np.empty(0, dtype="<u4")
-        self.known[""] = none
-        return [np.concatenate([self.known[w] for w in words]) if words else none for words in split]
+        self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends_word[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+        self._forget()
+
+    def _forget(self):
+        self.known, self.first, self.count = (np.empty(0, dtype=d) for d in (np.uint64, np.int64, np.int64))
+        self.pool = np.empty(0, dtype="<u4")
+
+    def _words(self, data, offsets):
+        starts, ends, _ = X.spans(data, offsets)
+        cut = ends.copy()
+        for _ in range(3):
+            at = np.maximum(cut - 1, starts)
+            cut -= _POINT[data[at]] & (at > starts)
+        bare = (cut < ends) & _ASCII_LETTER[data[cut - 1]]
+        starts, ends = np.concatenate([starts, cut[bare]]), np.concatenate([np.where(bare, cut, ends), ends[bare]])
+        order = np.argsort(starts)
+        starts, ends = starts[order], ends[order]
+        names = X.hashes(data, starts, ends, lower=True)
+        marks = np.flatnonzero((data[:-1] == 0x3C) & (data[1:] == 0x7C))
+        if len(marks):
+            odd = np.unique(np.searchsorted(starts, marks, "right") - 1)
+            names[odd] = X.mix(X.hashes(data, starts[odd], ends[odd]))
+        return starts, ends, names
+
+    def _learn(self, names, words):
+        ids = self._encode(words)
+        count = np.array([len(i) for i in ids], dtype=np.int64)
+        first = len(self.pool) + np.cumsum(count) - count
+        self.pool = np.concatenate([self.pool, *ids])
+        at = np.searchsorted(self.known, names)
+        self.known, self.first, self.count = (np.insert(have, at, new) for have, new in (
+            (self.known, names), (self.first, first), (self.count, count)))
+
+    def _encode(self, words):
+        """Ids of each word. Words of letters alone go in lines of many, and the ids that end a word part them."""
+        out, plain = [None] * len(words), [i for i, w in enumerate(words) if w.isalpha()]
+        lines = [plain[k:k + 256] for k in range(0, len(plain), 256)]
+        for line, e in zip(lines, self.tokenizer.encode_batch_fast([" ".join([words[i] for i in x]) for x in lines], add_special_tokens=False)):
+            ids = np.array(e.ids, dtype="<u4")
+            stops = np.flatnonzero(self.ends_word[ids]) + 1
+            if len(stops) == len(line):
+                for i, part in zip(line, np.split(ids, stops[:-1])):
+                    out[i] = part
+        rest = [i for i, o in enumerate(out) if o is None]
+        for i, e in zip(rest, self.tokenizer.encode_batch_fast([words[i] for i in rest], add_special_tokens=False)):
+            out[i] = np.array(e.ids, dtype="<u4")
+        return out
+
+    def ids(self, data, offsets):
+        """Ids of all texts of a chunk in a row, and where each text's begin."""
+        starts, ends, names = self._words(data, offsets)
+        distinct, sample, word = np.unique(names, return_index=True, return_inverse=True)
+        fresh = ~np.isin(distinct, self.known, assume_unique=True)
+        if fresh.any():
+            if len(self.known) + fresh.sum() > KNOWN_WORDS and len(self.known):
+                self._forget()
+                fresh[:] = True
+            raw = data.tobytes()
+            self._learn(distinct[fresh], [raw[starts[i]:ends[i]].decode("utf-8", "replace") for i in sample[fresh]])
+        at = np.searchsorted(self.known, distinct)
+        first, count = self.first[at][word], self.count[at][word]
+        upto = np.concatenate([[0], np.cumsum(count)])
+        flat = self.pool[np.repeat(first - upto[:-1], count) + np.arange(upto[-1])]
+        return flat, upto[np.searchsorted(starts, offsets)]
+
+
+_WORDS = {}
+
+
+def word_ids(path):
+    """One table of known words for all tasks of a Python worker."""
+    if path not in _WORDS:
+        _WORDS[path] = WordIds(path)
+    return _WORDS[path]
 
 
 def tokenizer_path(name="word_bpe_49k.json"):
@@ -50,20 +119,6 @@ def tokenizer_path(name="word_bpe_49k.json"):
     return public_tokenizers.path(name)
 
 
-def _texts(column, limit=1 << 20):
-    """Rows in groups of about ``limit`` characters: (first row, texts)."""
-    first, held, size = 0, [], 0
-    for i, text in enumerate(column):
-        text = text.as_py() or ""
-        held.append(text)
-        size += len(text)
-        if size >= limit:
-            yield first, held
-            first, held, size = i + 1, [], 0
-    if held:
-        yield first, held
-
-
 def pieces(docs, doc_id="doc_id", text="text", path=None, window=WINDOW, end=END):
     """doc_id, start, length, ids_crc32 and doc_tokens of the windows and the rest of every row.
 
@@ -72,15 +127,17 @@ def pieces(docs, doc_id="doc_id", text="text", path=None, window=WINDOW, end=END
     kind, path = docs.schema[doc_id].dataType.simpleString(), path or tokenizer_path()
 
     def read(batches):
-        words = WordIds(path)
+        words = word_ids(path)
         for batch in batches:
-            for first, texts in _texts(batch.column(1)):
+            for top, offsets, data in X.chunks(batch.column(1)):
+                flat, first = words.ids(data, offsets)
                 rows = [[] for _ in range(5)]
-                for i, ids in enumerate(words.ids(texts)):
-                    ids = np.append(ids, np.uint32(end)).astype("<u4")
-                    for lo in range(0, len(ids), window):
-                        part = ids[lo:lo + window]
-                        for out, value in zip(rows, (first + i, lo, len(part), zlib.crc32(part.tobytes()), len(ids))):
+                for i, (lo, hi) in enumerate(zip(first[:-1].tolist(), first[1:].tolist())):
+                    raw = flat[lo:hi].tobytes() + int(end).to_bytes(4, "little")
+                    total = hi - lo + 1
+                    for at in range(0, total, window):
+                        part = raw[4 * at:4 * (at + window)]
+                        for out, value in zip(rows, (top + i, at, len(part) // 4, zlib.crc32(part), total)):
                             out.append(value)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).take(pa.array(rows[0], pa.int64())), *[pa.array(r, pa.int64()) for r in rows[1:]]],
