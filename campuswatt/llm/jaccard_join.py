@@ -9,10 +9,8 @@ Counting sends every n-gram of every document once, packed by hash range. An n-g
 document holds can neither match nor count in an intersection, so only repeated ones come back to
 their documents; a document with too few of them is done.
 
-Groups of near copies are not expanded into all pairs. In a few rounds every set is compared with a few
-neighbours from its posting lists in random order, and components follow. Members of one component need no
-comparison then, and all the other pairs are compared. What is not looked at is only links inside a
-component that is known already.
+Groups of near copies are not expanded into all pairs (``linking``): links inside a component that is known
+already are not looked at, all other pairs are.
 """
 
 import hashlib
@@ -23,15 +21,13 @@ from pyspark.sql import Window as W, functions as F
 
 from campuswatt.llm import text as X
 from campuswatt.llm.common import components, pack, partitions, row_key, runs, settle, unpack
+from campuswatt.llm.linking import link
 
 N_GRAM, NUMERATOR, DENOMINATOR = 5, 80, 100
 BUCKET_NGRAMS = 2_000_000      # n-grams a counting task holds
 GROUP_DOCS = 8192              # documents whose repeated n-grams meet in one task
 HELD = 1_000_000               # n-grams a reading task holds before it sends them
 RANGES = 8                     # hash ranges of the suffix filter
-TURNS = 3                      # rounds of random neighbours before all remaining pairs
-PART = 512                     # postings of one n-gram that are put in order together
-PARTNERS = 8                   # pairs tried for a set in a round
 HOT_SHARE = 64                 # occurrences in the sample from which an n-gram is not sent to its bucket
 
 
@@ -264,22 +260,6 @@ def _filters(a, b, numerator, denominator):
     return enough(F.least(f"{a}.n", f"{b}.n")) & enough(left) & enough(suffix)
 
 
-def _verified(pairs, sets, numerator, denominator):
-    """Pairs (a, b) whose sets are similar enough."""
-    def check(batches):
-        for batch in batches:
-            ok = []
-            for na, nb, ga, gb in zip(*(batch.column(i).to_pylist() for i in range(2, 6))):
-                common = np.intersect1d(np.frombuffer(ga, "<u8"), np.frombuffer(gb, "<u8"), assume_unique=True).size
-                ok.append((numerator + denominator) * common >= numerator * (na + nb))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
-
-    one = sets.select(F.col("key").alias("a"), F.col("n").alias("na"), F.col("grams").alias("ga"))
-    two = sets.select(F.col("key").alias("b"), F.col("n").alias("nb"), F.col("grams").alias("gb"))
-    return (pairs.join(one, "a").join(two, "b").select("a", "b", "na", "nb", "ga", "gb")
-            .mapInArrow(check, "a binary, b binary"))
-
-
 def _sample_hot(texts, n, total, buckets):
     """N-grams that alone would fill a bucket. Only the load of tasks depends on this sample, no result."""
     limit = total // buckets + 1
@@ -320,15 +300,7 @@ def links(docs, doc_id="doc_id", text="text", n=N_GRAM, numerator=NUMERATOR, den
         lambda t: _candidates(t, numerator, denominator), "key binary, n long, grams binary, ranges array<int>"))
     postings = settle(_postings(sets, numerator, denominator))
 
-    found = None
-    for turn in range(TURNS):
-        fresh = settle(_verified(_neighbours(_mixed(postings, found), turn, numerator, denominator), sets, numerator, denominator))
-        found = fresh if found is None else found.unionByName(fresh)
-    rest = _mixed(postings, found).drop("held")
-    pairs = (rest.alias("x").join(rest.alias("y"), "gram").filter(F.expr("x.comp < y.comp") & _filters("x", "y", numerator, denominator))
-             .select(F.least("x.key", "y.key").alias("a"), F.greatest("x.key", "y.key").alias("b")).distinct())
-    found = found.unionByName(settle(_verified(pairs, sets, numerator, denominator)))
-
+    found = link(postings, sets, lambda a, b: _filters(a, b, numerator, denominator), numerator, denominator)
     roots = signed.join(components(found).withColumnsRenamed({"node": "key"}), "key", "left")
     roots = roots.withColumn("root", F.coalesce("root", "key"))
     smallest = roots.filter("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("component_id"))
@@ -342,30 +314,3 @@ def one_each(docs, doc_id="doc_id", text="text", **how):
     nth = F.row_number().over(W.partitionBy("_row").orderBy(F.lit(0)))
     return (docs.withColumn("_row", row_key(doc_id, text)).join(kept, "_row").withColumn("_nth", nth)
             .filter("_nth = 1").select(*docs.columns))
-
-
-def _mixed(postings, found):
-    """The postings of n-grams held by several components, with the component and the number of holders."""
-    if found is None:
-        named = postings.withColumn("comp", F.col("key"))
-    else:
-        known = components(found).withColumnsRenamed({"node": "key", "root": "comp"})
-        named = postings.join(known, "key", "left").withColumn("comp", F.coalesce("comp", "key"))
-    mixed = (named.groupBy("gram").agg(F.count("*").alias("held"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-             .filter("lo < hi").select("gram", "held"))
-    return named.join(mixed, "gram")
-
-
-def _neighbours(named, turn, numerator, denominator):
-    """A few likely pairs for every set: its neighbours when each posting list is put in a random order.
-
-    Long lists are dealt into parts first. Of a set's neighbours in all its lists the most frequent ones stay.
-    """
-    part = F.pmod(F.xxhash64("key", F.lit(turn)), F.ceil(F.col("held") / PART))
-    near = W.partitionBy("gram", "part").orderBy(F.xxhash64("gram", "key", F.lit(-turn - 1)), "key")
-    cols = ["key", "comp", "n", "at", "ranges"]
-    both = (named.withColumn("part", part).select("gram", F.struct(*cols).alias("x"), F.lag(F.struct(*cols)).over(near).alias("y"))
-            .filter(F.expr("x.comp <> y.comp") & _filters("x", "y", numerator, denominator)))
-    pairs = both.groupBy(F.least("x.key", "y.key").alias("a"), F.greatest("x.key", "y.key").alias("b")).agg(F.count("*").alias("shared"))
-    best = W.partitionBy("a").orderBy(F.desc("shared"), "b")
-    return pairs.withColumn("_rn", F.row_number().over(best)).filter(F.col("_rn") <= PARTNERS).select("a", "b")

@@ -1,18 +1,36 @@
 """The registered query of every operator, and its SQL where SQL can say it."""
 
 import corpus_pipeline
-from campuswatt.llm import cube_mixing, jaccard_join, packing, quality_cascade, suffix_dedup
+from campuswatt.llm import (cube_mixing, hnsw, jaccard_join, license_scan, packing, paragraph_dedup, quality_cascade,
+                            quality_classifier, suffix_dedup, warc)
 from campuswatt.llm.common import table
 
 
+def op1_quality_classifier(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return quality_classifier.score(docs, quality_classifier.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op2_best_fit_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op3_hnsw_neighbours(spark, sf_dir):
+    return hnsw.neighbours(table(spark, sf_dir, "embeddings"))
+
+
 def op4_ngram_jaccard_join(spark, sf_dir):
     return jaccard_join.links(table(spark, sf_dir, "documents")).drop("row")
 
 
+def op5_paragraph_dedup(spark, sf_dir):
+    return paragraph_dedup.clusters(table(spark, sf_dir, "documents"))
+
+
+def op6_license_scan(spark, sf_dir):
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op7_cube_mixing(spark, sf_dir):
     return cube_mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -21,6 +39,10 @@ def op8_suffix_array_dedup(spark, sf_dir):
     return suffix_dedup.dedup(table(spark, sf_dir, "documents"))
 
 
+def op9_warc_salvage(spark, sf_dir):
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 def op10_quality_cascade(spark, sf_dir):
     return quality_cascade.assess(table(spark, sf_dir, "documents"))
 
@@ -44,6 +66,44 @@ FROM documents d LEFT JOIN sizes s USING (doc_id)
 JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) c USING (doc_id)
 """
 
+_TEMPLATES = ", ".join(f"('{label}', ['" + "', '".join(sorted(set(words.split(" ")))) + "'])" for label, words in license_scan.TEMPLATES.items())
+
+OP6_SQL = r"""
+WITH texts AS (
+  SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low FROM documents),
+words AS (SELECT doc_id, low, regexp_extract_all(low, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM texts),
+places AS (
+  SELECT doc_id, w, list_filter(range(len(w)), lambda i: w[i + 1] = 'cc' AND w[i + 2] = 'by') AS cc,
+    list_filter(range(len(w)), lambda i: w[i + 1] = 'general' AND w[i + 2] = 'public' AND w[i + 3] = 'license') AS gpl,
+    list_filter(range(len(w)), lambda i: w[i + 1] = 'all' AND w[i + 2] = 'rights' AND w[i + 3] = 'reserved') AS res
+  FROM words),
+templates(label, words) AS (VALUES TEMPLATES),
+lines AS (
+  SELECT doc_id, list_distinct(regexp_extract_all(line, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS ws
+  FROM (SELECT doc_id, unnest(string_split(low, chr(10))) AS line FROM texts)),
+held AS (SELECT doc_id, label, len(list_intersect(ws, words)) AS k, len(words) AS n FROM lines, templates),
+own AS (SELECT doc_id, list(DISTINCT label) AS labels, max(k / n) AS share FROM held WHERE 100 * k >= 80 * n GROUP BY doc_id),
+base AS (
+  SELECT doc_id, len(w)::BIGINT AS n_words, (len(cc) + len(gpl) + len(res))::BIGINT AS n_base,
+    list_min(list_concat(cc, gpl, res))::BIGINT AS first_word, list_max(list_concat(cc, gpl, res))::BIGINT AS last_word,
+    list_concat(CASE WHEN len(cc) > 0 THEN ['cc-by'] ELSE [] END, CASE WHEN len(gpl) > 0 THEN ['gpl'] ELSE [] END,
+                CASE WHEN len(res) > 0 THEN ['reserved'] ELSE [] END) AS labels
+  FROM places)
+SELECT b.doc_id, n_words, n_base, first_word, last_word, array_to_string(b.labels, ',') AS base_labels,
+  array_to_string(list_sort(list_distinct(list_concat(b.labels, coalesce(o.labels, [])))), ',') AS labels,
+  CASE WHEN n_base > 0 THEN 1.0::DOUBLE ELSE coalesce(share, 0.0)::DOUBLE END AS score
+FROM base b LEFT JOIN own o USING (doc_id)
+""".replace("TEMPLATES", _TEMPLATES)
+
+OP9_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+d AS (SELECT page_id, strlen(h)::BIGINT AS payload_bytes, sha256(h) AS payload_digest FROM p),
+f AS (SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) ELSE page_id END AS first FROM d)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN first = page_id THEN NULL ELSE first END AS refers_to
+FROM f
+"""
+
 OP10_SQL = r"""
 WITH words AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
 runs AS (
@@ -68,15 +128,22 @@ FROM judged
 """
 
 QUERIES = {
+    "op1_quality_classifier": op1_quality_classifier,
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_hnsw_neighbours": op3_hnsw_neighbours,
     "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
+    "op5_paragraph_dedup": op5_paragraph_dedup,
+    "op6_license_scan": op6_license_scan,
     "op7_cube_mixing": op7_cube_mixing,
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
+    "op9_warc_salvage": op9_warc_salvage,
     "op10_quality_cascade": op10_quality_cascade,
     "pipeline": corpus_pipeline.run,
 }
 
 ORACLES = {
+    "op6_license_scan": OP6_SQL,
+    "op9_warc_salvage": OP9_SQL,
     "op4_ngram_jaccard_join": OP4_SQL,
     "op10_quality_cascade": OP10_SQL,
 }
