@@ -23,6 +23,8 @@ from campuswatt.session import checkpoint_dir
 SHARED_FROM = 100                  # bytes from which equal payloads share a response
 DATE = "2000-01-01T00:00:00Z"      # the pages carry no date of their own
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+# The record types of the format.
+TYPES = {"warcinfo", "response", "resource", "request", "metadata", "revisit", "conversion", "continuation"}
 _HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 
 
@@ -81,7 +83,12 @@ def _header(data, at):
         key, colon, value = line.partition(b":")
         if not colon:
             raise Damaged("broken header line")
-        fields[key.strip().lower().decode("latin-1")] = value.strip().decode("utf-8", "replace")
+        key = key.strip().lower().decode("latin-1")
+        if key in fields and key != "warc-concurrent-to":      # the only field that may come twice
+            raise Damaged("two headers in one")
+        fields[key] = value.strip().decode("utf-8", "replace")
+    if fields.get("warc-type") not in TYPES or "warc-record-id" not in fields:
+        raise Damaged("broken header fields")
     return fields, stop + 4
 
 
@@ -123,7 +130,7 @@ def _member(data, at):
 
 
 _STEP = 1 << 16
-_NEXT = re.compile(rb"\x1f\x8b\x08|(?:(?<=\n)|\A)WARC/1\.")
+_NEXT = re.compile(rb"\x1f\x8b\x08|WARC/1\.")
 
 
 def salvage(data):
