@@ -6,8 +6,6 @@ Spark rows have no order of their own, so every operator that says "first",
 
 from pyspark.sql import Window as W, functions as F
 
-from campuswatt.session import cut_lineage
-
 
 def _as_cols(order):
     return [F.col(o) if isinstance(o, str) else o for o in order]
@@ -32,43 +30,68 @@ def top_n(df, col, n, tie=()):
     return df.orderBy(F.col(col).desc(), *tie).limit(n)
 
 
-SLOT_BITS = 33    # monotonically_increasing_id keeps the row of a partition in the low 33 bits
+BUCKETS = 32        # runs of the sorted rows that are numbered on their own
+TEXT_BYTES = 6      # bytes of a text behind the common prefix that place it; they fit a double
+
+
+def _number(df, col, kind):
+    """A number that grows with the column (equal for close values), to cut sorted rows into runs."""
+    if kind in ("string", "binary"):
+        bounds = df.agg(F.min(col).alias("lo"), F.max(col).alias("hi"))
+        shared = bounds.select(F.size(F.filter(
+            F.sequence(F.lit(1), F.lit(256)),
+            lambda i: (F.length("lo") >= i) & (F.substring("lo", 1, i) == F.substring("hi", 1, i))))).scalar()
+        rest = F.hex(F.encode(F.substring(F.col(col).cast("string"), shared + 1, F.lit(TEXT_BYTES)), "UTF-8"))
+        return F.conv(F.rpad(F.substring(rest, 1, 2 * TEXT_BYTES), 2 * TEXT_BYTES, "0"), 16, 10).cast("double")
+    if kind == "date":
+        return F.unix_date(col).cast("double")
+    if kind.startswith("timestamp"):
+        return F.unix_micros(F.col(col).cast("timestamp")).cast("double")
+    if kind in ("struct", "array", "map"):
+        return F.lit(0.0)
+    return F.col(col).cast("double")
 
 
-def _ranged(df, order):
-    """Rows range-sorted and written out, so that all reads see the same partitions.
+def _in_runs(df, order):
+    """Rows with ``_run``, a number that grows with the order: every run is sorted by itself.
 
-    Adds ``_part`` (partition in sort order) and ``_slot`` (row in the partition).
+    The cuts are approximate quantiles of the first order column, ``BUCKETS`` numbers whatever the size.
     """
-    ranged = df.orderBy(*_as_cols(order)).withColumn("_id", F.monotonically_increasing_id())
-    return cut_lineage(ranged.select(
-        *df.columns, F.shiftright("_id", SLOT_BITS).alias("_part"),
-        F.col("_id").bitwiseAND(F.lit((1 << SLOT_BITS) - 1)).alias("_slot")))
+    keys = {f"_key{i}": c for i, c in enumerate(_as_cols(order))}
+    rows = df.withColumns(keys)
+    rows = rows.withColumn("_at", _number(rows, "_key0", rows.schema["_key0"].dataType.typeName()))
+    cuts = rows.agg(F.percentile_approx("_at", [i / BUCKETS for i in range(1, BUCKETS)], 1000)).scalar()
+    run = F.size(F.filter("_cuts", lambda c: c < F.col("_at")))
+    rows = rows.withColumn("_cuts", cuts).withColumn("_run", F.greatest(F.coalesce(run, F.lit(0)), F.lit(0)))
+    return rows.drop("_at", "_cuts"), list(keys)
 
 
-def _with_offsets(ranged, total):
-    """Add ``_offset``: the total of all partitions before. One row per partition is broadcast."""
-    before = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
-    offsets = (ranged.groupBy("_part").agg(total.alias("_sum"))
-               .select("_part", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_offset")))
-    return ranged.join(F.broadcast(offsets), "_part")
+def _with_offsets(rows, total):
+    """Add ``_offset``: the total of all runs before. One row per run is broadcast, ``BUCKETS`` at most."""
+    before = W.orderBy("_run").rowsBetween(W.unboundedPreceding, -1)
+    offsets = (rows.groupBy("_run").agg(total.alias("_sum"))
+               .select("_run", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_offset")))
+    return rows.join(F.broadcast(offsets), "_run")
 
 
 def running_total(df, order, weight, into="_total"):
     """Sum of ``weight`` over all rows up to and including each one.
 
-    A window without partitions would run in one task; here each range partition
-    sums up its rows on top of the total of the partitions before it.
+    A window without partitions would run in one task; here each run of the sorted
+    rows sums up its rows on top of the total of the runs before it.
     """
-    rows = _with_offsets(_ranged(df, order), F.sum(weight))
-    within = W.partitionBy("_part").orderBy("_slot").rowsBetween(W.unboundedPreceding, 0)
-    return rows.withColumn(into, F.col("_offset") + F.sum(weight).over(within)).drop("_part", "_slot", "_offset")
+    rows, keys = _in_runs(df, order)
+    within = W.partitionBy("_run").orderBy(*keys).rowsBetween(W.unboundedPreceding, 0)
+    return (_with_offsets(rows, F.sum(weight)).withColumn(into, F.col("_offset") + F.sum(weight).over(within))
+            .drop("_run", "_offset", *keys))
 
 
 def global_position(df, order, into="_pos"):
-    """Dense 0-based position of each row in the total order, without a window over the rows."""
-    rows = _with_offsets(_ranged(df, order), F.count("*"))
-    return rows.withColumn(into, F.col("_offset") + F.col("_slot")).drop("_part", "_slot", "_offset")
+    """Dense 0-based position of each row in the total order, without a window over all rows."""
+    rows, keys = _in_runs(df, order)
+    within = W.partitionBy("_run").orderBy(*keys)
+    return (_with_offsets(rows, F.count("*")).withColumn(into, F.col("_offset") + F.row_number().over(within) - 1)
+            .drop("_run", "_offset", *keys))
 
 
 # --- regular series -------------------------------------------------------------

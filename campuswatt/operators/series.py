@@ -216,11 +216,11 @@ def quantiles(df, col, probabilities):
 
 
 def quartile_flags(df, col, high="is_high_occupation", low="is_low_occupation"):
-    """Above the upper / below the lower quartile of the column (two numbers, computed at once)."""
-    upper, lower = quantiles(df, col, [0.75, 0.25]).first()
+    """Above the upper / below the lower quartile of the column."""
+    bounds = quantiles(df, col, [0.75, 0.25]).select(F.struct("q0", "q1")).scalar()
     return df.withColumns({
-        high: F.coalesce(F.col(col) > F.lit(upper), F.lit(False)).cast("int"),
-        low: F.coalesce(F.col(col) < F.lit(lower), F.lit(False)).cast("int")})
+        high: F.coalesce(F.col(col) > bounds["q0"], F.lit(False)).cast("int"),
+        low: F.coalesce(F.col(col) < bounds["q1"], F.lit(False)).cast("int")})
 
 
 def corr_matrix(df, cols):

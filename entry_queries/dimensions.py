@@ -6,7 +6,7 @@ from campuswatt.functions import parsing as P
 from campuswatt.operators import dims as D, quality as Q
 from campuswatt.plans import marts, standard as S
 from campuswatt.schemas import DIMENSIONS
-from campuswatt.session import cut_lineage, empty_table
+from campuswatt.session import empty_table
 from entry_queries.core import query
 from entry_queries.views import INV_ORDER
 
@@ -105,7 +105,7 @@ def time_dim(v):
        SOLAR_DIMS_SQL + """
 SELECT l_orderkey, l_linenumber, id_date, id_time, id_inverter, id_status, energy_produced FROM """ + SOLAR_JOIN_SQL)
 def star_lookup(v):
-    rows = cut_lineage(solar(v))
+    rows = solar(v)
     return with_keys(v, rows, solar_dims(v, rows))
 
 
@@ -116,7 +116,7 @@ STAR = "year:i month:i day:i hour:i minute:i inverter_name:s status_name:s energ
 SELECT y AS year, m AS month, d AS day, h AS hour, mi AS minute, inverter_name, status_name, energy_produced, error_count
 FROM """ + SOLAR_JOIN_SQL)
 def star_denorm(v):
-    rows = cut_lineage(solar(v))
+    rows = solar(v)
     dims = solar_dims(v, rows)
     fact = with_keys(v, rows, dims).drop("inverter_name", "status_name", "date", "time")
     return marts.solar_star(fact, dims["DimDate"], dims["DimTime"], dims["DimInverter"], dims["DimStatus"])

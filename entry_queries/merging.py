@@ -7,7 +7,6 @@ from campuswatt.operators.clean import split_ts
 from campuswatt.operators.ordering import dedup_first
 from campuswatt.plans import standard as S
 from campuswatt.schemas import METEO_MEASURES
-from campuswatt.session import cut_lineage
 from entry_queries.cleaning import wide
 from entry_queries.core import query
 from entry_queries.dimensions import solar, solar_dims, with_keys
@@ -294,7 +293,7 @@ folded AS (SELECT date, inverter_name, list_reduce(l, lambda s, x: CASE WHEN abs
 SELECT date, inverter_name, sum(f.e) AS kwh, count(*) AS readings FROM folded GROUP BY ALL""")
 def daily_yield(v):
     """Flagship: readings to standard form, upsert into an empty fact, star join, daily energy per inverter."""
-    rows, key = cut_lineage(solar(v)), ["id_date", "id_time", "id_inverter", "id_status"]
+    rows, key = solar(v), ["id_date", "id_time", "id_inverter", "id_status"]
     dims = solar_dims(v, rows)
     rows = with_keys(v, rows, dims)
     fact = rows.filter(F.lit(False)).select(*key, *SOLAR_MEASURES, "error_count")
