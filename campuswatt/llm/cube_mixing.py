@@ -47,7 +47,7 @@ def targets(sizes, weights=WEIGHTS, share=SHARE, at_most=AT_MOST):
     level rises from step to step, and each step is one sum over the sources.
     """
     sources = sizes.groupBy("source").agg(F.count("*").alias("n"), F.sum("size").alias("source_size"))
-    ranked = global_position(sources, [F.col("source").asc_nulls_last()], into="_pos")
+    ranked = global_position(sources, [F.col("source").isNull(), F.col("source")], into="_pos")
     weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.col("_pos") % len(weights) + 1).cast("int"))
     ranked = settle(ranked.select("source", "n", "source_size", weight.alias("w"), (F.col("source_size") * at_most).alias("most")))
     total = share * (ranked.agg(F.sum("source_size")).first()[0] or 0)
