@@ -27,7 +27,7 @@ N_GRAM, NUMERATOR, DENOMINATOR = 5, 80, 100
 BUCKET_NGRAMS = 2_000_000      # n-grams a counting task holds
 GROUP_DOCS = 8192              # documents whose repeated n-grams meet in one task
 HELD = 1_000_000               # n-grams a reading task holds before it sends them
-RANGES = 8                     # hash ranges of the suffix filter
+RANGES = 32                    # hash ranges of the suffix filter
 HOT_SHARE = 64                 # occurrences in the sample from which an n-gram is not sent to its bucket
 
 
@@ -244,20 +244,33 @@ def _postings(sets, numerator, denominator):
             row = pa.array(np.concatenate(row))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.concatenate(gram).view(np.int64)), keys.take(row), batch.column(1).take(row),
-                 pa.array(np.concatenate(at).astype(np.int64)), batch.column(3).take(row)],
-                names=["gram", "key", "n", "at", "ranges"])
+                 pa.array(np.concatenate(at).astype(np.int32))], names=["gram", "key", "n", "at"])
 
-    return (sets.select("key", "n", "grams", "ranges")
-            .mapInArrow(read, "gram long, key binary, n long, at long, ranges array<int>"))
+    return sets.select("key", "n", "grams").mapInArrow(read, "gram long, key binary, n long, at int")
 
 
-def _filters(a, b, numerator, denominator):
-    """Length, positional and suffix filter of two postings of one n-gram."""
-    sizes = F.col(f"{a}.n") + F.col(f"{b}.n")
-    enough = lambda overlap: overlap * (numerator + denominator) >= sizes * numerator
-    left = F.least(F.col(f"{a}.n") - F.col(f"{a}.at"), F.col(f"{b}.n") - F.col(f"{b}.at"))
-    suffix = sum((F.least(F.col(f"{a}.ranges")[i], F.col(f"{b}.ranges")[i]) for i in range(RANGES)), F.lit(0))
-    return enough(F.least(f"{a}.n", f"{b}.n")) & enough(left) & enough(suffix)
+def _enough(a, b, overlap, numerator, denominator):
+    """Whether an overlap would make two sets similar."""
+    return overlap * (numerator + denominator) >= (F.col(f"{a}.n") + F.col(f"{b}.n")) * numerator
+
+
+def _likely(numerator, denominator):
+    """Length and positional filter of two postings of one n-gram."""
+    def test(a, b):
+        left = F.least(F.col(f"{a}.n") - F.col(f"{a}.at"), F.col(f"{b}.n") - F.col(f"{b}.at"))
+        return (_enough(a, b, F.least(f"{a}.n", f"{b}.n"), numerator, denominator)
+                & _enough(a, b, left, numerator, denominator))
+
+    return test
+
+
+def _closer(numerator, denominator):
+    """Suffix filter: an n-gram has its match in its own hash range, so the smaller counts bound the overlap."""
+    def test(a, b):
+        bound = sum((F.least(F.col(f"{a}.ranges")[i], F.col(f"{b}.ranges")[i]) for i in range(RANGES)), F.lit(0))
+        return _enough(a, b, bound, numerator, denominator)
+
+    return test
 
 
 def _sample_hot(texts, n, total, buckets):
@@ -300,7 +313,8 @@ def links(docs, doc_id="doc_id", text="text", n=N_GRAM, numerator=NUMERATOR, den
         lambda t: _candidates(t, numerator, denominator), "key binary, n long, grams binary, ranges array<int>"))
     postings = settle(_postings(sets, numerator, denominator))
 
-    found = link(postings, sets, lambda a, b: _filters(a, b, numerator, denominator), numerator, denominator)
+    found = link(postings, sets, _likely(numerator, denominator), numerator, denominator,
+                 detail=["ranges"], closer=_closer(numerator, denominator))
     roots = signed.join(components(found).withColumnsRenamed({"node": "key"}), "key", "left")
     roots = roots.withColumn("root", F.coalesce("root", "key"))
     smallest = roots.filter("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("component_id"))

@@ -16,17 +16,25 @@ PART = 512         # postings of one n-gram that are put in order together
 PARTNERS = 8       # pairs tried for a set in a round
 
 
-def link(postings, sets, likely, numerator, denominator):
+def link(postings, sets, likely, numerator, denominator, detail=(), closer=None):
     """Verified links (a, b) enough to connect all sets that similar pairs of ``postings`` connect.
 
-    ``likely(a, b)`` is a filter on two postings of one gram; ``sets`` has key, n and grams (packed 64-bit hashes).
+    ``likely(a, b)`` is a filter on two postings of one gram, ``closer(a, b)`` one on the columns ``detail`` of
+    their sets, used when all remaining pairs meet. ``sets`` has key, n and grams (packed 64-bit hashes).
     """
     found = None
     for turn in range(TURNS):
-        fresh = settle(_verified(_neighbours(_mixed(postings, found), turn, likely), sets, numerator, denominator))
+        mixed = _mixed(postings, found)
+        if turn:    # a list that one component holds alone stays so: later rounds go on without it
+            mixed = settle(mixed)
+            postings = mixed.drop("comp", "held")
+        fresh = settle(_verified(_neighbours(mixed, turn, likely), sets, numerator, denominator))
         found = fresh if found is None else found.unionByName(fresh)
     rest = _mixed(postings, found).drop("held")
-    pairs = (rest.alias("x").join(rest.alias("y"), "gram").filter(F.expr("x.comp < y.comp") & likely("x", "y"))
+    if detail:
+        rest = rest.join(sets.select("key", *detail), "key")
+    apart = F.expr("x.comp < y.comp") & likely("x", "y")
+    pairs = (rest.alias("x").join(rest.alias("y"), "gram").filter(apart if closer is None else apart & closer("x", "y"))
              .select(F.least("x.key", "y.key").alias("a"), F.greatest("x.key", "y.key").alias("b")).distinct())
     return found.unionByName(settle(_verified(pairs, sets, numerator, denominator)))
 
