@@ -106,9 +106,12 @@ def replace_sentinel(df, cols=None, sentinel=SENTINEL, by=0.0):
     return df.replace(sentinel, by, subset=cols or numeric)
 
 
-def filter_sites(df, sites=SITES, col="Site"):
-    """Known sites only; a feed without a site column stays whole."""
-    return df.filter(F.col(col).isin(*sites)) if col in df.columns else df
+def filter_sites(df, sites=SITES, col="Site", header=None):
+    """Known sites only; a feed, or by ``header`` (column names) a file, without a site column stays whole."""
+    if col not in df.columns:
+        return df
+    known = F.col(col).isin(*sites)
+    return df.filter(known if header is None else known | ~F.array_contains(header, col))
 
 
 def empty_files(df, kept, file):
@@ -117,9 +120,9 @@ def empty_files(df, kept, file):
         .withColumn("reason", F.lit("no usable rows"))
 
 
-def pivot_first(df, index, col, value, names, order):
-    """Wide form: first non-null value per index and name in the given order."""
-    df = df.dropna(subset=list(index))
+def pivot_first(df, index, col, value, names, order, optional=()):
+    """Wide form: first non-null value per index and name in the given order; ``optional`` index columns may be NULL."""
+    df = df.dropna(subset=[c for c in index if c not in optional])
     at = F.struct(*[F.col(o) if isinstance(o, str) else o for o in order])
     aggs = [F.min_by(value, F.when((F.col(col) == n) & F.col(value).isNotNull(), at)).alias(n) for n in names]
     return df.filter(F.col(col).isNotNull() & F.col(value).isNotNull()).groupBy(*index).agg(*aggs)
@@ -137,6 +140,18 @@ def strip_quotes(df):
         (P.strip_quotes(F.col(f"`{c}`")) if c in text else F.col(f"`{c}`")).alias(c.strip('"')) for c in df.columns])
 
 
+def missing_columns(columns, aliases=BOOKING_ALIASES, required=BOOKING_REQUIRED):
+    """Required columns that no variant among ``columns`` stands for."""
+    return [n for n in required if not {n, *aliases.get(n, ())} & set(columns)]
+
+
+def lacks_booking_columns(columns):
+    """Whether a booking header lacks a column; the date may also come in parts."""
+    columns = [c.strip('"') for c in columns]
+    dated = {"Année", "Mois", "Jour"} <= set(columns)
+    return bool(missing_columns(columns, required=[c for c in BOOKING_REQUIRED if c != "Date" or not dated]))
+
+
 def canonical(df, aliases=BOOKING_ALIASES, required=BOOKING_REQUIRED):
     """Rename the first present variant of each column; raise if a required one is missing."""
     present, renames = set(df.columns), {}
@@ -169,9 +184,9 @@ def booking_dates(df, year=None, file=None, order=()):
     The first row of each file decides whether the file is French. Rows whose date
     does not parse are dropped; the text stays in ``Date_original``.
     """
-    if "Date" not in df.columns:
-        parts = P.date_from_parts(F.lit(str(year)) if year else F.col("Année"), F.col("Mois"), F.col("Jour"))
-        df = df.withColumn("Date", P.iso(parts))
+    if {"Année", "Mois", "Jour"} <= set(df.columns):
+        parts = P.iso(P.date_from_parts(F.lit(str(year)) if year else F.col("Année"), F.col("Mois"), F.col("Jour")))
+        df = df.withColumn("Date", F.coalesce("Date", parts) if "Date" in df.columns else parts)
     auto = F.coalesce(F.try_to_timestamp(F.col("Date")).cast("date"),
                       F.try_to_timestamp(F.col("Date"), F.lit("M/d/yyyy")).cast("date"))
     if year:
@@ -210,7 +225,11 @@ def explode_pairs(df, a="class", b="professor"):
 
 def clean_bookings(df, prefix=ROOM_PREFIX, year=None, file=None, order=()):
     """Raw booking rows to normal form, one row per class and professor."""
-    out = canonical(strip_quotes(df), required=[c for c in BOOKING_REQUIRED if c != "Date"])
+    df = strip_quotes(df)
+    missing = missing_columns(df.columns, required=[c for c in BOOKING_REQUIRED if c != "Date"])
+    if missing:
+        raise ValueError(f"missing required columns: {missing}")
+    out = canonical_mixed(df)
     out = booking_dates(out, year, file, order)
     out = drop_if_present(prefix_filter(out, prefix=prefix))
     if "class" in out.columns and "professor" in out.columns:
@@ -238,9 +257,10 @@ def rename_weather(df):
 
 def clean_meteo(df, names, order, file=None, sites=SITES):
     """Long forecast rows to one row per (Date, Time, Site, Prediction)."""
-    out = filter_sites(replace_sentinel(df), sites)
+    out = filter_sites(replace_sentinel(df), sites, header="header" if "header" in df.columns else None)
     index = [c for c in (file, "Site", "Prediction", "Time") if c in df.columns]
-    out = pivot_first(out, index, "Measurement", "Value", names, order)
+    optional = ["Site"] if "header" in df.columns else []
+    out = pivot_first(out, index, "Measurement", "Value", names, order, optional)
     out = split_ts(out.withColumn("_ts", F.try_to_timestamp("Time")).drop("Time"), "_ts")
     first = [c for c in ("Date", "Time", "Site", "Prediction") if c in out.columns]
     return out.select(*first, *[c for c in out.columns if c not in first]).orderBy(*first)

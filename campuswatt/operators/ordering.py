@@ -106,21 +106,24 @@ def bucketed(df, ts, bucket="month"):
     return df.withColumn("_bucket", F.date_trunc(bucket, F.col(ts)))
 
 
+def cell(*columns):
+    """One join key of several columns. Structs with the same NULL fields are equal, so no row gets lost."""
+    return F.struct(*columns)
+
+
 def series_position(df, keys, ts, bucket="month", into="_pos"):
     """Dense 0-based position of each row in its series, without a window over the series.
 
     The rows come out partitioned by series and bucket: the explicit shuffle keeps an
     input partitioned by series from pinning a long series to one task.
     """
-    df = bucketed(df, ts, bucket)
-    by_bucket = [*keys, "_bucket"]
+    df = bucketed(df, ts, bucket).withColumn("_cell", cell(*keys, "_bucket"))
     before = W.partitionBy(*keys).orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
-    offsets = (df.groupBy(*by_bucket).agg(F.count("*").alias("_n"))
-               .withColumn("_offset", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-               .drop("_n"))
-    rank = F.row_number().over(W.partitionBy(*by_bucket).orderBy(ts)) - 1
-    return (df.repartition(*by_bucket).withColumn("_rank", rank).join(offsets, by_bucket)
-            .withColumn(into, F.col("_offset") + F.col("_rank")).drop("_rank", "_offset"))
+    offsets = (df.groupBy(*keys, "_bucket").agg(F.count("*").alias("_n"))
+               .select(cell(*keys, "_bucket").alias("_cell"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")))
+    rank = F.row_number().over(W.partitionBy("_cell").orderBy(ts)) - 1
+    return (df.repartition("_cell").withColumn("_rank", rank).join(offsets, "_cell")
+            .withColumn(into, F.col("_offset") + F.col("_rank")).drop("_rank", "_offset", "_cell"))
 
 
 def with_halo(df, keys, pos, before, chunk=4096):

@@ -7,7 +7,7 @@ travels through a table with one row per bucket.
 
 from pyspark.sql import Window as W, functions as F
 
-from campuswatt.operators.ordering import (_as_cols, bucketed, dedup_first, dedup_last, running_total,
+from campuswatt.operators.ordering import (_as_cols, bucketed, cell, dedup_first, dedup_last, running_total,
                                            series_position, with_halo)
 
 
@@ -40,7 +40,8 @@ def daily_amplitude(df, col, keys, ts, into, min_rows=24):
         (F.max(col) - F.min(col)).alias(into), F.count("*").alias("_n"))
     series_rows = F.sum("_n").over(W.partitionBy(*keys) if keys else W.partitionBy(F.lit(0)))
     per_day = per_day.withColumn(into, F.when(series_rows >= min_rows, F.col(into))).drop("_n")
-    return df.join(per_day, [*keys, "_day"]).drop("_day")
+    per_day = per_day.select(cell(*keys, "_day").alias("_cell"), into)
+    return df.withColumn("_cell", cell(*keys, "_day")).join(per_day, "_cell").drop("_day", "_cell")
 
 
 def _neighbours(df, cols, keys, ts, bucket):
@@ -56,14 +57,15 @@ def _neighbours(df, cols, keys, ts, bucket):
         carry for c in cols for carry in (
             F.last(f"_last_{c}", ignorenulls=True).over(left).alias(f"_in_{c}"),
             F.first(f"_first_{c}", ignorenulls=True).over(right).alias(f"_out_{c}"))])
-    inside = W.partitionBy(*by_bucket).orderBy(ts)
+    inside = W.partitionBy("_cell").orderBy(ts)
     past, future = inside.rowsBetween(W.unboundedPreceding, 0), inside.rowsBetween(0, W.unboundedFollowing)
-    out = df.repartition(*by_bucket).join(carries, by_bucket)
+    carries = carries.withColumn("_cell", cell(*by_bucket)).drop(*by_bucket)
+    out = df.withColumn("_cell", cell(*by_bucket)).repartition("_cell").join(carries, "_cell")
     out = out.withColumns({
         name: value for c in cols for name, value in (
             (f"_prev_{c}", F.coalesce(F.last(f"_known_{c}", ignorenulls=True).over(past), F.col(f"_in_{c}"))),
             (f"_next_{c}", F.coalesce(F.first(f"_known_{c}", ignorenulls=True).over(future), F.col(f"_out_{c}"))))})
-    return out.drop(*[f"_{kind}_{c}" for kind in ("known", "in", "out") for c in cols])
+    return out.drop("_cell", *[f"_{kind}_{c}" for kind in ("known", "in", "out") for c in cols])
 
 
 def _clean(df, cols):
@@ -116,9 +118,9 @@ def mode_fill(df, col, default=""):
 def group_mean_fill(df, col, by):
     """Replace NULL by the mean of the group (``by``: column expressions or names)."""
     by = {f"_g{i}": b for i, b in enumerate(_as_cols(by))}
-    df = df.withColumns(by)
-    means = df.groupBy(*by).agg(F.avg(col).alias("_mean"))
-    return df.join(means, list(by)).withColumn(col, F.coalesce(col, "_mean")).drop("_mean", *by)
+    df = df.withColumns(by).withColumn("_cell", cell(*by))
+    means = df.groupBy("_cell").agg(F.avg(col).alias("_mean"))
+    return df.join(means, "_cell").withColumn(col, F.coalesce(col, "_mean")).drop("_mean", "_cell", *by)
 
 
 def daily_resample(df, col, keys, ts, into=None):

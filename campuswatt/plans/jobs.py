@@ -35,13 +35,20 @@ def _paths(by_feed, feed, word=""):
 
 
 def cleaned(spark, by_feed, year=None):
-    """Cleaned rows per feed; a feed without files is absent."""
+    """Cleaned rows per feed; a feed without files, or with unreadable ones only, is absent."""
     readers = {
         "meter": R.clean_meter_files, "plant": R.clean_meter_files, "inverter": R.clean_inverter_files,
         "meteo": R.clean_meteo_files, "booking": lambda s, paths: R.clean_booking_files(s, paths, year),
         "unknown": R.read_text_any,
     }
-    return {feed: read(spark, _paths(by_feed, feed)) for feed, read in readers.items() if _paths(by_feed, feed)}
+    out = {}
+    for feed, read in readers.items():
+        if _paths(by_feed, feed):
+            try:
+                out[feed] = read(spark, _paths(by_feed, feed))
+            except ValueError:
+                continue      # no file of the feed has a usable header
+    return out
 
 
 def clean_all(spark, folder, out, load_date, year=None):
@@ -49,6 +56,8 @@ def clean_all(spark, folder, out, load_date, year=None):
 
     Files of unknown kind go through line by line. A file enters the ledger only
     after its rows are written; a run that failed in between repeats without harm.
+    A file that gave no rows (wrong header, no known site) goes to ``out/rejects``
+    and not into the ledger; the others go on.
     """
     known = spark.createDataFrame([], "name string")
     try:
@@ -56,39 +65,46 @@ def clean_all(spark, folder, out, load_date, year=None):
     except AnalysisException:
         pass    # first run: there is no ledger yet
     by_feed = new_by_feed(spark, folder, known)
-    for feed, rows in cleaned(spark, by_feed, year).items():
+    frames = cleaned(spark, by_feed, year)
+    for feed, rows in frames.items():
         R.write_feed(rows, f"{out}/{feed}", load_date, by_file=True)
-    names = [name for files in by_feed.values() for name, _ in files]
-    if names:
-        entries = spark.createDataFrame([(n, str(load_date)) for n in names], "name string, load_date string")
+    names = spark.createDataFrame([(n, feed) for feed, files in by_feed.items() for n, _ in files], "name string, feed string")
+    written = None
+    for feed in frames:
+        part = (spark.read.schema("load_date date, file string").parquet(f"{out}/{feed}").filter(F.col("load_date") == F.lit(load_date).cast("date"))
+                .select(F.col("file").alias("name"), F.lit(feed).alias("feed")).distinct())
+        written = part if written is None else written.unionByName(part)
+    taken = names if written is None else names.join(written, ["name", "feed"], "left_semi")
+    lost = names.join(taken, ["name", "feed"], "left_anti").select(
+        F.col("name").alias("file"), "feed", F.lit("no usable rows").alias("reason"))
+    entries = cut_lineage(taken.select("name", F.lit(str(load_date)).alias("load_date")))
+    if by_feed:
+        R.write_feed(lost, f"{out}/rejects", load_date, by_file=True)
         entries.write.mode("append").parquet(f"{out}/ledger")
-    return names
+    return [r.name for r in entries.select("name").orderBy("name").collect()]
 
 
 def load_meters(spark, wh, by_feed):
+    """Meter rows with the readings of the partner files of their own day; files without partners are rejected."""
+    names = spark.createDataFrame([(n,) for n, _ in by_feed.get("meter", [])], "name string")
+    matched, unmatched = FS.match_triples(names)
+    wh.reject("FactEnergyConsumption", unmatched)
     sides = [_paths(by_feed, "meter", kind) for kind in ("Consumption", "Temperature", "Humidity")]
     if not all(sides):
         return None
-    names = spark.createDataFrame([(n,) for n, _ in by_feed["meter"]], "name string")
-    matched, _ = FS.match_triples(names)
-    usable = {r.consumption for r in matched.collect()}
-    consumption = [p for n, p in by_feed["meter"] if n in usable]
-    if not consumption:
-        return None
-    frames = [cut_lineage(R.clean_meter_files(spark, paths)) for paths in (consumption, *sides[1:])]
-    return L.load_energy(wh, *frames, order=ROW_ORDER)
+    frames = [cut_lineage(R.clean_meter_files(spark, paths).withColumn("day", FS.file_date_token(F.col("file")))) for paths in sides]
+    complete = matched.select(F.col("consumption").alias("file")).distinct()
+    return L.load_energy(wh, frames[0].join(complete, "file", "left_semi"), *frames[1:], order=ROW_ORDER)
 
 
 def load_solar(spark, wh, by_feed):
     parts = []
     if _paths(by_feed, "plant"):
         plant = R.clean_meter_files(spark, _paths(by_feed, "plant"))
-        parts.append(S.std_pv(plant, ["file", F.col("block").cast("bigint").alias("block"), "row"])
-                     .withColumn("pass", F.lit(0)))
+        parts.append(S.std_pv(plant, ROW_ORDER).withColumns({"pass": F.lit(0), "inverter_no": F.lit(0).cast("bigint")}))
     if _paths(by_feed, "inverter"):
         inverters = R.clean_inverter_files(spark, _paths(by_feed, "inverter"))
-        rows, rejects = S.std_min(inverters, ["file", F.col("line_no").cast("bigint").alias("block"),
-                                              F.col("_block").cast("bigint").alias("row")])
+        rows, rejects = S.std_min(inverters, [*ROW_ORDER, F.col("_block").cast("bigint").alias("inverter_no")])
         wh.reject("FactSolarProduction", rejects)
         parts.append(rows.withColumn("pass", F.lit(1)))
     if not parts:
@@ -96,7 +112,7 @@ def load_solar(spark, wh, by_feed):
     batch = parts[0]
     for p in parts[1:]:
         batch = batch.unionByName(p)
-    return L.load_solar(wh, batch, ["pass", *ROW_ORDER])
+    return L.load_solar(wh, batch, ["pass", *ROW_ORDER, "inverter_no"])
 
 
 def load_rooms(spark, wh, by_feed, year=None):

@@ -73,7 +73,8 @@ def load_meteo(wh, batch, order):
 
 def load_energy(wh, consumption, temperature, humidity, order):
     """Insert-only load of meter rows that have all three readings."""
-    batch = S.meter_rows(consumption, temperature, humidity, order)
+    key = ("day", "Date", "Time") if "day" in consumption.columns else ("Date", "Time")
+    batch = S.meter_rows(consumption, temperature, humidity, order, key)
     batch = cut_lineage(batch.withColumnsRenamed({"Date": "date", "Time": "time"})
                         .withColumn("date", F.to_date("date")).dropna(subset=["date", "time"]))
     dates, times = _grow_dates(wh, batch), _grow_times(wh, batch, "time")
@@ -83,7 +84,7 @@ def load_energy(wh, consumption, temperature, humidity, order):
     counts = {r.action: r.n for r in M.insert_only_stats(target, rows, key, S.energy_valid(), order).collect()}
     fresh = M.insert_only(target, rows, key, S.energy_valid(), order)
     wh.reject(table, Q.valid_energy(rows)[1])
-    wh.write(table, target.unionByName(fresh.select(*target.columns)))
+    wh.append(table, cut_lineage(fresh))
     return {"processed": sum(counts.values()), "inserted": counts.get("inserted", 0),
             "duplicates": counts.get("duplicate", 0), "invalid": counts.get("invalid", 0)}
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 SEED = 42    # fixed value
 
 # Settings and search grids of the models.
-GBT = {"maxIter": 200, "stepSize": 0.05, "maxDepth": 7, "subsamplingRate": 0.8}
+GBT = {"maxIter": 200, "stepSize": 0.05, "maxDepth": 7, "subsamplingRate": 0.8, "featureSubsetStrategy": "0.8"}
 FOREST = {"numTrees": 200, "maxDepth": 15, "minInstancesPerNode": 2, "featureSubsetStrategy": "sqrt"}
 FOREST_GRID = {"numTrees": [50, 100, 200], "maxDepth": [30, 10, 20], "minInstancesPerNode": [1, 2, 5]}
 GBT_GRID = {"maxIter": [50, 100, 200], "stepSize": [0.01, 0.1, 0.2], "maxDepth": [3, 5, 7]}

@@ -45,12 +45,6 @@ def cut_lineage(df):
     return spark.read.schema(df.schema).parquet(folder)
 
 
-def spread(df):
-    """Use all cores on an input with fewer splits than cores; larger inputs pass unchanged."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def empty_table(spark, schema):
     """No rows of the schema."""
     return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])

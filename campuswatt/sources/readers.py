@@ -1,5 +1,7 @@
 """Readers and writers of feed files."""
 
+import csv
+
 from pyspark.sql import functions as F
 
 from campuswatt.functions import parsing as P
@@ -17,10 +19,13 @@ FORMATS = {
 }
 
 
+MOST_MEASUREMENTS = 200
+
+
 def decode_text(content):
-    """Text of a binary column in the encoding its bytes are valid in."""
-    return F.expr(f"CASE WHEN is_valid_utf8({content}) THEN decode({content}, 'UTF-8') "
-                  f"ELSE decode({content}, 'ISO-8859-1') END")
+    """Text of a binary or text column in the encoding its bytes are valid in."""
+    return F.expr(f"CASE WHEN is_valid_utf8({content}) THEN decode(CAST({content} AS BINARY), 'UTF-8') "
+                  f"ELSE decode(CAST({content} AS BINARY), 'ISO-8859-1') END")
 
 
 def split_lines(df, text="text", into="line"):
@@ -36,71 +41,133 @@ def read_text_any(spark, path):
     return split_lines(files)
 
 
-def read_feed(spark, path, feed, columns=None):
+def read_lines(spark, path):
+    """Lines of text files, each decoded by its own bytes, with file, folder and order in the file.
+
+    Large files are split; a split is at least a line, so no file has to fit a cell.
+    """
+    meta = F.col("_metadata")
+    return spark.read.text(path).select(
+        F.regexp_replace(decode_text("value"), "^\ufeff", "").alias("line"), meta["file_name"].alias("source_file"),
+        F.regexp_extract(meta["file_path"], r"^(.*)/[^/]*$", 1).alias("source_dir"),
+        meta["file_block_start"].alias("block"), F.monotonically_increasing_id().alias("row")).filter("trim(line) <> ''")
+
+
+def headed(lines):
+    """Lines without the first one of each file, which comes as ``head``; a file of one line has no rows."""
+    at, file = F.struct("block", "row"), ["source_dir", "source_file"]
+    heads = lines.groupBy(*file).agg(F.min_by("line", at).alias("head"), F.min(at).alias("_first"))
+    return lines.join(heads, file).filter(at != F.col("_first")).drop("_first"), heads.select(*file, "head")
+
+
+def _header(line, feed):
+    """Cells of a header line; a repeated name gets a number."""
+    quote = FORMATS[feed]["quote"]
+    cells = next(csv.reader([line], delimiter=FORMATS[feed]["sep"], **({"quotechar": quote} if quote else {"quoting": csv.QUOTE_NONE})))
+    seen, out = {}, []
+    for c in cells:
+        seen[c] = seen.get(c, -1) + 1
+        out.append(f"{c}.{seen[c]}" if seen[c] else c)
+    return out
+
+
+def _variants(heads, feed, lacks=None):
+    """Different header lines of the files and their cells: one of each layout, however many files there are."""
+    lines = [r.head for r in heads.select("head").distinct().orderBy("head").collect()]
+    known = {line: _header(line, feed) for line in lines}
+    return {line: cells for line, cells in known.items() if lacks is None or not lacks(cells)}
+
+
+def read_feed(spark, path, feed, names=None, lacks=None):
     """Rows of a delimited feed as text, with file name and order of the row in its file.
 
-    Weather files skip malformed lines. Daily drops are small and many: one task
-    reads many files, and large files are split.
+    Every file is read by its own header line and its own encoding. The columns are those of all headers; a
+    file that lacks one has NULL there, and ``header`` has the names of the file. With ``names`` the columns
+    are taken by position instead. Weather files skip lines with another number of cells. Files whose header
+    ``lacks`` something are left out.
     """
     fmt = FORMATS[feed]
-    reader = (spark.read.option("sep", fmt["sep"]).option("quote", fmt["quote"]).option("header", True)
-              .option("mode", "DROPMALFORMED" if feed == "meteo" else "PERMISSIVE"))
-    if columns:
-        reader = reader.schema(", ".join(f"`{c}` string" for c in columns))
-    return with_provenance(reader.csv(path))
+    lines, heads = headed(read_lines(spark, path))
+    variants = _variants(heads, feed, lacks)
+    width = max([len(c) for c in variants.values()] + [len(names or ())]) + 1
+    cells = F.from_csv("line", ", ".join(f"c{i} string" for i in range(width)), {"sep": fmt["sep"], "quote": fmt["quote"]})
+    kind = F.array_position(F.array(*[F.lit(h) for h in variants]).cast("array<string>"), F.col("head"))
+    rows = lines.withColumn("_kind", kind).filter("_kind > 0").withColumn("_cells", cells)
+    layouts = list(variants.values())
+    if feed == "meteo":
+        size = F.element_at(F.array(*[F.lit(len(c)) for c in layouts]).cast("array<int>"), F.col("_kind").cast("int"))
+        rows = rows.filter((F.size(F.split("line", fmt["sep"])) == size) | F.contains("line", F.lit('"')))
+    if names:
+        columns = {n: [i if i < len(c) else None for c in layouts] for i, n in enumerate(names)}
+    else:
+        every = list(dict.fromkeys(n for c in layouts for n in c))
+        columns = {n: [c.index(n) if n in c else None for c in layouts] for n in every}
 
+    def cell(places):
+        """The column in each layout."""
+        out = F.lit(None).cast("string")
+        for k, i in enumerate(places):
+            if i is not None:
+                out = F.when(F.col("_kind") == k + 1, F.col(f"_cells.c{i}")).otherwise(out)
+        return out
 
-def with_provenance(df):
-    """File, folder and an order within the file: block start, then row within the split."""
-    meta = F.col("_metadata")
-    return df.select(
-        "*", meta["file_name"].alias("source_file"),
-        F.regexp_extract(meta["file_path"], r"^(.*)/[^/]*$", 1).alias("source_dir"),
-        meta["file_block_start"].alias("block"), F.monotonically_increasing_id().alias("row"))
+    header = F.element_at(F.array(*[F.array(*[F.lit(n) for n in c]) for c in layouts]).cast("array<array<string>>"), F.col("_kind").cast("int"))
+    return rows.select(*[cell(places).alias(n) for n, places in columns.items()], header.alias("header"),
+                       "source_file", "source_dir", "block", "row")
 
 
-def header_of(spark, path, feed):
-    """Column names of a feed file: one line read on the driver."""
-    line = read_text_any(spark, path).filter("line_no = 0").select("line").first()
-    return [h.strip('"') for h in line[0].split(FORMATS[feed]["sep"])]
+def bad_headers(spark, path, feed, lacks):
+    """(file, reason) of files whose header lacks something, and of empty ones."""
+    _, heads = headed(read_lines(spark, path))
+    good = list(_variants(heads, feed, lacks))
+    return (heads.filter(~F.col("head").isin(good)) if good else heads).select(
+        F.col("source_file").alias("file"), F.lit("missing required columns").alias("reason"))
 
 
 def read_inverters(spark, path):
     """Inverter lines as (Date, Time, cells): block headers repeat, so cells go by position."""
-    lines = read_text_any(spark, path).filter("line_no > 0 AND trim(line) <> ''")
+    lines, _ = headed(read_lines(spark, path))
     cells = F.split("line", FORMATS["inverter"]["sep"])
-    return lines.select("file", "line_no", F.get(cells, F.lit(0)).alias("Date"), F.get(cells, F.lit(1)).alias("Time"),
+    return lines.select(F.col("source_file").alias("file"), "block", "row", F.get(cells, F.lit(0)).alias("Date"), F.get(cells, F.lit(1)).alias("Time"),
                         F.transform(F.slice(cells, F.lit(3), F.greatest(F.size(cells) - 2, F.lit(0))),
                                     lambda c: F.nullif(F.trim(c), F.lit(""))).alias("cells"))
 
 
 def clean_inverter_files(spark, path):
-    blocks = C.unpivot_blocks(read_inverters(spark, path), "cells", ["file", "line_no", "Date", "Time"])
-    return C.clean_inverters(blocks, ["line_no"], "file")
+    blocks = C.unpivot_blocks(read_inverters(spark, path), "cells", ["file", "block", "row", "Date", "Time"])
+    return C.clean_inverters(blocks, ["block", "row"], "file")
+
+
+METER_NAMES = ["Date", "Time", "Unit", "Value"]    # by position; the unit is dropped
 
 
 def clean_meter_files(spark, path):
-    raw = read_feed(spark, path, "meter").drop("source_dir")
+    raw = read_feed(spark, path, "meter", names=METER_NAMES)
+    # a file of three columns has no unit
+    raw = raw.withColumn("Value", F.when(F.size("header") > 3, F.col("Value")).otherwise(F.col("Unit"))).drop("header", "source_dir")
     return C.clean_meter(raw, ["block", "row"], file="source_file").withColumnRenamed("source_file", "file")
 
 
-def clean_meteo_files(spark, path, names=tuple(METEO_MEASURES)):
+def clean_meteo_files(spark, path, names=None):
+    """Weather files with all their measurements in columns; ``names`` takes these only."""
     raw = read_feed(spark, path, "meteo").drop("source_dir")
     typed = raw.withColumns({"Value": P.number(raw, "Value"), "Prediction": F.col("Prediction").try_cast("int")})
+    if names is None:      # the measurements of a weather model: metadata, like the columns they become
+        found = [r[0] for r in typed.select(F.trim("Measurement").alias("m")).filter("m <> ''").distinct().orderBy("m").limit(MOST_MEASUREMENTS + 1).collect()]
+        if len(found) > MOST_MEASUREMENTS:
+            raise ValueError(f"more than {MOST_MEASUREMENTS} measurements: is this a weather feed?")
+        names = [*METEO_MEASURES, *[m for m in found if m not in METEO_MEASURES]]
     wide = C.clean_meteo(typed, list(names), ["source_file", "block", "row"], file="source_file")
     return wide.withColumnRenamed("source_file", "file")
 
 
 def clean_booking_files(spark, paths, year=None):
-    """Booking files may differ in their headers: each path is read by its own."""
-    parts = []
-    for path in paths:
-        raw = read_feed(spark, path, "booking")
-        parts.append(C.clean_bookings(raw, year=year, file="source_file", order=["block", "row"]))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p, allowMissingColumns=True)
-    return out.withColumnRenamed("source_file", "file")
+    """Booking files, each read by its own header; files that lack a required column are left out.
+
+    If all files lack one, that is an error.
+    """
+    raw = read_feed(spark, paths, "booking", lacks=C.lacks_booking_columns).drop("source_dir", "header")
+    return C.clean_bookings(raw, year=year, file="source_file", order=["block", "row"]).withColumnRenamed("source_file", "file")
 
 
 def write_feed(df, path, load_date=None, fmt="parquet", by_file=False):

@@ -1,11 +1,14 @@
 """Warehouse tables as Parquet folders; facts are partitioned by month."""
 
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from campuswatt.schemas import DIMENSIONS, TABLES
 from campuswatt.session import cut_lineage, empty_table
 
 
+REJECTS = T.StructType([T.StructField(n, T.StringType()) for n in ("table", "reason", "row")])
+
+
 class Warehouse:
     """Tables of the galaxy schema under one root folder (shared storage on a cluster)."""
 
@@ -50,16 +53,19 @@ class Warehouse:
 
     def append(self, table, df):
         """Add rows; stored files stay as they are."""
-        df.select(*TABLES[table].names).write.mode("append").parquet(self.path(table))
+        writer = df.select(*TABLES[table].names).write.mode("append")
+        (writer if table in DIMENSIONS else writer.partitionBy("ym")).parquet(self.path(table))
 
     def reject(self, table, rows):
-        """Keep rejected rows as JSON with their reason."""
+        """Keep rejected rows as JSON with their reason; a row that is there already is not added again."""
         rest = [c for c in rows.columns if c != "reason"]
-        kept = rows.select(F.lit(table).alias("table"), "reason", F.to_json(F.struct(*rest)).alias("row"))
-        kept.write.mode("append").parquet(self.path("rejects"))
+        kept = rows.select(F.lit(table).alias("table"), "reason", F.to_json(F.struct(*rest)).alias("row")).distinct()
+        empty_table(self.spark, REJECTS).write.mode("ignore").parquet(self.path("rejects"))
+        fresh = cut_lineage(kept.join(self.rejects(), REJECTS.names, "left_anti"))
+        fresh.write.mode("append").parquet(self.path("rejects"))
 
     def rejects(self):
-        return self.spark.read.schema("table string, reason string, row string").parquet(self.path("rejects"))
+        return self.spark.read.schema(REJECTS).parquet(self.path("rejects"))
 
     def read_jdbc(self, url, table, key, lower, upper, partitions, **options):
         """The same table in a database, read in parallel key ranges."""

@@ -121,15 +121,18 @@ def chrono_split(v):
     return MO.chrono_split(v.table("events"), ["ts", "event_id"])
 
 
-@query("hash_split", "is_train:i rows:i")
+DRAW_SQL = "CAST('0x' || substr(md5(l_orderkey || '|' || l_linenumber || '|42'), 1, 8) AS BIGINT) % 10000"
+LINE_KEY = ["l_orderkey", "l_linenumber"]
+
+
+@query("hash_split", "l_orderkey:i l_linenumber:i is_train:i", f"SELECT l_orderkey, l_linenumber, {DRAW_SQL} < 8000 AS is_train FROM lineitem")
 def hash_split(v):
-    split = MO.hash_split(v.table("lineitem"), ["l_orderkey", "l_linenumber"])
-    return split.groupBy("is_train").agg(F.count("*").alias("rows"))
+    return MO.hash_split(v.table("lineitem"), LINE_KEY)
 
 
-@query("sample_rows", "l_orderkey:i l_linenumber:i")
+@query("sample_rows", "l_orderkey:i l_linenumber:i", f"SELECT l_orderkey, l_linenumber FROM lineitem WHERE {DRAW_SQL} < 1000")
 def sample_rows(v):
-    return MO.sample_rows(v.table("lineitem"), 0.1)
+    return MO.sample_rows(v.table("lineitem"), LINE_KEY, 0.1)
 
 
 @query("zscore", "l_orderkey:i l_linenumber:i l_quantity:f l_tax:f", """
@@ -185,26 +188,40 @@ def hourly_features(v):
 MODEL_FEATURES = ["predicted", "hour", "day_of_week", "hour_sin", "hour_cos"]
 
 
-@query("gbt_forecast", "ts:t actual:f prediction:f")
+def split_features(v):
+    """Training rows and the newest fifth of the rows."""
+    rows = MO.chrono_split(hourly_features(v), ["ts"])
+    return rows.filter("is_train = 1"), rows.filter("is_test = 1")
+
+
+# The values a tree model predicts are its own; certain are the rows, the actual values and the range.
+TEST_SQL = """
+r AS (SELECT *, row_number() OVER (ORDER BY ts) AS rn, count(*) OVER () AS n FROM v_actual),
+t AS (SELECT *, rn > n - greatest(1, CAST(floor(n * 0.2) AS BIGINT)) AS test FROM r)"""
+
+
+@query("gbt_forecast", "ts:t actual:f is_number:i", "WITH" + TEST_SQL + """
+SELECT ts, actual, 1 AS is_number FROM t WHERE test""")
 def gbt_forecast(v):
-    data = hourly_features(v)
-    return ML.fit(data, MODEL_FEATURES, "actual", ML.gbt(maxIter=10, maxDepth=4)).transform(data)
+    train, test = split_features(v)
+    scored = ML.fit(train, MODEL_FEATURES, "actual", ML.gbt()).transform(test)
+    return scored.withColumn("is_number", F.col("prediction").isNotNull() & ~F.isnan("prediction"))
 
 
-@query("forest_forecast", "ts:t actual:f prediction:f")
+@query("forest_forecast", "ts:t actual:f in_range:i", "WITH" + TEST_SQL + """
+SELECT ts, actual, 1 AS in_range FROM t WHERE test""")
 def forest_forecast(v):
-    data = hourly_features(v)
-    return ML.fit(data, MODEL_FEATURES, "actual", ML.random_forest(numTrees=10, maxDepth=5), scale=True).transform(data)
+    """Averages of training values stay inside their range."""
+    train, test = split_features(v)
+    scored = ML.fit(train, MODEL_FEATURES, "actual", ML.random_forest(), scale=True).transform(test)
+    low, high = (train.agg(f("actual")).scalar() for f in (F.min, F.max))
+    return scored.withColumn("in_range", F.col("prediction").between(low - 1e-9, high + 1e-9))
 
 
-@query("importances", "feature:s importance:f")
+@query("importances", "feature:s is_share:i total:f", "SELECT f AS feature, 1 AS is_share, 1 AS total FROM (SELECT unnest(["
+       + ", ".join(f"'{f}'" for f in MODEL_FEATURES) + "]) AS f, count(*) FROM v_actual GROUP BY ALL)")
 def importances(v):
-    model = ML.fit(hourly_features(v), MODEL_FEATURES, "actual", ML.random_forest(numTrees=10, maxDepth=5))
-    return ML.importances(v.spark, model, MODEL_FEATURES)
-
-
-@query("grid_search", "max_depth:i trees:i mse:f")
-def grid_search(v):
-    best = ML.grid_search(hourly_features(v), MODEL_FEATURES, "actual", ML.random_forest(),
-                          {"maxDepth": [2, 4], "numTrees": [5]}, folds=2)
-    return ML.grid_scores(v.spark, best, {"maxDepth": "max_depth", "numTrees": "trees"}, "mse")
+    train, _ = split_features(v)
+    out = ML.importances(v.spark, ML.fit(train, MODEL_FEATURES, "actual", ML.random_forest()), MODEL_FEATURES)
+    total = out.agg(F.sum("importance")).scalar()
+    return out.withColumns({"is_share": F.col("importance").between(0, 1), "total": total})

@@ -17,7 +17,6 @@ Exact halves round up in Spark's ``round``; the SQL adds 1e-9 where a result is
 from pyspark.sql import functions as F
 
 from campuswatt.operators.series import hour_spine
-from campuswatt.session import spread
 
 INV_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
              "l_discount", "l_tax", "l_returnflag", "l_linestatus"]
@@ -25,7 +24,7 @@ INV_ORDER_SQL = ", ".join(INV_ORDER)
 
 MEASURE_OF = {"click": "PRED_T_2M_ctrl", "view": "PRED_RELHUM_2M_ctrl", "purchase": "PRED_TOT_PREC_ctrl",
               "signup": "PRED_GLOB_ctrl", "error": "PRED_OTHER"}
-MEASURES = list(MEASURE_OF.values())[:4]
+MEASURES = list(MEASURE_OF.values())
 
 SQL_VIEWS = {
     "v_inv": """
@@ -108,7 +107,7 @@ class Views:
                                if f.dataType.typeName() == "timestamp_ntz"})
 
     def inv(self):
-        li = spread(self.table("lineitem"))
+        li = self.table("lineitem")
         hour, minute = F.col("l_orderkey") % 24, F.col("l_linenumber") * 5
         return li.select(
             F.to_date("l_shipdate").alias("Date"),
@@ -135,7 +134,7 @@ class Views:
         return self.table("events").withColumn("ts", F.date_trunc("hour", "ts")).drop("props")
 
     def book(self):
-        o, c = spread(self.table("orders")), self.table("customer")
+        o, c = self.table("orders"), self.table("customer")
         k, cust = F.col("o_orderkey"), F.col("o_custkey")
         first = F.lpad((7 + k % 12).cast("string"), 2, "0")
         last = F.lpad((8 + k % 12 + cust % 3).cast("string"), 2, "0")

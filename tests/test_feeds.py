@@ -66,7 +66,7 @@ def test_inverter_file(spark, tmp_path):
     assert by_key["10:05:00", "1"].Pac == "12000"                     # first of two rows
     assert by_key["10:05:00", "2"].Pac == "2500" and by_key["10:05:00", "2"].Uac is None   # short block is padded
     assert not [k for k in by_key if k[0] in ("10:10:00",)]
-    rows, rejects = S.std_min(R.clean_inverter_files(spark, str(tmp_path)), ["line_no"])
+    rows, rejects = S.std_min(R.clean_inverter_files(spark, str(tmp_path)), ["row"])
     std = {(r.time, r.inverter_name): r for r in rows.collect()}
     assert std["10:00:00", "1"].energy_produced == 0.5
     blank = std["10:15:00", "Unknown_Inverter"]
@@ -93,6 +93,26 @@ def test_meteo_file(spark, tmp_path):
     assert all(r.PRED_TOT_PREC_ctrl == 0.0 for r in got if r.Time == "04:00:00")
 
 
+def test_every_file_is_read_by_its_own_header(spark, tmp_path):
+    feeds.write(tmp_path, "Pred_1.csv", "Time,Site,Prediction,Measurement,Value\n2023-02-21 00:00:00,Sion,1,PRED_GLOB_ctrl,5\n2023-02-21 00:00:00,Bern,1,PRED_GLOB_ctrl,5\n")
+    feeds.write(tmp_path, "Pred_2.csv", "Time,Prediction,Measurement,Value\n2023-02-21 00:00:00,1,PRED_GLOB_ctrl,7\n2023-02-21 00:00:00,1,PRED_NEW,8\n")
+    for order in (["Pred_1.csv", "Pred_2.csv"], ["Pred_2.csv", "Pred_1.csv"]):
+        got = {(r.file, r.Site, r.PRED_GLOB_ctrl, r.PRED_NEW) for r in R.clean_meteo_files(spark, [str(tmp_path / n) for n in order]).collect()}
+        assert got == {("Pred_1.csv", "Sion", 5.0, None), ("Pred_2.csv", None, 7.0, 8.0)}
+
+
+def test_bookings_in_two_layouts_and_encodings(spark, tmp_path):
+    one = feeds.booking_file(tmp_path, "RoomAllocations_1.csv", feeds.FIRST_BOOKINGS)
+    text = "\t".join(["Année", "Mois", "Jour", "Début", "Fin", "Salle", "Utilisateur"]) + "\n2023\t2\t3\t8:00\t9:00\tVS-BEL1\tZoé\n"
+    two = feeds.write(tmp_path, "RoomAllocations_2.csv", text, "iso-8859-1")
+    bad = feeds.booking_file(tmp_path, "RoomAllocations_3.csv", [["2022-01-01", "u"]], ["Date", "User"])
+    for paths in ([one, two, bad], [bad, two, one]):
+        got = R.clean_booking_files(spark, paths).collect()
+        assert len([r for r in got if r.file == "RoomAllocations_1.csv"]) == 7
+        assert [(str(r.Date), r.user_name, r.start_time) for r in got if r.file == "RoomAllocations_2.csv"] == [("2023-02-03", "Zoé", "8:00")]
+    assert [r.file for r in R.bad_headers(spark, [one, two, bad], "booking", C.lacks_booking_columns).collect()] == ["RoomAllocations_3.csv"]
+
+
 def test_booking_file(spark, tmp_path):
     path = feeds.booking_file(tmp_path, "RoomAllocations_20230221.csv", feeds.FIRST_BOOKINGS)
     got = R.clean_booking_files(spark, [path]).collect()

@@ -1,6 +1,7 @@
 """Whole jobs on small drop folders: loads, repeated loads, snapshots, forecasts, export."""
 
 import datetime
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -64,6 +65,35 @@ def test_clean_all_takes_each_file_once(spark, tmp_path):
     assert [r.line for r in spark.read.parquet(f"{out}/unknown").orderBy("line_no").collect()] == ["any;thing", "1;2"]
 
 
+def test_a_bad_file_stops_no_other(spark, tmp_path):
+    drops, out = tmp_path / "d", str(tmp_path / "clean")
+    drops.mkdir()
+    feeds.meter_file(drops, feeds.DATES[0], "Consumption", {"1:00:00": "1"})
+    feeds.booking_file(drops, "RoomAllocations_1.csv", [["2022-01-01", "u"]], ["Date", "User"])
+    feeds.write(drops, "Pred_2023-02-21.csv", "Time,Site,Prediction,Measurement,Value\n2023-02-21 00:00:00,Bern,1,PRED_GLOB_ctrl,5\n")
+    assert jobs.clean_all(spark, str(drops), out, "2023-02-21") == [f"{feeds.DATES[0]}-Consumption.csv"]
+    rejects = {r.file: r.reason for r in spark.read.parquet(f"{out}/rejects").collect()}
+    assert rejects == {"RoomAllocations_1.csv": "no usable rows", "Pred_2023-02-21.csv": "no usable rows"}
+    feeds.booking_file(drops, "RoomAllocations_2.csv", feeds.FIRST_BOOKINGS)
+    assert jobs.clean_all(spark, str(drops), out, "2023-02-22") == ["RoomAllocations_2.csv"]
+
+
+def test_meter_rows_take_partners_of_their_own_day(spark, tmp_path):
+    """A time that the day's own partner files lack is not filled from another day's files."""
+    drops, wh = tmp_path / "d", Warehouse(spark, str(tmp_path / "wh"))
+    drops.mkdir()
+    first, second = feeds.DATES
+    feeds.meter_file(drops, first, "Consumption", {"1:00:00": "1", "2:00:00": "2"})
+    feeds.meter_file(drops, first, "Temperature", {"1:00:00": "5"})
+    feeds.meter_file(drops, first, "Humidity", {"1:00:00": "5", "2:00:00": "5"})
+    feeds.meter_file(drops, second, "Temperature", {"2:00:00": "9"})
+    os.replace(os.path.join(drops, f"{second}-Temperature.csv"), os.path.join(drops, "99-Temperature.csv"))
+    feeds.write(drops, f"{second}-Temperature.csv", open(os.path.join(drops, "99-Temperature.csv"), encoding="iso-8859-1").read().replace(second, first))
+    feeds.meter_file(drops, "24.02.2023", "Consumption", {"1:00:00": "1"})
+    assert jobs.load_all(spark, wh, str(drops))["FactEnergyConsumption"] == {"processed": 2, "inserted": 1, "duplicates": 0, "invalid": 1}
+    assert [r.reason for r in wh.rejects().filter("reason LIKE 'missing partner%'").collect()] == ["missing partner file"]
+
+
 def test_daily_production_features(spark, loaded):
     rows = T.production_daily_features(jobs.inverter_rows(loaded[0]), jobs.forecast_rows(loaded[0])).collect()
     assert [str(r.date) for r in rows] == ["2023-02-21"]
@@ -73,12 +103,14 @@ def test_daily_production_features(spark, loaded):
 def test_repeated_load_changes_nothing(spark, loaded):
     wh, _, drops = loaded
     before = {n: sorted(map(str, wh.read(n).drop("last_modified").collect())) for n in TABLES}
+    rejected = sorted(map(str, wh.rejects().collect()))
     again = jobs.load_all(spark, wh, str(drops))
     assert again["FactEnergyConsumption"]["inserted"] == 0
     assert again["FactSolarProduction"]["inserted"] == again["FactSolarProduction"]["updated"] == 0
     assert again["FactMeteoSwissData"]["unchanged"] == 192
     assert again["FactBookings"][0]["inserted"] == again["FactBookings"][0]["deactivated"] == 0
     assert {n: sorted(map(str, wh.read(n).drop("last_modified").collect())) for n in TABLES} == before
+    assert sorted(map(str, wh.rejects().collect())) == rejected
 
 
 def test_foreign_keys_hold(loaded):

@@ -130,3 +130,18 @@ def test_running_total_over_many_partitions(spark):
         total += i % 7
         want.append(total)
     assert [r.t for r in got] == want
+
+
+@pytest.mark.parametrize("run", [
+    lambda d: E.interp_linear(d, ["v"], ["s"], "ts"), lambda d: E.interp_time(d, ["v"], ["s"], "ts"),
+    lambda d: E.fill(d, ["v"], ["s"], "ts"), lambda d: E.lag_diff(d, "v", ["s"], "ts", "v"),
+    lambda d: E.rolling_sum(d, "v", 3, ["s"], "ts", "v"), lambda d: E.daily_amplitude(d, "v", ["s"], "ts", "v"),
+    lambda d: E.group_mean_fill(d, "v", ["s"])])
+def test_null_series_is_a_series(spark, sdf, run):
+    """The series without a name behaves like any other, and a row without a time stays."""
+    named, unnamed = sdf.filter("s = 'a'"), sdf.filter("s = 'a'").withColumn("s", F.lit(None).cast("string"))
+    want = sorted((str(r.ts), r.v) for r in run(named).collect())
+    got = run(unnamed.unionByName(sdf.filter("s = 'b'"))).collect()
+    assert sorted((str(r.ts), r.v) for r in got if r.s is None) == want
+    late = unnamed.limit(0).unionByName(spark.sql("SELECT 'a' AS s, CAST(NULL AS TIMESTAMP) AS ts, 1.0D AS v").select(*unnamed.columns))
+    assert run(named.unionByName(late)).count() == named.count() + 1
