@@ -6,7 +6,15 @@ from pyspark.sql import functions as F, types as T
 from campuswatt.session import cut_lineage
 
 
+BATCH_ROWS = 2000     # texts may be long: few of them go between Spark and Python at a time
+
+
+def bound_batches(spark):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 def table(spark, sf_dir, name):
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -20,14 +20,13 @@ import pyarrow as pa
 from pyspark.sql import Window as W, functions as F
 
 from campuswatt.llm import text as X
-from campuswatt.llm.common import components, pack, partitions, row_key, runs, settle, unpack
-from campuswatt.llm.linking import link
+from campuswatt.llm.common import pack, partitions, row_key, runs, settle, unpack
+from campuswatt.llm.linking import enough, link, range_counts
 
 N_GRAM, NUMERATOR, DENOMINATOR = 5, 80, 100
 BUCKET_NGRAMS = 2_000_000      # n-grams a counting task holds
 GROUP_DOCS = 8192              # documents whose repeated n-grams meet in one task
 HELD = 1_000_000               # n-grams a reading task holds before it sends them
-RANGES = 32                    # hash ranges of the suffix filter
 HOT_SHARE = 64                 # occurrences in the sample from which an n-gram is not sent to its bucket
 
 
@@ -218,8 +217,7 @@ def _candidates(table, numerator, denominator):
         mine = grams[first[d]:first[d + 1]]
         n = int(size[d])
         if len(mine) >= _need(n, numerator, denominator):
-            ranges = np.bincount((mine >> np.uint64(45)).astype(np.int64) % RANGES, minlength=RANGES)
-            for out, value in zip(rows, (key, n, mine.tobytes(), ranges.tolist())):
+            for out, value in zip(rows, (key, n, mine.tobytes(), range_counts(mine))):
                 out.append(value)
     return pa.Table.from_arrays([pa.array(rows[0], pa.binary()), pa.array(rows[1], pa.int64()),
                                  pa.array(rows[2], pa.binary()), pa.array(rows[3], pa.list_(pa.int32()))],
@@ -249,26 +247,12 @@ def _postings(sets, numerator, denominator):
     return sets.select("key", "n", "grams").mapInArrow(read, "gram long, key binary, n long, at int")
 
 
-def _enough(a, b, overlap, numerator, denominator):
-    """Whether an overlap would make two sets similar."""
-    return overlap * (numerator + denominator) >= (F.col(f"{a}.n") + F.col(f"{b}.n")) * numerator
-
-
 def _likely(numerator, denominator):
     """Length and positional filter of two postings of one n-gram."""
     def test(a, b):
         left = F.least(F.col(f"{a}.n") - F.col(f"{a}.at"), F.col(f"{b}.n") - F.col(f"{b}.at"))
-        return (_enough(a, b, F.least(f"{a}.n", f"{b}.n"), numerator, denominator)
-                & _enough(a, b, left, numerator, denominator))
-
-    return test
-
-
-def _closer(numerator, denominator):
-    """Suffix filter: an n-gram has its match in its own hash range, so the smaller counts bound the overlap."""
-    def test(a, b):
-        bound = sum((F.least(F.col(f"{a}.ranges")[i], F.col(f"{b}.ranges")[i]) for i in range(RANGES)), F.lit(0))
-        return _enough(a, b, bound, numerator, denominator)
+        return (enough(a, b, F.least(f"{a}.n", f"{b}.n"), numerator, denominator)
+                & enough(a, b, left, numerator, denominator))
 
     return test
 
@@ -313,9 +297,8 @@ def links(docs, doc_id="doc_id", text="text", n=N_GRAM, numerator=NUMERATOR, den
         lambda t: _candidates(t, numerator, denominator), "key binary, n long, grams binary, ranges array<int>"))
     postings = settle(_postings(sets, numerator, denominator))
 
-    found = link(postings, sets, _likely(numerator, denominator), numerator, denominator,
-                 detail=["ranges"], closer=_closer(numerator, denominator))
-    roots = signed.join(components(found).withColumnsRenamed({"node": "key"}), "key", "left")
+    known = link(postings, sets, _likely(numerator, denominator), numerator, denominator)
+    roots = signed.join(known.withColumnsRenamed({"node": "key"}), "key", "left")
     roots = roots.withColumn("root", F.coalesce("root", "key"))
     smallest = roots.filter("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("component_id"))
     return roots.join(smallest, "root", "left").select(

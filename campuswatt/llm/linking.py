@@ -14,38 +14,67 @@ from campuswatt.llm.common import components, settle
 TURNS = 3          # rounds of random neighbours before all remaining pairs
 PART = 512         # postings of one n-gram that are put in order together
 PARTNERS = 8       # pairs tried for a set in a round
+RANGES = 32        # hash ranges of the suffix filter
 
 
-def link(postings, sets, likely, numerator, denominator, detail=(), closer=None):
-    """Verified links (a, b) enough to connect all sets that similar pairs of ``postings`` connect.
+def link(postings, sets, likely, numerator, denominator, turns=TURNS):
+    """(node, root) of all sets that links between similar pairs of ``postings`` connect.
 
-    ``likely(a, b)`` is a filter on two postings of one gram, ``closer(a, b)`` one on the columns ``detail`` of
-    their sets, used when all remaining pairs meet. ``sets`` has key, n and grams (packed 64-bit hashes).
+    ``likely(a, b)`` is a filter on two postings of one gram; ``sets`` has key, n, grams (packed 64-bit hashes) and
+    ranges (:func:`range_counts`).
     """
-    found = None
-    for turn in range(TURNS):
-        mixed = _mixed(postings, found)
+    known = None
+    for turn in range(turns):
+        mixed = _mixed(postings, known)
         if turn:    # a list that one component holds alone stays so: later rounds go on without it
             mixed = settle(mixed)
             postings = mixed.drop("comp", "held")
-        fresh = settle(_verified(_neighbours(mixed, turn, likely), sets, numerator, denominator))
-        found = fresh if found is None else found.unionByName(fresh)
-    rest = _mixed(postings, found).drop("held")
-    if detail:
-        rest = rest.join(sets.select("key", *detail), "key")
-    apart = F.expr("x.comp < y.comp") & likely("x", "y")
-    pairs = (rest.alias("x").join(rest.alias("y"), "gram").filter(apart if closer is None else apart & closer("x", "y"))
+        known = _joined(known, settle(_verified(_neighbours(mixed, turn, likely), sets, numerator, denominator)))
+    rest = _mixed(postings, known).drop("held").join(sets.select("key", "ranges"), "key")
+    apart = F.expr("x.comp < y.comp") & likely("x", "y") & _closer("x", "y", numerator, denominator)
+    pairs = (rest.alias("x").join(rest.alias("y"), "gram").filter(apart)
              .select(F.least("x.key", "y.key").alias("a"), F.greatest("x.key", "y.key").alias("b")).distinct())
-    return found.unionByName(settle(_verified(pairs, sets, numerator, denominator)))
+    return _joined(known, settle(_verified(pairs, sets, numerator, denominator)))
 
 
-def _mixed(postings, found):
+def range_counts(grams):
+    """How many of the hashes fall into each of ``RANGES`` ranges."""
+    return np.bincount((grams >> np.uint64(45)).astype(np.int64) % RANGES, minlength=RANGES).tolist()
+
+
+def enough(a, b, overlap, numerator, denominator):
+    """Whether an overlap would make two sets similar."""
+    return overlap * (numerator + denominator) >= (F.col(f"{a}.n") + F.col(f"{b}.n")) * numerator
+
+
+def _closer(a, b, numerator, denominator):
+    """Suffix filter: a gram has its match in its own hash range, so the smaller counts bound the overlap."""
+    bound = sum((F.least(F.col(f"{a}.ranges")[i], F.col(f"{b}.ranges")[i]) for i in range(RANGES)), F.lit(0))
+    return enough(a, b, bound, numerator, denominator)
+
+
+def _joined(known, links):
+    """Components known so far, joined by further links between their members or new nodes."""
+    if known is None:
+        return settle(components(links))
+    if links.isEmpty():
+        return known
+    at = lambda side: known.select(F.col("node").alias(side), F.col("root").alias(f"{side}_root"))
+    between = (links.join(at("a"), "a", "left").join(at("b"), "b", "left")
+               .select(F.coalesce("a_root", "a").alias("a"), F.coalesce("b_root", "b").alias("b")))
+    merged = components(between).select(F.col("node").alias("root"), F.col("root").alias("up"))
+    old = known.join(merged, "root", "left").select("node", F.coalesce("up", "root").alias("root"))
+    new = merged.join(known.select(F.col("node").alias("root")), "root", "left_anti").select(F.col("root").alias("node"), F.col("up").alias("root"))
+    return settle(old.unionByName(new))
+
+
+def _mixed(postings, known):
     """The postings of grams held by several components, with the component and the number of holders."""
-    if found is None:
+    if known is None:
         named = postings.withColumn("comp", F.col("key"))
     else:
-        known = components(found).withColumnsRenamed({"node": "key", "root": "comp"})
-        named = postings.join(known, "key", "left").withColumn("comp", F.coalesce("comp", "key"))
+        roots = known.withColumnsRenamed({"node": "key", "root": "comp"})
+        named = postings.join(roots, "key", "left").withColumn("comp", F.coalesce("comp", "key"))
     mixed = (named.groupBy("gram").agg(F.count("*").alias("held"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
              .filter("lo < hi").select("gram", "held"))
     return named.join(mixed, "gram")

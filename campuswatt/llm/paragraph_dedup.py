@@ -14,8 +14,8 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from campuswatt.llm import text as X
-from campuswatt.llm.common import components, pack, partitions, runs, settle, unpack
-from campuswatt.llm.linking import link
+from campuswatt.llm.common import pack, partitions, runs, settle, unpack
+from campuswatt.llm.linking import link, range_counts
 
 N_GRAM, NUMERATOR, DENOMINATOR = 5, 80, 100
 MIN_WORDS = 20
@@ -162,7 +162,7 @@ def _hot_hashes(texts, n, min_words, bands, rows, entries, buckets):
 
 
 def _whole_sets(texts, n, min_words):
-    """key, n and grams of all paragraphs (each key once a chunk)."""
+    """key, n, grams and ranges of all paragraphs (each key once a chunk)."""
     def read(batches):
         for batch in batches:
             for _, offsets, data in X.chunks(batch.column(0)):
@@ -171,9 +171,10 @@ def _whole_sets(texts, n, min_words):
                     sets.setdefault(_key(grams), grams)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(list(sets), pa.binary()), pa.array([len(g) for g in sets.values()], pa.int64()),
-                     pa.array([g.tobytes() for g in sets.values()], pa.binary())], names=["key", "n", "grams"])
+                     pa.array([g.tobytes() for g in sets.values()], pa.binary()),
+                     pa.array([range_counts(g) for g in sets.values()], pa.list_(pa.int32()))], names=["key", "n", "grams", "ranges"])
 
-    return texts.mapInArrow(read, "key binary, n long, grams binary")
+    return texts.mapInArrow(read, "key binary, n long, grams binary, ranges array<int>")
 
 
 def clusters(docs, doc_id="doc_id", text="text", n=N_GRAM, numerator=NUMERATOR, denominator=DENOMINATOR, min_words=MIN_WORDS, recall=RECALL):
@@ -199,12 +200,12 @@ def clusters(docs, doc_id="doc_id", text="text", n=N_GRAM, numerator=NUMERATOR,
     postings = settle(postings)
     colliding = postings.select("key").distinct()
     sets = settle(_whole_sets(texts, n, min_words).join(colliding, "key", "left_semi")
-                  .groupBy("key").agg(F.first("n").alias("n"), F.first("grams").alias("grams")))
+                  .groupBy("key").agg(*[F.first(c).alias(c) for c in ("n", "grams", "ranges")]))
     sized = settle(postings.join(sets.select("key", "n"), "key"))
     lengths = lambda a, b: F.least(f"{a}.n", f"{b}.n") * denominator >= F.greatest(f"{a}.n", f"{b}.n") * numerator
-    links = link(sized, sets, lengths, numerator, denominator)
+    known = link(sized, sets, lengths, numerator, denominator)
 
-    rooted = found.join(components(links).withColumnsRenamed({"node": "key"}), "key", "left").withColumn("root", F.coalesce("root", "key"))
+    rooted = found.join(known.withColumnsRenamed({"node": "key"}), "key", "left").withColumn("root", F.coalesce("root", "key"))
     order = F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "paragraph")
     first = (rooted.groupBy("root").agg(F.min(order).alias("first"), F.count("*").alias("found")).filter("found > 1"))
     return (rooted.join(first, "root").select(

@@ -1,14 +1,14 @@
 """Vectorised reading of UTF-8 text inside tasks: words, their hashes, and runs of words.
 
 Everything works on one *chunk*: the bytes of some whole texts, one after the other, with
-their offsets. Chunks hold about a megabyte, so a task's memory follows the longest single
+their offsets. Chunks hold about half a megabyte, so a task's memory follows the longest single
 text, not the size of its partition.
 """
 
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 
 _SEED = np.random.default_rng(0x5EED)
 _BYTE = _SEED.integers(0, 1 << 64, 256, dtype=np.uint64)

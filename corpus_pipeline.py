@@ -14,10 +14,11 @@ one's docs. All but the last return the columns of ``documents``.
 from pyspark.sql import functions as F
 
 from campuswatt.llm import cube_mixing, jaccard_join, packing, quality_cascade, suffix_dedup
-from campuswatt.llm.common import settle
+from campuswatt.llm.common import bound_batches, settle
 
 
 def quality(spark, docs, sf_dir):
+    bound_batches(spark)
     return quality_cascade.keep(docs)
 
 
