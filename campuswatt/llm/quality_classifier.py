@@ -91,8 +91,8 @@ def fit(docs, labels, doc_id="doc_id", text="text", label="quality", sample_rows
              .agg(F.min(label).cast("int").alias("label")).filter("_id IS NOT NULL"))
     share = {r.label: min(1.0, sample_rows / r["count"]) for r in known.groupBy("label").count().collect()}    # two rows
     picked = known.filter(" OR ".join([f"(label = {k} AND pmod(xxhash64(_id), {1 << 20}) < {v * (1 << 20)})" for k, v in share.items()]) or "false")
-    rows = (docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("text")).join(picked, "_id")
-            .select("label", "text", "_id"))
+    rows = (docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("text")).join(F.broadcast(picked), "_id")
+            .select("label", "text", "_id"))    # about 2 x sample_rows ids, whatever the corpus
 
     def bag(batches):
         for batch in batches:
