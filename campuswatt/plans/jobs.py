@@ -1,5 +1,7 @@
 """Jobs: load the feeds of a drop folder, train and score the forecasts."""
 
+from datetime import timedelta
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
@@ -186,22 +188,34 @@ def inverter_rows(wh):
                        F.col("total_energy_produced").alias("daysum"))
 
 
-def forecast_job(spark, wh, folder, start, train=True, score=True, load=True, kind="xgboost", grid=None,
-                 calendar=None, consumption_settings=None, production_settings=None):
-    """Train both models, score the days from ``start`` on, load the forecasts. Each step can be skipped."""
+def forecast_job(spark, wh, folder, start, train=True, score=True, load=True, kind="xgboost", grid=ML.FOREST_GRID,
+                 calendar=None, consumption_settings=None, production_settings=None, cutoff_days=T.CUTOFF_DAYS,
+                 gaps="interpolate", daily=True):
+    """Train the models, score the days from ``start`` on, load the forecasts. Each step can be skipped.
+
+    The newest ``cutoff_days`` before ``start`` stay out of training. The production model is the best of
+    ``grid``; with ``daily`` a model of the daily energy is trained beside it.
+    """
+    cutoff = F.lit(str(start - timedelta(days=cutoff_days))).cast("timestamp")
     calendar = academic.academic_calendar(spark) if calendar is None else calendar
     done = {}
     weather = rooms = None
     if train or score:
         weather, rooms = T.weather_features(forecast_rows(wh)), T.room_features(booking_rows(wh))
     if train:
-        features = T.consumption_features(consumption_rows(wh), weather, rooms, calendar)
+        features = T.consumption_features(consumption_rows(wh).filter(F.col("ts") < cutoff), weather, rooms, calendar, gaps=gaps)
         model, names, metrics = T.train_consumption(cut_lineage(features), kind, **(consumption_settings or {}))
         ML.save_model(spark, model, f"{folder}/consumption", names, metrics, kind=kind)
-        features = T.production_features(inverter_rows(wh), forecast_rows(wh))
+        inverters = inverter_rows(wh).filter(F.col("ts") < cutoff)
+        features = T.production_features(inverters, forecast_rows(wh), cutoff)
         p_model, p_names, p_metrics = T.train_production(features, grid=grid, **(production_settings or {}))
         ML.save_model(spark, p_model, f"{folder}/production", p_names, p_metrics)
         done["metrics"] = {"consumption": metrics, "production": p_metrics}
+        if daily:
+            rows = T.production_daily_features(inverters, forecast_rows(wh), cutoff=cutoff)
+            d_model, d_names, d_metrics = T.train_production(rows, **(production_settings or {}))
+            ML.save_model(spark, d_model, f"{folder}/production_daily", d_names, d_metrics)
+            done["metrics"]["production_daily"] = d_metrics
     if score:
         model, info = ML.load_model(spark, f"{folder}/consumption")
         daily = T.score_consumption(spark, model, info["features"], start, weather, rooms, calendar=calendar)

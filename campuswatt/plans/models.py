@@ -9,6 +9,8 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRe
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import functions as F
 
+from campuswatt.operators import modelling as MO
+
 SEED = 42    # fixed value
 
 # Settings and search grids of the models.
@@ -75,6 +77,17 @@ def grid_scores(spark, search, names, metric):
     return spark.createDataFrame(rows, ", ".join(f"{n} double" for n in [*names.values(), metric]))
 
 
+def fold_scores(df, features, label, estimator, k, order, scale=False):
+    """Metrics of contiguous folds, each predicted by a model fitted on the other folds (``k`` fits)."""
+    placed = MO.folds(df.filter(F.col(label).isNotNull()), k, order)
+    out = None
+    for i in range(k):
+        model = fit(placed.filter(F.col("fold") != i), features, label, estimator, scale)
+        one = MO.metrics(model.transform(placed.filter(F.col("fold") == i)), label, "prediction", by=["fold"])
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def importances(spark, model, features):
     """(feature, importance), most important first."""
     weights = model.stages[-1].featureImportances.toArray()

@@ -35,15 +35,33 @@ def room_features(bookings, divisions=None):
     return out
 
 
-def consumption_features(base, weather, rooms, calendar, interpolate=E.interp_linear):
+GAPS = ("interpolate", "drop", "fill")
+
+
+def fill_gaps(df, cols, ts="ts", method="interpolate", interpolate=E.interp_linear):
+    """Numeric gaps by interpolation, by dropping their rows, or by defaults.
+
+    The defaults: 0 for forecasts, the mean of the day for temperature and humidity, the rest interpolated.
+    """
+    if method == "drop":
+        return df.dropna(subset=list(cols))
+    if method == "fill":
+        df = df.na.fill(0.0, [c for c in cols if c.startswith("pred_")])
+        for c in ("temperature", "humidity"):
+            if c in cols:
+                df = E.group_mean_fill(df, c, [F.to_date(ts)])
+    return interpolate(df, list(cols), [], ts)
+
+
+def consumption_features(base, weather, rooms, calendar, interpolate=E.interp_linear, gaps="interpolate"):
     """Model rows: one per row of ``base`` (ts, maybe consumption), without gaps.
 
-    Weather gaps are interpolated, occupation gaps are 0, calendar gaps are 0 or ''.
+    Weather gaps go by ``gaps`` (:func:`fill_gaps`), occupation gaps are 0, calendar gaps are 0 or ''.
     """
     out = J.hourly_merge(base, weather, rooms, calendar)
     weather_cols = [c for c in weather.columns if c != "ts"]
     out = out.withColumns({c: F.col(c).cast("double") for c in weather_cols})
-    out = interpolate(out, weather_cols, [], "ts")
+    out = fill_gaps(out, weather_cols, "ts", gaps, interpolate)
     out = G.season(G.cyclic(G.day_flags(G.calendar_parts(out))))
     out = G.interactions(out)
     text = {f.name for f in out.schema.fields if f.dataType.typeName() == "string"}

@@ -171,6 +171,17 @@ def fold_metrics(v):
     return MO.fold_metrics(v.actual(), 5, ["ts"])
 
 
+@query("fold_scores", "fold:i " + METRICS, """WITH
+p AS (SELECT *, ntile(5) OVER (ORDER BY ts) - 1 AS fold FROM v_actual),
+m AS (SELECT f.fold, regr_slope(o.actual, o.predicted) AS s, regr_intercept(o.actual, o.predicted) AS i
+  FROM (SELECT DISTINCT fold FROM p) f JOIN p o ON o.fold <> f.fold GROUP BY f.fold),
+q AS (SELECT p.fold, p.actual, i + s * p.predicted AS predicted FROM p JOIN m ON p.fold = m.fold)
+SELECT fold, """ + METRICS_SQL + " FROM q GROUP BY fold")
+def fold_scores(v):
+    """A linear model fitted anew for every fold."""
+    return ML.fold_scores(v.actual(), ["predicted"], "actual", ML.linreg(), 5, ["ts"])
+
+
 # --- models ---------------------------------------------------------------------------------
 
 @query("linreg", "l_orderkey:i l_linenumber:i prediction:f", """

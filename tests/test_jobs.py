@@ -153,8 +153,8 @@ def test_forecast_job_and_export(spark, loaded, tmp_path):
     wh = loaded[0]
     start = datetime.date(2023, 2, 23)
     small = {"maxIter": 2, "maxDepth": 3}
-    done = jobs.forecast_job(spark, wh, str(tmp_path), start, consumption_settings=small,
-                             production_settings={"numTrees": 3, "maxDepth": 3})
+    done = jobs.forecast_job(spark, wh, str(tmp_path), start, consumption_settings=small, grid=None,
+                             production_settings={"numTrees": 3, "maxDepth": 3}, cutoff_days=0, daily=False)
     assert done["FactPrediction"]["inserted"] == 72
     assert done["metrics"]["consumption"]["hourly"]["n"] == 9
     hourly = spark.read.option("header", True).csv(f"{tmp_path}/forecast/production")

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from campuswatt.operators import modelling as MO, ordering as R, series as E
+from campuswatt.plans import training as T
 
 
 @pytest.fixture(scope="module")
@@ -132,6 +133,19 @@ def test_running_total_over_many_partitions(spark):
     assert [r.t for r in got] == want
 
 
+def test_gap_methods(spark):
+    rows = [("2024-01-01 00:00:00", 1.0, None, 4.0), ("2024-01-01 01:00:00", None, 2.0, None), ("2024-01-01 02:00:00", 5.0, None, 8.0)]
+    df = spark.createDataFrame(rows, "ts string, temperature double, pred_a double, x double").withColumn("ts", F.col("ts").cast("timestamp"))
+    cols = ["temperature", "pred_a", "x"]
+
+    def values(method):
+        return [tuple(r)[1:] for r in T.fill_gaps(df, cols, method=method).select("ts", *cols).orderBy("ts").collect()]
+
+    assert values("drop") == []
+    assert values("fill") == [(1.0, 0.0, 4.0), (3.0, 2.0, 6.0), (5.0, 0.0, 8.0)]
+    assert values("interpolate") == [(1.0, 2.0, 4.0), (3.0, 2.0, 6.0), (5.0, 2.0, 8.0)]
+
+
 @pytest.mark.parametrize("run", [
     lambda d: E.interp_linear(d, ["v"], ["s"], "ts"), lambda d: E.interp_time(d, ["v"], ["s"], "ts"),
     lambda d: E.fill(d, ["v"], ["s"], "ts"), lambda d: E.lag_diff(d, "v", ["s"], "ts", "v"),
