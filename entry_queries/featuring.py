@@ -229,8 +229,8 @@ def forest_forecast(v):
     return scored.withColumn("in_range", F.col("prediction").between(low - 1e-9, high + 1e-9))
 
 
-@query("importances", "feature:s is_share:i total:f", "SELECT f AS feature, 1 AS is_share, 1 AS total FROM (SELECT unnest(["
-       + ", ".join(f"'{f}'" for f in MODEL_FEATURES) + "]) AS f, count(*) FROM v_actual GROUP BY ALL)")
+@query("importances", "feature:s is_share:i total:f", "SELECT unnest(["
+       + ", ".join(f"'{f}'" for f in MODEL_FEATURES) + "]) AS feature, 1 AS is_share, 1 AS total FROM (SELECT count(*) FROM v_actual)")
 def importances(v):
     train, _ = split_features(v)
     out = ML.importances(v.spark, ML.fit(train, MODEL_FEATURES, "actual", ML.random_forest()), MODEL_FEATURES)

@@ -88,7 +88,8 @@ def daily_resample(v):
 
 @query("daylight_daily", "Site:s date:d " + " ".join(f"{m}:f" for m in MEASURES), """
 SELECT "Site", CAST(ts AS DATE) AS date, avg("PRED_T_2M_ctrl") AS "PRED_T_2M_ctrl", avg("PRED_RELHUM_2M_ctrl") AS "PRED_RELHUM_2M_ctrl",
-  sum("PRED_TOT_PREC_ctrl") AS "PRED_TOT_PREC_ctrl", avg("PRED_GLOB_ctrl") AS "PRED_GLOB_ctrl"
+  sum("PRED_TOT_PREC_ctrl") AS "PRED_TOT_PREC_ctrl", avg("PRED_GLOB_ctrl") AS "PRED_GLOB_ctrl",
+  avg("PRED_OTHER") AS "PRED_OTHER"
 FROM v_wide WHERE hour(ts) BETWEEN 6 AND 19 GROUP BY ALL""")
 def daylight_daily(v):
     return E.daylight_daily(wide(v), MEASURES, ["Site"])
