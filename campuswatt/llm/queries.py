@@ -95,6 +95,24 @@ SELECT b.doc_id, n_words, n_base, first_word, last_word, array_to_string(b.label
 FROM base b LEFT JOIN own o USING (doc_id)
 """.replace("TEMPLATES", _TEMPLATES)
 
+OP8_SQL = r"""
+WITH t AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+n AS (SELECT doc_id, h, length(h) // 2 AS n FROM t),
+w AS (SELECT doc_id, i, md5(substr(h, 2 * i + 1, 400)) AS s FROM (SELECT doc_id, h, unnest(range(n - 199)) AS i FROM n WHERE n >= 200)),
+r AS (SELECT doc_id, i FROM w WHERE s IN (SELECT s FROM w GROUP BY s HAVING count(*) > 1)),
+g AS (SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 200 THEN 0 ELSE 1 END AS fresh FROM r),
+k AS (SELECT doc_id, i, sum(fresh) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM g),
+spans AS (SELECT doc_id, k, min(i) AS a, max(i) + 200 AS b FROM k GROUP BY ALL),
+cut AS (SELECT doc_id, sum(b - a) AS gone, count(*) AS n_spans, max(b) AS tail FROM spans GROUP BY doc_id),
+parts AS (
+  SELECT s.doc_id, a, substr(h, 2 * coalesce(lag(b) OVER (PARTITION BY s.doc_id ORDER BY a), 0) + 1,
+    2 * (a - coalesce(lag(b) OVER (PARTITION BY s.doc_id ORDER BY a), 0))) AS part FROM spans s JOIN n USING (doc_id)),
+heads AS (SELECT doc_id, string_agg(part, '' ORDER BY a) AS head FROM parts GROUP BY doc_id)
+SELECT doc_id, n::BIGINT AS n_bytes, coalesce(gone, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+  sha256(unhex(CASE WHEN head IS NULL THEN h ELSE head || substr(h, 2 * tail + 1) END)) AS kept_sha256
+FROM n LEFT JOIN cut USING (doc_id) LEFT JOIN heads USING (doc_id)
+"""
+
 OP9_SQL = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
 d AS (SELECT page_id, strlen(h)::BIGINT AS payload_bytes, sha256(h) AS payload_digest FROM p),
@@ -143,6 +161,7 @@ QUERIES = {
 
 ORACLES = {
     "op6_license_scan": OP6_SQL,
+    "op8_suffix_array_dedup": OP8_SQL,
     "op9_warc_salvage": OP9_SQL,
     "op4_ngram_jaccard_join": OP4_SQL,
     "op10_quality_cascade": OP10_SQL,
