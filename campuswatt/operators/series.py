@@ -12,7 +12,16 @@ from campuswatt.operators.ordering import (_as_cols, bucketed, cell, dedup_first
 
 
 def hour_spine(bounds, start, end, into="ts", step="1 hour"):
-    """One row per step from ``start`` to ``end`` inclusive, for each row of ``bounds``."""
+    """One row per step from ``start`` to ``end`` inclusive, for each row of ``bounds``.
+
+    Hours come day by day, so that a long span is no long array in one row.
+    """
+    if step == "1 hour":
+        last = F.floor((F.unix_seconds(F.col(end).cast("timestamp")) - F.unix_seconds(F.col(start).cast("timestamp"))) / 3600)
+        days = bounds.withColumn("_last", last).filter("_last >= 0").withColumn("_day", F.explode(F.sequence(F.lit(0), F.floor(F.col("_last") / 24))))
+        hours = days.withColumn("_hour", F.explode(F.sequence(F.col("_day") * 24, F.least(F.col("_day") * 24 + 23, F.col("_last")))))
+        return (hours.withColumn(into, F.col(start) + F.make_dt_interval(hours=F.col("_hour").cast("int")))
+                .drop(start, end, "_last", "_day", "_hour"))
     return (bounds.withColumn(into, F.explode(F.sequence(F.col(start), F.col(end), F.expr(f"interval {step}"))))
             .drop(start, end))
 
