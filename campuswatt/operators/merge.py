@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from campuswatt.operators.joins import not_in
 from campuswatt.operators.ordering import dedup_first
-from campuswatt.session import cut_lineage
 
 TOLERANCE = 0.001           # fixed value: smaller differences are no change
 HOT_ROWS = 50_000           # keys with more rows in a batch are folded in ordered segments
@@ -92,8 +91,7 @@ def _folded(stored, batch, key, measures, exact, order, tol, hot_rows, segments)
     Adds ``_known`` (stored before), ``_rows`` (batch rows of the key) and ``_new``
     (struct of the state ``v`` after the batch and the number ``n`` of moves).
 
-    Most keys have one row: a plain aggregate, kept for all that follows, has them
-    ready. Only the rows of the other keys are read again and collected per key, and
+    Most keys have one row: a plain aggregate has them ready. Only the rows of the other keys are read again and collected per key, and
     keys with more than ``hot_rows`` rows are first cut into ordered segments, so
     that no group is unbounded.
     """
@@ -101,8 +99,8 @@ def _folded(stored, batch, key, measures, exact, order, tol, hot_rows, segments)
     state = "struct<" + ",".join(f"`{c}`:{stored.schema[c].dataType.simpleString()}" for c in cols) + ">"
     batch = batch.select(*key, *[F.col(c).cast(stored.schema[c].dataType).alias(c) for c in cols],
                          *[c for c in order if c not in key and c not in cols])
-    sizes = cut_lineage(batch.groupBy(*key).agg(
-        F.count("*").alias("_rows"), *[F.min(c).alias(f"_one_{c}") for c in cols]))
+    sizes = batch.groupBy(*key).agg(
+        F.count("*").alias("_rows"), *[F.min(c).alias(f"_one_{c}") for c in cols])
     out = stored.select(*key, *cols).withColumn("_known", F.lit(True)).join(sizes, list(key), "full_outer")
     known = "(_known IS NOT NULL)"
     one = "named_struct(" + ", ".join(f"'{c}', `_one_{c}`" for c in cols) + ")"

@@ -7,6 +7,7 @@ from campuswatt.operators.joins import explode_hours
 from campuswatt.operators.series import hour_spine, quartile_flags
 
 COURSE = "cours"         # fixed value: activity text of a course
+MOST_DIVISIONS = 1000
 COURSE_HEAVY = 0.7       # fixed value: share of courses that makes an hour course-heavy
 
 
@@ -61,7 +62,9 @@ def division_values(bookings, division="division"):
     """Known divisions as (value, column name): feature metadata, read from the dimension-sized distinct."""
     rows = (bookings.select(division).dropna().distinct()
             .select(F.col(division).alias("v"), F.concat(P.slug(F.col(division)), F.lit("_count")).alias("n"))
-            .orderBy("v").collect())
+            .orderBy("v").limit(MOST_DIVISIONS + 1).collect())
+    if len(rows) > MOST_DIVISIONS:
+        raise ValueError(f"more than {MOST_DIVISIONS} divisions: each would be a column")
     return [(r.v, r.n) for r in rows]
 
 
