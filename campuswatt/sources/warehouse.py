@@ -40,13 +40,14 @@ class Warehouse:
     def write(self, table, df):
         """Replace a dimension, or the months of a fact that ``df`` contains.
 
-        The rows usually derive from the table itself, so they are written aside
-        before the old files go. Rebalancing by month keeps the files few and even,
-        also when one month has most rows.
+        The rows usually derive from the table itself. Months are written beside the
+        old files and take their place when all tasks are done, so one write is enough;
+        a dimension is written aside first. Rebalancing by month keeps the files few
+        and even, also when one month has most rows.
         """
-        rows = cut_lineage(df.select(*TABLES[table].names))
+        rows = df.select(*TABLES[table].names)
         if table in DIMENSIONS:
-            rows.write.mode("overwrite").parquet(self.path(table))
+            cut_lineage(rows).write.mode("overwrite").parquet(self.path(table))
         else:
             writer = rows.hint("rebalance", "ym").write.mode("overwrite")
             writer.option("partitionOverwriteMode", "dynamic").partitionBy("ym").parquet(self.path(table))
