@@ -17,11 +17,12 @@ PARTNERS = 8       # pairs tried for a set in a round
 RANGES = 32        # hash ranges of the suffix filter
 
 
-def link(postings, sets, likely, numerator, denominator, turns=TURNS):
+def link(postings, sets, likely, numerator, denominator, turns=TURNS, few_grams=False):
     """(node, root) of all sets that links between similar pairs of ``postings`` connect.
 
     ``likely(a, b)`` is a filter on two postings of one gram; ``sets`` has key, n, grams (packed 64-bit hashes) and
-    ranges (:func:`range_counts`).
+    ranges (:func:`range_counts`). Sets of ``few_grams`` carry all of them into the last join, where a pair then
+    comes up only at the smallest gram it shares.
     """
     known = None
     for turn in range(turns):
@@ -32,6 +33,9 @@ def link(postings, sets, likely, numerator, denominator, turns=TURNS):
         known = _joined(known, settle(_verified(_neighbours(mixed, turn, likely), sets, numerator, denominator)))
     rest = _mixed(postings, known).drop("held").join(sets.select("key", "ranges"), "key")
     apart = F.expr("x.comp < y.comp") & likely("x", "y") & _closer("x", "y", numerator, denominator)
+    if few_grams:
+        rest = rest.join(rest.groupBy("key").agg(F.collect_list("gram").alias("mine")), "key")
+        apart = apart & F.expr("gram = array_min(array_intersect(x.mine, y.mine))")
     pairs = (rest.alias("x").join(rest.alias("y"), "gram").filter(apart)
              .select(F.least("x.key", "y.key").alias("a"), F.greatest("x.key", "y.key").alias("b")).distinct())
     return _joined(known, settle(_verified(pairs, sets, numerator, denominator)))

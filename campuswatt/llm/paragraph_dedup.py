@@ -203,7 +203,7 @@ def clusters(docs, doc_id="doc_id", text="text", n=N_GRAM, numerator=NUMERATOR,
                   .groupBy("key").agg(*[F.first(c).alias(c) for c in ("n", "grams", "ranges")]))
     sized = settle(postings.join(sets.select("key", "n"), "key"))
     lengths = lambda a, b: F.least(f"{a}.n", f"{b}.n") * denominator >= F.greatest(f"{a}.n", f"{b}.n") * numerator
-    known = link(sized, sets, lengths, numerator, denominator)
+    known = link(sized, sets, lengths, numerator, denominator, few_grams=True)
 
     rooted = found.join(known.withColumnsRenamed({"node": "key"}), "key", "left").withColumn("root", F.coalesce("root", "key"))
     order = F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "paragraph")
