@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from campuswatt.operators import joins as J, merge as M, ordering as R, series as E
+from campuswatt.session import checkpoint_dir
 from campuswatt.sources import files as FS
+from entry_queries import registry
 
 DATA = "/root/testdata/sf0.001"
 needs_data = pytest.mark.skipif(not os.path.isdir(DATA), reason="no test data")
@@ -48,11 +50,16 @@ def test_no_python_worker(spark, name):
     assert "Python" not in text and "ArrowEval" not in text
 
 
+# a window's or partition's cell is the series and the bucket together, so that a series without a name has cells too
+CELL = r"struct\(s, s#\d+L, _bucket, (_bucket#\d+|date_trunc)"
+
+
 def test_series_windows_run_per_bucket(readings):
     for df in (E.interp_linear(readings, ["v"], ["s"], "ts"), E.interp_time(readings, ["v"], ["s"], "ts"), E.fill(readings, ["v"], ["s"], "ts")):
         text = plan(df)
         row_windows = [line for line in text.splitlines() if re.search(r"- Window \[.*, ts#\d+ ASC", line)]
-        assert row_windows and all("_bucket" in line for line in row_windows)
+        assert row_windows and all("_cell" in line for line in row_windows)
+        assert re.search(CELL, text)
     rolling = plan(E.rolling_sum(readings, "v", 24, ["s"], "ts", "r"))
     assert any("_chunk" in line for line in rolling.splitlines() if " Window [" in line)
 
@@ -61,7 +68,7 @@ def test_long_series_is_spread_over_buckets(spark, readings):
     """An input partitioned by series must not pin the series to one task."""
     pinned = readings.repartition(4, "s")
     text = plan(E.fill(pinned, ["v"], ["s"], "ts"))
-    assert re.search(r"hashpartitioning\(s#\d+L, _bucket", text)
+    assert re.search(r"hashpartitioning\(_cell#", text) and re.search(CELL, text)
 
 
 def test_filters_reach_the_scan(spark, tmp_path):
@@ -90,3 +97,13 @@ def test_single_row_keys_are_not_collected(spark):
     target = spark.createDataFrame([("a", 1.0)], "k string, v double")
     batch = spark.range(50).select(F.concat(F.lit("k"), F.col("id").cast("string")).alias("k"), F.lit(1.0).alias("v"), F.col("id").alias("o"))
     assert "collect_list" not in plan(M.upsert_tol(target, batch, ["k"], ["v"], ["o"]))
+
+
+@needs_data
+@pytest.mark.parametrize("name", ["dim_get_or_create", "star_denorm", "daily_yield", "quartile_flags", "quantiles", "chrono_split",
+                                  "category_codes", "fold_metrics", "upsert_tol", "merge_nonnull"])
+def test_building_a_query_writes_nothing(spark, name):
+    folder = checkpoint_dir(spark).removeprefix("file:")
+    before = set(os.listdir(folder))
+    assert registry()[name].run(spark, DATA).schema
+    assert set(os.listdir(folder)) == before
