@@ -100,7 +100,7 @@ def test_single_row_keys_are_not_collected(spark):
 
 
 @needs_data
-@pytest.mark.parametrize("name", ["dim_get_or_create", "star_denorm", "daily_yield", "quartile_flags", "quantiles", "chrono_split",
+@pytest.mark.parametrize("name", ["dim_get_or_create", "quartile_flags", "quantiles", "chrono_split",
                                   "category_codes", "fold_metrics", "upsert_tol", "merge_nonnull"])
 def test_building_a_query_writes_nothing(spark, name):
     folder = checkpoint_dir(spark).removeprefix("file:")
