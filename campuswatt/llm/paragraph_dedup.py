@@ -5,6 +5,11 @@ asked for at the threshold. Paragraphs that collide in a band are joined, the ex
 and components of similar paragraphs become clusters. Of a cluster the first occurrence stays, all others go.
 
 Equal paragraphs are one set with a count from the start, so a passage in a third of all texts is one entry.
+
+Passages inside longer lines, or over several lines, are found by windows: the text is cut where the hash of a run
+of words is the smallest of its surroundings, so equal passages are cut alike wherever they stand. Windows are
+compared as equal sequences of words: under 49 words a changed word inside takes the Jaccard similarity of 5-grams
+below 0.8 anyway. A passage with changes is found by the windows between them.
 """
 
 import hashlib
@@ -19,6 +24,7 @@ from campuswatt.llm.linking import link, range_counts
 
 N_GRAM, NUMERATOR, DENOMINATOR = 5, 80, 100
 MIN_WORDS = 20
+CUT_RUN, CUT_REACH, LONGEST = 3, 6, 16     # words of a run, runs on each side that are larger, words before a further cut
 RECALL, MOST_HASHES = 0.998, 64
 BUCKET_BANDS = 2_000_000
 HOT = 64                       # times a band hash is found in the sample before it is not sent to its bucket
@@ -177,6 +183,85 @@ def _whole_sets(texts, n, min_words):
     return texts.mapInArrow(read, "key binary, n long, grams binary, ranges array<int>")
 
 
+def window_spans(data, offsets):
+    """Text, number, first and last word (exclusive) of every window, start and end of the words, and their hashes.
+
+    Windows lie between content-defined cuts and the ends of the text, further cut every ``LONGEST`` words; a rest
+    of ``CUT_REACH`` words or less goes to the window before it, so windows have 7 to 22 words. Of an equal run the
+    first one cuts. What is shorter between the end of a text and a cut is no window.
+    """
+    starts, ends, per = X.spans(data, offsets)
+    words = X.hashes(data, starts, ends, lower=True)
+    last = np.cumsum(per)
+    first = last - per
+    text = np.repeat(np.arange(len(per)), per)
+    grams, reach = X.windows(words, CUT_RUN), CUT_REACH
+    cuts = np.empty(0, dtype=np.int64)
+    if len(grams) > 2 * reach:
+        near = np.lib.stride_tricks.sliding_window_view(grams, reach)
+        lowest = near.min(axis=1)       # of grams i .. i + reach - 1
+        at = np.arange(reach, len(grams) - reach)
+        at = at[(grams[at] < lowest[at - reach]) & (grams[at] <= lowest[at + 1])]
+        cuts = at[(at - reach >= first[text[at]]) & (at + reach + CUT_RUN <= last[text[at]])]
+    edges = np.unique(np.concatenate([cuts, first[per > 0], last[per > 0]]))
+    low, high = edges[:-1], edges[1:]
+    pieces = np.maximum(1, (high - low + LONGEST - reach - 1) // LONGEST)
+    turn = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+    begin = np.repeat(low, pieces) + turn * LONGEST
+    stop = np.where(turn + 1 == np.repeat(pieces, pieces), np.repeat(high, pieces), begin + LONGEST)
+    keep = stop - begin > reach
+    begin, stop = begin[keep], stop[keep]
+    text = text[begin]
+    number = np.arange(len(text)) - np.searchsorted(text, text)
+    return text, number, begin, stop, starts, ends, words
+
+
+def _window_keys(begin, stop, words):
+    """128-bit hashes of the word sequences."""
+    size = stop - begin
+    first = np.cumsum(size) - size
+    place = np.arange(size.sum()) - np.repeat(first, size)
+    run = words[np.repeat(begin, size) + place]
+    place = place.astype(np.uint64)
+    return np.column_stack([np.add.reduceat(X.mix((run ^ X.mix(place * _MULTIPLY[k] + _ADD[k])) + _ADD[k + 2]), first) for k in (0, 1)])
+
+
+def window_occurrences(docs, doc_id, text):
+    """doc_id, paragraph (counted on from the last line), start, length (bytes), n_words and key of every window."""
+    kind = docs.schema[doc_id].dataType.simpleString()
+
+    def read(batches):
+        for batch in batches:
+            for first, offsets, data in X.chunks(batch.column(1)):
+                of, number, begin, stop, starts, ends, words = window_spans(data, offsets)
+                if not len(of):
+                    continue
+                lines = X.spans(data, offsets, _NEWLINE)[2]
+                start = starts[begin]
+                keys = np.ascontiguousarray(_window_keys(begin, stop, words))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(pa.array(first + of)), pa.array(lines[of] + number), pa.array(start - offsets[of]),
+                     pa.array(ends[stop - 1] - start), pa.array(stop - begin),
+                     pa.FixedSizeBinaryArray.from_buffers(pa.binary(16), len(of), [None, pa.py_buffer(keys)]).cast(pa.binary())],
+                    names=["doc_id", "paragraph", "start", "length", "n_words", "key"])
+
+    return (docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+            .mapInArrow(read, f"doc_id {kind}, paragraph long, start long, length long, n_words long, key binary"))
+
+
+def window_clusters(docs, doc_id="doc_id", text="text"):
+    """Every window of words that occurs twice or more, in the columns of :func:`clusters`; ``paragraph`` counts on
+    from the number of lines of the text. First occurrences and repeated or null ids are as there."""
+    found = window_occurrences(docs, doc_id, text)
+    twice = found.groupBy("key").count().filter("count > 1").select("key")
+    return _marked(settle(found.join(twice, "key")).withColumn("root", F.col("key")))
+
+
+def repeats(docs, doc_id="doc_id", text="text"):
+    """Repeated lines (:func:`clusters`) and repeated windows (:func:`window_clusters`). Their spans may overlap."""
+    return clusters(docs, doc_id, text).unionByName(window_clusters(docs, doc_id, text))
+
+
 def clusters(docs, doc_id="doc_id", text="text", n=N_GRAM, numerator=NUMERATOR, denominator=DENOMINATOR, min_words=MIN_WORDS, recall=RECALL):
     """Every paragraph that occurs twice or more, the same or similar: doc_id, paragraph (line number among the
     non-empty lines of its text), start and length in bytes, n_words, first_doc_id, first_paragraph (the occurrence
@@ -206,6 +291,10 @@ def clusters(docs, doc_id="doc_id", text="text", n=N_GRAM, numerator=NUMERATOR,
     known = link(sized, sets, lengths, numerator, denominator, few_grams=True)
 
     rooted = found.join(known.withColumnsRenamed({"node": "key"}), "key", "left").withColumn("root", F.coalesce("root", "key"))
+    return _marked(rooted)
+
+
+def _marked(rooted):
     order = F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "paragraph")
     first = (rooted.groupBy("root").agg(F.min(order).alias("first"), F.count("*").alias("found")).filter("found > 1"))
     return (rooted.join(first, "root").select(

@@ -24,7 +24,7 @@ def op4_ngram_jaccard_join(spark, sf_dir):
 
 
 def op5_paragraph_dedup(spark, sf_dir):
-    return paragraph_dedup.clusters(table(spark, sf_dir, "documents"))
+    return paragraph_dedup.repeats(table(spark, sf_dir, "documents"))
 
 
 def op6_license_scan(spark, sf_dir):

@@ -121,3 +121,36 @@ def test_clusters_of_awkward_tables(spark):
     assert P.clusters(spark.createDataFrame([], SCHEMA)).count() == 0
     assert P.clusters(documents(spark, rows=[None, "", "short"])).count() == 0
     assert P.clusters(awkward(spark)).filter("doc_id = 7").count() == 2 * len(paragraphs([r for r in awkward(spark).collect() if r.doc_id == 7])) // 2
+
+
+def test_repeats_find_passages_inside_longer_lines(spark):
+    """Passages of 60 words in the middle of lines, and over other line ends; most windows of a passage are found."""
+    rng = random.Random(12)
+    rows, passages = [], []
+    for k in range(40):
+        passage = sentence(rng, 60)
+        passages.append(passage)
+        for part in range(2):
+            inside = passage.replace(" ", "\n", 1 + 4 * part) if k % 2 else passage
+            rows.append(sentence(rng, 300) + " " + inside + " " + sentence(rng, 200 + 100 * part))
+    df = documents(spark, rows=rows)
+    ids = [r.doc_id for r in df.orderBy("doc_id").collect()]
+    got = P.repeats(df).collect()
+    firsts = {}
+    by_id = {r.doc_id: r.text for r in df.collect()}
+    for r in got:
+        part = " ".join(by_id[r.doc_id].encode()[r.start:r.start + r.length].decode().split())
+        assert len(part.split()) == r.n_words
+        firsts.setdefault(part.lower(), []).append(r)
+    assert P.clusters(df).count() == 0
+    for part, occurrences in firsts.items():
+        assert len(occurrences) > 1 and sum(not r.removed for r in occurrences) == 1
+    found = sum(any(part in p.lower() and len(part.split()) > 6 for part in firsts) for p in passages)
+    assert found >= 39 and len(ids) == 80
+
+
+def test_windows_of_awkward_tables(spark):
+    assert P.repeats(spark.createDataFrame([], SCHEMA)).count() == 0
+    assert P.repeats(documents(spark, rows=[None, "", "short"])).count() == 0
+    df = documents(spark, rows=["same " * 40, "a b c d e f g"])
+    assert sorted((r.start, r.n_words, r.removed) for r in P.repeats(df).collect()) == [(0, 16, False), (80, 16, True)]
