@@ -6,7 +6,8 @@ that close a record as its line separator; a lost task writes its file again.
 
 Reading: archives are plain or gzip, member by member. A record counts if its header, its length, the line
 ends behind it and its digests hold. After a failed check the reader looks for the next gzip member or version
-line from which a record holds again; the bytes between are one quarantined gap in the log.
+line from which a record holds again; the bytes between are one quarantined gap in the log. Inside a gzip member
+the search goes on in its content, also in what a damaged member gives before it breaks.
 """
 
 import hashlib
@@ -59,10 +60,28 @@ def records(pages, page_id="page_id", url="url", html="html"):
     return rows.withColumn("block", block).select("page_id", F.concat(head, F.col("block")).alias("record"))
 
 
-def write(pages, folder, per_file=4096, **columns):
-    """Write the archives of ``pages`` to ``folder``."""
-    (records(pages, **columns).select("record").write.option("lineSep", "\r\n\r\n")
-     .option("maxRecordsPerFile", per_file).text(folder))
+def write(pages, folder, per_file=4096, file_bytes=1 << 24, **columns):
+    """Write the archives of ``pages`` to ``folder``: files of at most ``per_file`` records and, unless one record
+    alone is longer, ``file_bytes`` bytes. A row of the writer is a whole file."""
+    def files(batches):
+        held, size = [], 0
+        for batch in batches:
+            for record in batch.column(0).to_pylist():
+                more = len(record.encode()) + 4
+                if held and (len(held) == per_file or size + more > file_bytes):
+                    yield _file(held)
+                    held, size = [], 0
+                held.append(record)
+                size += more
+        if held:
+            yield _file(held)
+
+    (records(pages, **columns).select("record").mapInArrow(files, "record string").write.option("lineSep", "\r\n\r\n")
+     .option("maxRecordsPerFile", 1).text(folder))
+
+
+def _file(held):
+    return pa.RecordBatch.from_arrays([pa.array(["\r\n\r\n".join(held)])], names=["record"])
 
 
 # --- reading ---------------------------------------------------------------------
@@ -116,37 +135,70 @@ def _differs(named, data):
 
 
 def _member(data, at):
-    """Content and end of the gzip member at ``at``."""
+    """Content of the gzip member at ``at``, its end and None; or what comes out before it breaks, None and the reason."""
     unzip, out = zlib.decompressobj(wbits=31), []
     while not unzip.eof and at < len(data):     # in steps: what lies behind the member is not copied each time
+        before = unzip.copy()
         try:
             out.append(unzip.decompress(data[at:at + _STEP]))
         except zlib.error as e:
-            raise Damaged(str(e)) from None
+            try:
+                for k in range(at, min(at + _STEP, len(data))):     # up to the byte that breaks it
+                    out.append(before.decompress(data[k:k + 1]))
+            except zlib.error:
+                pass
+            return b"".join(out), None, str(e)
         at += _STEP
     if not unzip.eof:
-        raise Damaged("member breaks off")
-    return b"".join(out), min(at, len(data)) - len(unzip.unused_data)
+        return b"".join(out), None, "member breaks off"
+    return b"".join(out), min(at, len(data)) - len(unzip.unused_data), None
 
 
 _STEP = 1 << 16
 _NEXT = re.compile(rb"\x1f\x8b\x08|WARC/1\.")
 
 
-def salvage(data):
-    """Walk an archive: ("record", start, end, fields, payload) and ("gap", start, end, reason, None) in order."""
+def _inside(content):
+    """(reason, fields, payload) of the records and gaps in a member's content; the reason of a gap names its bytes."""
     at, lost, why = 0, None, None
+    while at < len(content):
+        try:
+            fields, payload, end = parse(content, at)
+        except Damaged as e:
+            if lost is None:
+                lost, why = at, str(e)
+            following = content.find(b"WARC/1.", at + 1)
+            at = following if following >= 0 else len(content)
+            continue
+        if lost is not None:
+            yield f"{why} (bytes {lost} to {at} of the content)", None, None
+            lost = None
+        yield None, fields, payload
+        at = end
+    if lost is not None:
+        yield f"{why} (bytes {lost} to {len(content)} of the content)", None, None
+
+
+def salvage(data):
+    """Walk an archive: ("record", start, end, fields, payload) and ("gap", start, end, reason, None) in order.
+
+    What lies in a gzip member has the member's start and end. A member without a good end is a gap as a whole;
+    what it gives before it breaks comes ahead of that gap, with the member's start as start and end.
+    """
+    at, lost, why, saved = 0, None, None, set()
     while at < len(data):
         try:
             if data[at:at + 3] == b"\x1f\x8b\x08":
-                content, end = _member(data, at)
-                inner, found = 0, []
-                while inner < len(content):
-                    fields, payload, inner = parse(content, inner)
-                    found.append((fields, payload))
+                content, end, broken = _member(data, at)
+                found = list(_inside(content))
+                if not any(fields for _, fields, _ in found) and (found or broken):
+                    raise Damaged(broken or found[0][0])
             else:
                 fields, payload, end = parse(data, at)
-                found = [(fields, payload)]
+                found, broken = [(None, fields, payload)], None
+                if lost is not None and fields["warc-record-id"] in saved:      # bytes a broken member stores as they are
+                    at = end
+                    continue
         except Damaged as e:
             if lost is None:
                 lost, why = at, str(e)
@@ -155,9 +207,15 @@ def salvage(data):
             continue
         if lost is not None:
             yield "gap", lost, at, why, None
-            lost = None
-        for fields, payload in found:
-            yield "record", at, end, fields, payload
+        lost, saved = None, set()
+        for reason, fields, payload in found:
+            stop = at if broken else end
+            yield ("gap", at, stop, reason, None) if reason else ("record", at, stop, fields, payload)
+        if broken:
+            lost, why = at, broken
+            saved = {fields["warc-record-id"] for _, fields, _ in found if fields}
+            following = _NEXT.search(data, at + 1)
+            end = following.start() if following else len(data)
         at = end
     if lost is not None:
         yield "gap", lost, len(data), why, None

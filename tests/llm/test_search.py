@@ -193,3 +193,35 @@ def test_gaps_are_logged(spark, tmp_path):
     rows = W.read(spark, str(tmp_path / "w")).collect()
     assert sorted(((r.stop - r.start, r.reason) for r in rows if r.kind == "gap"), reverse=True) == [(14, "no version line"), (16, "no end of header")][::-1]
     assert sum(r.kind == "record" for r in rows) == len(HTML)
+
+
+@pytest.mark.parametrize("level", [0, 9])
+def test_salvage_goes_on_inside_a_member(spark, level):
+    parts = archive(spark)
+    names = [x[3]["warc-record-id"] for x in found(b"".join(parts))]
+    lone = gzip.compress(parts[0].replace(b"urn:page", b"urn:last"))
+    for k in range(len(parts)):     # one wrong byte in one record of a member of all
+        at = parts[k].rindex(b"WARC-Record-ID") - 1
+        broken = [*parts[:k], parts[k][:at] + b"#" + parts[k][at + 1:-2] + b"##", *parts[k + 1:]]
+        got = found(gzip.compress(b"".join(broken), level) + lone)
+        kept = [x[3]["warc-record-id"] for x in got if x[0] == "record"]
+        assert [n for n in kept if n in names] == [*names[:k], *names[k + 1:]] and kept[-1].startswith("<urn:last")
+        assert any(x[0] == "gap" and f"bytes {sum(map(len, parts[:k]))} to" in x[3] for x in got)
+    rng = random.Random(5)
+    noise = b"".join(gzip.decompress(gzip.compress(p)) for p in parts)
+    whole = gzip.compress(noise, level)
+    for cut in sorted(rng.sample(range(len(whole) // 2, len(whole)), 12)):      # a member that breaks off
+        content = zlib.decompressobj(wbits=31).decompress(whole[:cut])
+        complete = sum(sum(map(len, parts[:k + 1])) <= len(content) for k in range(len(parts)))
+        for behind in (b"", lone):
+            kept = [x[3]["warc-record-id"] for x in found(whole[:cut] + behind) if x[0] == "record"]
+            assert [n for n in kept if n in names][:complete] == names[:complete]
+            assert len([n for n in kept if n in names]) == len(set(kept) & set(names))
+            assert not behind or kept[-1].startswith("<urn:last")
+
+
+def test_archives_are_bounded_by_bytes(spark, tmp_path):
+    W.write(pages(spark, [c * 3000 for c in "abcdefghij"]).coalesce(1), str(tmp_path / "w"), file_bytes=8000)
+    sizes = [p.stat().st_size for p in (tmp_path / "w").glob("part-*")]
+    assert max(sizes) <= 8000
+    assert W.read(spark, str(tmp_path / "w")).filter("kind = 'record'").count() == 10
