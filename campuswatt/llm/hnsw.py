@@ -2,7 +2,8 @@
 
 Equal vectors are one node that keeps its smallest ids, so a vector that very many rows share costs one node
 and is still answered exactly. Vectors get one more component that makes all lengths equal; then the largest
-inner product is the nearest vector, and graphs work for any lengths. A shard's graph is a few flat arrays in
+inner product is the nearest vector, and graphs work for any lengths. A shard holds lengths within a factor of
+``LENGTHS`` of each other, else one long vector would leave no difference between the others. A shard's graph is a few flat arrays in
 one row of a table. Queries are dealt in blocks, each block meets each shard once, and the best of all shards
 are scored again on the original vectors in double precision.
 """
@@ -19,13 +20,14 @@ from campuswatt.llm.common import settle
 NEAREST, EVERY = 20, 20
 SHARD_VECTORS, QUERY_BLOCK = 8192, 2048
 LINKS, BUILD_WIDTH, SEARCH_WIDTH = 16, 80, 160
+LENGTHS, MOST_RANGES = 64, 1000
 
 
 class Graph:
     """Nodes, their level, and neighbour arrays: level 0 has twice the links of the levels above."""
 
     def __init__(self, vectors, links=LINKS, width=BUILD_WIDTH):
-        self.vectors, self.links, self.width = np.ascontiguousarray(vectors, dtype=np.float32), links, width
+        self.vectors, self.links, self.width = np.ascontiguousarray(vectors, dtype=np.float64), links, width
         n = len(vectors)
         rng = np.random.default_rng(n)
         self.levels = np.minimum((-np.log(rng.random(n) + 1e-12) / np.log(links)).astype(np.int8), 12)
@@ -46,7 +48,7 @@ class Graph:
     @classmethod
     def unpack(cls, vectors, head, levels, base, above, links=LINKS):
         self = cls.__new__(cls)
-        self.vectors, self.links = np.ascontiguousarray(vectors, dtype=np.float32), links
+        self.vectors, self.links = np.ascontiguousarray(vectors, dtype=np.float64), links
         self.entry, self.top = np.frombuffer(head, np.int32).tolist()
         self.levels = np.frombuffer(levels, np.int8)
         self.base = np.frombuffer(base, np.int32).reshape(len(vectors), 3 * links)
@@ -188,8 +190,9 @@ def _matrix(column, dim):
 
 
 def _lengthened(matrix, longest):
+    longest = max(longest, 1e-300)      # squares of very short vectors are zero
     rest = np.sqrt(np.maximum(longest - np.einsum("ij,ij->i", matrix, matrix), 0.0))
-    scale = 1.0 / np.sqrt(longest)     # keeps single precision away from its limits
+    scale = 1.0 / np.sqrt(longest)
     return np.column_stack([matrix, rest]) * scale
 
 
@@ -207,9 +210,17 @@ def _build(table):
 
 
 def index(vectors, shard_vectors=SHARD_VECTORS):
-    """Graphs of all distinct vectors (key, vec, dim, norm): one row per dimension and shard."""
-    per_dim = vectors.groupBy("dim").agg(F.count("*").alias("n"), F.max("norm").alias("longest"))
-    dealt = vectors.join(per_dim, "dim").withColumn("shard", F.pmod(F.xxhash64("key"), F.ceil(F.col("n") / shard_vectors)))
+    """Graphs of all distinct vectors (key, vec, dim, norm): one row per dimension and shard.
+
+    Shards are parts of a range of lengths; the ranges go down from the longest vector of the dimension.
+    """
+    longest = vectors.groupBy("dim").agg(F.max("norm").alias("longest"))
+    below = (F.log("longest") - F.log("norm")) / F.lit(2 * float(np.log(LENGTHS)))      # norms are squares
+    last = F.lit(float(MOST_RANGES))
+    ranged = vectors.join(longest, "dim").withColumn("range", F.floor(F.least(F.coalesce(below, last), last))).drop("longest")
+    per_range = ranged.groupBy("dim", "range").agg(F.count("*").alias("n"), F.max("norm").alias("longest"))
+    part = F.pmod(F.xxhash64("key"), F.ceil(F.col("n") / shard_vectors))
+    dealt = ranged.join(per_range, ["dim", "range"]).withColumn("shard", part * (MOST_RANGES + 1) + F.col("range"))
     return settle(dealt.select("dim", "shard", "key", "vec", "longest").groupBy("dim", "shard").applyInArrow(_build, _INDEX))
 
 
@@ -226,7 +237,7 @@ def _search(nearest, width):
         wanted = _matrix(queries.column("vec"), row["dim"])
         out = [[], [], []]
         for name, query in zip(queries.column("key").to_pylist(), wanted):
-            unit = np.append(query / np.sqrt(query @ query), 0.0).astype(np.float32)
+            unit = np.append(query / np.sqrt(query @ query), 0.0)
             found = graph.search(unit, width)
             score = matrix[found] @ query
             best = np.argsort(-score, kind="stable")[:nearest]

@@ -54,6 +54,17 @@ def test_neighbours_of_any_lengths_and_awkward_rows(spark):
     assert [i for _, i, _ in got[2000]] == [i for i, _ in want[2000]] and [i for _, i, _ in got[6000]] == [6001]
 
 
+def test_one_very_long_vector_leaves_the_others_their_neighbours(spark):
+    rng = np.random.default_rng(3)
+    points = rng.normal(size=(3000, 48))
+    points /= np.linalg.norm(points, axis=1)[:, None]
+    points[7] *= 5000
+    rows = [(i, p.tolist(), 1, "x") for i, p in enumerate(points.astype(np.float32))]
+    want = exact(rows)
+    hits = sum(r.vec_id in {i for i, _ in want[r.query_id]} for r in H.neighbours(vectors(spark, rows)).collect())
+    assert hits / sum(map(len, want.values())) > 0.97
+
+
 def test_graph_round_trip():
     rng = np.random.default_rng(1)
     points = rng.normal(size=(600, 16)).astype(np.float32)
