@@ -211,20 +211,37 @@ r AS (SELECT *, row_number() OVER (ORDER BY ts) AS rn, count(*) OVER () AS n FRO
 t AS (SELECT *, rn > n - greatest(1, CAST(floor(n * 0.2) AS BIGINT)) AS test FROM r)"""
 
 
+# The models' own results; tests hold their error against the mean of the training rows.
+@query("gbt_predictions", "ts:t actual:f prediction:f")
+def gbt_predictions(v):
+    train, test = split_features(v)
+    return ML.fit(train, MODEL_FEATURES, "actual", ML.gbt()).transform(test)
+
+
+@query("forest_predictions", "ts:t actual:f prediction:f")
+def forest_predictions(v):
+    train, test = split_features(v)
+    return ML.fit(train, MODEL_FEATURES, "actual", ML.random_forest(), scale=True).transform(test)
+
+
+@query("importance_values", "feature:s importance:f")
+def importance_values(v):
+    train, _ = split_features(v)
+    return ML.importances(v.spark, ML.fit(train, MODEL_FEATURES, "actual", ML.random_forest()), MODEL_FEATURES)
+
+
 @query("gbt_forecast", "ts:t actual:f is_number:i", "WITH" + TEST_SQL + """
 SELECT ts, actual, 1 AS is_number FROM t WHERE test""")
 def gbt_forecast(v):
-    train, test = split_features(v)
-    scored = ML.fit(train, MODEL_FEATURES, "actual", ML.gbt()).transform(test)
-    return scored.withColumn("is_number", F.col("prediction").isNotNull() & ~F.isnan("prediction"))
+    return gbt_predictions(v).withColumn("is_number", F.col("prediction").isNotNull() & ~F.isnan("prediction"))
 
 
 @query("forest_forecast", "ts:t actual:f in_range:i", "WITH" + TEST_SQL + """
 SELECT ts, actual, 1 AS in_range FROM t WHERE test""")
 def forest_forecast(v):
     """Averages of training values stay inside their range."""
-    train, test = split_features(v)
-    scored = ML.fit(train, MODEL_FEATURES, "actual", ML.random_forest(), scale=True).transform(test)
+    train, _ = split_features(v)
+    scored = forest_predictions(v)
     low, high = (train.agg(f("actual")).scalar() for f in (F.min, F.max))
     return scored.withColumn("in_range", F.col("prediction").between(low - 1e-9, high + 1e-9))
 
@@ -232,7 +249,6 @@ def forest_forecast(v):
 @query("importances", "feature:s is_share:i total:f", "SELECT unnest(["
        + ", ".join(f"'{f}'" for f in MODEL_FEATURES) + "]) AS feature, 1 AS is_share, 1 AS total FROM (SELECT count(*) FROM v_actual)")
 def importances(v):
-    train, _ = split_features(v)
-    out = ML.importances(v.spark, ML.fit(train, MODEL_FEATURES, "actual", ML.random_forest()), MODEL_FEATURES)
+    out = importance_values(v)
     total = out.agg(F.sum("importance")).scalar()
     return out.withColumns({"is_share": F.col("importance").between(0, 1), "total": total})
