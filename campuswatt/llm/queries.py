@@ -1,8 +1,8 @@
 """The registered query of every operator, and its SQL where SQL can say it."""
 
 import corpus_pipeline
-from campuswatt.llm import (cube_mixing, hnsw, jaccard_join, license_scan, packing, paragraph_dedup, quality_cascade,
-                            quality_classifier, suffix_dedup, warc)
+from campuswatt.llm import (byte_pairs, cube_mixing, hnsw, jaccard_join, license_scan, packing, paragraph_dedup, quality_cascade,
+                            quality_classifier, shallot, suffix_dedup, warc)
 from campuswatt.llm.common import table
 
 
@@ -47,6 +47,14 @@ def op10_quality_cascade(spark, sf_dir):
     return quality_cascade.assess(table(spark, sf_dir, "documents"))
 
 
+def op11_shallot_clusters(spark, sf_dir):
+    return shallot.assignments(table(spark, sf_dir, "embeddings"))
+
+
+def op12_byte_pairs(spark, sf_dir):
+    return byte_pairs.round_trip(table(spark, sf_dir, "documents"))
+
+
 OP4_SQL = r"""
 WITH RECURSIVE words AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -156,6 +164,8 @@ QUERIES = {
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
     "op9_warc_salvage": op9_warc_salvage,
     "op10_quality_cascade": op10_quality_cascade,
+    "op11_shallot_clusters": op11_shallot_clusters,
+    "op12_byte_pairs": op12_byte_pairs,
     "pipeline": corpus_pipeline.run,
 }
 
