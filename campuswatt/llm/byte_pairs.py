@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F, types as T
 
 VOCABULARY = "byte_bpe_50k.json"
-KNOWN_PIECES, KNOWN_CHARACTERS = 500_000, 64    # pieces a Python worker keeps the ids of, and the longest of them
+KNOWN_PIECES, KNOWN_CHARACTERS = 250_000, 64    # pieces of a generation a Python worker keeps the ids of, and the longest
 CHUNK_IDS = 1 << 18                             # ids that are decoded together
 
 # Fixed value: the pattern of the byte-level form.
@@ -69,7 +69,7 @@ class BytePairs:
         self._pieces = regex.compile(PATTERN)
         names = sorted(self.added, key=lambda c: (-len(c), c))
         self._parts = regex.compile("(" + "|".join(map(regex.escape, names)) + ")") if names else None
-        self._known = {}
+        self._known, self._older = {}, {}
 
     def merged(self, symbols):
         """Ids of the symbols after all merges, the best rank first and the leftmost of equal ranks."""
@@ -107,10 +107,10 @@ class BytePairs:
         """Ids of one piece of text."""
         ids = self._known.get(piece)
         if ids is None:
-            ids = self.merged([self.first[b] for b in piece.encode()])
+            ids = self._older.get(piece) or self.merged([self.first[b] for b in piece.encode()])
             if len(piece) <= KNOWN_CHARACTERS:
-                if len(self._known) >= KNOWN_PIECES:
-                    self._known.clear()
+                if len(self._known) >= KNOWN_PIECES:     # frequent pieces come back from the older generation
+                    self._known, self._older = {}, self._known
                 self._known[piece] = ids
         return ids
 
