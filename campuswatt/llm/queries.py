@@ -2,7 +2,7 @@
 
 import corpus_pipeline
 from campuswatt.llm import (byte_pairs, cube_mixing, hnsw, jaccard_join, license_scan, packing, paragraph_dedup, quality_cascade,
-                            quality_classifier, shallot, suffix_dedup, warc)
+                            quality_classifier, shallot, suffix_dedup, variants, warc)
 from campuswatt.llm.common import table
 
 
@@ -55,6 +55,10 @@ def op12_byte_pairs(spark, sf_dir):
     return byte_pairs.round_trip(table(spark, sf_dir, "documents"))
 
 
+def op13_spelling_variants(spark, sf_dir):
+    return variants.variants(table(spark, sf_dir, "documents"))
+
+
 OP4_SQL = r"""
 WITH RECURSIVE words AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -166,6 +170,7 @@ QUERIES = {
     "op10_quality_cascade": op10_quality_cascade,
     "op11_shallot_clusters": op11_shallot_clusters,
     "op12_byte_pairs": op12_byte_pairs,
+    "op13_spelling_variants": op13_spelling_variants,
     "pipeline": corpus_pipeline.run,
 }
 
