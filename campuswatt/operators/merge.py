@@ -8,10 +8,11 @@ the new table come from one plan.
 import math
 from functools import reduce
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window as W, functions as F
 
 from campuswatt.operators.joins import not_in
 from campuswatt.operators.ordering import dedup_first
+from campuswatt.session import cut_lineage
 
 TOLERANCE = 0.001           # fixed value: smaller differences are no change
 HOT_ROWS = 50_000           # keys with more rows in a batch are folded in ordered segments
@@ -160,12 +161,61 @@ def upsert_tol(target, batch, key, measures, order, exact=(), tol=TOLERANCE, hot
         F.when(F.col("_known"), 0).otherwise(1).cast("bigint").alias("_inserted"), moves.alias("_updated"))
 
 
+def _fold_measures(measures, tol):
+    """SQL: run the ordered rows ``_list`` over the stored measures, each moving on its own.
+
+    A measure holds its value and the number of its changes. The first value of a gap is a change, unless it
+    comes with the row that inserts the key.
+    """
+    start = "named_struct(" + ", ".join(f"'{m}', named_struct('v', `{m}`, 'n', 0L)" for m in measures) + ")"
+    fresh = "NOT _stored AND x.o = get(_list, 0).o"
+    moves = []
+    for m in measures:
+        moves.append(f"""'{m}', CASE WHEN x.`{m}` IS NULL THEN a.`{m}`
+            WHEN a.`{m}`.v IS NULL THEN named_struct('v', x.`{m}`, 'n', a.`{m}`.n + CASE WHEN {fresh} THEN 0L ELSE 1L END)
+            WHEN abs(a.`{m}`.v - x.`{m}`) > {tol}D THEN named_struct('v', x.`{m}`, 'n', a.`{m}`.n + 1L)
+            ELSE a.`{m}` END""")
+    return f"aggregate(_list, {start}, (a, x) -> named_struct({', '.join(moves)}))"
+
+
 def merge_nonnull(target, batch, key, measures, order, tol=TOLERANCE, hot_rows=HOT_ROWS, segments=None):
     """Null-aware merge: each non-null measure fills a gap or replaces a value that moved.
 
-    NULL never overwrites. The measures move independently, so each is its own
-    fold over its non-null rows, and ``_updated`` counts changed measures.
+    NULL never overwrites. The measures move independently, in one fold over the rows of a key; ``_updated``
+    counts changed measures. Keys with more than ``hot_rows`` rows, if there are any, are folded in segments,
+    measure by measure.
     """
+    sizes = batch.groupBy(*key).agg(F.count("*").alias("_n"))
+    hot = sizes.filter(F.col("_n") > hot_rows).select(*key)
+    n_hot = hot.count()
+    if not n_hot:
+        return _merged_at_once(target, batch, key, measures, order, tol)
+    hot = _small(cut_lineage(hot), n_hot)
+    on = list(key)
+    cold = _merged_at_once(target.join(hot, on, "left_anti"), batch.join(hot, on, "left_anti"), key, measures, order, tol)
+    rest = _merged_by_measure(target.join(hot, on, "left_semi"), batch.join(hot, on, "left_semi"), key, measures, order, tol, hot_rows, segments)
+    return cold.unionByName(rest)
+
+
+def _merged_at_once(target, batch, key, measures, order, tol):
+    """One shuffle of the batch: the few rows of a key are put in order and folded."""
+    kinds = {m: target.schema[m].dataType for m in measures}
+    row = F.struct(_order_struct(order).alias("o"), *[F.col(m).cast(kinds[m]).alias(m) for m in measures])
+    rows = batch.groupBy(*key).agg(F.array_sort(F.collect_list(row)).alias("_list"))
+    out = (target.select(*key, *measures).withColumn("_stored", F.lit(True)).join(rows, list(key), "full_outer")
+           .withColumn("_stored", F.col("_stored").isNotNull()))
+    out = out.withColumn("_state", F.when(F.col("_list").isNotNull(), F.expr(_fold_measures(measures, tol))))
+    changes = reduce(lambda a, b: a + b, [F.coalesce(F.col(f"_state.{m}.n"), F.lit(0)) for m in measures])
+    return out.select(
+        *key, *[F.when(F.col("_state").isNull(), F.col(m)).otherwise(F.col(f"_state.{m}.v")).alias(m) for m in measures],
+        F.when(F.col("_list").isNull(), "keep").when(~F.col("_stored"), "insert").when(changes > 0, "update")
+        .otherwise("unchanged").alias("_action"),
+        F.when(F.col("_list").isNull(), 0).otherwise(F.size("_list")).cast("bigint").alias("_rows"),
+        F.when(F.col("_stored"), 0).otherwise(1).cast("bigint").alias("_inserted"), changes.alias("_updated"))
+
+
+def _merged_by_measure(target, batch, key, measures, order, tol, hot_rows, segments):
+    """The same for hot keys: each measure is folded over its non-null rows, in ordered segments."""
     batch = batch.withColumn("_at", _order_struct(order))
     rows = batch.groupBy(*key).agg(F.count("*").alias("_n"), F.min("_at").alias("_first"))
     out = (target.select(*key).withColumn("_stored", F.lit(True)).join(rows, list(key), "full_outer")
@@ -237,6 +287,68 @@ def snapshot_diff(target, batch, date="date", ext="external_id", known_dates=Non
             .select(*target.columns, "_deactivated"))
 
 
+def _presence(held):
+    """SQL: run the ordered snapshots ``_list`` of a key over its active ids ``held``; gives every start and end.
+
+    An id is active until the first snapshot without it. A key without an active id takes the first id of the
+    next snapshot that has one; a snapshot that ends an id starts none. Ids that are NULL never end.
+    """
+    event = "struct<at:int,ext:string,starts:boolean>"
+    ends = lambda ids, at: f"transform(filter({ids}, e -> e IS NOT NULL), e -> named_struct('at', {at}, 'ext', e, 'starts', false))"
+    first = "named_struct('at', x.s, 'ext', x.first, 'starts', true)"
+    start = f"named_struct('active', {held}, 'last', 0, 'events', cast(array() AS array<{event}>))"
+    # a snapshot between that did not have the key ended what was active
+    gap = f"""named_struct('active', CASE WHEN x.s > a.last + 1 THEN filter(a.active, e -> e IS NULL) ELSE a.active END,
+        'events', CASE WHEN x.s > a.last + 1 THEN concat(a.events, {ends('a.active', 'a.last + 1')}) ELSE a.events END)"""
+    lost = "filter(g.active, e -> NOT array_contains(x.exts, e))"
+    step = f"""CASE WHEN size(g.active) = 0
+        THEN named_struct('active', array(x.first), 'last', x.s, 'events', concat(g.events, array({first})))
+        ELSE named_struct('active', filter(g.active, e -> e IS NULL OR array_contains(x.exts, e)), 'last', x.s,
+                          'events', concat(g.events, {ends(lost, 'x.s')})) END"""
+    return f"""aggregate(_list, {start}, (a, x) -> element_at(transform(array({gap}), g -> {step}), 1),
+        a -> CASE WHEN a.last < _snapshots THEN concat(a.events, {ends('a.active', 'a.last + 1')}) ELSE a.events END)"""
+
+
+def snapshot_history(target, rows, date, key, order, ext="external_id", snapshot="file"):
+    """Apply several snapshots of the same dates, in order of ``snapshot``, in one plan.
+
+    Returns (stored, fresh). ``stored`` are the target's rows with ``is_active`` after the last snapshot and
+    ``_gone``, the snapshot that ended the row. ``fresh`` are the rows to insert, with their snapshot and the
+    same two columns. A snapshot stands for all bookings of the dates it has. An id belongs to one key; of
+    several rows with a key, and of its ids, the first in ``order`` counts. Per key only its ids per snapshot
+    are put together.
+    """
+    covered = rows.select(date, snapshot).distinct()
+    numbered = covered.withColumns({
+        "_s": F.row_number().over(W.partitionBy(date).orderBy(snapshot)), "_snapshots": F.count("*").over(W.partitionBy(date))})
+    numbered = cut_lineage(numbered)
+    placed = rows.join(numbered.drop("_snapshots"), [date, snapshot])
+    seen = placed.groupBy(*key, "_s").agg(F.min_by(ext, _order_struct(order)).alias("first"), F.collect_set(ext).alias("exts"))
+    lists = seen.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct(F.col("_s").alias("s"), "first", "exts"))).alias("_list"))
+    held = target.filter("is_active").groupBy(*key).agg(F.collect_set(F.struct(F.col(ext).alias("e"))).alias("_held"))
+    none = "cast(array() AS array<struct<s:int,first:string,exts:array<string>>>)"
+    keys = (lists.join(held, list(key), "full_outer").join(numbered.select(date, "_snapshots").distinct(), date)
+            .withColumn("_list", F.expr(f"coalesce(_list, {none})"))
+            .withColumn("_held", F.expr("coalesce(transform(_held, h -> h.e), cast(array() AS array<string>))"))
+            .select(*key, F.expr(_presence("_held")).alias("_events")))
+    events = cut_lineage(keys.select(*key, "_events", F.explode("_events").alias("_event")).select(*key, "_events", "_event.*"))
+
+    def named(df, at, into):
+        """The snapshot with a number of its date."""
+        names = numbered.select(date, F.col("_s").alias(at), F.col(snapshot).alias(into))
+        return df.join(names, [date, at], "left").drop(at)
+
+    ended = events.filter("NOT starts").groupBy(*key, F.col("ext").alias(ext)).agg(F.min("at").alias("_at"))
+    # only the first end of an id is that of its stored row
+    stored = target.join(ended.withColumn("is_active", F.lit(True)), [*key, ext, "is_active"], "left")
+    stored = named(stored, "_at", "_gone").withColumn("is_active", F.col("is_active") & F.col("_gone").isNull())
+    end = "array_min(transform(filter(_events, g -> NOT g.starts AND g.ext = ext AND g.at > at), g -> g.at))"
+    started = events.filter("starts").select(*key, F.col("at").alias("_s"), F.expr(end).alias("_at"))
+    firsts = dedup_first(placed, [*key, "_s"], order)
+    fresh = named(firsts.join(started, [*key, "_s"]).drop("_s"), "_at", "_gone").withColumn("is_active", F.col("_gone").isNull())
+    return stored.select(*target.columns, "_gone"), fresh
+
+
 def booking_insert(target, batch, key, order, ext="external_id", scope=None):
     """Rows of the batch that are new: neither their external id nor their key is active yet.
 

@@ -25,7 +25,7 @@ def chrono_split(df, order, share=TEST_SHARE, into="is_test"):
         "is_train": (~is_test | (F.col("_n") == 1)).cast("int")}).drop("_pos", "_n")
 
 
-def _draw(key, seed):
+def draw(key, seed):
     """A number of 0 to 9999 from the MD5 of the row key: the same on any layout and in any engine."""
     text = F.concat_ws("|", *[F.col(k).cast("string") for k in key], F.lit(str(seed)))
     return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint") % 10_000
@@ -33,12 +33,12 @@ def _draw(key, seed):
 
 def hash_split(df, key, train_pct=80, seed=SEED):
     """Stable random split by a hash of the row key."""
-    return df.withColumn("is_train", (_draw(key, seed) < train_pct * 100).cast("int"))
+    return df.withColumn("is_train", (draw(key, seed) < train_pct * 100).cast("int"))
 
 
 def sample_rows(df, key, fraction, seed=SEED):
     """A stable random share of the rows."""
-    return df.filter(_draw(key, seed) < int(fraction * 10_000))
+    return df.filter(draw(key, seed) < int(fraction * 10_000))
 
 
 def scaling(train, cols):

@@ -6,6 +6,8 @@ Spark rows have no order of their own, so every operator that says "first",
 
 from pyspark.sql import Window as W, functions as F
 
+from campuswatt.session import cut_lineage
+
 
 def _as_cols(order):
     return [F.col(o) if isinstance(o, str) else o for o in order]
@@ -30,68 +32,73 @@ def top_n(df, col, n, tie=()):
     return df.orderBy(F.col(col).desc(), *tie).limit(n)
 
 
-BUCKETS = 32        # runs of the sorted rows that are numbered on their own
-TEXT_BYTES = 6      # bytes of a text behind the common prefix that place it; they fit a double
+FEW_ROWS = 200_000      # rows that one task sorts and numbers
+RUN_ROWS = 1_000_000    # rows of a run beyond that
+FEW_RUNS = 100_000      # offsets, one a run, that are broadcast
 
 
-def _number(df, col, kind):
-    """A number that grows with the column (equal for close values), to cut sorted rows into runs."""
-    if kind in ("string", "binary"):
-        bounds = df.agg(F.min(col).alias("lo"), F.max(col).alias("hi"))
-        shared = bounds.select(F.size(F.filter(
-            F.sequence(F.lit(1), F.lit(256)),
-            lambda i: (F.length("lo") >= i) & (F.substring("lo", 1, i) == F.substring("hi", 1, i))))).scalar()
-        rest = F.hex(F.encode(F.substring(F.col(col).cast("string"), shared + 1, F.lit(TEXT_BYTES)), "UTF-8"))
-        return F.conv(F.rpad(F.substring(rest, 1, 2 * TEXT_BYTES), 2 * TEXT_BYTES, "0"), 16, 10).cast("double")
-    if kind == "date":
-        return F.unix_date(col).cast("double")
-    if kind.startswith("timestamp"):
-        return F.unix_micros(F.col(col).cast("timestamp")).cast("double")
-    if kind in ("struct", "array", "map"):
-        return F.lit(0.0)
-    return F.col(col).cast("double")
+def _tie(rows):
+    """A number of the whole row, so that rows with equal order columns can lie in several runs."""
+    kinds = [f.dataType.simpleString() for f in rows.schema.fields]
+    return F.xxhash64(*[F.col(f"`{c}`") for c, kind in zip(rows.columns, kinds) if "map<" not in kind and "variant" not in kind])
 
 
-def _in_runs(df, order):
-    """Rows with ``_run``, a number that grows with the order: every run is sorted by itself.
+def _in_runs(rows, keys, n, run_rows):
+    """The ``n`` rows with ``_run`` and ``_at``, their run and place in it: sorted ranges of all order columns, written once.
 
-    The cuts are approximate quantiles of the first order column, ``BUCKETS`` numbers whatever the size.
+    Ranges are cut in the order columns and then in the tie, so a value of many rows is spread over runs. Rows
+    that are equal in everything lie together; which of them is first makes no difference.
     """
-    keys = {f"_key{i}": c for i, c in enumerate(_as_cols(order))}
-    rows = df.withColumns(keys)
-    rows = rows.withColumn("_at", _number(rows, "_key0", rows.schema["_key0"].dataType.typeName()))
-    cuts = rows.agg(F.percentile_approx("_at", [i / BUCKETS for i in range(1, BUCKETS)], 1000)).scalar()
-    run = F.size(F.filter("_cuts", lambda c: c < F.col("_at")))
-    rows = rows.withColumn("_cuts", cuts).withColumn("_run", F.greatest(F.coalesce(run, F.lit(0)), F.lit(0)))
-    return rows.drop("_at", "_cuts"), list(keys)
+    ranges = -(-n // run_rows)
+    by = [*keys, "_tie"]
+    placed = (rows.withColumn("_tie", _tie(rows)).repartitionByRange(ranges, *by).sortWithinPartitions(*by)
+              .withColumns({"_run": F.spark_partition_id(), "_at": F.monotonically_increasing_id()}))
+    return cut_lineage(placed.withColumn("_at", F.col("_at").bitwiseAND((1 << 33) - 1)).drop("_tie")), ranges
 
 
-def _with_offsets(rows, total):
-    """Add ``_offset``: the total of all runs before. One row per run is broadcast, ``BUCKETS`` at most."""
+def _with_offsets(rows, ranges, total):
+    """Add ``_offset``: the total of all runs before."""
     before = W.orderBy("_run").rowsBetween(W.unboundedPreceding, -1)
     offsets = (rows.groupBy("_run").agg(total.alias("_sum"))
                .select("_run", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_offset")))
-    return rows.join(F.broadcast(offsets), "_run")
+    return rows.join(F.broadcast(offsets) if ranges <= FEW_RUNS else offsets, "_run")
+
+
+def _keyed(df, order):
+    keys = {f"_key{i}": c for i, c in enumerate(_as_cols(order))}
+    return df.withColumns(keys), list(keys)
 
 
-def running_total(df, order, weight, into="_total"):
-    """Sum of ``weight`` over all rows up to and including each one.
+def running_total(df, order, weight, into="_total", few=FEW_ROWS, run_rows=RUN_ROWS):
+    """Sum of ``weight`` over all rows up to and including each one; rows with equal order come in any order.
 
-    A window without partitions would run in one task; here each run of the sorted
-    rows sums up its rows on top of the total of the runs before it.
+    The rows are counted first. A few are summed in one sort. More are cut into runs, as many as their number
+    needs, and each run sums up its rows on top of the total of the runs before it.
+    """
+    rows, keys = _keyed(df, order)
+    n = df.count()
+    if n <= few:
+        within = W.orderBy(*keys).rowsBetween(W.unboundedPreceding, 0)
+        return rows.withColumn(into, F.sum(weight).over(within)).drop(*keys)
+    runs, ranges = _in_runs(rows, keys, n, run_rows)
+    within = W.partitionBy("_run").orderBy("_at").rowsBetween(W.unboundedPreceding, 0)
+    return (_with_offsets(runs, ranges, F.sum(weight)).withColumn(into, F.col("_offset") + F.sum(weight).over(within))
+            .drop("_run", "_at", "_offset", *keys))
+
+
+def global_position(df, order, into="_pos", few=FEW_ROWS, run_rows=RUN_ROWS):
+    """Dense 0-based position of each row in the total order; rows with equal order come in any order.
+
+    The rows are counted first. A few are numbered in one sort. More are sorted into runs, as many as their
+    number needs; a row's position is its place in the run behind the rows of the runs before it.
     """
-    rows, keys = _in_runs(df, order)
-    within = W.partitionBy("_run").orderBy(*keys).rowsBetween(W.unboundedPreceding, 0)
-    return (_with_offsets(rows, F.sum(weight)).withColumn(into, F.col("_offset") + F.sum(weight).over(within))
-            .drop("_run", "_offset", *keys))
-
-
-def global_position(df, order, into="_pos"):
-    """Dense 0-based position of each row in the total order, without a window over all rows."""
-    rows, keys = _in_runs(df, order)
-    within = W.partitionBy("_run").orderBy(*keys)
-    return (_with_offsets(rows, F.count("*")).withColumn(into, F.col("_offset") + F.row_number().over(within) - 1)
-            .drop("_run", "_offset", *keys))
+    rows, keys = _keyed(df, order)
+    n = df.count()
+    if n <= few:
+        return rows.withColumn(into, F.row_number().over(W.orderBy(*keys)) - 1).drop(*keys)
+    runs, ranges = _in_runs(rows, keys, n, run_rows)
+    placed = _with_offsets(runs, ranges, F.count("*"))
+    return placed.withColumn(into, F.col("_offset") + F.col("_at")).drop("_run", "_at", "_offset", *keys)
 
 
 # --- regular series -------------------------------------------------------------

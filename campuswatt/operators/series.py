@@ -5,9 +5,11 @@ windows run per calendar bucket, and what a bucket needs from its neighbours
 travels through a table with one row per bucket.
 """
 
+import math
+
 from pyspark.sql import Window as W, functions as F
 
-from campuswatt.operators.ordering import (_as_cols, bucketed, cell, dedup_first, dedup_last, running_total,
+from campuswatt.operators.ordering import (FEW_ROWS, _as_cols, bucketed, cell, dedup_first, dedup_last,
                                            series_position, with_halo)
 
 
@@ -204,26 +206,86 @@ def hour_fallback(fc, spine, cols, order, ts="ts", horizon="prediction"):
 
 # --- statistics --------------------------------------------------------------------
 
-def quantiles(df, col, probabilities):
+SKETCH = 10_000      # accuracy of the approximate quantiles that set the brackets
+
+
+def _brackets(values, ranks, few):
+    """(n, {rank: value or (lo, hi, rank inside)}) for 0-based ranks ``ranks(n)`` of the sorted values.
+
+    A rank's bracket comes from approximate quantiles and is counted; a rank that meets the lower or upper end
+    has its value. What lies strictly between is the next bracket while it is more than ``few`` values, so a
+    column of many equal values narrows as fast as any other. Each turn is two passes that keep a few numbers.
+    """
+    n = values.count()
+    found, todo = {}, {}
+    for r in sorted(set(ranks(n))):
+        if n <= few:
+            found[r] = (None, None, r)
+        else:
+            todo[r] = (None, None, r, n)        # open ends, place among the values between, their number
+    share = 2 / SKETCH
+    while todo:
+        inside = {r: _between(lo, hi) for r, (lo, hi, *_) in todo.items()}
+        cuts = {r: [max(at / size - share, 0.0), min((at + 1) / size + share, 1.0)] for r, (_, _, at, size) in todo.items()}
+        ends = values.agg(*[F.percentile_approx(F.when(inside[r], F.col("_v")), cuts[r], SKETCH).alias(str(r)) for r in todo]).first()
+        counts = []
+        for r in todo:
+            lo, hi = (F.lit(v) for v in ends[str(r)])
+            counts += [F.count_if(inside[r] & (F.col("_v") < lo)).alias(f"{r}_below"), F.count_if(F.col("_v") == lo).alias(f"{r}_lo"),
+                       F.count_if(inside[r] & (F.col("_v") < hi)).alias(f"{r}_upto"), F.count_if(F.col("_v") == hi).alias(f"{r}_hi")]
+        counted, missed = values.agg(*counts).first(), False
+        for r, (old_lo, old_hi, at, size) in list(todo.items()):
+            lo, hi = ends[str(r)]
+            first = counted[f"{r}_below"] + counted[f"{r}_lo"]
+            between = max(counted[f"{r}_upto"] - first, 0)
+            if counted[f"{r}_below"] <= at < first:
+                found[r] = lo
+            elif first <= at < first + between:
+                todo[r] = (lo, hi, at - first, between)
+                if between <= few:
+                    found[r] = (lo, hi, at - first)
+            elif lo != hi and first + between <= at < first + between + counted[f"{r}_hi"]:
+                found[r] = hi
+            else:
+                missed = True
+        todo = {r: b for r, b in todo.items() if r not in found}
+        share = min(share * 4, 1.0) if missed else share
+    return n, found
+
+
+def _between(lo, hi):
+    inside = F.lit(True)
+    if lo is not None:
+        inside = inside & (F.col("_v") > lo)
+    return inside if hi is None else inside & (F.col("_v") < hi)
+
+
+def quantiles(df, col, probabilities, few=FEW_ROWS):
     """Exact quantiles with linear interpolation, one row with ``q0, q1, ...``.
 
-    Works on the sorted histogram of the column, so neither one task nor the
-    driver holds the values.
+    Values are selected by rank, not sorted: brackets around the wanted ranks narrow until ``few`` values are
+    left in each, and only these are put in order. NULL counts nowhere; without values the quantiles are NULL.
     """
-    histogram = df.filter(F.col(col).isNotNull()).groupBy(F.col(col).alias("_v")).agg(F.count("*").alias("_n"))
-    ranked = running_total(histogram, ["_v"], weight="_n", into="_upto")
-    n = ranked.agg(F.max("_upto")).scalar()
-    ranked = ranked.withColumn("_total", n)
-    aggs = []
+    values = df.filter(F.col(col).isNotNull()).select(F.col(col).alias("_v"))
+    places = lambda n: {r for p in probabilities for r in (math.floor(p * (n - 1)), math.ceil(p * (n - 1)))} if n else ()
+    n, found = _brackets(values, places, few)
+    if not n:
+        return values.agg(*[F.max("_v").cast("double").alias(f"q{i}") for i in range(len(probabilities))])
+    lists = {(lo, hi): F.sort_array(F.collect_list(F.when(_between(lo, hi), F.col("_v"))))
+             for lo, hi, _ in (b for b in found.values() if isinstance(b, tuple))}
+    names = {bracket: f"_list{i}" for i, bracket in enumerate(lists)}
+    row = values.agg(F.count("*").alias("_n"), *[lists[b].alias(names[b]) for b in lists])
+
+    def value(r):
+        known = found[r]
+        return F.get(F.col(names[known[:2]]), F.lit(known[2])) if isinstance(known, tuple) else F.lit(known)
+
+    out = []
     for i, p in enumerate(probabilities):
-        rank = F.lit(float(p)) * (F.col("_total") - 1)
-        for side, at in (("lo", F.floor(rank)), ("hi", F.ceil(rank))):
-            covers = (F.col("_upto") - F.col("_n") <= at) & (at < F.col("_upto"))
-            aggs.append(F.max(F.when(covers, F.col("_v"))).alias(f"_{side}{i}"))
-        aggs.append(F.max(rank - F.floor(rank)).alias(f"_w{i}"))
-    return ranked.agg(*aggs).select(*[
-        (F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_w{i}")).alias(f"q{i}")
-        for i in range(len(probabilities))])
+        rank = p * (n - 1)
+        lo, hi = value(math.floor(rank)), value(math.ceil(rank))
+        out.append((lo + (hi - lo) * F.lit(rank - math.floor(rank))).alias(f"q{i}"))
+    return row.select(*out)
 
 
 def quartile_flags(df, col, high="is_high_occupation", low="is_low_occupation"):

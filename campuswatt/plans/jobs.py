@@ -1,5 +1,6 @@
 """Jobs: load the feeds of a drop folder, train and score the forecasts."""
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import timedelta
 
 from pyspark.errors import AnalysisException
@@ -86,7 +87,18 @@ def clean_all(spark, folder, out, load_date, year=None):
     return [r.name for r in entries.select("name").orderBy("name").collect()]
 
 
-def load_meters(spark, wh, by_feed):
+def _usable(spark, wh, table, feed, paths):
+    """Paths of the files whose header has what the feed needs; the others are rejected and stop nobody."""
+    if not paths:
+        return []
+    bad = R.bad_headers(spark, paths, feed).select("file", "reason")
+    lost = {r.file for r in bad.collect()}      # names of bad files: metadata of the job, like the listing
+    if lost:
+        wh.reject(table, bad)
+    return [p for p in paths if FS.bare_name(p) not in lost]
+
+
+def stage_meters(spark, wh, by_feed):
     """Meter rows with the readings of the partner files of their own day; files without partners are rejected."""
     names = spark.createDataFrame([(n,) for n, _ in by_feed.get("meter", [])], "name string")
     matched, unmatched = FS.match_triples(names)
@@ -96,10 +108,10 @@ def load_meters(spark, wh, by_feed):
         return None
     frames = [cut_lineage(R.clean_meter_files(spark, paths).withColumn("day", FS.file_date_token(F.col("file")))) for paths in sides]
     complete = matched.select(F.col("consumption").alias("file")).distinct()
-    return L.load_energy(wh, frames[0].join(complete, "file", "left_semi"), *frames[1:], order=ROW_ORDER)
+    return L.stage_energy(wh, frames[0].join(complete, "file", "left_semi"), *frames[1:], order=ROW_ORDER)
 
 
-def load_solar(spark, wh, by_feed):
+def stage_solar(spark, wh, by_feed):
     parts = []
     if _paths(by_feed, "plant"):
         plant = R.clean_meter_files(spark, _paths(by_feed, "plant"))
@@ -114,36 +126,71 @@ def load_solar(spark, wh, by_feed):
     batch = parts[0]
     for p in parts[1:]:
         batch = batch.unionByName(p)
-    return L.load_solar(wh, batch, ["pass", *ROW_ORDER, "inverter_no"])
+    return L.stage_solar(wh, batch, ["pass", *ROW_ORDER, "inverter_no"])
+
+
+def stage_rooms(spark, wh, by_feed, year=None):
+    """Booking files apply one after another in the order of their names: each is a snapshot of its dates.
+
+    Finishing gives the counters of each file that can be read, in that order.
+    """
+    paths = _usable(spark, wh, "FactBookings", "booking", _paths(by_feed, "booking"))
+    if not paths:
+        return None
+    staged = L.stage_snapshots(wh, R.clean_booking_files(spark, paths, year), ROW_ORDER)
+    finish = staged.finish
 
+    def per_file():
+        found = finish()
+        return [found.get(FS.bare_name(path), L.NO_BOOKINGS) for path in paths]
 
-def load_rooms(spark, wh, by_feed, year=None):
-    """Booking files apply one after another: each is a snapshot of its dates."""
-    stats = []
-    for path in _paths(by_feed, "booking"):
-        rows = R.clean_booking_files(spark, [path], year)
-        stats.append(L.load_bookings(wh, rows, ROW_ORDER))
-    return stats or None
+    staged.finish = per_file
+    return staged
 
 
-def load_weather(spark, wh, by_feed):
-    paths = _paths(by_feed, "meteo")
+def stage_weather(spark, wh, by_feed):
+    paths = _usable(spark, wh, "FactMeteoSwissData", "meteo", _paths(by_feed, "meteo"))
     if not paths:
         return None
-    wide = R.clean_meteo_files(spark, paths)
-    return L.load_meteo(wh, S.std_meteo(wide, ["file"]), ["file"])
+    return L.stage_meteo(wh, S.std_meteo(R.clean_meteo_files(spark, paths), ["file"]), ["file"])
+
+
+def _at_once(spark, tasks):
+    """Run functions at once, each in a scheduler pool of its own: {name: (result, error)}."""
+    def run(name, task):
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", name)
+        try:
+            return task(), None
+        except Exception as error:  # the others go on; the caller raises it
+            return None, error
+
+    with ThreadPoolExecutor(max(len(tasks), 1)) as pool:
+        running = {name: pool.submit(run, name, task) for name, task in tasks.items()}
+        return {name: one.result() for name, one in running.items()}
 
 
 def load_all(spark, wh, folder, ledger=None, year=None):
-    """Load every new file of the folder: meters, solar, rooms, weather. Returns the counters per fact."""
+    """Load every new file of the folder: meters, solar, rooms, weather. Returns the counters per fact.
+
+    The facts are cleaned at once, then the dates and times of all of them grow together, then the facts are
+    merged at once. A fact that fails leaves the others loaded; its error is raised when they are done.
+    """
     wh.create_tables()
     by_feed = new_by_feed(spark, folder, ledger)
-    return {
-        "FactEnergyConsumption": load_meters(spark, wh, by_feed),
-        "FactSolarProduction": load_solar(spark, wh, by_feed),
-        "FactBookings": load_rooms(spark, wh, by_feed, year),
-        "FactMeteoSwissData": load_weather(spark, wh, by_feed),
+    stages = {
+        "FactEnergyConsumption": lambda: stage_meters(spark, wh, by_feed),
+        "FactSolarProduction": lambda: stage_solar(spark, wh, by_feed),
+        "FactBookings": lambda: stage_rooms(spark, wh, by_feed, year),
+        "FactMeteoSwissData": lambda: stage_weather(spark, wh, by_feed),
     }
+    staged = _at_once(spark, stages)
+    ready = {fact: s for fact, (s, _) in staged.items() if s is not None}
+    L.grow_shared(wh, ready.values())
+    done = _at_once(spark, {fact: s.finish for fact, s in ready.items()})
+    errors = {fact: e for fact, (_, e) in [*staged.items(), *done.items()] if e is not None}
+    if errors:
+        raise ExceptionGroup(f"not loaded: {', '.join(sorted(errors))}", list(errors.values()))
+    return {fact: done[fact][0] if fact in done else None for fact in stages}
 
 
 # --- views of the warehouse as model inputs -------------------------------------------------

@@ -1,6 +1,7 @@
 """Regression models on MLlib pipelines."""
 
 import json
+from itertools import product
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
@@ -10,6 +11,7 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import functions as F
 
 from campuswatt.operators import modelling as MO
+from campuswatt.session import cut_lineage
 
 SEED = 42    # fixed value
 
@@ -68,6 +70,37 @@ def grid_search(df, features, label, estimator, grid, folds=SEARCH_FOLDS, scale=
     return search.fit(df.filter(F.col(label).isNotNull()))
 
 
+def cross_folds(df, k, key, seed=SEED, into="fold"):
+    """Random folds by a hash of the row key: the same on any layout."""
+    return df.withColumn(into, (MO.draw(key, seed) % k).cast("int"))
+
+
+def boosting_search(df, features, label, grid, folds=SEARCH_FOLDS, key=None, scale=False, **settings):
+    """Cross-validated scores of boosting, one row a setting with ``mse``, and the best model on all rows.
+
+    The first trees of a longer run are the trees of a shorter one, so each step size and depth is trained once
+    per fold with the most rounds, and its beginnings are scored for the others: a fit for every pair instead of
+    every setting. Returns (scores, best settings, model).
+    """
+    rows = cut_lineage(cross_folds(df.filter(F.col(label).isNotNull()), folds, key or features))
+    rounds = sorted(grid["maxIter"])
+    others = [dict(zip([n for n in grid if n != "maxIter"], values)) for values in product(*[grid[n] for n in grid if n != "maxIter"])]
+    scores = {}
+    for setting in others:
+        for i in range(folds):
+            train, rest = rows.filter(F.col("fold") != i), rows.filter(F.col("fold") == i)
+            model = fit(train, features, label, gbt(**{**settings, **setting, "maxIter": rounds[-1]}), scale)
+            seen = PipelineModel(model.stages[:-1]).transform(rest)
+            errors = model.stages[-1].evaluateEachIteration(seen, "squared")      # of the first tree, the first two, ...
+            for n in rounds:
+                scores.setdefault((n, *setting.values()), []).append(errors[n - 1])
+    names = ["maxIter", *others[0]]
+    table = [(*map(float, k), float(sum(v) / len(v))) for k, v in scores.items()]
+    best = dict(zip(names, min(scores, key=lambda k: (sum(scores[k]), k))))
+    out = df.sparkSession.createDataFrame(table, ", ".join(f"{n} double" for n in [*names, "mse"]))
+    return out, best, fit(df, features, label, gbt(**{**settings, **best}), scale)
+
+
 def grid_scores(spark, search, names, metric):
     """Score of each parameter set of a search."""
     rows = []

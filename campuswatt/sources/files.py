@@ -1,5 +1,7 @@
 """Selecting drop files. A file listing is a DataFrame with ``path`` or ``name`` columns."""
 
+from urllib.parse import unquote
+
 from pyspark.sql import functions as F
 
 from campuswatt.functions import parsing as P
@@ -15,6 +17,11 @@ def base_name(path):
     return F.substring_index(path, "/", -1)
 
 
+def bare_name(path):
+    """File name of a path as the listing gives it, where odd characters are escaped."""
+    return unquote(path.rsplit("/", 1)[-1])
+
+
 def _has_token(name, tokens):
     hit = F.lit(False)
     for t in tokens:

@@ -41,23 +41,51 @@ def read_text_any(spark, path):
     return split_lines(files)
 
 
-def read_lines(spark, path):
-    """Lines of text files, each decoded by its own bytes, with file, folder and order in the file.
-
-    Large files are split; a split is at least a line, so no file has to fit a cell.
-    """
+def located(text, numbered=True):
+    """Lines of a text source as stored, with file, folder and order in the file. A stream numbers each batch itself."""
     meta = F.col("_metadata")
-    return spark.read.text(path).select(
-        F.regexp_replace(decode_text("value"), "^\ufeff", "").alias("line"), meta["file_name"].alias("source_file"),
-        F.regexp_extract(meta["file_path"], r"^(.*)/[^/]*$", 1).alias("source_dir"),
-        meta["file_block_start"].alias("block"), F.monotonically_increasing_id().alias("row")).filter("trim(line) <> ''")
+    lines = text.select(
+        F.col("value").alias("line"), meta["file_name"].alias("source_file"),
+        F.regexp_extract(meta["file_path"], r"^(.*)/[^/]*$", 1).alias("source_dir"), meta["file_block_start"].alias("block"))
+    return (lines.withColumn("row", F.monotonically_increasing_id()) if numbered else lines).filter("trim(line) <> ''")
+
+
+def raw_lines(spark, path):
+    """Lines of text files, not decoded yet. Large files are split; a split is at least a line, so no file has to fit a cell."""
+    return located(spark.read.text(path))
+
+
+def _decoded(line, utf8):
+    """A line in the encoding of its file: UTF-8 if all its lines are valid, else ISO-8859-1."""
+    text = F.when(F.col(utf8), F.col(line)).otherwise(F.decode(F.col(line).cast("binary"), "ISO-8859-1"))
+    return F.regexp_replace(text, "^\ufeff", "")
+
+
+_FILE = ["source_dir", "source_file"]
+
+
+def _files(lines):
+    """First line of each file, and whether all its lines are valid UTF-8."""
+    return lines.groupBy(*_FILE).agg(F.min_by("line", F.struct("block", "row")).alias("_first"),
+                                     F.bool_and(F.expr("is_valid_utf8(line)")).alias("_utf8"))
+
+
+def read_lines(spark, path):
+    """Lines of text files, each file in one encoding."""
+    lines = raw_lines(spark, path)
+    return lines.join(_files(lines), _FILE).withColumn("line", _decoded("line", "_utf8")).drop("_first", "_utf8")
 
 
 def headed(lines):
-    """Lines without the first one of each file, which comes as ``head``; a file of one line has no rows."""
-    at, file = F.struct("block", "row"), ["source_dir", "source_file"]
-    heads = lines.groupBy(*file).agg(F.min_by("line", at).alias("head"), F.min(at).alias("_first"))
-    return lines.join(heads, file).filter(at != F.col("_first")).drop("_first"), heads.select(*file, "head")
+    """Decoded lines behind the first one of each file, which comes as ``head``; a file of one line has no rows.
+
+    Lines that repeat the first one are headers too. The first line is known by its text, so the two readings
+    of the files need not agree on row numbers.
+    """
+    files = _files(lines)
+    rows = lines.join(files, _FILE).filter("line <> _first")
+    rows = rows.withColumns({"line": _decoded("line", "_utf8"), "head": _decoded("_first", "_utf8")}).drop("_first", "_utf8")
+    return rows, files.select(*_FILE, _decoded("_first", "_utf8").alias("head"))
 
 
 def _header(line, feed):
@@ -79,7 +107,12 @@ def _variants(heads, feed, lacks=None):
 
 
 def read_feed(spark, path, feed, names=None, lacks=None):
-    """Rows of a delimited feed as text, with file name and order of the row in its file.
+    """:func:`feed_rows` of files."""
+    return feed_rows(raw_lines(spark, path), feed, names, lacks)
+
+
+def feed_rows(lines, feed, names=None, lacks=None):
+    """Rows of a delimited feed as text, with file name and order of the row in its file; ``lines`` as stored.
 
     Every file is read by its own header line and its own encoding. The columns are those of all headers; a
     file that lacks one has NULL there, and ``header`` has the names of the file. With ``names`` the columns
@@ -87,7 +120,7 @@ def read_feed(spark, path, feed, names=None, lacks=None):
     ``lacks`` something are left out.
     """
     fmt = FORMATS[feed]
-    lines, heads = headed(read_lines(spark, path))
+    lines, heads = headed(lines)
     variants = _variants(heads, feed, lacks)
     width = max([len(c) for c in variants.values()] + [len(names or ())]) + 1
     cells = F.from_csv("line", ", ".join(f"c{i} string" for i in range(width)), {"sep": fmt["sep"], "quote": fmt["quote"]})
@@ -116,41 +149,51 @@ def read_feed(spark, path, feed, names=None, lacks=None):
                        "source_file", "source_dir", "block", "row")
 
 
-def bad_headers(spark, path, feed, lacks):
-    """(file, reason) of files whose header lacks something, and of empty ones."""
-    _, heads = headed(read_lines(spark, path))
-    good = list(_variants(heads, feed, lacks))
+def lacks_meteo_columns(columns):
+    return not set(METEO_COLUMNS) <= set(columns)
+
+
+LACKS = {"booking": C.lacks_booking_columns, "meteo": lacks_meteo_columns}
+
+
+def bad_headers(spark, path, feed, lacks=None):
+    """(file, reason) of files whose header lacks something."""
+    _, heads = headed(raw_lines(spark, path))
+    good = list(_variants(heads, feed, lacks or LACKS.get(feed)))
     return (heads.filter(~F.col("head").isin(good)) if good else heads).select(
         F.col("source_file").alias("file"), F.lit("missing required columns").alias("reason"))
 
 
-def read_inverters(spark, path):
+def inverter_rows(lines):
     """Inverter lines as (Date, Time, cells): block headers repeat, so cells go by position."""
-    lines, _ = headed(read_lines(spark, path))
+    lines, _ = headed(lines)
     cells = F.split("line", FORMATS["inverter"]["sep"])
     return lines.select(F.col("source_file").alias("file"), "block", "row", F.get(cells, F.lit(0)).alias("Date"), F.get(cells, F.lit(1)).alias("Time"),
                         F.transform(F.slice(cells, F.lit(3), F.greatest(F.size(cells) - 2, F.lit(0))),
                                     lambda c: F.nullif(F.trim(c), F.lit(""))).alias("cells"))
 
 
-def clean_inverter_files(spark, path):
-    blocks = C.unpivot_blocks(read_inverters(spark, path), "cells", ["file", "block", "row", "Date", "Time"])
-    return C.clean_inverters(blocks, ["block", "row"], "file")
+METER_NAMES = ["Date", "Time", "Unit", "Value"]    # by position; the unit is dropped
+METEO_COLUMNS = ["Time", "Prediction", "Measurement", "Value"]
 
 
-METER_NAMES = ["Date", "Time", "Unit", "Value"]    # by position; the unit is dropped
+# Cleaned rows of lines as stored: the same for files and for the micro-batches of a stream.
 
+def clean_inverter_lines(lines):
+    blocks = C.unpivot_blocks(inverter_rows(lines), "cells", ["file", "block", "row", "Date", "Time"])
+    return C.clean_inverters(blocks, ["block", "row"], "file")
 
-def clean_meter_files(spark, path):
-    raw = read_feed(spark, path, "meter", names=METER_NAMES)
+
+def clean_meter_lines(lines):
+    raw = feed_rows(lines, "meter", names=METER_NAMES)
     # a file of three columns has no unit
     raw = raw.withColumn("Value", F.when(F.size("header") > 3, F.col("Value")).otherwise(F.col("Unit"))).drop("header", "source_dir")
     return C.clean_meter(raw, ["block", "row"], file="source_file").withColumnRenamed("source_file", "file")
 
 
-def clean_meteo_files(spark, path, names=None):
-    """Weather files with all their measurements in columns; ``names`` takes these only."""
-    raw = read_feed(spark, path, "meteo").drop("source_dir")
+def clean_meteo_lines(lines, names=None):
+    """Weather rows with all their measurements in columns; ``names`` takes these only."""
+    raw = feed_rows(lines, "meteo").drop("source_dir")
     typed = raw.withColumns({"Value": P.number(raw, "Value"), "Prediction": F.col("Prediction").try_cast("int")})
     if names is None:      # the measurements of a weather model: metadata, like the columns they become
         found = [r[0] for r in typed.select(F.trim("Measurement").alias("m")).filter("m <> ''").distinct().orderBy("m").limit(MOST_MEASUREMENTS + 1).collect()]
@@ -161,15 +204,31 @@ def clean_meteo_files(spark, path, names=None):
     return wide.withColumnRenamed("source_file", "file")
 
 
-def clean_booking_files(spark, paths, year=None):
-    """Booking files, each read by its own header; files that lack a required column are left out.
+def clean_booking_lines(lines, year=None):
+    """Bookings, each file by its own header; files that lack a required column are left out.
 
     If all files lack one, that is an error.
     """
-    raw = read_feed(spark, paths, "booking", lacks=C.lacks_booking_columns).drop("source_dir", "header")
+    raw = feed_rows(lines, "booking", lacks=C.lacks_booking_columns).drop("source_dir", "header")
     return C.clean_bookings(raw, year=year, file="source_file", order=["block", "row"]).withColumnRenamed("source_file", "file")
 
 
+def clean_inverter_files(spark, path):
+    return clean_inverter_lines(raw_lines(spark, path))
+
+
+def clean_meter_files(spark, path):
+    return clean_meter_lines(raw_lines(spark, path))
+
+
+def clean_meteo_files(spark, path, names=None):
+    return clean_meteo_lines(raw_lines(spark, path), names)
+
+
+def clean_booking_files(spark, paths, year=None):
+    return clean_booking_lines(raw_lines(spark, paths), year)
+
+
 def write_feed(df, path, load_date=None, fmt="parquet", by_file=False):
     """Cleaned rows; Parquet is partitioned by load date, CSV is for exchange.
 

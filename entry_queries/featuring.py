@@ -224,6 +224,16 @@ def forest_predictions(v):
     return ML.fit(train, MODEL_FEATURES, "actual", ML.random_forest(), scale=True).transform(test)
 
 
+SMALL_GRID = {"maxIter": [2, 4], "stepSize": [0.1, 0.3], "maxDepth": [2]}
+
+
+@query("boosting_scores", "maxIter:i stepSize:f maxDepth:i mse:f")
+def boosting_scores(v):
+    """Cross-validated error of each setting of a small grid."""
+    train, _ = split_features(v)
+    return ML.boosting_search(train, MODEL_FEATURES, "actual", SMALL_GRID, folds=2, key=["ts"])[0]
+
+
 @query("importance_values", "feature:s importance:f")
 def importance_values(v):
     train, _ = split_features(v)

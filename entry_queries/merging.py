@@ -211,6 +211,34 @@ def booking_insert(v):
     return M.booking_insert(target, snap, ["date", "start_time", "end_time", "room_name", "user_name"], ["o_orderkey"])
 
 
+# Three snapshots of the booking dates; each lacks other bookings, so bookings vanish and return.
+@query("booking_snapshots", "external_id:s o_orderkey:i file:s is_active:i gone:s", "WITH " + STORED_BOOKINGS_SQL + """,
+snaps AS (SELECT 's1' AS file, * FROM b WHERE o_orderkey % 3 <> 0 UNION ALL SELECT 's2', * FROM b WHERE o_orderkey % 4 <> 1
+          UNION ALL SELECT 's3', * FROM b WHERE o_orderkey % 5 <> 2),
+nums AS (SELECT date, file, row_number() OVER (PARTITION BY date ORDER BY file) AS s FROM (SELECT DISTINCT date, file FROM snaps)),
+seen AS (SELECT external_id, date, s, min(o_orderkey) AS o FROM snaps JOIN nums USING (date, file) GROUP BY ALL),
+held AS (SELECT DISTINCT external_id, date FROM target WHERE is_active AND date IN (SELECT date FROM nums)),
+present AS (SELECT external_id, date, s, o FROM seen UNION ALL SELECT external_id, date, 0, NULL FROM held),
+numbered AS (SELECT *, s - row_number() OVER (PARTITION BY external_id ORDER BY s) AS run FROM present),
+runs AS (SELECT external_id, date, min(s) AS first, max(s) + 1 AS after, min_by(o, s) AS o FROM numbered GROUP BY external_id, date, run),
+ended AS (SELECT r.external_id, r.first, r.o, f.file AS file, g.file AS gone FROM runs r
+          LEFT JOIN nums f ON f.date = r.date AND f.s = r.first LEFT JOIN nums g ON g.date = r.date AND g.s = r.after)
+SELECT t.external_id, t.o_orderkey, 'stored' AS file, t.is_active AND e.gone IS NULL AS is_active, CASE WHEN t.is_active THEN e.gone END AS gone
+FROM target t LEFT JOIN ended e ON e.external_id = t.external_id AND e.first = 0
+UNION ALL SELECT external_id, o, file, gone IS NULL, gone FROM ended WHERE first > 0""")
+def booking_snapshots(v):
+    target, _ = booking_sides(v)
+    b = bookings(v)
+    snaps = None
+    for name, by, rest in (("s1", 3, 0), ("s2", 4, 1), ("s3", 5, 2)):
+        one = b.filter(F.col("o_orderkey") % by != rest).withColumn("file", F.lit(name))
+        snaps = one if snaps is None else snaps.unionByName(one)
+    key = ["date", "start_time", "end_time", "room_name", "user_name"]
+    stored, fresh = M.snapshot_history(target, snaps, "date", key, ["o_orderkey"])
+    names = ["external_id", "o_orderkey", "file", F.col("is_active").cast("int").alias("is_active"), F.col("_gone").alias("gone")]
+    return stored.withColumn("file", F.lit("stored")).select(*names).unionByName(fresh.select(*names))
+
+
 def forecast_sides(v):
     """Daily consumption and hourly production forecasts, as the scoring jobs write them."""
     e = v.table("events")

@@ -152,6 +152,14 @@ def test_encodings(spark, tmp_path):
     assert got == [("l.csv", 0, "é1"), ("l.csv", 1, "b"), ("u.csv", 0, "é1"), ("u.csv", 1, "b")]
 
 
+def test_a_file_has_one_encoding(spark, tmp_path):
+    """The second line would be valid UTF-8 by itself; the third shows that the file is not."""
+    feeds.write(tmp_path, "x.csv", "head\nÃ©x\nété\n", "iso-8859-1")
+    feeds.write(tmp_path, "y.csv", "head\nÃ©x\n", "utf-8")
+    got = sorted((r.source_file, r.line) for r in R.read_lines(spark, str(tmp_path)).collect())
+    assert got == [("x.csv", "head"), ("x.csv", "Ã©x"), ("x.csv", "été"), ("y.csv", "head"), ("y.csv", "Ã©x")]
+
+
 def test_half_hour_covers_no_whole_hour(spark):
     df = spark.createDataFrame([(datetime.date(2024, 1, 1), "07:30", "08:00", "r"), (datetime.date(2024, 1, 1), "07:30", "09:30", "r"),
                                 (datetime.date(2024, 1, 1), "10:00", "10:00", "s")],

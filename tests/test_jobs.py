@@ -173,6 +173,35 @@ def test_forecast_job_and_export(spark, loaded, tmp_path):
     assert view.count() == wh.read("FactSolarProduction").count()
 
 
+def test_star_export_is_in_time_order_over_its_files(spark, tmp_path):
+    """Most rows lie in one month: it is cut over several files, and the files follow one another in time."""
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    n = 20_000
+    days = spark.range(40).select((F.col("id") + 1).cast("int").alias("id_date"), F.lit(2024).alias("year"),
+                                  F.when(F.col("id") < 28, 2).otherwise(3).alias("month"), (F.col("id") % 28 + 1).cast("int").alias("day"))
+    clock = spark.range(96).select((F.col("id") + 1).cast("int").alias("id_time"), F.floor(F.col("id") / 4).cast("int").alias("hour"), (F.col("id") % 4 * 15).cast("int").alias("minute"))
+    for table, rows in (("DimDate", days), ("DimTime", clock), ("DimInverter", spark.createDataFrame([(1, "INV1"), (2, "INV2")], "id_inverter int, inverter_name string")),
+                        ("DimStatus", spark.createDataFrame([(1, "6")], "id_status int, status_name string"))):
+        wh.write(table, rows)
+    wh.write("FactSolarProduction", spark.range(n).select(
+        (F.when(F.col("id") % 10 < 9, F.col("id") % 28).otherwise(28 + F.col("id") % 12) + 1).cast("int").alias("id_date"), (F.col("id") % 96 + 1).cast("int").alias("id_time"),
+        (F.col("id") % 2 + 1).cast("int").alias("id_inverter"), F.lit(1).alias("id_status"), F.lit(1.0).alias("total_energy_produced"), F.lit(1.0).alias("energy_produced"),
+        F.lit(0).alias("error_count"), F.when(F.col("id") % 10 < 9, 202402).otherwise(202403).alias("ym")))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        marts.export_star(wh, str(tmp_path / "star"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    files = sorted(f for f in os.listdir(tmp_path / "star" / "SolarProductionView") if f.startswith("part-"))
+    times, february = [], 0
+    for f in files:
+        lines = (tmp_path / "star" / "SolarProductionView" / f).read_text().splitlines()[1:]
+        own = [tuple(map(int, line.split(",")[:5])) for line in lines]
+        february += any(t[1] == 2 for t in own)
+        times += own
+    assert len(times) == n and times == sorted(times) and february > 1
+
+
 def test_forecast_values_change_only_beyond_the_tolerance(spark, tmp_path):
     wh = Warehouse(spark, str(tmp_path))
     wh.create_tables()

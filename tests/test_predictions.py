@@ -4,6 +4,9 @@ import datetime
 import random
 
 import pytest
+from pyspark.sql import functions as F
+
+from campuswatt.plans import models as ML
 
 from entry_queries import registry
 from entry_queries.core import output
@@ -40,3 +43,24 @@ def test_importances_name_the_feature_that_counts(spark):
     got, _ = results(spark, "importance_values")
     shares = {r.feature: r.importance for r in got}
     assert abs(sum(shares.values()) - 1) < 0.001 and max(shares, key=shares.get) == "predicted" and shares["predicted"] > 0.5
+
+
+def test_shared_grid_search_equals_separate_fits(spark, monkeypatch):
+    """Each step size and depth is fitted once a fold, and its beginnings score like fits of their own."""
+    rows = spark.range(400).select(
+        F.col("id"), (F.col("id") % 17).cast("double").alias("a"), (F.col("id") % 5).cast("double").alias("b"),
+        ((F.col("id") % 17) * 2.0 + (F.col("id") % 5) * (F.col("id") % 3)).alias("y"))
+    grid, features = {"maxIter": [1, 3], "stepSize": [0.1, 0.5], "maxDepth": [2]}, ["a", "b"]
+    fits, real = [], ML.fit
+    monkeypatch.setattr(ML, "fit", lambda *a, **k: fits.append(1) or real(*a, **k))
+    scores, best, model = ML.boosting_search(rows, features, "y", grid, folds=2, key=["id"], subsamplingRate=1.0)
+    assert len(fits) == 2 * 2 + 1
+    got = {(r.maxIter, r.stepSize, r.maxDepth): r.mse for r in scores.collect()}
+    folded = ML.cross_folds(rows, 2, ["id"])
+    for (n, step, depth), mse in got.items():
+        one = []
+        for i in range(2):
+            m = real(folded.filter(F.col("fold") != i), features, "y", ML.gbt(maxIter=int(n), stepSize=step, maxDepth=int(depth), subsamplingRate=1.0))
+            one.append(m.transform(folded.filter(F.col("fold") == i)).agg(F.avg((F.col("y") - F.col("prediction")) ** 2)).first()[0])
+        assert abs(mse - sum(one) / 2) < 1e-9
+    assert best["maxIter"] == 3 and model.stages[-1].getNumTrees == 3 and min(got, key=got.get)[:2] == (3.0, best["stepSize"])

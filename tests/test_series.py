@@ -126,6 +126,8 @@ def test_folds_are_contiguous_and_even(spark):
 def test_running_total_over_many_partitions(spark):
     df = spark.range(0, 1000, 1, 8).withColumn("w", F.col("id") % 7)
     got = R.running_total(df, ["id"], weight="w", into="t").orderBy("id").collect()
+    in_runs = R.running_total(df, ["id"], weight="w", into="t", few=10, run_rows=90).orderBy("id").collect()
+    assert in_runs == got
     total, want = 0, []
     for i in range(1000):
         total += i % 7
@@ -133,6 +135,43 @@ def test_running_total_over_many_partitions(spark):
     assert [r.t for r in got] == want
 
 
+@pytest.mark.parametrize("order", [["s", "i"], ["v"], ["n", "i"], ["hot", "i"], ["hot"], ["x"]])
+def test_positions_in_one_sort_and_in_runs(spark, order):
+    """Text, numbers with nulls, structs, and a value that most rows share."""
+    df = spark.range(0, 3000, 1, 5).select(
+        F.col("id").alias("i"), F.concat(F.lit("name"), F.md5(F.col("id").cast("string"))).alias("s"), (F.col("id") % 97).alias("v"),
+        F.when(F.col("id") % 3 > 0, F.col("id") % 50).alias("n"), F.least(F.col("id"), F.lit(100)).alias("hot"),
+        F.struct((F.col("id") % 10).alias("a"), F.col("id").alias("b")).alias("x"))
+    for settings in ({}, {"few": 100, "run_rows": 200}):
+        rows = R.global_position(df, order, **settings).orderBy("_pos").collect()
+        assert [r._pos for r in rows] == list(range(3000))
+        keys = [tuple((r[c] is not None, r[c]) for c in order) for r in rows]
+        assert keys == sorted(keys)
+    assert set(R.global_position(df, order, few=100, run_rows=200).columns) == {*df.columns, "_pos"}
+
+
+def test_a_hot_value_lies_in_several_runs(spark):
+    df = spark.range(0, 10_000, 1, 4).select("id", F.lit("same").alias("s"))
+    rows, _ = R._in_runs(df.withColumn("_key0", F.col("s")), ["_key0"], 10_000, 1000)
+    sizes = [r["count"] for r in rows.groupBy("_run").count().collect()]
+    assert len(sizes) == 10 and max(sizes) < 2000
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_quantiles_by_selection(spark, seed):
+    """Skewed, tied and null data; only a few values are put in order."""
+    rnd = random.Random(seed)
+    kinds = [lambda: rnd.paretovariate(0.7), lambda: rnd.choice([1.0, 1.0, 1.0, 2.0]), lambda: float(rnd.randrange(-3, 3)),
+             lambda: rnd.choice([0.0] * 9 + [rnd.random()]), lambda: rnd.gauss(0, 1)]
+    values = [kinds[seed]() for _ in range(5000)]
+    df = spark.createDataFrame([(v,) for v in values] + [(None,)] * 50, "v double").repartition(4)
+    shares = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 0.999, 1.0]
+    want = np.quantile(values, shares)
+    for few in (200_000, 40):
+        np.testing.assert_allclose(list(E.quantiles(df, "v", shares, few=few).first()), want, rtol=1e-12, atol=1e-12)
+    assert list(E.quantiles(df.limit(0), "v", [0.5]).first()) == [None]
+
+
 def test_gap_methods(spark):
     rows = [("2024-01-01 00:00:00", 1.0, None, 4.0), ("2024-01-01 01:00:00", None, 2.0, None), ("2024-01-01 02:00:00", 5.0, None, 8.0)]
     df = spark.createDataFrame(rows, "ts string, temperature double, pred_a double, x double").withColumn("ts", F.col("ts").cast("timestamp"))
