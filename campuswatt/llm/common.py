@@ -29,6 +29,14 @@ def row_key(*columns):
     return F.substring(F.unhex(F.sha2(F.concat_ws("\x1f", *parts).cast("binary"), 256)), 1, 16)
 
 
+def own_name(df, name):
+    """A column name like ``name`` that ``df`` does not have."""
+    taken = {c.lower() for c in df.columns}
+    while f"_{name}" in taken:
+        name = f"_{name}"
+    return f"_{name}"
+
+
 def with_columns(schema, **kinds):
     """The schema and further columns."""
     return T.StructType(schema.fields + [T.StructField(n, T.DataType.fromDDL(k)) for n, k in kinds.items()])

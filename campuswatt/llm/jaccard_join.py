@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Window as W, functions as F
 
 from campuswatt.llm import text as X
-from campuswatt.llm.common import pack, partitions, row_key, runs, settle, unpack
+from campuswatt.llm.common import own_name, pack, partitions, row_key, runs, settle, unpack
 from campuswatt.llm.linking import enough, link, range_counts
 
 N_GRAM, NUMERATOR, DENOMINATOR = 5, 80, 100
@@ -275,14 +275,8 @@ def _sample_hot(texts, n, total, buckets):
     return np.array([r.gram for r in rows], dtype=np.int64).view(np.uint64)
 
 
-def links(docs, doc_id="doc_id", text="text", n=N_GRAM, numerator=NUMERATOR, denominator=DENOMINATOR):
-    """doc_id, n_shingles, component_id and row (identity of id and text) of every row of ``docs``.
-
-    Words are split at ASCII blanks with A-Z lowered. A null or blank text has no n-grams and is its own
-    component; a text of fewer than ``n`` words is one n-gram. Rows with equal sets, repeated rows
-    included, share a component. A null doc_id keeps its row; it is never the smallest of a component with
-    another id. Other columns of ``docs`` are not read. N-grams are compared by 64-bit hashes.
-    """
+def classes(docs, doc_id="doc_id", text="text", n=N_GRAM, numerator=NUMERATOR, denominator=DENOMINATOR):
+    """doc_id, n_shingles, row (identity of id and text) and root (class of the text; null without words) of every row."""
     spark = docs.sparkSession
     signed = settle(signatures(docs, doc_id, text, n))
     total = signed.agg(F.coalesce(F.sum("n_shingles"), F.lit(0)), F.count("*")).first()
@@ -299,15 +293,31 @@ def links(docs, doc_id="doc_id", text="text", n=N_GRAM, numerator=NUMERATOR, den
 
     known = link(postings, sets, _likely(numerator, denominator), numerator, denominator)
     roots = signed.join(known.withColumnsRenamed({"node": "key"}), "key", "left")
-    roots = roots.withColumn("root", F.coalesce("root", "key"))
+    return roots.select("doc_id", "n_shingles", "row", F.coalesce("root", "key").alias("root"))
+
+
+def links(docs, doc_id="doc_id", text="text", n=N_GRAM, numerator=NUMERATOR, denominator=DENOMINATOR):
+    """doc_id, n_shingles, component_id and row (identity of id and text) of every row of ``docs``.
+
+    Words are split at ASCII blanks with A-Z lowered. A null or blank text has no n-grams and is its own
+    component; a text of fewer than ``n`` words is one n-gram. Rows with equal sets, repeated rows
+    included, share a component. A null doc_id keeps its row; it is never the smallest of a component with
+    another id. Other columns of ``docs`` are not read. N-grams are compared by hashes of 48 bits and more.
+    """
+    roots = classes(docs, doc_id, text, n, numerator, denominator)
     smallest = roots.filter("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("component_id"))
     return roots.join(smallest, "root", "left").select(
         "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), "row")
 
 
 def one_each(docs, doc_id="doc_id", text="text", **how):
-    """The rows of ``docs`` whose doc_id is the smallest of their component; of rows equal in id and text one."""
-    kept = (links(docs, doc_id, text, **how).filter("doc_id <=> component_id").select(F.col("row").alias("_row")).distinct())
-    nth = F.row_number().over(W.partitionBy("_row").orderBy(F.lit(0)))
-    return (docs.withColumn("_row", row_key(doc_id, text)).join(kept, "_row").withColumn("_nth", nth)
-            .filter("_nth = 1").select(*docs.columns))
+    """One row of each class of ``docs``: that with the smallest doc_id, a null id last.
+
+    Of rows with the same id the choice goes by their text, and rows equal in both are alike. Texts without words
+    are classes of their own; of rows equal in id and text one stays.
+    """
+    row, root, nth = (own_name(docs, c) for c in ("row", "root", "nth"))
+    of_row = classes(docs, doc_id, text, **how).select(F.col("row").alias(row), F.col("root").alias(root)).distinct()
+    first = F.row_number().over(W.partitionBy(F.coalesce(root, row)).orderBy(F.asc_nulls_last(doc_id), row))
+    return (docs.withColumn(row, row_key(doc_id, text)).join(of_row, row).withColumn(nth, first)
+            .filter(F.col(nth) == 1).select(*docs.columns))

@@ -1,11 +1,12 @@
 """License scans as an exact set-similarity join of text blocks with notice templates.
 
-A block is a line of a text, as a set of words; it matches a template if it holds at least 80 % of the
-template's words. Words are ordered by how many blocks of the whole corpus hold them, rarest first. A block
-that matches shares one of the first ``n - need + 1`` words of the template (prefix filter), has at least
-``need`` words (length filter), and from the shared word on both sides have enough words left (positional
-filter). What passes is verified on the whole sets. Everything runs in DataFrame functions; the template
-table is a fixed list, so its broadcast does not grow.
+A block of a template is any run of consecutive words, over line ends, of ``SPAN`` times the template's number of
+different words; it matches if it holds at least 80 % of them. Words are ordered by how many texts of the whole
+corpus that could match hold them, rarest first. A block that matches holds one of the first ``n - need + 1``
+words of the template (prefix filter), its text has ``need`` of the words (length filter), and from the first
+shared word on both sides have enough words left (positional filter). Blocks around every place of a prefix word
+in what passes are verified word by word. Everything runs in DataFrame functions; the template table is a fixed
+list, so its broadcast does not grow.
 """
 
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 from campuswatt.llm.common import row_key, settle
 
 THRESHOLD = (80, 100)
+SPAN = 2        # words of a block for each different word of the template
 
 # Phrases of the base labels.
 PHRASES = {"cc-by": "cc by", "gpl": "general public license", "reserved": "all rights reserved"}
@@ -30,6 +32,7 @@ TEMPLATES = {
                           "the gnu general public license as published by the free software foundation",
     "mit-notice": "permission is hereby granted free of charge to any person obtaining a copy of this software and "
                   "associated documentation files",
+    "mit-line": "released under the mit license",
     "mpl-notice": "this source code form is subject to the terms of the mozilla public license v 2 0",
     "reserved-notice": "all rights reserved",
 }
@@ -82,36 +85,56 @@ def _template_sets():
     return {label: sorted(set(text.split(" "))) for label, text in TEMPLATES.items()}
 
 
-def blocks(texts):
-    """(row, block, size, vocabulary words) of every line that could match a template."""
-    vocabulary = sorted({w for ws in _template_sets().values() for w in ws})
-    least = min(_need(len(ws)) for ws in _template_sets().values())
-    lines = texts.select("row", F.posexplode(F.split("low", "\n")).alias("block", "line"))
-    return (lines.select("row", "block", F.array_distinct(_words(F.col("line"))).alias("ws"))
-            .select("row", "block", F.size("ws").alias("size"),
-                    F.array_intersect(F.array(*[F.lit(w) for w in vocabulary]), "ws").alias("hits"))
-            .filter(F.size("hits") >= least))
+def likely(texts):
+    """(row, low, hits) of every text that has enough words of some template, wherever they stand; one row each."""
+    sets = _template_sets()
+    vocabulary = sorted({w for ws in sets.values() for w in ws})
+    hit = texts.select("row", "low", F.array_intersect(F.array(*[F.lit(w) for w in vocabulary]), _words(F.col("low"))).alias("hits"))
+    enough = [F.size(F.array_intersect("hits", F.array(*[F.lit(w) for w in ws]))) >= _need(len(ws)) for ws in sets.values()]
+    either = enough[0]
+    for one in enough[1:]:
+        either = either | one
+    return hit.filter((F.size("hits") >= min(_need(len(ws)) for ws in sets.values())) & either).dropDuplicates(["row"])
+
+
+def _best_block(words, place, template, span):
+    """Most different words of the template in one block that holds the word at ``place``."""
+    first = F.greatest(place - span + 1, F.lit(0))
+    near = F.slice(words, first + 1, place + span - first)
+    held = F.filter(F.transform(near, lambda x, i: F.struct(i.alias("i"), F.when(F.array_contains(template, x), x).alias("x"))),
+                    lambda s: s["x"].isNotNull())
+
+    def from_word(start):
+        inside = F.filter(held, lambda s: (s["i"] >= start["i"]) & (s["i"] < start["i"] + span))
+        return F.size(F.array_distinct(F.transform(inside, lambda s: s["x"])))
+
+    return F.array_max(F.transform(held, from_word))
 
 
 def matches(texts):
     """(row, label, share) of every row and template with a matching block; share is the best containment."""
     sets = _template_sets()
-    found = settle(blocks(texts))
+    found = settle(likely(texts))
     counts = {r.w: r["count"] for r in found.select(F.explode("hits").alias("w")).groupBy("w").count().collect()}   # a row a template word
     order = sorted({w for ws in sets.values() for w in ws}, key=lambda w: (counts.get(w, 0), w))
     rank = {w: i for i, w in enumerate(order)}
     prefixes = []
     for label, ws in sets.items():
         ordered = sorted(ws, key=rank.get)
-        prefixes += [(w, label, i, len(ws), _need(len(ws)), ordered) for i, w in enumerate(ordered[:len(ws) - _need(len(ws)) + 1])]
+        rare = ordered[:len(ws) - _need(len(ws)) + 1]
+        prefixes += [(w, label, i, len(ws), _need(len(ws)), ordered) for i, w in enumerate(rare)]
     prefixes = texts.sparkSession.createDataFrame(
         prefixes, "word string, label string, at int, n int, need int, words array<string>")
     ordered = found.withColumn("hits", F.array_intersect(F.array(*[F.lit(w) for w in order]), "hits"))
-    candidates = (ordered.select("row", "block", "size", "hits", F.posexplode("hits").alias("place", "word"))
+    candidates = (ordered.select("row", "low", "hits", F.posexplode("hits").alias("place", "word"))
                   .join(F.broadcast(prefixes), "word")
-                  .filter("size >= need AND 1 + least(n - at - 1, size(hits) - place - 1) >= need"))
-    return (candidates.withColumn("common", F.size(F.array_intersect("hits", "words"))).filter("common >= need")
-            .groupBy("row", "label").agg(F.max(F.col("common") / F.col("n")).alias("share")))
+                  .filter("size(hits) >= need AND 1 + least(n - at - 1, size(hits) - place - 1) >= need")
+                  .filter("size(array_intersect(hits, words)) >= need"))
+    # the blocks around every place of a prefix word are verified, inside one row
+    places = F.filter(F.transform("text", lambda x, i: F.when(x == F.col("word"), i)), lambda i: i.isNotNull())
+    best = F.array_max(F.transform(places, lambda at: _best_block(F.col("text"), at, F.col("words"), F.col("n") * SPAN)))
+    verified = candidates.withColumn("text", _words(F.col("low"))).select("row", "label", "n", "need", best.alias("common"))
+    return verified.filter("common >= need").groupBy("row", "label").agg(F.max(F.col("common") / F.col("n")).alias("share"))
 
 
 def scan(docs, doc_id="doc_id", text="text"):

@@ -28,32 +28,44 @@ _LETTER[ord("a"):ord("z") + 1] = 1
 
 
 class Block:
-    """Some whole texts; each measure is taken once, when a rule first asks for it."""
+    """Some whole texts. A measure is taken of the texts that a rule asks it of, and of each text once."""
 
     def __init__(self, offsets, data):
-        self.offsets, self.data, self._taken = offsets, data, {}
+        self.offsets, self.data = offsets, data
+        self._values, self._known = {}, {}
 
     def __len__(self):
         return len(self.offsets) - 1
 
-    def subset(self, keep):
-        """The texts marked in ``keep``, with the measures they have."""
-        at = np.flatnonzero(keep)
+    def _part(self, at):
+        """The texts numbered ``at`` as a block of their own."""
+        if len(at) == len(self):
+            return self
         sizes = np.diff(self.offsets)[at]
         data = np.concatenate([self.data[self.offsets[i]:self.offsets[i + 1]] for i in at] or [self.data[:0]])
-        out = Block(np.concatenate([[0], np.cumsum(sizes)]), data)
-        out._taken = {k: v[at] for k, v in self._taken.items() if k in MEASURES}
-        return out
-
-    def measure(self, name):
-        if name not in self._taken:
-            self._taken[name] = MEASURES[name](self)
-        return self._taken[name]
+        return Block(np.concatenate([[0], np.cumsum(sizes)]), data)
+
+    def measure(self, name, at=None):
+        """The measure of the texts numbered ``at`` (of all)."""
+        at = np.arange(len(self)) if at is None else at
+        if name not in self._values:
+            self._values[name] = np.zeros(len(self), dtype=np.int64)
+            self._known[name] = np.zeros(len(self), dtype=bool)
+        lacking = at[~self._known[name][at]]
+        if len(lacking):
+            part = self._part(lacking)
+            for extra in sorted(TOGETHER.get(name, {name})):
+                if extra != name and extra in self._values and self._known[extra][lacking].all():
+                    continue
+                values = MEASURES[extra](part)
+                self._values.setdefault(extra, np.zeros(len(self), dtype=np.int64))[lacking] = values
+                self._known.setdefault(extra, np.zeros(len(self), dtype=bool))[lacking] = True
+        return self._values[name][at]
 
     def words(self):
-        if "words" not in self._taken:
-            self._taken["words"] = X.spans(self.data, self.offsets)
-        return self._taken["words"]
+        if not hasattr(self, "_words"):
+            self._words = X.spans(self.data, self.offsets)
+        return self._words
 
     def per_text(self, values):
         """Sums of a value per byte."""
@@ -125,60 +137,87 @@ def _n_letters(block):
 MEASURES = {"n_words": _n_words, "word_chars": _word_chars, "n_symbols": _n_symbols, "n_lines": _n_lines,
             "n_dup_lines": _n_dup_lines, "n_repeat_words": _n_repeat_words, "n_upper": _n_upper, "n_letters": _n_letters}
 
+#: Measures that come from one reading of the words are taken with one another.
+TOGETHER = {"n_repeat_words": {"n_repeat_words", "n_words"}}
+
+
+class Rule:
+    """Marks texts to reject, from the measures it names. Whole numbers only, so that no rounding decides."""
+
+    def __init__(self, rejects, *measures):
+        self.rejects, self.measures = rejects, measures
+
+    def __call__(self, block, at=None):
+        return self.rejects(*(block.measure(m, at) for m in self.measures))
+
+
 BASE = {
-    "few_words": lambda b: b.measure("n_words") < MIN_WORDS,
-    "repeated_words": lambda b: 100 * b.measure("n_repeat_words") > REPEATED * b.measure("n_words"),
+    "few_words": Rule(lambda n: n < MIN_WORDS, "n_words"),
+    "repeated_words": Rule(lambda r, n: 100 * r > REPEATED * n, "n_repeat_words", "n_words"),
 }
 
-#: name -> marks the texts to reject. Whole numbers only, so that no rounding decides.
 RULES = BASE | {
-    "short_words": lambda b: b.measure("word_chars") < 2 * b.measure("n_words"),
-    "long_words": lambda b: b.measure("word_chars") > 20 * b.measure("n_words"),
-    "symbols": lambda b: 10 * b.measure("n_symbols") > 3 * b.measure("n_words"),
-    "dup_lines": lambda b: 10 * b.measure("n_dup_lines") > 5 * b.measure("n_lines"),
-    "capitals": lambda b: 10 * b.measure("n_upper") > 6 * b.measure("n_letters"),
+    "short_words": Rule(lambda c, n: c < 2 * n, "word_chars", "n_words"),
+    "long_words": Rule(lambda c, n: c > 20 * n, "word_chars", "n_words"),
+    "symbols": Rule(lambda s, n: 10 * s > 3 * n, "n_symbols", "n_words"),
+    "dup_lines": Rule(lambda d, n: 10 * d > 5 * n, "n_dup_lines", "n_lines"),
+    "capitals": Rule(lambda u, n: 10 * u > 6 * n, "n_upper", "n_letters"),
 }
 
 
 def profile(docs, text="text", rules=RULES, sample_rows=SAMPLE_ROWS):
-    """Seconds and rejections of every rule on a random sample of about ``sample_rows`` rows: {rule: (seconds, rejected)}."""
-    names = list(rules)
+    """Seconds of every measure and rejections of every rule on a random sample of about ``sample_rows`` rows.
+
+    Returns ({measure: seconds}, {rule: rejected}). A measure is timed by itself, so a rule that needs what
+    another rule has taken already is cheap after it.
+    """
+    measures = sorted({m for r in rules.values() for m in r.measures})
+    names = [*measures, *rules]
 
     def run(batches):
         spent, rejected = np.zeros(len(names)), np.zeros(len(names), dtype=np.int64)
         for batch in batches:
             for _, offsets, data in X.chunks(batch.column(0)):
-                for k, name in enumerate(names):
+                for k, name in enumerate(measures):
                     block, began = Block(offsets, data), time.thread_time()
-                    rejected[k] += int(rules[name](block).sum())
+                    MEASURES[name](block)
                     spent[k] += time.thread_time() - began
-        yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(spent), pa.array(rejected)], names=["rule", "seconds", "rejected"])
+                block = Block(offsets, data)
+                for k, rule in enumerate(rules.values(), len(measures)):
+                    rejected[k] += int(rule(block).sum())
+        yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(spent), pa.array(rejected)], names=["name", "seconds", "rejected"])
 
     rows = docs.count()
     sample = docs.select(F.col(text).alias("text")).sample(min(1.0, sample_rows / max(rows, 1)), seed=7)
-    found = (sample.mapInArrow(run, "rule string, seconds double, rejected long").groupBy("rule")
-             .agg(F.sum("seconds").alias("seconds"), F.sum("rejected").alias("rejected")).collect())   # a row a rule
-    return {r.rule: (r.seconds, r.rejected) for r in found}
+    found = (sample.mapInArrow(run, "name string, seconds double, rejected long").groupBy("name")
+             .agg(F.sum("seconds").alias("seconds"), F.sum("rejected").alias("rejected")).collect())   # a row a rule and measure
+    return {r.name: r.seconds for r in found if r.name in measures}, {r.name: r.rejected for r in found if r.name in rules}
 
 
 def in_order(rules, costs):
-    """Rules by rejections per second, most first."""
-    def gain(name):
-        seconds, rejected = costs.get(name, (0.0, 0))
-        return -(rejected + 0.5) / (seconds + 1e-6)
-
-    return sorted(rules, key=lambda name: (gain(name), name))
+    """Rules by rejections per second, most first; what a chosen rule has measured costs the next ones nothing."""
+    seconds, rejected = costs
+    order, taken, left = [], set(), set(rules)
+    while left:
+        def gain(name):
+            cost = sum(seconds.get(m, 0.0) for m in rules[name].measures if m not in taken)
+            return (rejected.get(name, 0) + 0.5) / (cost + 1e-6)
+
+        best = max(sorted(left), key=gain)
+        order.append(best)
+        left.remove(best)
+        for m in rules[best].measures:
+            taken |= TOGETHER.get(m, {m})
+    return order
 
 
 def passes(block, rules, order):
-    """Marks the texts that no rule rejects; each rule runs on what is left."""
+    """Numbers of the texts that no rule rejects; each rule runs on what the rules before it left."""
     kept = np.arange(len(block))
     for name in order:
         if not len(kept):
             break
-        left = ~rules[name](block)
-        if not left.all():
-            kept, block = kept[left], block.subset(left)
+        kept = kept[~rules[name](block, kept)]
     return kept
 
 
@@ -186,7 +225,8 @@ def assess(docs, doc_id="doc_id", text="text", rules=RULES, measures=("n_words",
            sample_rows=SAMPLE_ROWS):
     """doc_id, the measures, base_failed and kept of every row.
 
-    A null text has no words, like an empty one, and fails. Repeated rows are judged one by one and alike.
+    The cascade runs first; then the measures asked for are taken of the texts that it did not need them of. A
+    null text has no words, like an empty one, and fails. Repeated rows are judged one by one and alike.
     Other columns of ``docs`` are not read.
     """
     kind = docs.schema[doc_id].dataType.simpleString()
@@ -196,12 +236,12 @@ def assess(docs, doc_id="doc_id", text="text", rules=RULES, measures=("n_words",
         for batch in batches:
             for first, offsets, data in X.chunks(batch.column(1)):
                 block = Block(offsets, data)
+                kept = np.zeros(len(block), dtype=bool)
+                kept[passes(block, rules, order)] = True      # what the cascade measured is not measured again below
                 values = [block.measure(m) for m in measures]
                 failed = np.zeros(len(block), dtype=bool)
                 for rule in BASE.values():
                     failed |= rule(block)
-                kept = np.zeros(len(block), dtype=bool)
-                kept[passes(block, rules, order)] = True
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(first, len(block)), *[pa.array(v.astype(np.int64)) for v in values],
                      pa.array(failed), pa.array(kept & ~failed)], names=["doc_id", *measures, "base_failed", "kept"])

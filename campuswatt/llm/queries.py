@@ -90,10 +90,9 @@ places AS (
     list_filter(range(len(w)), lambda i: w[i + 1] = 'all' AND w[i + 2] = 'rights' AND w[i + 3] = 'reserved') AS res
   FROM words),
 templates(label, words) AS (VALUES TEMPLATES),
-lines AS (
-  SELECT doc_id, list_distinct(regexp_extract_all(line, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS ws
-  FROM (SELECT doc_id, unnest(string_split(low, chr(10))) AS line FROM texts)),
-held AS (SELECT doc_id, label, len(list_intersect(ws, words)) AS k, len(words) AS n FROM lines, templates),
+enough AS (SELECT doc_id, w, label, t.words AS ws, len(t.words) AS n FROM words, templates t WHERE 100 * len(list_intersect(w, t.words)) >= 80 * len(t.words)),
+blocks AS (SELECT doc_id, label, ws, n, w[i:i + 2 * n - 1] AS block FROM (SELECT *, unnest(range(1, len(w) + 1)) AS i FROM enough)),
+held AS (SELECT doc_id, label, len(list_intersect(block, ws)) AS k, n FROM blocks),
 own AS (SELECT doc_id, list(DISTINCT label) AS labels, max(k / n) AS share FROM held WHERE 100 * k >= 80 * n GROUP BY doc_id),
 base AS (
   SELECT doc_id, len(w)::BIGINT AS n_words, (len(cc) + len(gpl) + len(res))::BIGINT AS n_base,

@@ -168,8 +168,22 @@ def test_order_of_rules_changes_no_verdict(spark):
 
 
 def test_cheap_rejecting_rules_come_first():
-    costs = {"a": (1.0, 100), "b": (0.1, 100), "c": (0.1, 0)}
-    assert Q.in_order(["a", "b", "c"], costs) == ["b", "a", "c"]
+    rules = {"a": Q.Rule(None, "n_lines"), "b": Q.Rule(None, "n_words"), "c": Q.Rule(None, "n_upper"), "d": Q.Rule(None, "n_lines", "n_upper")}
+    seconds = {"n_lines": 1.0, "n_words": 0.1, "n_upper": 0.1}
+    assert Q.in_order(rules, (seconds, {"a": 100, "b": 100, "c": 0, "d": 0})) == ["b", "a", "c", "d"]
+    # a rule whose measures are taken already costs nothing, so it goes before a costly one
+    assert Q.in_order(rules, (seconds, {"a": 100, "b": 1, "c": 30, "d": 1})) == ["c", "a", "d", "b"]
+
+
+def test_a_rejected_text_is_measured_no_further():
+    import pyarrow as pa
+    from campuswatt.llm import text as X
+    (_, offsets, data), = X.chunks(pa.array(["too few words", "x " * 100, "some words that are all of them different and enough"], pa.string()))
+    block, seen = Q.Block(offsets, data), []
+    rules = {"first": Q.RULES["few_words"], "second": Q.Rule(lambda r, n: seen.append(len(r)) or r > 0, "n_repeat_words", "n_words")}
+    assert Q.passes(block, rules, ["first", "second"]).tolist() == [2]
+    assert seen == [2] and block._known["n_repeat_words"].tolist() == [False, True, True]
+    assert block.measure("n_repeat_words").tolist() == [0, 100, 0] and block._known["n_repeat_words"].all()
 
 
 def test_keep_keeps_columns_and_awkward_tables(spark):

@@ -2,6 +2,7 @@
 
 import gzip
 import random
+import re
 import zlib
 
 import duckdb
@@ -9,7 +10,7 @@ import numpy as np
 import pytest
 
 from campuswatt.llm import hnsw as H, license_scan as L, quality_classifier as C, queries, warc as W
-from fixtures import SCHEMA, awkward, documents, sentence, texts
+from fixtures import LOWER, SCHEMA, awkward, documents, sentence, texts
 
 DATA = "/root/testdata/sf0.001"
 
@@ -129,6 +130,53 @@ def test_scan_equals_sql(spark, tmp_path):
     assert L.scan(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+WRAPPED = {
+    "mit-notice": "Permission is hereby granted, free of charge, to any person obtaining\na copy of this software and associated documentation\n"
+                  "files (the \"Software\"), to deal in the Software without restriction",
+    "bsd-notice": "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following\nconditions\nare met:",
+    "gpl-program-notice": "    This program is free software: you can redistribute it and/or modify\n    it under the terms of the GNU General Public License as published by\n"
+                          "    the Free Software Foundation, either version 3",
+    "mpl-notice": "This Source Code Form is subject to the terms of the Mozilla\n * Public License, v. 2.0. If a copy",
+    "apache-notice": "Licensed under the Apache\nLicense, Version 2.0",
+    "cc0-notice": "To the extent possible under law,\nthe author has waived all copyright\nand related or neighboring rights to this work.",
+    "mit-line": "Released under the MIT License.",
+    "cc-notice": "licensed under\nCC BY 4.0", "gpl-notice": "This work is licensed under the GNU\nGeneral Public License, version 3.", "reserved-notice": "All rights\nreserved",
+}
+
+
+def best_blocks(text):
+    """Brute force over every run of words."""
+    words = re.findall("[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(LOWER))
+    out = {}
+    for label, template in L.TEMPLATES.items():
+        ws = set(template.split(" "))
+        most = max((len(ws & set(words[i:i + 2 * len(ws)])) for i in range(len(words))), default=0)
+        if 100 * most >= 80 * len(ws):
+            out[label] = most / len(ws)
+    return out
+
+
+def test_wrapped_notices_are_found(spark):
+    rng = random.Random(4)
+    rows = [(i, sentence(rng, 60) + "\n" + t + "\n" + sentence(rng, 60)) for i, t in enumerate(WRAPPED.values())]
+    every = list(L.TEMPLATES.values())
+    for i in range(300):       # words of notices, whole and torn apart
+        parts = []
+        for _ in range(rng.randrange(1, 5)):
+            words = rng.choice(every).split(" ")
+            parts += [w for w in words if rng.random() < 0.9] if rng.random() < 0.6 else rng.sample(words, len(words))
+            parts += sentence(rng, rng.choice([0, 0, 3, 30])).split()
+        rows.append((100 + i, rng.choice([" ", "\n", ", "]).join(parts)))
+    df = spark.createDataFrame([(i, t, "", "", 1, "", "", "") for i, t in rows], SCHEMA).repartition(3)
+    got = {r.doc_id: r for r in L.scan(df).collect()}
+    for i, text in rows:
+        want = best_blocks(text)
+        assert set(got[i].labels.split(",")) - {""} == set(want) | (set(got[i].base_labels.split(",")) - {""})
+        assert got[i].score == (1.0 if got[i].n_base else max(want.values(), default=0.0))
+    for i, label in enumerate(WRAPPED):
+        assert label in got[i].labels.split(",")
+
+
 def test_scan_runs_no_python(spark):
     plan = L.scan(documents(spark, rows=["all rights reserved"]))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan

@@ -69,6 +69,21 @@ def test_one_each_keeps_one_row_of_each_component(spark):
     assert sorted(str(r.doc_id) for r in kept.collect()) == sorted({c for d, _, c in rows if d == c} | {"None"})
 
 
+def test_one_each_with_null_and_repeated_ids(spark):
+    """Near copies that share the smallest id, or have none, leave one row; columns may have names used inside."""
+    rng = random.Random(8)
+    base, other = sentence(rng, 100), sentence(rng, 100)
+    texts = [base, base + " more", base + " and more", other, other + " more", other]
+    ids = [3, 3, 9, None, None, None]
+    rows = [(i, t, f"x{k}", 1, 2) for k, (i, t) in enumerate(zip(ids, texts))] + [(5, None, "y", 1, 2), (6, "", "z", 1, 2), (6, "", "zz", 1, 2)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _row string, _root int, _nth int")
+    kept = J.one_each(df)
+    assert kept.columns == df.columns
+    got = kept.collect()
+    assert sorted((r.doc_id for r in got), key=str) == [3, 5, 6, None]
+    assert J.one_each(df).orderBy("doc_id", "text").select("doc_id", "text").collect() == kept.orderBy("doc_id", "text").select("doc_id", "text").collect()
+
+
 def test_components(spark):
     rng, groups = random.Random(2), Sets()
     edges = [(i, i + 1) for i in range(60)] + [(100 + rng.randrange(40), 100 + rng.randrange(40)) for _ in range(30)] + [(300, 300 + k) for k in range(1, 50)]
