@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F, types as T
 
 VOCABULARY = "byte_bpe_50k.json"
-KNOWN_PIECES, KNOWN_CHARACTERS = 250_000, 64    # pieces of a generation a Python worker keeps the ids of, and the longest
+KNOWN_PIECES, KNOWN_CHARACTERS = 150_000, 64    # pieces of a generation a Python worker keeps the ids of, and the longest
 CHUNK_IDS = 1 << 18                             # ids that are decoded together
 
 # Fixed value: the pattern of the byte-level form.

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Window as W, functions as F
 
 from campuswatt.llm import text as X
-from campuswatt.llm.common import settle, with_columns
+from campuswatt.llm.common import own_name, settle, with_columns
 from campuswatt.operators.ordering import global_position
 
 WEIGHTS = (5, 2, 1)
@@ -178,9 +178,9 @@ def mixed(docs, doc_id="doc_id", source="source", text="text", **how):
     """The rows of the mix with all columns of ``docs``, each as often as it is taken."""
     decided = copies(docs, (doc_id,), source, text, **how)
     # equal rows share a tag; their copies add up and fall to the rows of the tag evenly
-    per_tag = decided.groupBy("tag").agg(F.sum("copies").alias("_copies"), F.count("*").alias("_rows")).filter("_copies > 0")
-    rows = docs.withColumn("_tag", F.xxhash64(doc_id, source, text)).join(per_tag.withColumnRenamed("tag", "_tag"), "_tag")
-    nth = F.row_number().over(W.partitionBy("_tag").orderBy(F.lit(0)))
-    rows = rows.withColumn("_times", F.floor(F.col("_copies") / F.col("_rows"))
-                           + (nth <= F.col("_copies") % F.col("_rows")).cast("int"))
-    return (rows.withColumn("_each", F.explode(F.array_repeat(F.lit(0), F.col("_times").cast("int")))).select(*docs.columns))
+    tag, copies_, rows_, nth_, times, each = (own_name(docs, c) for c in ("tag", "copies", "rows", "nth", "times", "each"))
+    per_tag = decided.groupBy(F.col("tag").alias(tag)).agg(F.sum("copies").alias(copies_), F.count("*").alias(rows_)).filter(F.col(copies_) > 0)
+    nth = F.row_number().over(W.partitionBy(tag).orderBy(F.lit(0)))
+    rows = docs.withColumn(tag, F.xxhash64(doc_id, source, text)).join(per_tag, tag).withColumn(nth_, nth)
+    rows = rows.withColumn(times, F.floor(F.col(copies_) / F.col(rows_)) + (F.col(nth_) <= F.col(copies_) % F.col(rows_)).cast("int"))
+    return rows.withColumn(each, F.explode(F.array_repeat(F.lit(0), F.col(times).cast("int")))).select(*docs.columns)

@@ -156,6 +156,34 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM judged
 """
 
+def _op11_sql(clusters=8, rounds=10, seed=3, components=64):
+    """Lloyd's rounds written out one after another; whole numbers as doubles, exact below 2^53."""
+    inner = "list_inner_product"
+    parts = [f"""kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v FROM embeddings
+  WHERE len(embedding) = {components} AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0)""",
+             f"""c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY h, v) - 1 AS c, v
+  FROM (SELECT sha256('{seed}:' || coalesce(vec_id::VARCHAR, '')) AS h, v FROM kept ORDER BY h, v LIMIT {clusters}))"""]
+    for k in range(rounds + 1):
+        parts.append(f"""a{k} AS MATERIALIZED (
+  SELECT r, any_value(vec_id) AS vec_id, any_value(v) AS v, min(d::HUGEINT * {clusters} + c) AS m
+  FROM (SELECT k.r, k.vec_id, k.v, c.c, {inner}(k.v, k.v) - 2 * {inner}(k.v, c.v) + {inner}(c.v, c.v) AS d FROM kept k, c{k} c) GROUP BY r)""")
+        if k < rounds:
+            parts.append(f"""c{k + 1} AS MATERIALIZED (
+  SELECT c.c, coalesce(n.v, c.v) AS v FROM c{k} c LEFT JOIN (
+    SELECT c, list(floor(s / n) ORDER BY i) AS v FROM (
+      SELECT m % {clusters} AS c, i, sum(x) AS s, count(*) AS n FROM (SELECT m, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM a{k}) GROUP BY ALL)
+    GROUP BY c) n ON n.c = c.c)""")
+    return "WITH " + ",\n".join(parts) + f"""
+SELECT vec_id, (m % {clusters})::INTEGER AS cluster, (m // {clusters})::BIGINT AS distance,
+  (sum(m // {clusters}) OVER (PARTITION BY m % {clusters}))::BIGINT AS cluster_inertia, (sum(m // {clusters}) OVER ())::BIGINT AS inertia,
+  sha256(array_to_string(list_transform(c.v, lambda x: x::BIGINT::VARCHAR), ',')) AS centroid_sha256
+FROM a{rounds} a JOIN c{rounds} c ON c.c = a.m % {clusters}"""
+
+
+OP11_SQL = _op11_sql()
+
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -179,4 +207,5 @@ ORACLES = {
     "op9_warc_salvage": OP9_SQL,
     "op4_ngram_jaccard_join": OP4_SQL,
     "op10_quality_cascade": OP10_SQL,
+    "op11_shallot_clusters": OP11_SQL,
 }

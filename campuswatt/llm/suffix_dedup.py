@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from campuswatt.llm import text as X
-from campuswatt.llm.common import partitions, runs, settle
+from campuswatt.llm.common import own_name, partitions, runs, settle
 
 LENGTH = 200
 GRAM = 32                      # bytes of an anchor
@@ -454,7 +454,8 @@ def removed(docs, text="text", length=LENGTH, gram=GRAM):
 
     A character that is cut in the middle goes as a whole. A null text stays null.
     """
+    key, kept = own_name(docs, "key"), own_name(docs, "kept")
     cut = (repeats(docs, text, length, gram, whole=True)
-           .select(F.col("key").alias("_key"), F.col("kept").cast("string").alias("_kept")))
-    return (docs.withColumn("_key", text_key(text)).join(cut, "_key", "left")
-            .withColumn(text, F.coalesce("_kept", text)).select(*docs.columns))
+           .select(F.col("key").alias(key), F.col("kept").cast("string").alias(kept)))
+    return (docs.withColumn(key, text_key(text)).join(cut, key, "left")
+            .withColumn(text, F.coalesce(kept, text)).select(*docs.columns))

@@ -73,14 +73,23 @@ def _counted(held):
 
 # --- the trie ------------------------------------------------------------------------
 
-def _prefixes(words, least, first):
-    """(own, depth, node, next, half, word): prefixes of ``least`` letters or more and the letter behind them.
+_ONWARD, _BACKWARD = ">", "<"      # first letter of words as they are, and of reversed ones
 
-    Behind the end there is ''. ``own`` is the node of the whole word, ``half`` marks the prefix that is its
-    half (the first, rounded down, or with ``first`` off rounded up); the word itself comes with the first row.
+
+def _sides(words):
+    """Every word as it is and reversed, each behind its mark."""
+    mark = F.array(F.concat(F.lit(_ONWARD), F.col("word")), F.concat(F.lit(_BACKWARD), F.reverse("word")))
+    return words.select(F.explode(mark).alias("word"))
+
+
+def _prefixes(words, least):
+    """(own, depth, node, next, half, size, word): prefixes of ``least`` letters or more and the letter behind them.
+
+    Behind the end there is ''. ``own`` is the node of the whole word, ``half`` marks the prefix that is its half
+    (rounded down, of reversed words up), ``size`` is its length; the word itself comes with the first row.
     """
-    kinds = (pa.int64(), pa.int32(), pa.int64(), pa.string(), pa.bool_(), pa.string())
-    names = ["own", "depth", "node", "next", "half", "word"]
+    kinds = (pa.int64(), pa.int32(), pa.int64(), pa.string(), pa.bool_(), pa.int32(), pa.string())
+    names = ["own", "depth", "node", "next", "half", "size", "word"]
 
     def rows(out):
         return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(out, kinds)], names=names)
@@ -94,51 +103,55 @@ def _prefixes(words, least, first):
                     node = (node * _BASE + ord(c) + 1) % _PRIME
                     path.append(node)
                 n = len(path) - least
-                half = (len(word) // 2 if first else len(word) - len(word) // 2) - least
+                letters = len(word) - 1
+                half = 1 + (letters // 2 if word[0] == _ONWARD else letters - letters // 2) - least
                 out[0] += [node] * n
                 out[1] += range(least, least + n)
                 out[2] += path[least:]
                 out[3] += [*word[least:], ""]
                 out[4] += [i == half for i in range(n)]
-                out[5] += [word] + [None] * (n - 1)
+                out[5] += [len(word)] * n
+                out[6] += [word] + [None] * (n - 1)
                 if len(out[0]) > 1 << 17:
                     yield rows(out)
                     out = [[] for _ in names]
             yield rows(out)
 
-    return words.select("word").mapInArrow(spread, "own long, depth int, node long, next string, half boolean, word string")
+    return words.select("word").mapInArrow(spread, "own long, depth int, node long, next string, half boolean, size int, word string")
 
 
-def trie(words, first=True, part=PART):
+def trie(words, part=PART):
     """(edges, starts, ends): the trie's edges by level, the state of every word at its half, and the node of every word.
 
     Nodes are kept where words part, where one ends and where one has its half. An edge has its parent, the
-    label, and the child with the number of its parts, whether a word ends there and the letters that follow.
-    Levels count the kept nodes from the shortest half on, as no word has an edit above its half.
+    label, and the child with the number of its parts, whether a word ends there, whether it has one word only,
+    the letters that follow and a bit for each length (modulo 64) of the words below. Levels count the kept nodes
+    from the shortest half on, as no word has an edit above its half.
     """
-    length = words.agg(F.min(F.length("word"))).first()[0] or 0
-    least = length // 2 if first else length - length // 2
-    prefixes = settle(_prefixes(words, least, first))
+    least = 1 + ((words.agg(F.min(F.length("word"))).first()[0] or 1) - 1) // 2
+    prefixes = settle(_prefixes(words, least))
     kept = (prefixes.groupBy("node").agg(F.min("depth").alias("depth"), F.min("next").alias("lo"), F.max("next").alias("hi"),
-                                         F.max("half").alias("half"), F.count("*").alias("held"))
+                                         F.max("half").alias("half"), F.count("*").alias("held"),
+                                         F.bit_or(F.expr("shiftleft(1L, size % 64)")).alias("sizes"))
             .filter(f"lo <> hi OR lo = '' OR half OR depth = {least}")
-            .select("node", F.expr("lo = ''").alias("ends"), F.ceil(F.col("held") / part).cast("int").alias("parts")))
-    stops = prefixes.drop("next").join(kept.hint("shuffle_hash"), "node")
-    stop = F.struct("depth", "node", "ends", "parts", "half")
+            .select("node", F.expr("lo = ''").alias("ends"), F.ceil(F.col("held") / part).cast("int").alias("parts"),
+                    (F.col("held") == 1).alias("alone"), "sizes"))
+    stops = prefixes.drop("next", "size").join(kept.hint("shuffle_hash"), "node")
+    stop = F.struct("depth", "node", "ends", "parts", "half", "alone", "sizes")
     paths = settle(stops.groupBy("own").agg(F.max("word").alias("word"), F.array_sort(F.collect_list(stop)).alias("path")))
     steps = paths.select("word", F.posexplode(F.arrays_zip(F.slice("path", F.lit(1), F.size("path") - 1).alias("x"),
                                                            F.slice("path", F.lit(2), F.size("path") - 1).alias("y"))).alias("level", "e"))
     steps = steps.select("word", "level", F.col("e.x").alias("x"), F.col("e.y").alias("y"))
     edges = settle(steps.select(
         "level", F.col("x.node").alias("parent"), F.col("x.parts").alias("parent_parts"), F.col("y.node").alias("child"),
-        F.col("y.ends").alias("ends"), F.col("y.parts").alias("parts"),
+        F.col("y.ends").alias("ends"), F.col("y.parts").alias("parts"), F.col("y.alone").alias("alone"), F.col("y.sizes").alias("sizes"),
         F.substring("word", F.col("x.depth") + 1, F.col("y.depth") - F.col("x.depth")).alias("label")).distinct())
     following = edges.groupBy(F.col("parent").alias("child")).agg(
         F.array_join(F.array_sort(F.collect_set(F.substring("label", 1, 1))), "").alias("following"))   # letters of the alphabet
     salts = F.explode(F.sequence(F.lit(0), F.col("parent_parts") - 1))
     whole = edges.join(following, "child", "left").select(
         "level", "parent", salts.alias("salt"), F.substring("label", 1, 1).alias("letter"), "label",
-        "child", "parts", "ends", F.coalesce("following", F.lit("")).alias("following"))
+        "child", "parts", "ends", "alone", "sizes", F.coalesce("following", F.lit("")).alias("following"))
     starts = paths.select("word", F.posexplode("path").alias("level", "x")).filter("x.half").select(
         "word", F.col("x.depth").alias("pos"), F.col("x.node").alias("node"), F.col("x.parts").alias("parts"),
         F.lit(0).alias("edits"), F.lit(False).alias("ends"), "level")
@@ -147,8 +160,9 @@ def trie(words, first=True, part=PART):
 
 # --- the frontier --------------------------------------------------------------------
 
-_STATE = ["word", "pos", "node", "parts", "edits", "ends"]
+_METHOD = "spark.sql.codegen.hugeMethodLimit"
 _AS_IT_IS, _MORE, _OTHER = 1, 2, 4      # how a word goes along a label: no edit, a letter more in the label, another letter
+_NONE, _SAME_LENGTH, _LONGER = 0, 1, 2  # the edit a state has used: none, one to a word of its length, one to a longer word
 
 
 def _letter(pos):
@@ -175,8 +189,13 @@ def _edited(offset):
     return F.when(size == 1, short & _alive(F.col("pos") + 1 + offset, F.col(f"c{1 + offset}"))).otherwise(_alive(to, _letter(to)) & long)
 
 
+def _below(more):
+    """Whether words with so many letters more than the state's stand below the child."""
+    return F.expr(f"(shiftright(sizes, (length(word) + {more}) % 64) & 1L) = 1")
+
+
 def advance(states, edges):
-    """The states after the next level's edges.
+    """The states after the next level's edges. A state goes on while words of the length it needs are below.
 
     A task builds a hash table of its share of a level's edges, so states are not sorted.
     """
@@ -186,25 +205,38 @@ def advance(states, edges):
     met = lettered.alias("s").join(edges.hint("shuffle_hash").alias("e"), on).filter("edits = 0 OR c0 = letter")
     after = F.col("pos") + F.length("label")
     whole = F.substring("word", F.col("pos") + 1, F.length("label")) == F.col("label")
-    free = (F.when(whole, _AS_IT_IS).otherwise(0) + F.when(_edited(-1), _MORE).otherwise(0) + F.when(_edited(0), _OTHER).otherwise(0))
-    ways = F.when(F.col("edits") == 0, free).otherwise(F.when(whole & _alive(after, _letter(after)), _AS_IT_IS).otherwise(0))
+    # below a child with one word, a word without an edit finds itself only
+    free = (F.when(~F.col("alone") & whole, _AS_IT_IS).otherwise(0) + F.when(_below(1) & _edited(-1), _MORE).otherwise(0)
+            + F.when(_below(0) & _edited(0), _OTHER).otherwise(0))
+    bound = F.when(_below("edits - 1") & whole & _alive(after, _letter(after)), _AS_IT_IS).otherwise(0)
+    ways = F.when(F.col("edits") == _NONE, free).otherwise(bound)
     chosen = F.array(*[F.array(*[F.lit(b) for b in (_AS_IT_IS, _MORE, _OTHER) if b & mask]) for mask in range(1, 8)])
     moved = met.withColumn("ways", ways).filter("ways > 0").withColumn("way", F.explode(F.get(chosen, F.col("ways") - 1)))
-    edited = F.when(F.col("way") == _AS_IT_IS, F.col("edits")).otherwise(1)
+    edited = F.when(F.col("way") == _AS_IT_IS, F.col("edits")).when(F.col("way") == _MORE, _LONGER).otherwise(_SAME_LENGTH)
     return moved.select("word", (after - F.when(F.col("way") == _MORE, 1).otherwise(0)).alias("pos"), F.col("child").alias("node"),
                         "parts", edited.alias("edits"), "ends")
 
 
-def walk(words, first=True, part=PART):
+def walk(words, part=PART):
     """(word, near): pairs whose one edit lies behind the half of ``word``; ``near`` has a letter more or a greater one."""
-    edges, starts, ends = trie(words, first, part)
+    spark = words.sparkSession
+    before = spark.conf.get(_METHOD)
+    spark.conf.set(_METHOD, "8000")     # a level's expressions are long; beyond this size the JVM would not compile them
+    try:
+        return _walked(words, part)
+    finally:
+        spark.conf.set(_METHOD, before)
+
+
+def _walked(words, part):
+    edges, starts, ends = trie(words, part)
     last = starts.agg(F.max("level")).first()[0]
     found, states, level = None, None, 0
     while last is not None:
         here = starts.filter(F.col("level") == level).drop("level")
         states = here if states is None else states.unionByName(here)
         states = settle(advance(states, edges.filter(F.col("level") == level).drop("level")))
-        at_end = F.col("ends") & (F.col("edits") == 1) & (F.col("pos") == F.length("word"))
+        at_end = F.col("ends") & (F.col("edits") > _NONE) & (F.col("pos") == F.length("word"))
         ended = states.filter(at_end).select("word", "node")
         found = ended if found is None else found.unionByName(ended)
         states = states.filter(~at_end)
@@ -219,13 +251,13 @@ def walk(words, first=True, part=PART):
 def neighbours(words, part=PART):
     """(word, near): all pairs of words that differ by one letter more, less or another, both ways.
 
-    One edit leaves the first or the second half of a word as it is, so the trie of the words is walked with
-    edits behind the first half, and the trie of the reversed words for the others. No state has an edit near
-    the root, where nearly all letters follow one another. Every pair is walked from one of its words only.
+    One edit leaves the first or the second half of a word as it is, so the trie holds the words as they are and
+    reversed, and both are walked with edits behind their half only. No state has an edit near the root, where
+    nearly all letters follow one another. Every pair is walked from one of its words only.
     """
-    back = walk(words.select(F.reverse("word").alias("word")), False, part)
-    back = back.select(F.reverse("word").alias("word"), F.reverse("near").alias("near"))
-    pairs = walk(words, True, part).unionByName(back)
+    found = walk(_sides(words), part)
+    plain = lambda c: F.when(F.startswith(F.col(c), F.lit(_ONWARD)), F.substring(c, 2, 1 << 30)).otherwise(F.reverse(F.substring(c, 2, 1 << 30)))
+    pairs = found.select(plain("word").alias("word"), plain("near").alias("near"))
     both = F.explode(F.array(F.struct("word", "near"), F.struct(F.col("near").alias("word"), F.col("word").alias("near"))))
     return pairs.select(both.alias("p")).select("p.*").repartition("word").dropDuplicates(["word", "near"])
 

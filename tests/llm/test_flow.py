@@ -219,3 +219,21 @@ def test_stages_on_their_own_input(spark, tmp_path):
     packed = stages["pack"](spark, mixed, str(tmp_path))
     assert packed.filter("start = 0").count() == mixed.count()
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == packed.count()
+
+
+CLASHING = "doc_id long, text string, source string, _tag string, _row string, _nth int, _key string, _kept string, _times int, _copies int, bucket int, key int, gram int"
+
+
+def test_stages_on_empty_tables_and_clashing_columns(spark):
+    """No rows give no rows; columns named like those inside come out as they went in."""
+    stages = corpus_pipeline.STAGES
+    rows = [(i, t, f"s{i % 3}" if i % 5 else None, "a", "b", i, "c", "d", i, i, 1, 2, 3) for i, t in enumerate(texts()[:45])]
+    for values in ([], rows):
+        docs = spark.createDataFrame(values, CLASHING)
+        for name, stage in stages[:-1]:
+            out = stage(spark, docs, "")
+            assert out.columns == docs.columns and [f.dataType for f in out.schema] == [f.dataType for f in docs.schema]
+            got = out.select("doc_id", *docs.columns[3:]).distinct().collect()
+            want = {(r[0], *r[3:]) for r in values}
+            assert {tuple(r) for r in got} <= want and bool(got) == bool(values)
+        assert (stages[-1][1](spark, docs, "").count() > 0) == bool(values)
