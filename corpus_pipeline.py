@@ -18,23 +18,29 @@ from campuswatt.llm.common import bound_batches, settle
 
 
 def quality(spark, docs, sf_dir):
+    """Rows that no quality rule rejects, as they are. A null or empty text has too few words and goes."""
     bound_batches(spark)
     return quality_cascade.keep(docs)
 
 
 def near_copies(spark, docs, sf_dir):
+    """One row of each class of similar texts: the smallest doc_id, a null id last; texts without words stay."""
     return jaccard_join.one_each(docs)
 
 
 def passages(spark, docs, sf_dir):
-    return suffix_dedup.removed(docs).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    """All rows, without the strings that repeat; a null text stays null. ``n_chars``, where there is one, follows."""
+    cut = suffix_dedup.removed(docs)
+    return cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else cut
 
 
 def mix(spark, docs, sf_dir):
+    """Every row as often as the mix takes it; a null source is a source, a text without words is taken by number only."""
     return cube_mixing.mixed(docs)
 
 
 def pack(spark, docs, sf_dir):
+    """Pieces of sequences; a null text is its end token alone. Other columns than doc_id and text are not read."""
     return packing.pack(docs)
 
 
