@@ -18,6 +18,7 @@ TOLERANCE = 0.001           # fixed value: smaller differences are no change
 HOT_ROWS = 50_000           # keys with more rows in a batch are folded in ordered segments
 SEGMENT_ROWS = 200_000      # rows of hot keys per segment, about
 BROADCAST_KEYS = 200_000    # a counted key list up to this size is broadcast
+BUCKETS = 1 << 16           # hash buckets in which the rows of a batch are counted
 
 
 def _differs(old, new, measures, exact, tol):
@@ -86,57 +87,95 @@ def _small(keys, n):
     return F.broadcast(keys) if n <= BROADCAST_KEYS else keys
 
 
+def _hot_keys(batch, key, hot_rows):
+    """(most, hot): a bound on the rows of any key, and the keys with more than ``hot_rows`` rows (None: there are none).
+
+    Rows are counted by a hash of the key, so a task hands on no more than ``BUCKETS`` counts. A key cannot have
+    more rows than its bucket: only the rows of too large buckets, and those of a small batch, are counted by key.
+    """
+    placed = batch.dropna(subset=list(key)).select(*key, F.pmod(F.xxhash64(*key), F.lit(BUCKETS)).alias("_bucket"))
+    counts = placed.groupBy("_bucket").agg(F.count("*").alias("_n"))
+    n, most = counts.agg(F.sum("_n"), F.coalesce(F.max("_n"), F.lit(0))).first()
+    if most > 1 and n <= BUCKETS:
+        most = placed.groupBy(*key).count().agg(F.max("count")).first()[0]
+    if most <= hot_rows:
+        return most, None
+    large = F.broadcast(counts.filter(F.col("_n") > hot_rows).select("_bucket"))
+    sizes = placed.join(large, "_bucket", "left_semi").groupBy(*key).agg(F.count("*").alias("_rows"))
+    hot = cut_lineage(sizes.filter(F.col("_rows") > hot_rows))
+    return most, None if hot.isEmpty() else hot
+
+
 def _folded(stored, batch, key, measures, exact, order, tol, hot_rows, segments):
     """Join the stored rows with the batch, folded per key.
 
     Adds ``_known`` (stored before), ``_rows`` (batch rows of the key) and ``_new``
     (struct of the state ``v`` after the batch and the number ``n`` of moves).
 
-    Most keys have one row: a plain aggregate has them ready. Only the rows of the other keys are read again and collected per key, and
-    keys with more than ``hot_rows`` rows are first cut into ordered segments, so
-    that no group is unbounded.
+    The batch is shuffled once: its rows and the stored ones meet per key. Keys with more than ``hot_rows`` rows
+    are cut into ordered segments, so that no group is unbounded; a batch without repeated keys needs no lists.
     """
-    cols = [*measures, *exact]
-    state = "struct<" + ",".join(f"`{c}`:{stored.schema[c].dataType.simpleString()}" for c in cols) + ">"
+    on, cols = list(key), [*measures, *exact]
     batch = batch.select(*key, *[F.col(c).cast(stored.schema[c].dataType).alias(c) for c in cols],
                          *[c for c in order if c not in key and c not in cols])
-    sizes = batch.groupBy(*key).agg(
-        F.count("*").alias("_rows"), *[F.min(c).alias(f"_one_{c}") for c in cols])
-    out = stored.select(*key, *cols).withColumn("_known", F.lit(True)).join(sizes, list(key), "full_outer")
-    known = "(_known IS NOT NULL)"
+    stored = stored.select(*key, *cols)
+    most, hot = _hot_keys(batch, key, hot_rows)
+    if most <= 1:
+        return _folded_single(stored, batch, on, cols, measures, exact, tol)
+    if hot is None:
+        return _folded_lists(stored, batch, on, cols, measures, exact, order, tol)
+    n_hot, hot_total = hot.agg(F.count("*"), F.sum("_rows")).first()
+    keys = _small(hot.select(*key), n_hot)
+    cold = _folded_lists(stored.join(keys, on, "left_anti"), batch.join(keys, on, "left_anti"), on, cols, measures, exact, order, tol)
+    state = "struct<" + ",".join(f"`{c}`:{stored.schema[c].dataType.simpleString()}" for c in cols) + ">"
+    parallel = int(batch.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    segments = segments or max(parallel, math.ceil(hot_total / SEGMENT_ROWS))
+    segs = _segments(batch.join(keys, on, "left_semi"), key, cols, order, segments, _segment_function(state, measures, exact, tol))
+    held = stored.join(keys, on, "left_semi").withColumn("_known", F.lit(True))
+    rest = hot.join(held, on, "left").join(segs, on, "left").withColumn("_known", F.col("_known").isNotNull())
+    rest = rest.withColumn("_new", _fold_segments("_known", measures, exact, tol))
+    return cold.unionByName(rest.select(*cold.columns))
+
+
+def _folded_single(stored, batch, on, cols, measures, exact, tol):
+    """:func:`_folded` of keys with a single row: a plain aggregate has them ready. Of repeated null keys no row counts."""
+    sizes = batch.groupBy(*on).agg(F.count("*").alias("_rows"), *[F.min(c).alias(f"_one_{c}") for c in cols])
+    out = stored.withColumn("_known", F.lit(True)).join(sizes, on, "full_outer").withColumn("_known", F.col("_known").isNotNull())
     one = "named_struct(" + ", ".join(f"'{c}', `_one_{c}`" for c in cols) + ")"
     moved = _differs(_struct(cols), one, measures, exact, tol)
-    single = (f"CASE WHEN _rows = 1 AND (NOT {known} OR {moved}) THEN named_struct('known', true, 'v', {one}, "
-              f"'n', CASE WHEN {known} THEN 1L ELSE 0L END) "
+    single = (f"CASE WHEN _rows = 1 AND (NOT _known OR {moved}) THEN named_struct('known', true, 'v', {one}, "
+              f"'n', CASE WHEN _known THEN 1L ELSE 0L END) "
               f"WHEN _rows = 1 THEN named_struct('known', true, 'v', {_struct(cols)}, 'n', 0L) END")
+    return out.select(*on, *cols, "_known", "_rows", F.expr(single).alias("_new"))
+
+
+def _folded_lists(stored, batch, on, cols, measures, exact, order, tol):
+    """:func:`_folded` of keys whose rows fit a list: stored rows and batch rows meet in one aggregate.
 
-    repeats = sizes.filter("_rows > 1").select(*key, "_rows")
-    is_hot = F.col("_rows") > hot_rows
-    n, n_hot, hot_total = repeats.agg(F.count("*"), F.count_if(is_hot), F.sum(F.when(is_hot, F.col("_rows")))).first()
-    folds = [F.expr(single)]
-    if n > n_hot:
-        row = F.struct(_order_struct(order).alias("o"), *cols)
-        many = repeats.filter(F.col("_rows") <= hot_rows).select(*key)
-        lists = (batch.join(_small(many, n - n_hot), list(key), "left_semi")
-                 .groupBy(*key).agg(F.array_sort(F.collect_list(row)).alias("_list")))
-        out = out.join(lists, list(key), "left")
-        folds.append(_fold_rows(known, measures, exact, tol))
-    if n_hot:
-        hot = repeats.filter(is_hot).select(*key)
-        parallel = int(batch.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        segments = segments or max(parallel, math.ceil(hot_total / SEGMENT_ROWS))
-        segs = _segments(batch.join(_small(hot, n_hot), list(key), "left_semi"), key, cols, order, segments,
-                         _segment_function(state, measures, exact, tol))
-        out = out.join(segs, list(key), "left")
-        folds.append(_fold_segments(known, measures, exact, tol))
-    return out.withColumn("_new", F.coalesce(*folds)).withColumn("_known", F.expr(known))
+    A null key equals no other. Stored rows with one stay as they are, of repeated batch rows with one no row counts.
+    """
+    full = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in on])
+    row = F.struct(_order_struct(order).alias("o"), *cols)
+    rows = batch.select(*on, F.lit(False).alias("_apart"), F.lit(1).alias("_in"), F.when(full, row).alias("_row"),
+                        F.when(~full, row).alias("_lone"), F.lit(None).cast(stored.select(F.struct(*cols)).schema[0].dataType).alias("_state"))
+    kinds = rows.schema
+    held = stored.select(*on, (~full).alias("_apart"), F.lit(None).cast("int").alias("_in"),
+                         *[F.lit(None).cast(kinds[c].dataType).alias(c) for c in ("_row", "_lone")], F.struct(*cols).alias("_state"))
+    met = rows.unionByName(held).groupBy(*on, "_apart").agg(
+        F.count("_in").alias("_rows"), F.sort_array(F.collect_list("_row")).alias("_list"), F.min("_lone").alias("_lone"),
+        F.collect_list("_state").alias("_held"))
+    out = met.select(*on, F.nullif("_rows", F.lit(0)).alias("_rows"),
+                     F.when(full, F.col("_list")).when(F.col("_rows") == 1, F.array("_lone")).alias("_list"),
+                     F.explode_outer("_held").alias("_state"))
+    out = out.select(*on, "_rows", "_list", F.col("_state").isNotNull().alias("_known"), "_state.*")
+    return out.select(*on, *cols, "_known", "_rows", _fold_rows("_known", measures, exact, tol).alias("_new"))
 
 
 def _segments(rows, key, cols, order, segments, function):
     """Ordered segments of hot keys: range partitions on (key, order) cut them into even runs."""
     row = F.struct(_order_struct(order).alias("o"), *cols)
     runs = (rows.repartitionByRange(segments, *key, *order).withColumn("_seg", F.spark_partition_id())
-            .groupBy(*key, "_seg").agg(F.array_sort(F.collect_list(row)).alias("_list"))
+            .groupBy(*key, "_seg").agg(F.sort_array(F.collect_list(row)).alias("_list"))
             .withColumn("cases", function))
     return runs.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("_seg", "cases"))).alias("_segs"))
 
@@ -201,7 +240,7 @@ def _merged_at_once(target, batch, key, measures, order, tol):
     """One shuffle of the batch: the few rows of a key are put in order and folded."""
     kinds = {m: target.schema[m].dataType for m in measures}
     row = F.struct(_order_struct(order).alias("o"), *[F.col(m).cast(kinds[m]).alias(m) for m in measures])
-    rows = batch.groupBy(*key).agg(F.array_sort(F.collect_list(row)).alias("_list"))
+    rows = batch.groupBy(*key).agg(F.sort_array(F.collect_list(row)).alias("_list"))
     out = (target.select(*key, *measures).withColumn("_stored", F.lit(True)).join(rows, list(key), "full_outer")
            .withColumn("_stored", F.col("_stored").isNotNull()))
     out = out.withColumn("_state", F.when(F.col("_list").isNotNull(), F.expr(_fold_measures(measures, tol))))

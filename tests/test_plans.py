@@ -7,10 +7,12 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from campuswatt.operators import joins as J, merge as M, ordering as R, series as E
+from campuswatt.operators import dims as D, joins as J, merge as M, ordering as R, series as E
 from campuswatt.session import checkpoint_dir
 from campuswatt.sources import files as FS
 from entry_queries import registry
+from entry_queries.dimensions import solar, solar_dims
+from entry_queries.views import Views
 
 DATA = "/root/testdata/sf0.001"
 needs_data = pytest.mark.skipif(not os.path.isdir(DATA), reason="no test data")
@@ -107,3 +109,36 @@ def test_building_a_query_writes_nothing(spark, name):
     before = set(os.listdir(folder))
     assert registry()[name].run(spark, DATA).schema
     assert set(os.listdir(folder)) == before
+
+
+def test_repeated_keys_are_shuffled_once(spark):
+    """Stored rows and the rows of repeated keys meet in one aggregate, without a join or a second reading."""
+    target = spark.range(5).select(F.col("id").cast("string").alias("k"), F.lit(1.0).alias("v"))
+    batch = spark.range(50).select((F.col("id") % 7).cast("string").alias("k"), F.lit(1.5).alias("v"), F.col("id").alias("o"))
+    merged = M.upsert_tol(target, batch, ["k"], ["v"], ["o"])
+    text = plan(merged)
+    assert "Join" not in text and text.count("Range (0, 50") == 1
+    got = {r.k: (r.v, r._action, r._rows) for r in merged.collect()}
+    assert got == {str(i): (1.5, "update" if i < 5 else "insert", 8 if i == 0 else 7) for i in range(7)}
+
+
+def test_null_keys_of_stored_rows_stay(spark):
+    target = spark.createDataFrame([(None, 1.0), (None, 2.0), ("a", 3.0), ("a", 9.0)], "k string, v double")
+    batch = spark.createDataFrame([(None, 5.0, 1), ("a", 3.5, 1), ("a", 9.0, 2)], "k string, v double, o int")
+    got = sorted(((r.k or "", r.v, r._action, r._updated) for r in M.upsert_tol(target, batch, ["k"], ["v"], ["o"]).collect()))
+    assert got == [("", 1.0, "keep", 0), ("", 2.0, "keep", 0), ("", 5.0, "insert", 0), ("a", 9.0, "update", 2), ("a", 9.0, "update", 2)]
+
+
+def test_clock_texts_are_split_once(spark):
+    dim = spark.createDataFrame([(1, 7, 5), (2, 8, 0)], "id_time int, hour int, minute int")
+    fact = spark.createDataFrame([("07:05:00",), ("8:00",), ("25:00",), ("x",), (None,)], "time string")
+    out = D.lookup_time(fact, dim, "time")
+    assert not any("split" in line for line in plan(out).splitlines() if "Join" in line)
+    assert [(r.time, r.id_time) for r in out.collect()] == [("07:05:00", 1), ("8:00", 2), ("25:00", None), ("x", None), (None, None)]
+
+
+@needs_data
+def test_dimension_members_are_read_once(spark):
+    v = Views(spark, DATA)
+    for dim in solar_dims(v, solar(v)).values():
+        assert not any("lineitem" in f for f in dim.inputFiles())
