@@ -86,7 +86,11 @@ def complete_time(c):
 
 def time_parts(c):
     """(hour, minute) of ``H:M`` or ``H:M:S``, NULL if it is no clock time; the time dimension has no seconds."""
-    words = F.split(c, ":")
+    return clock_parts(F.split(c, ":"))
+
+
+def clock_parts(words):
+    """:func:`time_parts` of a text that is split at its colons already."""
     hour, minute, second = (F.get(words, F.lit(i)).try_cast("int") for i in range(3))
     clock = (hour.between(0, 23) & minute.between(0, 59)
              & ((F.size(words) == 2) | ((F.size(words) == 3) & second.between(0, 59))))

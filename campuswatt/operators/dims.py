@@ -95,8 +95,10 @@ def lookup_date(fact, dim_date, col, into="id_date"):
 
 
 def lookup_time(fact, dim_time, col, into="id_time"):
-    """Id of the minute of a clock text."""
-    return lookup(fact, dim_time, ["hour", "minute"], P.time_parts(F.col(col)), into)
+    """Id of the minute of a clock text. The text is split once, in a column: join keys would split it for every use."""
+    hour, minute = P.clock_parts(F.col("_words"))
+    parsed = (fact.withColumn("_words", F.split(col, ":")).withColumns({"_hour": hour, "_minute": minute}).drop("_words"))
+    return lookup(parsed, dim_time, ["hour", "minute"], ["_hour", "_minute"], into).drop("_hour", "_minute")
 
 
 def date_spine(bounds, start, end, into="date"):

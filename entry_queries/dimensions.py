@@ -21,13 +21,17 @@ def solar(v):
 
 
 def solar_dims(v, rows):
-    """The four dimensions of the solar fact, grown from empty tables."""
-    return {
-        "DimDate": D.upsert_dim(empty(v, "DimDate"), D.date_members(rows, "date"), ["year", "month", "day"]),
-        "DimTime": D.upsert_dim(empty(v, "DimTime"), D.time_members(rows, "time"), ["hour", "minute"]),
-        "DimInverter": D.upsert_dim(empty(v, "DimInverter"), rows, ["inverter_name"]),
-        "DimStatus": D.upsert_dim(empty(v, "DimStatus"), rows, ["status_name"]),
+    """The four dimensions of the solar fact, grown from empty tables.
+
+    The members are written once: the rows are read once a dimension, and the planner knows how small it is.
+    """
+    members = {
+        "DimDate": (D.date_members(rows, "date"), ["year", "month", "day"]),
+        "DimTime": (D.time_members(rows, "time"), ["hour", "minute"]),
+        "DimInverter": (rows, ["inverter_name"]),
+        "DimStatus": (rows, ["status_name"]),
     }
+    return {n: D.upsert_dim(empty(v, n), cut_lineage(src.select(*key).distinct()), key) for n, (src, key) in members.items()}
 
 
 def with_keys(v, rows, dims):

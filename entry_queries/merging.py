@@ -322,9 +322,10 @@ folded AS (SELECT date, inverter_name, list_reduce(l, lambda s, x: CASE WHEN abs
 SELECT date, inverter_name, sum(f.e) AS kwh, count(*) AS readings FROM folded GROUP BY ALL""")
 def daily_yield(v):
     """Flagship: readings to standard form, upsert into an empty fact, star join, daily energy per inverter."""
-    rows, key = cut_lineage(solar(v)), ["id_date", "id_time", "id_inverter", "id_status"]
+    rows, key = solar(v), ["id_date", "id_time", "id_inverter", "id_status"]
     dims = solar_dims(v, rows)
-    rows = with_keys(v, rows, dims)
+    # the merge counts the rows before it reads them: the ids are looked up once
+    rows = cut_lineage(with_keys(v, rows, dims).select(*key, *SOLAR_MEASURES, "error_count", *INV_ORDER))
     fact = rows.filter(F.lit(False)).select(*key, *SOLAR_MEASURES, "error_count")
     fact = M.upsert_tol(fact, rows, key, SOLAR_MEASURES, INV_ORDER, exact=["error_count"])
     star = J.star_join(fact, [(dims["DimDate"], "id_date"), (dims["DimInverter"], "id_inverter")])
