@@ -4,6 +4,7 @@ A text is cut at the vocabulary's added tokens and then into pieces by the patte
 piece starts as one symbol a byte. All neighbouring pairs that have a merge stand in a priority queue by
 (rank, place); the best is taken out, its two symbols become one, and the pairs with the new neighbours come
 in. Symbols are doubly linked by place, and an entry whose pair no longer stands at its place is skipped.
+The queue of a short piece is the list of its pairs' ranks itself, of which the smallest is looked up.
 Pieces repeat, so a Python worker keeps the ids of those it met, up to a bound; that changes no result.
 Ids decode into the vocabulary's bytes one after another, read as UTF-8.
 
@@ -12,7 +13,7 @@ Every row is encoded by itself: no shuffle, and a task holds one batch of rows.
 
 import heapq
 import json
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -21,9 +22,11 @@ from pyspark.sql import functions as F, types as T
 VOCABULARY = "byte_bpe_50k.json"
 KNOWN_PIECES, KNOWN_CHARACTERS = 150_000, 64    # pieces of a generation a Python worker keeps the ids of, and the longest
 CHUNK_IDS = 1 << 18                             # ids that are decoded together
+SHORT = 48                                      # symbols of a piece whose ranks are a plain list
 
 # Fixed value: the pattern of the byte-level form.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+_NONE, _ID = 1 << 62, (1 << 32) - 1     # rank of pairs without a merge; ranks carry the merged symbol's id below
 
 
 def vocabulary_path(name=VOCABULARY):
@@ -38,6 +41,23 @@ def byte_characters():
     return {b: chr(b) for b in shown} | {b: chr(0x100 + k) for k, b in enumerate(hidden)}
 
 
+class _Known(dict):
+    """Ids of the pieces met, in two generations: frequent pieces come back from the older one."""
+
+    def __init__(self, ids):
+        super().__init__()
+        self.ids, self.older = ids, {}
+
+    def __missing__(self, piece):
+        ids = self.older.get(piece) or self.ids(piece)
+        if len(piece) <= KNOWN_CHARACTERS:
+            if len(self) >= KNOWN_PIECES:
+                self.older = dict(self)
+                self.clear()
+            self[piece] = ids = tuple(ids)      # of numbers: the collector need not look into it
+        return ids
+
+
 class BytePairs:
     """Vocabulary, merges and added tokens of a tokenizer file."""
 
@@ -60,23 +80,22 @@ class BytePairs:
             self.merges.setdefault((ids[left], ids[right]), (rank, ids[left + right]))
         self.added = {t["content"]: t["id"] for t in added}
         words = {i: bytes(byte_of[c] for c in token) for token, i in ids.items()} | {i: c.encode() for c, i in self.added.items()}
-        self.sizes = np.zeros(max(words) + 2, dtype=np.int64)      # the last entry is for ids without a word
-        self.sizes[list(words)] = [len(w) for w in words.values()]
-        self.places = np.zeros(len(self.sizes), dtype=np.int64)
-        order = sorted(words)
-        self.places[order] = np.cumsum(self.sizes[order]) - self.sizes[order]
-        self.pool = np.frombuffer(b"".join(words[i] for i in order), dtype=np.uint8)
+        self.words = [words.get(i, b"") for i in range(max(words) + 2)]      # the last entry is for ids without a word
         self._pieces = regex.compile(PATTERN)
         names = sorted(self.added, key=lambda c: (-len(c), c))
         self._parts = regex.compile("(" + "|".join(map(regex.escape, names)) + ")") if names else None
-        self._known, self._older = {}, {}
+        self._ranks = {pair: rank << 32 | i for pair, (rank, i) in self.merges.items()}
+        self._known = _Known(lambda piece: self.merged([*map(self.first.__getitem__, piece.encode())]))
 
     def merged(self, symbols):
         """Ids of the symbols after all merges, the best rank first and the leftmost of equal ranks."""
         n = len(symbols)
         if n < 2:
             return symbols
-        symbols, merges = list(symbols), self.merges
+        symbols = list(symbols)
+        if n <= SHORT:
+            return self._short(symbols)
+        merges = self.merges
         before, after = list(range(-1, n - 1)), [*range(1, n), -1]
         queue = []
         for i in range(n - 1):
@@ -103,16 +122,22 @@ class BytePairs:
                     heapq.heappush(queue, (merges[pair][0], h, pair))
         return [s for s in symbols if s is not None]
 
-    def piece(self, piece):
-        """Ids of one piece of text."""
-        ids = self._known.get(piece)
-        if ids is None:
-            ids = self._older.get(piece) or self.merged([self.first[b] for b in piece.encode()])
-            if len(piece) <= KNOWN_CHARACTERS:
-                if len(self._known) >= KNOWN_PIECES:     # frequent pieces come back from the older generation
-                    self._known, self._older = {}, self._known
-                self._known[piece] = ids
-        return ids
+    def _short(self, symbols):
+        """:func:`merged` of a short piece: the smallest rank of the neighbouring pairs is looked up, the leftmost of equal ones."""
+        find, none = self._ranks.get, _NONE
+        ranks = [*map(find, zip(symbols, symbols[1:]), repeat(none))]
+        while ranks:
+            best = min(ranks)
+            if best == none:
+                break
+            i = ranks.index(best)
+            symbols[i] = one = best & _ID
+            del symbols[i + 1], ranks[i]
+            if i < len(ranks):
+                ranks[i] = find((one, symbols[i + 1]), none)
+            if i:
+                ranks[i - 1] = find((symbols[i - 1], one), none)
+        return symbols
 
     def encode(self, text):
         """Ids of a text; its added tokens are single ids."""
@@ -122,20 +147,15 @@ class BytePairs:
             if k % 2:
                 out.append(self.added[part])
             else:
-                out.extend(chain.from_iterable(map(self.piece, self._pieces.findall(part))))
+                out.extend(chain.from_iterable(map(self._known.__getitem__, self._pieces.findall(part))))
         return out
 
     def decode(self, ids, counts):
         """Texts of consecutive runs of ``ids``, ``counts`` of them each. Ids without a word give nothing."""
-        last = len(self.sizes) - 1
-        known = np.where((ids < 0) | (ids > last), last, ids)
-        sizes = self.sizes[known]
-        ends = np.cumsum(sizes)
-        total = int(ends[-1]) if len(ends) else 0
-        at = np.arange(total) + np.repeat(self.places[known] - (ends - sizes), sizes)
-        data = self.pool[at].tobytes()
-        stops = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])].tolist()
-        return [data[a:b].decode("utf-8", "replace") for a, b in zip(stops, stops[1:])]
+        last = len(self.words) - 1
+        known = np.where((ids < 0) | (ids > last), last, ids).tolist()
+        stops = np.concatenate([[0], np.cumsum(counts)]).tolist()
+        return [b"".join(map(self.words.__getitem__, known[a:b])).decode("utf-8", "replace") for a, b in zip(stops, stops[1:])]
 
 
 _LOADED = {}
