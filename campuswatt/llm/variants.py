@@ -85,10 +85,10 @@ def _sides(words):
 def _prefixes(words, least):
     """(own, depth, node, next, half, size, word): prefixes of ``least`` letters or more and the letter behind them.
 
-    Behind the end there is ''. ``own`` is the node of the whole word, ``half`` marks the prefix that is its half
+    The letter is its code point, so that the least and the greatest need no sort; behind the end there is 0. ``own`` is the node of the whole word, ``half`` marks the prefix that is its half
     (rounded down, of reversed words up), ``size`` is its length; the word itself comes with the first row.
     """
-    kinds = (pa.int64(), pa.int32(), pa.int64(), pa.string(), pa.bool_(), pa.int32(), pa.string())
+    kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.bool_(), pa.int32(), pa.string())
     names = ["own", "depth", "node", "next", "half", "size", "word"]
 
     def rows(out):
@@ -108,7 +108,7 @@ def _prefixes(words, least):
                 out[0] += [node] * n
                 out[1] += range(least, least + n)
                 out[2] += path[least:]
-                out[3] += [*word[least:], ""]
+                out[3] += [*map(ord, word[least:]), 0]
                 out[4] += [i == half for i in range(n)]
                 out[5] += [len(word)] * n
                 out[6] += [word] + [None] * (n - 1)
@@ -117,7 +117,7 @@ def _prefixes(words, least):
                     out = [[] for _ in names]
             yield rows(out)
 
-    return words.select("word").mapInArrow(spread, "own long, depth int, node long, next string, half boolean, size int, word string")
+    return words.select("word").mapInArrow(spread, "own long, depth int, node long, next int, half boolean, size int, word string")
 
 
 def trie(words, part=PART):
@@ -133,12 +133,12 @@ def trie(words, part=PART):
     kept = (prefixes.groupBy("node").agg(F.min("depth").alias("depth"), F.min("next").alias("lo"), F.max("next").alias("hi"),
                                          F.max("half").alias("half"), F.count("*").alias("held"),
                                          F.bit_or(F.expr("shiftleft(1L, size % 64)")).alias("sizes"))
-            .filter(f"lo <> hi OR lo = '' OR half OR depth = {least}")
-            .select("node", F.expr("lo = ''").alias("ends"), F.ceil(F.col("held") / part).cast("int").alias("parts"),
+            .filter(f"lo <> hi OR lo = 0 OR half OR depth = {least}")
+            .select("node", F.expr("lo = 0").alias("ends"), F.ceil(F.col("held") / part).cast("int").alias("parts"),
                     (F.col("held") == 1).alias("alone"), "sizes"))
     stops = prefixes.drop("next", "size").join(kept.hint("shuffle_hash"), "node")
     stop = F.struct("depth", "node", "ends", "parts", "half", "alone", "sizes")
-    paths = settle(stops.groupBy("own").agg(F.max("word").alias("word"), F.array_sort(F.collect_list(stop)).alias("path")))
+    paths = settle(stops.groupBy("own").agg(F.max("word").alias("word"), F.sort_array(F.collect_list(stop)).alias("path")))
     steps = paths.select("word", F.posexplode(F.arrays_zip(F.slice("path", F.lit(1), F.size("path") - 1).alias("x"),
                                                            F.slice("path", F.lit(2), F.size("path") - 1).alias("y"))).alias("level", "e"))
     steps = steps.select("word", "level", F.col("e.x").alias("x"), F.col("e.y").alias("y"))
@@ -147,7 +147,7 @@ def trie(words, part=PART):
         F.col("y.ends").alias("ends"), F.col("y.parts").alias("parts"), F.col("y.alone").alias("alone"), F.col("y.sizes").alias("sizes"),
         F.substring("word", F.col("x.depth") + 1, F.col("y.depth") - F.col("x.depth")).alias("label")).distinct())
     following = edges.groupBy(F.col("parent").alias("child")).agg(
-        F.array_join(F.array_sort(F.collect_set(F.substring("label", 1, 1))), "").alias("following"))   # letters of the alphabet
+        F.array_join(F.sort_array(F.collect_set(F.substring("label", 1, 1))), "").alias("following"))   # letters of the alphabet
     salts = F.explode(F.sequence(F.lit(0), F.col("parent_parts") - 1))
     whole = edges.join(following, "child", "left").select(
         "level", "parent", salts.alias("salt"), F.substring("label", 1, 1).alias("letter"), "label",

@@ -277,3 +277,25 @@ def test_variants_query(spark):
     got = queries.QUERIES["op13_spelling_variants"](spark, DATA)
     assert dict(got.dtypes) == {"word": "string", "form": "string", "root": "string", "n": "bigint", "n_near": "bigint", "form_n": "bigint"}
     assert ordered(got.collect()) == spelled(docs)
+
+
+def test_short_pieces_merge_like_long_ones(monkeypatch):
+    """The list of ranks of a short piece and the queue of a long one give the same ids; known ids are tuples."""
+    tokenizer = B.BytePairs(B.vocabulary_path())
+    rnd = random.Random(5)
+    pieces = ["", "a", "aaaa", "aaaaa", " the", " théâtre", "!!!!!!!", *("".join(rnd.choices(" etaoinsé!", k=rnd.randint(1, 40))) for _ in range(300))]
+    symbols = [[tokenizer.first[b] for b in p.encode()] for p in pieces]
+    short = [tokenizer._short(list(s)) for s in symbols]
+    monkeypatch.setattr(B, "SHORT", 0)
+    assert short == [tokenizer.merged(s) for s in symbols]
+    tokenizer.encode("one two")
+    assert all(type(ids) is tuple for ids in tokenizer._known.values())
+
+
+def test_trie_nodes_are_counted_without_a_sort(spark):
+    """Letters are code points: text would have the least and the greatest letter of a node found by sorting."""
+    words = spark.createDataFrame([(">énergie",), (">énergies",)], "word string")
+    nodes = V._prefixes(words, 2).groupBy("node").agg(F.min("next").alias("lo"), F.max("next").alias("hi"))
+    assert "SortAggregate" not in nodes._jdf.queryExecution().executedPlan().toString()
+    ends = [r for r in nodes.collect() if r.lo == 0]
+    assert sorted(r.hi for r in ends) == [0, ord("s")]
