@@ -82,42 +82,134 @@ def _sides(words):
     return words.select(F.explode(mark).alias("word"))
 
 
-def _prefixes(words, least):
-    """(own, depth, node, next, half, size, word): prefixes of ``least`` letters or more and the letter behind them.
-
-    The letter is its code point, so that the least and the greatest need no sort; behind the end there is 0. ``own`` is the node of the whole word, ``half`` marks the prefix that is its half
-    (rounded down, of reversed words up), ``size`` is its length; the word itself comes with the first row.
+def _shared(a, b):
+    """Letters that two words begin with together."""
+    n = 0
+    for x, y in zip(a, b):
+        if x != y:
+            break
+        n += 1
+    return n
+
+
+def _half(word):
+    """Length of the prefix that is the word's half: rounded down, of reversed words up."""
+    letters = len(word) - 1
+    return 1 + (letters // 2 if word[0] == _ONWARD else letters - letters // 2)
+
+
+class _Node:
+    """A kept prefix: its length, a word below, and what is known of the words below."""
+
+    __slots__ = ("depth", "word", "open", "ends", "held", "sizes", "below")
+
+    def __init__(self, depth, word):
+        self.depth, self.word, self.open, self.ends, self.held, self.sizes, self.below = depth, word, False, False, 0, 0, []
+
+
+def _grown(words, least, left, right):
+    """The topmost kept nodes of sorted words; they share ``left`` and ``right`` letters with the words before and behind."""
+    tops, path, before = [], [], ""
+
+    def close():
+        node = path.pop()
+        if path:
+            up = path[-1]
+            up.held += node.held
+            up.sizes |= node.sizes
+            up.below.append(node)
+        else:
+            tops.append(node)
+
+    def at(depth, word):
+        k = len(path)
+        while k and path[k - 1].depth > depth:
+            k -= 1
+        if not k or path[k - 1].depth < depth:      # all words so far below it are below the next node of the path
+            path.insert(k, _Node(depth, word))
+            k += 1
+        return path[k - 1]
+
+    for i, word in enumerate(words):
+        shared = _shared(before, word)
+        if shared >= least:
+            at(shared, word)
+        while path and path[-1].depth > shared:
+            close()
+        at(least, word)
+        at(_half(word), word)
+        for depth in range(least, 1 + max(0 if i else left, 0 if i < len(words) - 1 else right)):
+            at(depth, word).open = True
+        end = at(len(word), word)
+        end.ends, end.held, end.sizes, before = True, end.held + 1, end.sizes | 1 << len(word) % 64, word
+    while path:
+        close()
+    return tops
+
+
+def _prefixes(words, least, part=PART):
+    """Rows of the trie's nodes: one for every edge behind a node and one for a word that ends there.
+
+    ``next`` is the first letter of the edge's label as a code point, so that it needs no sort, or 0 for a word. An edge
+    has its level, its label and its child; a word has its half: the length, the node, its level. Words that share ``least``
+    letters are read by one task in sorted order, some ``5 * part`` at a time, so that a node is known as a whole when
+    its words have been read. Only where more than ``25 * part`` words share ``least`` letters are they cut: the nodes
+    that both sides have are ``open`` (of an edge: the upper node, of a word: its half) or ``child_open``, all sides keep
+    all of them, and their numbers are to be added up. An open node without one above comes without ``node``.
     """
-    kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.bool_(), pa.int32(), pa.string())
-    names = ["own", "depth", "node", "next", "half", "size", "word"]
-
-    def rows(out):
-        return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(out, kinds)], names=names)
+    kinds = (pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.string(), pa.int64(), pa.bool_(), pa.bool_(), pa.int64(), pa.int64(),
+             pa.string(), pa.string(), pa.int32(), pa.int64())
+    names = ["level", "node", "next", "parts", "open", "label", "child", "child_open", "ends", "held", "sizes", "following", "word", "pos", "half"]
+
+    def batch_of(rows):
+        return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(zip(*rows) if rows else [()] * len(names), kinds)], names=names)
+
+    def hashed(node, letters):
+        for c in letters:
+            node = (node * _BASE + ord(c) + 1) % _PRIME
+        return node
+
+    def rows_of(held, left, right):
+        out, halves = [], {}
+        todo = [(top, None, None, 0, -1) for top in _grown(held, least, left, right)]
+        while todo:
+            node, up, up_hash, up_parts, level = todo.pop()
+            depth, word, sizes = node.depth, node.word, node.sizes
+            label = word[up.depth if up else 0:depth]
+            name, level, parts = hashed(up_hash or 0, label), level + 1, -(-node.held // part)
+            halves[depth] = (name, level, parts, node.open)
+            if up or node.open:
+                following = "".join([n.word[depth] for n in node.below])
+                out.append((level - 1, up_hash, ord(label[0]) if up else None, up_parts, up.open if up else False, label, name, node.open, node.ends,
+                            node.held, sizes - (1 << 64) if sizes >> 63 else sizes, following, None, None, None))
+            if node.ends:
+                pos = _half(word)
+                half, at, parts_there, is_open = halves[pos]
+                out.append((at, name, 0, parts_there, is_open, None, None, False, None, None, None, None, word, pos, half))
+            todo += [(n, node, name, parts, level) for n in node.below]
+            if len(out) >= 1 << 16:
+                yield batch_of(out)
+                out = []
+        yield batch_of(out)
 
     def spread(batches):
+        held, letters, before = [], 0, ""
         for batch in batches:
-            out = [[] for _ in names]
             for word in batch.column(0).to_pylist():
-                node, path = 0, [0]
-                for c in word:
-                    node = (node * _BASE + ord(c) + 1) % _PRIME
-                    path.append(node)
-                n = len(path) - least
-                letters = len(word) - 1
-                half = 1 + (letters // 2 if word[0] == _ONWARD else letters - letters // 2) - least
-                out[0] += [node] * n
-                out[1] += range(least, least + n)
-                out[2] += path[least:]
-                out[3] += [*map(ord, word[least:]), 0]
-                out[4] += [i == half for i in range(n)]
-                out[5] += [len(word)] * n
-                out[6] += [word] + [None] * (n - 1)
-                if len(out[0]) > 1 << 17:
-                    yield rows(out)
-                    out = [[] for _ in names]
-            yield rows(out)
-
-    return words.select("word").mapInArrow(spread, "own long, depth int, node long, next int, half boolean, size int, word string")
+                if len(held) >= 5 * part and (len(held) >= 25 * part or word[:least] != before[:least]) or letters >= HELD_LETTERS:
+                    yield from rows_of(held, left, _shared(before, word))
+                    held, letters = [], 0
+                if not held:
+                    left = _shared(before, word)
+                held.append(word)
+                letters += len(word)
+                before = word
+        if held:
+            yield from rows_of(held, left, 0)
+
+    together = words.select("word").repartition(F.substring("word", 1, least)).sortWithinPartitions("word")
+    return together.mapInArrow(spread, "level int, node long, next int, parts int, open boolean, label string, child long, child_open boolean, ends boolean, "
+                                       "held long, sizes long, following string, word string, pos int, half long")
 
 
 def trie(words, part=PART):
@@ -129,33 +221,23 @@ def trie(words, part=PART):
     from the shortest half on, as no word has an edit above its half.
     """
     least = 1 + ((words.agg(F.min(F.length("word"))).first()[0] or 1) - 1) // 2
-    prefixes = settle(_prefixes(words, least))
-    kept = (prefixes.groupBy("node").agg(F.min("depth").alias("depth"), F.min("next").alias("lo"), F.max("next").alias("hi"),
-                                         F.max("half").alias("half"), F.count("*").alias("held"),
-                                         F.bit_or(F.expr("shiftleft(1L, size % 64)")).alias("sizes"))
-            .filter(f"lo <> hi OR lo = 0 OR half OR depth = {least}")
-            .select("node", F.expr("lo = 0").alias("ends"), F.ceil(F.col("held") / part).cast("int").alias("parts"),
-                    (F.col("held") == 1).alias("alone"), "sizes"))
-    stops = prefixes.drop("next", "size").join(kept.hint("shuffle_hash"), "node")
-    stop = F.struct("depth", "node", "ends", "parts", "half", "alone", "sizes")
-    paths = settle(stops.groupBy("own").agg(F.max("word").alias("word"), F.sort_array(F.collect_list(stop)).alias("path")))
-    steps = paths.select("word", F.posexplode(F.arrays_zip(F.slice("path", F.lit(1), F.size("path") - 1).alias("x"),
-                                                           F.slice("path", F.lit(2), F.size("path") - 1).alias("y"))).alias("level", "e"))
-    steps = steps.select("word", "level", F.col("e.x").alias("x"), F.col("e.y").alias("y"))
-    edges = settle(steps.select(
-        "level", F.col("x.node").alias("parent"), F.col("x.parts").alias("parent_parts"), F.col("y.node").alias("child"),
-        F.col("y.ends").alias("ends"), F.col("y.parts").alias("parts"), F.col("y.alone").alias("alone"), F.col("y.sizes").alias("sizes"),
-        F.substring("word", F.col("x.depth") + 1, F.col("y.depth") - F.col("x.depth")).alias("label")).distinct())
-    following = edges.groupBy(F.col("parent").alias("child")).agg(
-        F.array_join(F.sort_array(F.collect_set(F.substring("label", 1, 1))), "").alias("following"))   # letters of the alphabet
+    rows = settle(_prefixes(words, least, part).sortWithinPartitions("level"))     # a level is read without the others' pages
+    edge = ["level", F.col("node").alias("parent"), F.col("parts").alias("parent_parts"), "open", "label", "child", "ends", "held", "sizes", "following"]
+    edges, starts = rows.filter("next > 0 AND NOT child_open").select(*edge), rows.filter("next = 0")
+    if not rows.filter("child_open").isEmpty():
+        opened = settle(rows.filter("child_open").select(*edge).groupBy("level", "parent", "open", "label", "child").agg(
+            F.max("ends").alias("ends"), F.sum("held").alias("held"), F.bit_or("sizes").alias("sizes"),
+            F.array_join(F.collect_set("following"), "").alias("following")))
+        known = opened.select(F.col("child").alias("node"), F.ceil(F.col("held") / part).cast("int").alias("parts"))
+        above = edges.filter("open").unionByName(opened.filter("parent IS NOT NULL").withColumn("parent_parts", F.lit(1)))
+        above = settle(above.drop("parent_parts").join(known.toDF("parent", "parent_parts"), "parent"))
+        halves = settle(starts.filter("open").drop("parts").join(known.toDF("half", "parts"), "half"))
+        edges, starts = edges.filter("NOT open").unionByName(above), starts.filter("NOT open").unionByName(halves)
     salts = F.explode(F.sequence(F.lit(0), F.col("parent_parts") - 1))
-    whole = edges.join(following, "child", "left").select(
-        "level", "parent", salts.alias("salt"), F.substring("label", 1, 1).alias("letter"), "label",
-        "child", "parts", "ends", "alone", "sizes", F.coalesce("following", F.lit("")).alias("following"))
-    starts = paths.select("word", F.posexplode("path").alias("level", "x")).filter("x.half").select(
-        "word", F.col("x.depth").alias("pos"), F.col("x.node").alias("node"), F.col("x.parts").alias("parts"),
-        F.lit(0).alias("edits"), F.lit(False).alias("ends"), "level")
-    return settle(whole), settle(starts), paths.select(F.col("own").alias("node"), F.col("word").alias("near"))
+    whole = edges.select("level", "parent", salts.alias("salt"), F.substring("label", 1, 1).alias("letter"), "label", "child",
+                         F.ceil(F.col("held") / part).cast("int").alias("parts"), "ends", (F.col("held") == 1).alias("alone"), "sizes", "following")
+    at_half = starts.select("word", "pos", F.col("half").alias("node"), "parts", F.lit(0).alias("edits"), F.lit(False).alias("ends"), "level")
+    return whole, at_half, rows.filter("next = 0").select("node", F.col("word").alias("near"))
 
 
 # --- the frontier --------------------------------------------------------------------

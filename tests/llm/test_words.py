@@ -299,3 +299,43 @@ def test_trie_nodes_are_counted_without_a_sort(spark):
     assert "SortAggregate" not in nodes._jdf.queryExecution().executedPlan().toString()
     ends = [r for r in nodes.collect() if r.lo == 0]
     assert sorted(r.hi for r in ends) == [0, ord("s")]
+
+
+def test_the_trie_has_a_row_an_edge_not_a_row_a_prefix(spark):
+    """Long words that share nothing behind their first letters are few edges each, however long they are."""
+    words = spark.createDataFrame([(f">{a}{b}{'x' * 60}{a}",) for a in "abcd" for b in "efgh"], "word string")
+    assert V._prefixes(words, 2).count() <= 4 * 16
+
+
+@pytest.mark.parametrize("part", [1, 3, 2000])
+def test_trie_edges_equal_prefixes(spark, part):
+    """Every edge's numbers against the words below its child; small parts cut the words that begin alike."""
+    rng = random.Random(part)
+    marked = sorted({"><"[i % 2] + "".join(rng.choices("abé", k=rng.randint(4, 9))) for i in range(600)})
+    edges, starts, ends = V.trie(spark.createDataFrame([(w,) for w in marked], "word string").repartition(3), part)
+    prefix, below, names = {}, {}, {}
+    for w in marked:
+        node = 0
+        for i, c in enumerate(w):
+            node = (node * V._BASE + ord(c) + 1) % V._PRIME
+            prefix[node] = w[:i + 1]
+            below.setdefault(w[:i + 1], []).append(w)
+        names[w] = node
+    assert sorted((r.near, r.node) for r in ends.collect()) == sorted(names.items())
+    level, parts_of, salts = {}, {}, {}
+    rows = edges.collect()
+    for r in rows:
+        p, held = prefix[r.child], below[prefix[r.child]]
+        assert prefix[r.parent] + r.label == p and r.letter == r.label[0] and r.ends == (p in names) and r.alone == (len(held) == 1)
+        assert r.parts == -(-len(held) // part) and set(r.following) == {w[len(p)] for w in held if len(w) > len(p)}
+        assert r.sizes == sum(1 << n for n in {len(w) for w in held})
+        salts.setdefault((r.parent, r.child), []).append(r.salt)
+        assert level.setdefault(r.parent, r.level) == r.level
+    assert all(sorted(s) == list(range(-(-len(below[prefix[up]]) // part))) for (up, _), s in salts.items())
+    assert all(level[down] == level[up] + 1 for up, down in salts if down in level)
+    halves = starts.collect()
+    assert sorted(r.word for r in halves) == marked
+    for r in halves:
+        letters = len(r.word) - 1
+        assert r.pos == 1 + (letters // 2 if r.word[0] == ">" else letters - letters // 2) and prefix[r.node] == r.word[:r.pos]
+        assert r.parts == -(-len(below[r.word[:r.pos]]) // part) and level.get(r.node, r.level) == r.level
